@@ -54,6 +54,9 @@ def bad_reason(text: str = "raw_json", id_field: str = "id") -> Column:
 
 
 def parsed_with_reason(bronze: DataFrame, ddl: str) -> DataFrame:
+    """Bronze rows plus ``msg`` and ``bad_reason``; a frame parsed already is kept as is."""
+    if REASON in bronze.columns:
+        return bronze
     return parse_json(bronze, ddl).withColumn(REASON, bad_reason())
 
 
@@ -72,7 +75,7 @@ def _processed_at(settings: Settings) -> Column:
 def _meta(table: str, settings: Settings) -> list[Column]:
     return ([F.col(c) for c in CARRIED]
             + [_processed_at(settings).alias("silver_processed_at"),
-               F.lit(QUALITY_SCORE[table]).alias("data_quality_score")]
+               F.lit(QUALITY_SCORE.get(table, 100)).alias("data_quality_score")]
             + [F.col(c) for c in PARTS])
 
 
@@ -162,7 +165,7 @@ def refine_leagues(bronze: DataFrame, settings: Settings) -> DataFrame:
     """Silver leagues (the reference stops leagues at Bronze): id and name."""
     m = _keep(parsed_with_reason(bronze, LEAGUE_DDL), settings)
     return m.select(F.col(f"{MSG}.id").alias("league_id"),
-                    F.col(f"{MSG}.name").alias("league_name"), *CARRIED)
+                    F.col(f"{MSG}.name").alias("league_name"), *_meta("leagues", settings))
 
 
 REFINERS = {

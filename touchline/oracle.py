@@ -8,7 +8,7 @@ aggregates) returns the same rows, the round trip and the operator are both righ
 
 from __future__ import annotations
 
-AS_OF = "2001-08-02 00:00:00"
+AS_OF = "2024-02-01 00:00:00"
 
 CTES = {
     "demo_matches": """
@@ -27,7 +27,9 @@ select cast(o_orderkey as bigint) as fixture_id,
        cast(o_orderkey % 4 as int) as away_score,
        cast(case when o_orderkey % 11 = 0 then null else o_orderkey % 7 end as int) as events_count,
        cast(o_custkey % 50 as bigint) as venue_id,
-       (o_orderkey % 2 = 0) as has_odds
+       (o_orderkey % 2 = 0) as has_odds,
+       timestamp '2024-01-01 00:00:00' + to_hours(cast(o_orderkey % 720 as bigint))
+         - interval 1 day as fixture_ts
 from orders""",
     "demo_match_events": """
 select cast(event_id as bigint) as event_id,
@@ -54,7 +56,8 @@ select fixture_id, sport_id, league_id, season_id, starting_ts, home_team_id, aw
        events_count,
        cast(fixture_id * 3 + poll as bigint) as kafka_offset,
        cast(fixture_id % 3 as int) as kafka_partition,
-       starting_ts + to_minutes(cast(poll * 30 as bigint)) as kafka_ts,
+       timestamp '2024-01-01 00:00:00' + to_hours(cast(fixture_id % 720 as bigint))
+         + to_minutes(cast(poll * 30 as bigint)) as kafka_ts,
        case when poll = 0 and n_polls > 1 then
             case fixture_id % 29 when 1 then 'empty' when 2 then 'unparsable'
                                  when 3 then 'no_id' when 4 then 'partial' end end as bad_reason
@@ -120,6 +123,37 @@ select league_id, season_id,
 from team_stats""",
 }
 
+CTES["silver_ls"] = """
+select fixture_id, sport_id, league_id, season_id, home_team || ' vs ' || away_team as fixture_name,
+       strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at,
+       case when bad_reason = 'partial' then null else state_id end as state_id,
+       home_score, away_score, home_team, home_team_id, away_team, away_team_id,
+       cast(events_count as int) as events_count, kafka_partition, kafka_offset,
+       95 as data_quality_score,
+       cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
+       cast(day(kafka_ts) as int) as day,
+       cast(starting_ts as date) as match_date,
+       home_score + away_score as total_goals, home_score - away_score as score_difference,
+       coalesce(bad_reason is null and state_id = 2, false) as is_live,
+       coalesce(bad_reason is null and state_id = 3, false) as is_finished
+from live_polls where bad_reason is null or bad_reason = 'partial'"""
+CTES["kept_polls"] = """
+select *, kafka_ts as ingested_ts from live_polls
+where bad_reason is null or bad_reason = 'partial'"""
+# every landed broker record: data type, topic, partition, offset, broker time, fixture
+CTES["all_records"] = """
+select 'livescores' as data_type, 'sports.livescores' as kafka_topic, kafka_partition,
+       kafka_offset, kafka_ts, fixture_id, bad_reason from live_polls
+union all
+select 'events', 'sports.events', kafka_partition, kafka_offset, kafka_ts, fixture_id, null
+from event_polls
+union all
+select 'fixtures', 'sports.fixtures', cast(fixture_id % 3 as int), fixture_id,
+       fixture_ts, fixture_id, null from demo_matches
+union all
+select 'leagues', 'sports.leagues', cast(r_regionkey % 3 as int), cast(r_regionkey as bigint),
+       timestamp '2023-12-01 00:00:00', null, null from region"""
+
 # Which CTEs each CTE needs (in order).
 _DEPS = {
     "demo_matches": [],
@@ -134,6 +168,9 @@ _DEPS = {
     "team_rows": ["results"],
     "team_stats": ["team_rows"],
     "standings": ["team_stats"],
+    "silver_ls": ["live_polls"],
+    "kept_polls": ["live_polls"],
+    "all_records": ["live_polls", "event_polls", "demo_matches"],
 }
 
 

@@ -122,20 +122,7 @@ def q_live_dashboard(spark, sf_dir):
 
 # ---------------------------------------------------------------- Silver (reference)
 
-@register("silver_live_scores", with_ctes("""
-select fixture_id, sport_id, league_id, season_id, home_team || ' vs ' || away_team as fixture_name,
-       strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at,
-       case when bad_reason = 'partial' then null else state_id end as state_id,
-       home_score, away_score, home_team, home_team_id, away_team, away_team_id,
-       cast(events_count as int) as events_count, kafka_partition, kafka_offset,
-       95 as data_quality_score,
-       cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
-       cast(day(kafka_ts) as int) as day,
-       cast(starting_ts as date) as match_date,
-       home_score + away_score as total_goals, home_score - away_score as score_difference,
-       coalesce(bad_reason is null and state_id = 2, false) as is_live,
-       coalesce(bad_reason is null and state_id = 3, false) as is_finished
-from live_polls where bad_reason is null or bad_reason = 'partial'""", "live_polls"))
+@register("silver_live_scores", with_ctes("select * from silver_ls", "silver_ls"))
 def q_silver_live_scores(spark, sf_dir):
     return no_clock(L.silver(spark, sf_dir, "livescores", SETTINGS))
 
@@ -167,11 +154,422 @@ select fixture_id, sport_id, league_id, season_id, stage_id, state_id,
        home_team, home_team_id, away_team, away_team_id,
        cast(fixture_id % 3 as int) as kafka_partition, fixture_id as kafka_offset,
        100 as data_quality_score,
-       cast(year(starting_ts - interval 1 day) as int) as year,
-       cast(month(starting_ts - interval 1 day) as int) as month,
-       cast(day(starting_ts - interval 1 day) as int) as day,
+       cast(year(fixture_ts) as int) as year, cast(month(fixture_ts) as int) as month,
+       cast(day(fixture_ts) as int) as day,
        cast(starting_ts as date) as match_date, cast(hour(starting_ts) as int) as match_hour,
        state_id = 2 as is_live, state_id = 3 as is_finished
 from demo_matches""", "demo_matches"))
 def q_silver_fixtures(spark, sf_dir):
     return no_clock(L.silver(spark, sf_dir, "fixtures", SETTINGS))
+
+
+# ---------------------------------------------------------------- Bronze (reference)
+
+from touchline.config import TOPICS  # noqa: E402
+from touchline.operators import monitor as M  # noqa: E402
+from touchline.operators import publish as P  # noqa: E402
+from touchline.operators import quality as Q  # noqa: E402
+from touchline.operators.refine import MSG, REASON, parsed_with_reason  # noqa: E402
+from touchline.operators.snapshot import duplicate_report, latest_snapshot  # noqa: E402
+from touchline.plans import demo_runs as R  # noqa: E402
+from touchline.schemas import LIVE_SCORE_DDL, SCHEMAS  # noqa: E402
+from touchline.sinks.publish import publish, to_messages  # noqa: E402
+from touchline.sources.tables import read_bronze, read_silver, read_table  # noqa: E402
+from touchline.streaming.incremental import run_silver_incremental  # noqa: E402
+
+ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
+
+
+def payload_id() -> "F.Column":
+    return F.get_json_object(F.col("raw_json"), "$.id").alias("payload_id")
+
+
+@register("bronze_decode", with_ctes("""
+select cast(fixture_id as varchar) || '_' || cast(event_id as varchar) as kafka_key,
+       'sports.events' as kafka_topic, kafka_partition, kafka_offset,
+       'events' as data_type, '1.0' as bronze_version,
+       cast(event_id as varchar) as payload_id
+from event_polls""", "event_polls"))
+def q_bronze_decode(spark, sf_dir):
+    b = L.bronze(spark, sf_dir, "events", SETTINGS)
+    return b.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "data_type",
+                    "bronze_version", payload_id())
+
+
+@register("bronze_replay", with_ctes("""
+select cast(fixture_id as varchar) as kafka_key, 'sports.livescores' as kafka_topic,
+       kafka_partition, kafka_offset, 'livescores' as data_type, '1.0' as bronze_version,
+       cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
+       cast(day(kafka_ts) as int) as day,
+       case when bad_reason in ('empty', 'unparsable') then null
+            else cast(fixture_id as varchar) end as payload_id
+from live_polls""", "live_polls"))
+def q_bronze_replay(spark, sf_dir):
+    s = R.bronze_store(spark, sf_dir)
+    b = read_table(spark, s.path("bronze", "livescores"), s.table_format)
+    return b.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "data_type",
+                    "bronze_version", "year", "month", "day", payload_id())
+
+
+@register("bronze_all_types", with_ctes("""
+select data_type, cast(year(kafka_ts) as int) as year, count(*) as messages,
+       count(distinct kafka_offset) as distinct_offsets
+from all_records group by data_type, year(kafka_ts)""", "all_records"))
+def q_bronze_all_types(spark, sf_dir):
+    s = R.bronze_store(spark, sf_dir)
+    frames = [read_table(spark, s.path("bronze", t), s.table_format) for t in ALL_TYPES]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return union.groupBy("data_type", "year").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_distinct("kafka_offset").alias("distinct_offsets"))
+
+
+@register("date_parts", with_ctes("""
+select fixture_id as kafka_offset,
+       cast(year(fixture_ts) as int) as year, cast(month(fixture_ts) as int) as month,
+       cast(day(fixture_ts) as int) as day
+from demo_matches""", "demo_matches"))
+def q_date_parts(spark, sf_dir):
+    return L.bronze(spark, sf_dir, "fixtures", SETTINGS).select("kafka_offset", "year", "month",
+                                                              "day")
+
+
+@register("bronze_lookback", with_ctes("""
+select kafka_offset, cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
+       cast(day(kafka_ts) as int) as day
+from live_polls where kafka_ts >= date '2024-02-01' - interval 7 day""", "live_polls"))
+def q_bronze_lookback(spark, sf_dir):
+    s = R.bronze_store(spark, sf_dir)
+    return read_bronze(spark, s.path("bronze", "livescores"), s, days_back=7) \
+        .select("kafka_offset", "year", "month", "day")
+
+
+@register("silver_lookback", with_ctes("""
+select fixture_id, kafka_offset, state_id from silver_ls
+where kafka_offset in (select kafka_offset from live_polls
+                       where kafka_ts >= date '2024-02-01' - interval 10 day)""", "silver_ls",
+                       "live_polls"))
+def q_silver_lookback(spark, sf_dir):
+    s, _ = R.silver_store(spark, sf_dir)
+    return read_silver(spark, s.path("silver", "live_scores"), s, days_back=10) \
+        .select("fixture_id", "kafka_offset", "state_id")
+
+
+@register("silver_write_roundtrip", with_ctes("select * from silver_ls", "silver_ls"))
+def q_silver_write_roundtrip(spark, sf_dir):
+    s, _ = R.silver_store(spark, sf_dir)
+    return no_clock(read_table(spark, s.path("silver", "live_scores"), s.table_format))
+
+
+@register("gold_write_roundtrip", with_ctes("select * from standings", "standings"))
+def q_gold_write_roundtrip(spark, sf_dir):
+    s, _ = R.gold_store(spark, sf_dir)
+    g = read_table(spark, s.path("gold", "league_standings"), s.table_format)
+    return no_clock(g).drop("year", "month", "day")
+
+
+@register("run_metrics", with_ctes("""
+select 'silver' as layer, 'fixtures' as table_name, count(*) as rows from demo_matches
+union all select 'silver', 'live_scores', count(*) from silver_ls
+union all select 'silver', 'events', count(*) from event_polls
+union all select 'silver', 'leagues', count(*) from region
+union all select 'silver', 'dead_letters_fixtures', 0
+union all select 'silver', 'dead_letters_live_scores', count(*) from live_polls
+          where bad_reason is not null
+union all select 'silver', 'dead_letters_events', 0
+union all select 'silver', 'dead_letters_leagues', 0
+union all select 'gold', 'match_results', count(*) from results
+union all select 'gold', 'team_performance', count(*) from team_stats
+union all select 'gold', 'league_standings', count(*) from team_stats
+union all select 'gold', 'live_dashboard', count(*) from demo_matches where state_id = 2
+union all select 'gold', 'event_analytics', count(*)
+          from (select distinct fixture_id, event_type from typed_events) x
+union all select 'gold', 'goal_analytics', count(*) from typed_events
+          where event_type in ('GOAL', 'OWN_GOAL', 'PENALTY')
+union all select 'gold', 'card_analytics', count(*) from typed_events
+          where event_type in ('YELLOW_CARD', 'RED_CARD')""",
+          "demo_matches", "silver_ls", "event_polls", "results", "team_stats", "typed_events"))
+def q_run_metrics(spark, sf_dir):
+    _, silver_report = R.silver_store(spark, sf_dir)
+    _, gold_report = R.gold_store(spark, sf_dir)
+    rows = [("silver", k, int(v)) for k, v in silver_report.items()]
+    rows += [("gold", k, int(v)) for k, v in gold_report.items()]
+    return spark.createDataFrame(rows, "layer string, table_name string, rows bigint")
+
+
+# ---------------------------------------------------------------- Silver pieces (reference)
+
+@register("parse_json", with_ctes("""
+select kafka_offset,
+       case when bad_reason in ('empty', 'unparsable', 'no_id') then null else fixture_id end as id,
+       case when bad_reason is null or bad_reason = 'no_id' then state_id end as state_id,
+       case when bad_reason in ('empty', 'unparsable') then null
+            else home_team || ' vs ' || away_team end as name,
+       bad_reason
+from live_polls""", "live_polls"))
+def q_parse_json(spark, sf_dir):
+    p = parsed_with_reason(L.bronze(spark, sf_dir, "livescores", SETTINGS), LIVE_SCORE_DDL)
+    return p.select("kafka_offset", F.col(f"{MSG}.id").alias("id"),
+                    F.col(f"{MSG}.state_id").alias("state_id"),
+                    F.col(f"{MSG}.name").alias("name"), F.col(REASON).alias("bad_reason"))
+
+
+@register("event_type_map", with_ctes("""
+select event_id, type_id, event_type from typed_events""", "typed_events"))
+def q_event_type_map(spark, sf_dir):
+    return L.gold_events(spark, sf_dir, SETTINGS).select("event_id", "type_id", "event_type")
+
+
+# ---------------------------------------------------------------- poller steps, re-aimed
+
+@register("publish_envelope", with_ctes("""
+select cast(fixture_id as varchar) as key, 'sports.fixtures' as topic,
+       'fixture' as envelope_type, 'v3' as api_version,
+       home_team || ' vs ' || away_team as name
+from demo_matches""", "demo_matches"))
+def q_publish_envelope(spark, sf_dir):
+    s = R.store_settings(spark, sf_dir)
+    objects = L.silver(spark, sf_dir, "fixtures", SETTINGS).select(
+        F.col("fixture_id").alias("id"), F.col("fixture_name").alias("name"), "league_id",
+        "season_id", "state_id", "starting_at")
+    msgs = to_messages(P.with_envelope(objects, "fixture", s), TOPICS["fixtures"])
+    out = s.path("published")
+    publish(msgs, fmt="parquet", path=out, mode="overwrite")
+    back = read_table(spark, out, "parquet")
+    return back.select("key", "topic",
+                       F.get_json_object("value", "$._metadata.type").alias("envelope_type"),
+                       F.get_json_object("value", "$._metadata.api_version").alias("api_version"),
+                       F.get_json_object("value", "$.name").alias("name"))
+
+
+PAGE_SIZE = 100
+
+
+@register("explode_page", with_ctes(f"""
+select cast(fixture_id // {PAGE_SIZE} as bigint) as page_no,
+       cast(row_number() over (partition by fixture_id // {PAGE_SIZE} order by fixture_id) - 1
+            as int) as item_position,
+       fixture_id, home_team || ' vs ' || away_team as name
+from demo_matches""", "demo_matches"))
+def q_explode_page(spark, sf_dir):
+    m = L.silver(spark, sf_dir, "fixtures", SETTINGS)
+    item = F.to_json(F.struct(F.col("fixture_id").alias("id"), F.col("fixture_name").alias("name")))
+    # Pages of at most PAGE_SIZE objects (bounded groups), objects ordered by id.
+    pages = (m.select((F.col("fixture_id") / PAGE_SIZE).cast("bigint").alias("page_no"),
+                      F.struct("fixture_id", item.alias("j")).alias("it"))
+             .groupBy("page_no").agg(F.array_sort(F.collect_list("it")).alias("items"))
+             .select("page_no", F.concat(F.lit('{"data":['),
+                                         F.array_join(F.transform("items", lambda x: x["j"]), ","),
+                                         F.lit("]}")).alias("page")))
+    # An error page without ``data`` yields no rows.
+    errors = spark.range(1).select(F.lit(-1).cast("bigint").alias("page_no"),
+                                   F.lit('{"message":"quota exceeded"}').alias("page"))
+    items = P.explode_page(pages.unionByName(errors))
+    return items.select("page_no", "item_position",
+                        F.get_json_object("item_json", "$.id").cast("bigint").alias("fixture_id"),
+                        F.get_json_object("item_json", "$.name").alias("name"))
+
+
+@register("event_fanout", with_ctes("""
+select cast(fixture_id as varchar) || '_' || cast(fixture_id * 10 + i as varchar) as key,
+       fixture_id, kafka_offset, cast(i - 1 as int) as event_position,
+       fixture_id * 10 + i as event_id, cast(i % 9 as int) as type_id
+from (select *, unnest(generate_series(1, events_count)) as i from kept_polls
+      where events_count > 0) x""", "kept_polls"))
+def q_event_fanout(spark, sf_dir):
+    ev = P.event_fanout(L.bronze(spark, sf_dir, "livescores", SETTINGS), SETTINGS)
+    return ev.select("key", "fixture_id", "kafka_offset", "event_position", "event_id", "type_id")
+
+
+UPCOMING_AS_OF = "1998-03-15 00:00:00"
+
+
+@register("upcoming_fixtures", with_ctes(f"""
+select fixture_id, strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at, home_team, away_team
+from demo_matches
+where starting_ts between timestamp '{UPCOMING_AS_OF}'
+                      and timestamp '{UPCOMING_AS_OF}' + interval 24 hour""", "demo_matches"))
+def q_upcoming_fixtures(spark, sf_dir):
+    s = L.demo_settings(as_of=UPCOMING_AS_OF)
+    fx = L.silver(spark, sf_dir, "fixtures", SETTINGS)
+    return P.upcoming_fixtures(fx, s).select("fixture_id", "starting_at", "home_team",
+                                             "away_team")
+
+
+@register("ttl_dedup", """
+select distinct 'events' as data_type, cast(event_id as bigint) as item_id from events""")
+def q_ttl_dedup(spark, sf_dir):
+    from touchline.streaming.dedupe import run_ttl_dedup
+    s = R.store_settings(spark, sf_dir)
+    path = run_ttl_dedup(spark, sf_dir, s)
+    return read_table(spark, path, "parquet").select("data_type", "item_id")
+
+
+@register("fetch_summary", with_ctes("""
+select cast(kafka_ts as date) as fetch_date, count(*) as messages,
+       count(distinct fixture_id) as games, cast(sum(events_count) as bigint) as events
+from kept_polls group by cast(kafka_ts as date)""", "kept_polls"))
+def q_fetch_summary(spark, sf_dir):
+    return P.fetch_summary(L.silver(spark, sf_dir, "livescores", SETTINGS))
+
+
+# ---------------------------------------------------------------- named in the docs only
+
+@register("dead_letters", with_ctes("""
+select cast(fixture_id as varchar) as kafka_key, kafka_offset, bad_reason as reason
+from live_polls where bad_reason is not null""", "live_polls"))
+def q_dead_letters(spark, sf_dir):
+    d = Q.dead_letters(L.bronze(spark, sf_dir, "livescores", SETTINGS), "livescores", SETTINGS)
+    return d.select("kafka_key", "kafka_offset", "reason")
+
+
+@register("failure_rate", with_ctes("""
+select data_type, count(*) as messages,
+       cast(sum(case when bad_reason in ('empty', 'unparsable', 'no_id') then 1 else 0 end) as bigint) as dead_letters,
+       cast(sum(case when bad_reason = 'partial' then 1 else 0 end) as bigint) as partial,
+       cast(sum(case when bad_reason in ('empty', 'unparsable', 'no_id') then 1 else 0 end) as bigint) / count(*) as failure_rate
+from all_records group by data_type""", "all_records"))
+def q_failure_rate(spark, sf_dir):
+    frames = [Q.failure_rate(L.bronze(spark, sf_dir, t, SETTINGS), t) for t in ALL_TYPES]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("latest_snapshot", with_ctes("""
+select fixture_id, state_id, home_score, away_score, kafka_offset from latest_live""",
+                                       "latest_live"))
+def q_latest_snapshot(spark, sf_dir):
+    sl = L.silver(spark, sf_dir, "livescores", SETTINGS).select(
+        "fixture_id", "state_id", "home_score", "away_score", "kafka_timestamp",
+        "kafka_partition", "kafka_offset")
+    return latest_snapshot(sl, ["fixture_id"]).drop("kafka_timestamp", "kafka_partition")
+
+
+@register("duplicate_report", with_ctes("""
+select 'sports.events' as kafka_topic, kafka_partition, kafka_offset, count(*) as copies
+from event_polls group by kafka_partition, kafka_offset having count(*) > 1""", "event_polls"))
+def q_duplicate_report(spark, sf_dir):
+    return duplicate_report(L.bronze(spark, sf_dir, "events", SETTINGS))
+
+
+_PROFILED = ["fixture_id", "sport_id", "league_id", "season_id", "fixture_name", "starting_at",
+             "state_id", "home_score", "away_score", "home_team", "home_team_id", "away_team",
+             "away_team_id", "events_count", "match_date", "total_goals", "score_difference"]
+
+
+@register("null_profile", with_ctes("\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) as rows, count(*) - count({c}) as null_count, "
+    f"(count(*) - count({c})) / count(*) as null_share from silver_ls" for c in _PROFILED),
+    "silver_ls"))
+def q_null_profile(spark, sf_dir):
+    return Q.null_profile(L.silver(spark, sf_dir, "livescores", SETTINGS), _PROFILED)
+
+
+@register("timestamp_checks", with_ctes("""
+select data_type, count(*) as messages,
+       cast(sum(case when bad_reason in ('empty', 'unparsable') then 1 else 0 end) as bigint) as missing_fetched_at,
+       cast(sum(case when coalesce(bad_reason not in ('empty', 'unparsable'), true)
+                          and fixture_id % 31 = 0
+                          and data_type in ('livescores', 'events', 'fixtures')
+                     then 1 else 0 end) as bigint) as fetched_after_broker,
+       cast(0 as bigint) as broker_after_ingest
+from all_records group by data_type""", "all_records"))
+def q_timestamp_checks(spark, sf_dir):
+    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return Q.timestamp_checks(union)
+
+
+@register("quality_flags", with_ctes("""
+select fixture_id, kafka_partition, kafka_offset,
+       concat_ws(',',
+         case when is_finished and (home_score is null or away_score is null)
+              then 'NULL_SCORE_ON_FINISHED' end,
+         case when home_team is null or away_team is null then 'MISSING_TEAM' end,
+         case when starting_at is not null and match_date is null then 'BAD_DATE' end,
+         case when state_id is null then 'MISSING_STATE' end) as flags
+from silver_ls
+where (is_finished and (home_score is null or away_score is null))
+   or home_team is null or away_team is null
+   or (starting_at is not null and match_date is null) or state_id is null""", "silver_ls"))
+def q_quality_flags(spark, sf_dir):
+    f = Q.quality_flags(L.silver(spark, sf_dir, "livescores", SETTINGS))
+    return f.withColumn("flags", F.array_join("flags", ","))
+
+
+@register("freshness", with_ctes(f"""
+select data_type, count(*) as messages,
+       cast(floor(epoch(max(kafka_ts))) as bigint) as last_message_epoch,
+       cast(epoch(timestamp '{AS_OF}') as bigint) - cast(floor(epoch(max(kafka_ts))) as bigint)
+         as seconds_since_last,
+       min(latency) as min_latency_s, max(latency) as max_latency_s,
+       avg(latency) as avg_latency_s
+from (select *, case when bad_reason in ('empty', 'unparsable') then null
+                     when data_type = 'leagues' then cast(0 as bigint)
+                     when fixture_id % 31 = 0 then cast(-7 as bigint)
+                     else cast(2 as bigint) end as latency
+      from all_records) r
+group by data_type""", "all_records"))
+def q_freshness(spark, sf_dir):
+    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return M.freshness(union, SETTINGS, with_percentiles=False)
+
+
+@register("throughput", with_ctes("""
+select kafka_topic, cast(epoch(date_trunc('hour', kafka_ts)) as bigint) as window_start_epoch,
+       count(*) as messages
+from all_records group by kafka_topic, date_trunc('hour', kafka_ts)""", "all_records"))
+def q_throughput(spark, sf_dir):
+    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return M.throughput(union)
+
+
+@register("match_coverage", with_ctes("""
+select league_id, season_id, count(*) as fixtures,
+       cast(sum(case when state_id in (2, 3) then 1 else 0 end) as bigint) as covered,
+       cast(sum(case when state_id in (2, 3) then 1 else 0 end) as bigint) / count(*) as coverage
+from demo_matches group by league_id, season_id""", "demo_matches"))
+def q_match_coverage(spark, sf_dir):
+    fx = L.silver(spark, sf_dir, "fixtures", SETTINGS)
+    lv = L.silver(spark, sf_dir, "livescores", SETTINGS)
+    return M.match_coverage(fx, lv, SETTINGS)
+
+
+@register("silver_incremental", with_ctes("select * from silver_ls", "silver_ls"))
+def q_silver_incremental(spark, sf_dir):
+    s = R.bronze_store(spark, sf_dir)
+    run_silver_incremental(spark, s, "livescores", "live_scores")
+    return no_clock(read_table(spark, s.path("silver_stream", "live_scores"), s.table_format))
+
+
+@register("sql_views", with_ctes("""
+select league_id, season_id, team, points, goal_difference, matches_played
+from standings where position = 1""", "standings"))
+def q_sql_views(spark, sf_dir):
+    from touchline.plans.views import register_views
+    s, _ = R.gold_store(spark, sf_dir)
+    register_views(spark, s, ("league_standings",))
+    return spark.sql("""
+        select league_id, season_id, team, points, goal_difference, matches_played
+        from league_standings where position = 1""")
+
+
+@register("standings_named", with_ctes("""
+select s.*, 'League ' || r.r_name as league_name
+from standings s left join region r on s.league_id = r.r_regionkey""", "standings"))
+def q_standings_named(spark, sf_dir):
+    st = L.league_standings(spark, sf_dir, SETTINGS, ordered=False)
+    named = A.standings_named(st, L.leagues(spark, sf_dir, SETTINGS), SETTINGS)
+    return no_clock(named)

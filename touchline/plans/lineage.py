@@ -15,8 +15,8 @@ from touchline.operators.refine import REFINERS, SILVER_TABLES
 from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
 from touchline.sources.demo import demo_records
 
-# The pinned clock of the demo runs: one day after the last order date of the tables.
-DEMO_AS_OF = "2001-08-02 00:00:00"
+# The pinned clock of the demo runs: the day after the 30-day broker replay ends.
+DEMO_AS_OF = "2024-02-01 00:00:00"
 
 
 def demo_settings(**kw) -> Settings:
@@ -79,7 +79,8 @@ def league_standings(spark, sf_dir, settings, ordered=True) -> DataFrame:
 
 def leagues(spark, sf_dir, settings) -> DataFrame:
     lg = silver(spark, sf_dir, "leagues", settings)
-    return latest_snapshot(lg, ["league_id"])
+    lg = latest_snapshot(lg, ["league_id"])
+    return lg.withColumn("league_id", lg["league_id"].cast("int"))
 
 
 __all__ = ["DEMO_AS_OF", "demo_settings", "bronze", "silver", "current", "SILVER_TABLES"]

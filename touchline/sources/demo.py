@@ -13,7 +13,8 @@ Generation rules (not filters; every input row produces messages):
   state 3 (finished) for status F, 2 (live) for O, 1 (not started) otherwise;
 * live-score messages only for started games (state 2 or 3), ``1 + fixture_id % 3`` polls
   per game, 30 minutes apart; only the last poll carries the final state and score, the
-  earlier ones read live and 0-0;
+  earlier ones read live and 0-0. The (historical) games are replayed through the broker
+  over the 30 days from ``REPLAY_START``; a fixture message precedes its first poll by a day;
 * some earlier polls are damaged the way a flaky feed damages them: empty text,
   non-JSON text, a quoted id, a non-numeric state (``fixture_id % 29`` = 1..4);
 * one event message per ``events`` row and poll (``1 + event_id % 2`` polls, 2 minutes
@@ -31,6 +32,15 @@ from touchline.config import TOPICS
 PARTITIONS = 3  # partitions per demo topic; the partition is the fixture id modulo 3
 POLL_MINUTES = 30
 EVENT_POLL_MINUTES = 2
+# The historical matches are replayed through the broker over 30 days from this instant
+# (the month the ``events`` table covers): fixture f is first polled (f % 720) hours in.
+REPLAY_START = "2024-01-01 00:00:00"
+REPLAY_HOURS = 720
+
+
+def _replay_ts(fixture_id: Column) -> Column:
+    return F.timestamp_add("HOUR", (fixture_id % REPLAY_HOURS).cast("int"),
+                           F.lit(REPLAY_START).cast("timestamp"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,7 +157,7 @@ def live_score_polls(matches: DataFrame) -> DataFrame:
     polls = started.withColumn("n_polls", (fid % 3 + 1).cast("int")) \
                    .withColumn("poll", F.explode(F.sequence(F.lit(0), F.col("n_polls") - 1)))
     final = F.col("poll") == F.col("n_polls") - 1
-    kafka_ts = _ts_plus(F.col("starting_ts"), "MINUTE", F.col("poll") * POLL_MINUTES)
+    kafka_ts = _ts_plus(_replay_ts(fid), "MINUTE", F.col("poll") * POLL_MINUTES)
     return polls.select(
         "fixture_id", "sport_id", "league_id", "season_id", "starting_ts",
         "home_team_id", "away_team_id", "home_team", "away_team", "poll", "n_polls",
@@ -204,7 +214,7 @@ def live_score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = demo_matches(spark, sf_dir)
-    kafka_ts = _ts_plus(F.col("starting_ts"), "DAY", F.lit(-1))
+    kafka_ts = _ts_plus(_replay_ts(F.col("fixture_id")), "DAY", F.lit(-1))
     payload = F.struct(
         F.col("fixture_id").alias("id"), "sport_id", "league_id", "season_id", "stage_id",
         "state_id", F.concat_ws(" vs ", "home_team", "away_team").alias("name"),
@@ -255,7 +265,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def league_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    ts = F.lit("1994-12-01 00:00:00").cast("timestamp")
+    ts = F.lit("2023-12-01 00:00:00").cast("timestamp")
     payload = F.struct(F.col("r_regionkey").cast("bigint").alias("id"),
                        F.concat(F.lit("League "), F.col("r_name")).alias("name"),
                        _metadata("league", ts).alias("_metadata"))
