@@ -7,6 +7,7 @@ output only where they are timestamps (they are pinned by ``as_of`` in any case)
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from touchline.oracle import AS_OF, with_ctes
 from touchline.operators import analytics as A
 from touchline.plans import lineage as L
+from touchline.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +28,10 @@ TIMESTAMPS = ("kafka_timestamp", "bronze_ingested_at", "silver_processed_at", "p
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

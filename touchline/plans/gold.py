@@ -12,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
+from touchline.session import tune
 from touchline.functions.dates import with_date_parts
 from touchline.operators import analytics as A
 from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
@@ -60,6 +61,7 @@ def gold_frames(live: DataFrame, events: DataFrame, settings: Settings) -> dict[
 
 def run_gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Build and write every Gold table; returns rows written per table."""
+    tune(spark)
     live = current_input(spark, settings, "live_scores", LIVE_COLUMNS).persist(
         StorageLevel.MEMORY_AND_DISK)
     events = current_input(spark, settings, "events", EVENT_COLUMNS).persist(

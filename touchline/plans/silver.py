@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from touchline.config import Settings
+from touchline.session import tune
 from touchline.operators.quality import dead_letters
 from touchline.operators.refine import REFINERS, SILVER_TABLES, parsed_with_reason
 from touchline.schemas import SCHEMAS
@@ -24,6 +25,7 @@ def run_silver(spark: SparkSession, settings: Settings,
     block is recomputed from the Bronze scan. Errors are raised, never turned into an
     empty success.
     """
+    tune(spark)
     report: dict[str, int] = {}
     for dt in types:
         bronze = read_bronze(spark, settings.path("bronze", dt), settings)

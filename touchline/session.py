@@ -26,8 +26,23 @@ def build_session(app_name: str = "touchline", master: str | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return tune(builder.getOrCreate())
+
+
+# Session settings the pipeline relies on. Constraint propagation is off: with the wide
+# JSON projections of Silver, the optimizer spent seconds per query (and per adaptive
+# re-plan) deriving constraints that never pruned a filter; it has no join to help.
+TUNING = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``TUNING`` to a session (runtime SQL settings only)."""
+    for k, v in TUNING.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.config import Settings
+from touchline.session import tune
 from touchline.operators.ingest import to_bronze
 from touchline.sinks.tables import stream_append
 from touchline.sources.stream import StreamSource, record_stream
@@ -50,6 +51,7 @@ def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[s
 def run_bronze(spark: SparkSession, sources: dict[str, StreamSource], settings: Settings,
                trigger: dict | None = AVAILABLE_NOW) -> dict[str, dict]:
     """Start all Bronze streams at once and wait for them (all four run concurrently)."""
+    tune(spark)
     queries = {
         dt: start_bronze(spark, dt, src, settings, settings.path("bronze", dt),
                          settings.path("_checkpoints", "bronze", dt), trigger)
