@@ -30,11 +30,19 @@ DROPPED_REASONS = (EMPTY, UNPARSABLE, NO_ID)
 
 
 def parse_json(bronze: DataFrame, ddl: str, text: str = "raw_json") -> DataFrame:
-    """Add the parsed message struct ``msg`` (permissive: bad text never fails the job)."""
+    """Add the parsed message struct ``msg`` (permissive: bad text never fails the job).
+
+    The struct comes out of a one-row generator (``inline`` of a one-element array). A
+    filter on a generator's output cannot be pushed below it, so every later filter on a
+    parsed field (bad rows, finished, live, event kind) stays above the parse. Through a
+    plain projection Catalyst would substitute the ``from_json`` call into each pushed-down
+    filter and parse the same text once per filter.
+    """
     schema = with_corrupt(ddl)
-    return bronze.withColumn(MSG, F.from_json(F.col(text), schema,
-                                              {"mode": "PERMISSIVE",
-                                               "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = F.from_json(F.col(text), schema,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return bronze.select(*bronze.columns,
+                         F.inline(F.array(F.struct(parsed.alias(MSG)))))
 
 
 def bad_reason(text: str = "raw_json", id_field: str = "id") -> Column:

@@ -25,7 +25,7 @@ def store_settings(spark: SparkSession, sf_dir: str, **kw) -> Settings:
 
 
 def _once(step: str, spark: SparkSession, sf_dir: str, fn):
-    key = (step, id(spark), sf_dir)
+    key = (step, id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _DONE:
         _DONE[key] = fn()
     return _DONE[key]

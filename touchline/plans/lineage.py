@@ -31,7 +31,7 @@ _PLANS: dict = {}
 
 def _memo(kind: str, spark: SparkSession, *key, build):
     """Reuse a lazy plan per session and arguments (saves re-analysis, not data)."""
-    k = (kind, id(spark), *key)
+    k = (kind, id(spark), spark.sparkContext.applicationId, *key)
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]
