@@ -43,9 +43,10 @@ def test_standings_invariants(spark):
         assert r.matches_played == r.total_wins + r.total_draws + r.total_losses
     per = st.groupBy("league_id", "season_id").agg(
         F.sum("total_wins").alias("w"), F.sum("total_losses").alias("l"),
-        F.sum("total_draws").alias("d"), F.min("position").alias("first"))
+        F.sum("total_draws").alias("d"), F.min("position").alias("first"),
+        F.sum("goal_difference").alias("gd"))
     for r in per.collect():
-        assert r.w == r.l and r.d % 2 == 0 and r.first == 1
+        assert r.w == r.l and r.d % 2 == 0 and r.first == 1 and r.gd == 0
 
 
 def test_team_rows_one_per_side(spark):

@@ -23,8 +23,8 @@ LIVE_COLUMNS = ["fixture_id", "fixture_name", "match_date", "home_team", "away_t
                 "home_score", "away_score", "total_goals", "events_count", "league_id",
                 "season_id", "starting_at", "silver_processed_at", "is_live", "is_finished",
                 "kafka_timestamp", "kafka_partition", "kafka_offset"]
-EVENT_COLUMNS = ["fixture_id", "event_id", "event_type", "player_name", "total_minutes",
-                 "result", "kafka_timestamp", "kafka_partition", "kafka_offset"]
+EVENT_COLUMNS = ["fixture_id", "event_id", "type_id", "event_type", "player_name",
+                 "total_minutes", "result", "kafka_timestamp", "kafka_partition", "kafka_offset"]
 
 GOLD_SORT = {
     "match_results": ("league_id", "season_id"),

@@ -49,19 +49,30 @@ def silver(spark: SparkSession, sf_dir: str, data_type: str, settings: Settings)
                                                    settings))
 
 
-def current(silver_df: DataFrame, table: str, settings: Settings) -> DataFrame:
-    """Silver as Gold reads it: the newest snapshot per key (unless parity is asked)."""
+def current(silver_df: DataFrame, table: str, settings: Settings,
+            columns: list[str] | None = None) -> DataFrame:
+    """Silver as Gold reads it: the newest snapshot per key (unless parity is asked).
+
+    ``columns`` prunes first: the snapshot struct would otherwise carry (and shuffle)
+    every Silver column, since Catalyst cannot prune inside it.
+    """
+    if columns:
+        silver_df = silver_df.select(*columns)
     if not settings.latest_snapshot or table not in SNAPSHOT_KEYS:
         return silver_df
     return latest_snapshot(silver_df, SNAPSHOT_KEYS[table])
 
 
 def gold_live_scores(spark, sf_dir, settings) -> DataFrame:
-    return current(silver(spark, sf_dir, "livescores", settings), "live_scores", settings)
+    from touchline.plans.gold import LIVE_COLUMNS
+    return _memo("gold_live", spark, sf_dir, settings, build=lambda: current(
+        silver(spark, sf_dir, "livescores", settings), "live_scores", settings, LIVE_COLUMNS))
 
 
 def gold_events(spark, sf_dir, settings) -> DataFrame:
-    return current(silver(spark, sf_dir, "events", settings), "events", settings)
+    from touchline.plans.gold import EVENT_COLUMNS
+    return _memo("gold_events", spark, sf_dir, settings, build=lambda: current(
+        silver(spark, sf_dir, "events", settings), "events", settings, EVENT_COLUMNS))
 
 
 def match_results(spark, sf_dir, settings) -> DataFrame:

@@ -11,7 +11,6 @@ import hashlib
 import os
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from touchline.config import Settings
 from touchline.session import work_root
@@ -43,10 +42,12 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
     """Write the demo broker records of one topic as files (once)."""
     path = f"{root}/landing/{data_type}"
     if not exists(spark, f"{path}/_SUCCESS"):
-        # Files hold whole broker days in time order, as a topic partition's log would.
+        # Files hold contiguous, time-ordered stretches of the log, as a topic partition
+        # would. Range partitioning (sampled bounds) splits a hot day over several files
+        # instead of handing it to one task.
         records = demo_records(spark, sf_dir, data_type)
         cores = spark.sparkContext.defaultParallelism
-        (records.repartition(cores, F.to_date("timestamp"))
+        (records.repartitionByRange(cores, "timestamp", "partition", "offset")
          .sortWithinPartitions("timestamp", "partition", "offset")
          .write.mode("overwrite").parquet(path))
     return path
