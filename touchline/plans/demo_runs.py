@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from touchline.config import Settings
+from touchline.session import session_key
 from touchline.plans import lineage as L
 from touchline.plans.gold import run_gold
 from touchline.plans.silver import run_silver
@@ -25,7 +26,7 @@ def store_settings(spark: SparkSession, sf_dir: str, **kw) -> Settings:
 
 
 def _once(step: str, spark: SparkSession, sf_dir: str, fn):
-    key = (step, id(spark), spark.sparkContext.applicationId, sf_dir)
+    key = (step, *session_key(spark), sf_dir)
     if key not in _DONE:
         _DONE[key] = fn()
     return _DONE[key]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
+from touchline.session import session_key
 from touchline.operators import analytics as A
 from touchline.operators.ingest import to_bronze
 from touchline.operators.refine import REFINERS, SILVER_TABLES
@@ -31,7 +32,7 @@ _PLANS: dict = {}
 
 def _memo(kind: str, spark: SparkSession, *key, build):
     """Reuse a lazy plan per session and arguments (saves re-analysis, not data)."""
-    k = (kind, id(spark), spark.sparkContext.applicationId, *key)
+    k = (kind, *session_key(spark), *key)
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]

@@ -38,6 +38,14 @@ TUNING = {
 }
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identifies a live session (a stopped one's object id may be reused)."""
+    try:
+        return (id(spark), spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001
+        return (id(spark), spark.conf.get("spark.app.id", ""))
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``TUNING`` to a session (runtime SQL settings only)."""
     for k, v in TUNING.items():
@@ -53,12 +61,13 @@ def work_root(spark: SparkSession) -> str:
     session has none (local tests) a folder is created and registered as the checkpoint
     directory, so ``DataFrame.checkpoint()`` and our tables agree on one place.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = getattr(spark, "sparkContext", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="touchline-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")

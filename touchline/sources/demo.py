@@ -55,10 +55,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     files or row groups, as on a cluster) is left alone: no shuffle is added there. Hash
     partitioning (not round-robin) keeps a retried task's input the same.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
+        return df
+    return df.repartition(cores, key) if narrow else df
 
 
 def _ts_plus(ts: Column, unit: str, qty: Column) -> Column:
