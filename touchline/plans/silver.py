@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from touchline.config import Settings
 from touchline.session import tune
 from touchline.operators.quality import dead_letters
-from touchline.operators.refine import REFINERS, SILVER_TABLES, parsed_with_reason
+from touchline.operators.refine import REASON, REFINERS, SILVER_TABLES, parsed_with_reason
 from touchline.schemas import SCHEMAS
 from touchline.sinks.tables import write_table
 from touchline.sources.tables import read_bronze
@@ -20,16 +21,19 @@ def run_silver(spark: SparkSession, settings: Settings,
                types=SILVER_ORDER) -> dict[str, int]:
     """Refine each data type and write it; returns rows written per table.
 
-    The Bronze window of one type is parsed once and kept (memory, spilling to disk)
-    while both the Silver rows and the dead letters are written from it. A lost cached
-    block is recomputed from the Bronze scan. Errors are raised, never turned into an
-    empty success.
+    The Bronze window of one type is parsed once and kept (memory, spilling to disk,
+    message text only for bad rows) while both the Silver rows and the dead letters are
+    written from it. A lost cached block is recomputed from the Bronze scan. Errors are
+    raised, never turned into an empty success.
     """
     tune(spark)
     report: dict[str, int] = {}
     for dt in types:
         bronze = read_bronze(spark, settings.path("bronze", dt), settings)
-        parsed = parsed_with_reason(bronze, SCHEMAS[dt]).persist(StorageLevel.MEMORY_AND_DISK)
+        # Only dead letters need the message text: drop it from good rows before caching.
+        parsed = (parsed_with_reason(bronze, SCHEMAS[dt])
+                  .withColumn("raw_json", F.when(F.col(REASON).isNotNull(), F.col("raw_json")))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             table = SILVER_TABLES[dt]
             report[table] = write_table(REFINERS[dt](parsed, settings),
