@@ -32,7 +32,7 @@ def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[s
     while pending:
         try:
             spark.streams.awaitAnyTermination()
-        except Exception:
+        except BaseException:  # a failed stream, or an interrupt: stop every stream
             for q in queries.values():
                 if q.isActive:
                     q.stop()
