@@ -89,3 +89,14 @@ def test_bounded_broadcast(spark):
     big = spark.range(50)
     assert "broadcast" in str(A.bounded_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
     assert A.bounded_broadcast(big, 10) is big
+
+
+def test_parity_switch_counts_every_poll(spark):
+    """With the snapshot reduction off (the reference's behaviour), every live poll is a
+    dashboard row, including earlier polls of games that have finished since."""
+    parity = L.demo_settings(latest_snapshot=False)
+    live_polls = L.silver(spark, SF_SMALL, "livescores", parity).filter("is_live").count()
+    off = A.live_dashboard(L.gold_live_scores(spark, SF_SMALL, parity), parity).count()
+    on = A.live_dashboard(L.gold_live_scores(spark, SF_SMALL, S), S)
+    assert off == live_polls
+    assert on.count() == on.select("fixture_id").distinct().count() < off

@@ -185,7 +185,7 @@ from touchline.streaming.incremental import run_silver_incremental  # noqa: E402
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 
 
-def payload_id() -> "F.Column":
+def payload_id():
     return F.get_json_object(F.col("raw_json"), "$.id").alias("payload_id")
 
 

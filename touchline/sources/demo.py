@@ -131,7 +131,7 @@ def _metadata(kind: str, fetched: Column, **more: Column) -> Column:
     return F.struct(*fields)
 
 
-def _participants(m: str = "") -> Column:
+def _participants() -> Column:
     return F.array(
         F.struct(F.col("home_team_id").alias("id"), F.col("home_team").alias("name")),
         F.struct(F.col("away_team_id").alias("id"), F.col("away_team").alias("name")),
@@ -169,7 +169,7 @@ def live_score_polls(matches: DataFrame) -> DataFrame:
         "events_count",
         (fid * 3 + F.col("poll")).cast("bigint").alias("kafka_offset"),
         kafka_ts.alias("kafka_ts"),
-        (fid % 29).alias("damage") ,
+        (fid % 29).alias("damage"),
     )
 
 
