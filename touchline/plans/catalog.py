@@ -13,10 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.oracle import AS_OF, with_ctes
+from touchline.config import TOPICS
 from touchline.operators import analytics as A
+from touchline.operators import monitor as M
+from touchline.operators import publish as P
+from touchline.operators import quality as Q
+from touchline.operators.refine import MSG, REASON, parsed_with_reason
+from touchline.operators.snapshot import duplicate_report, latest_snapshot
+from touchline.oracle import AS_OF, with_ctes
+from touchline.plans import demo_runs as R
 from touchline.plans import lineage as L
+from touchline.schemas import LIVE_SCORE_DDL
 from touchline.session import tune
+from touchline.sinks.publish import publish, to_messages
+from touchline.sources.tables import read_bronze, read_silver, read_table
+from touchline.streaming.incremental import run_silver_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,18 +181,6 @@ def q_silver_fixtures(spark, sf_dir):
 
 # ---------------------------------------------------------------- Bronze (reference)
 
-from touchline.config import TOPICS  # noqa: E402
-from touchline.operators import monitor as M  # noqa: E402
-from touchline.operators import publish as P  # noqa: E402
-from touchline.operators import quality as Q  # noqa: E402
-from touchline.operators.refine import MSG, REASON, parsed_with_reason  # noqa: E402
-from touchline.operators.snapshot import duplicate_report, latest_snapshot  # noqa: E402
-from touchline.plans import demo_runs as R  # noqa: E402
-from touchline.schemas import LIVE_SCORE_DDL, SCHEMAS  # noqa: E402
-from touchline.sinks.publish import publish, to_messages  # noqa: E402
-from touchline.sources.tables import read_bronze, read_silver, read_table  # noqa: E402
-from touchline.streaming.incremental import run_silver_incremental  # noqa: E402
-
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 
 
