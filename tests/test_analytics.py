@@ -100,3 +100,19 @@ def test_parity_switch_counts_every_poll(spark):
     on = A.live_dashboard(L.gold_live_scores(spark, SF_SMALL, S), S)
     assert off == live_polls
     assert on.count() == on.select("fixture_id").distinct().count() < off
+
+
+def test_team_key_by_id_separates_namesakes(spark):
+    live = spark.createDataFrame(
+        [(1, "", None, "United", "City", 2, 0, 2, 1, 2024, True, 10, 20),
+         (2, "", None, "United", "Rovers", 1, 0, 1, 1, 2024, True, 11, 30)],
+        LIVE + ", home_team_id bigint, away_team_id bigint")
+    by_name = A.team_performance(A.team_match_rows(A.match_results(live, S)), S)
+    assert by_name.filter("team = 'United'").first().matches_played == 2
+    by_id_settings = L.demo_settings(team_key="id")
+    rows = A.team_match_rows(A.match_results(live, by_id_settings))
+    perf = A.team_performance(rows, by_id_settings)
+    united = sorted((r.team_id, r.matches_played) for r in perf.filter("team = 'United'").collect())
+    assert united == [(10, 1), (11, 1)]
+    st = A.league_standings(perf)
+    assert "team_id" in st.columns and st.count() == 4

@@ -47,6 +47,7 @@ class Settings:
     latest_snapshot: bool = True          # reduce repeated polls to the newest snapshot
     event_fixture_fallback: bool = True   # take fixture_id from _metadata / the key
     keep_bad_rows: bool = False           # keep dead-letter rows in Silver too
+    team_key: str = "name"                # "name" (the reference's grouping) or "id"
     broadcast_max_rows: int = 100_000     # proven bound for a broadcast dimension
 
     def path(self, *parts: str) -> str:

@@ -20,14 +20,17 @@ from touchline.functions.codes import (
     AWAY_WIN, CARD_KINDS, DRAW, GOAL_KINDS, HOME_WIN, match_result, scorer_type,
 )
 
-TEAM_KEYS = ("team", "league_id", "season_id")
 
 
 def match_results(live_scores: DataFrame, settings: Settings) -> DataFrame:
-    """Finished matches with their result and absolute goal difference."""
+    """Finished matches with their result and absolute goal difference.
+
+    With ``settings.team_key == "id"`` the team ids are carried as well.
+    """
+    ids = ["home_team_id", "away_team_id"] if settings.team_key == "id" else []
     return (live_scores.filter(F.col("is_finished"))
             .select("fixture_id", "fixture_name", "match_date", "home_team", "away_team",
-                    "home_score", "away_score", "total_goals", "league_id", "season_id")
+                    "home_score", "away_score", "total_goals", "league_id", "season_id", *ids)
             .withColumns({
                 "result": match_result("home_score", "away_score"),
                 "goal_difference": F.abs(F.try_subtract("home_score", "away_score")),
@@ -35,10 +38,12 @@ def match_results(live_scores: DataFrame, settings: Settings) -> DataFrame:
             }))
 
 
-def _side(team: str, gf: str, ga: str, win: str, loss: str, venue: str) -> Column:
+def _side(team: str, gf: str, ga: str, win: str, loss: str, venue: str,
+          team_id: str | None = None) -> Column:
     r = F.col("result")
+    ident = [F.col(team_id).alias("team_id")] if team_id else []
     return F.struct(
-        F.col(team).alias("team"), F.col("league_id"), F.col("season_id"),
+        *ident, F.col(team).alias("team"), F.col("league_id"), F.col("season_id"),
         (r == win).cast("int").alias("wins"),
         (r == DRAW).cast("int").alias("draws"),
         (r == loss).cast("int").alias("losses"),
@@ -53,15 +58,26 @@ def team_match_rows(results: DataFrame) -> DataFrame:
     ``inline(array(home, away))`` is a Generate over a single scan; a ``union`` of two
     projections would read the input twice.
     """
-    home = _side("home_team", "home_score", "away_score", HOME_WIN, AWAY_WIN, "home")
-    away = _side("away_team", "away_score", "home_score", AWAY_WIN, HOME_WIN, "away")
+    by_id = "home_team_id" in results.columns
+    home = _side("home_team", "home_score", "away_score", HOME_WIN, AWAY_WIN, "home",
+                 "home_team_id" if by_id else None)
+    away = _side("away_team", "away_score", "home_score", AWAY_WIN, HOME_WIN, "away",
+                 "away_team_id" if by_id else None)
     return results.select(F.inline(F.array(home, away)))
 
 
 def team_performance(rows: DataFrame, settings: Settings, by_venue: bool = False) -> DataFrame:
-    """Totals per team, league and season (and venue when ``by_venue``)."""
-    keys = [*TEAM_KEYS, "venue"] if by_venue else list(TEAM_KEYS)
+    """Totals per team, league and season (and venue when ``by_venue``).
+
+    Teams are keyed by name, as in the reference (two teams of one name merge), or by id
+    when the rows carry ``team_id``; the name is then the largest one seen for the id.
+    """
+    by_id = "team_id" in rows.columns
+    team = ["team_id"] if by_id else ["team"]
+    keys = [*team, "league_id", "season_id", *(["venue"] if by_venue else [])]
+    names = [F.max("team").alias("team")] if by_id else []
     stats = rows.groupBy(*keys).agg(
+        *names,
         F.sum("wins").alias("total_wins"),
         F.sum("draws").alias("total_draws"),
         F.sum("losses").alias("total_losses"),
@@ -89,7 +105,10 @@ def league_standings(performance: DataFrame, ordered: bool = True) -> DataFrame:
     w = Window.partitionBy("league_id", "season_id").orderBy(
         F.col("points").desc_nulls_last(), F.col("goal_difference").desc_nulls_last(),
         F.col("total_goals_for").desc_nulls_last())
-    out = performance.withColumn("position", F.rank().over(w)).select(*STANDINGS_COLUMNS)
+    cols = list(STANDINGS_COLUMNS)
+    if "team_id" in performance.columns:
+        cols.insert(cols.index("team"), "team_id")
+    out = performance.withColumn("position", F.rank().over(w)).select(*cols)
     return out.orderBy("league_id", "season_id", "position") if ordered else out
 
 

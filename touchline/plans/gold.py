@@ -20,6 +20,7 @@ from touchline.sinks.tables import write_table
 from touchline.sources.tables import read_silver
 
 LIVE_COLUMNS = ["fixture_id", "fixture_name", "match_date", "home_team", "away_team",
+                "home_team_id", "away_team_id",
                 "home_score", "away_score", "total_goals", "events_count", "league_id",
                 "season_id", "starting_at", "silver_processed_at", "is_live", "is_finished",
                 "kafka_timestamp", "kafka_partition", "kafka_offset"]
