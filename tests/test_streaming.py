@@ -57,3 +57,16 @@ def test_kafka_options_are_parameters():
     assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092"
     assert o["subscribe"] == "sports.events" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "500" and o["failOnDataLoss"] == "false"
+
+
+def test_stream_drops_redeliveries_within_window(spark, scratch):
+    settings = L.demo_settings(root=scratch)
+    landing = f"{scratch}/landing/events"
+    records = demo_records(spark, SF_SMALL, "events")
+    records.write.mode("overwrite").parquet(landing)
+    src = {"events": StreamSource(kind="files", path=landing)}
+    run_bronze(spark, src, settings, redelivery_window="10 minutes")
+    out = read_table(spark, settings.path("bronze", "events"))
+    distinct = records.select("topic", "partition", "offset").distinct().count()
+    assert records.count() > distinct
+    assert out.count() == distinct

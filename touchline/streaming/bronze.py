@@ -15,10 +15,19 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def start_bronze(spark: SparkSession, data_type: str, src: StreamSource, settings: Settings,
-                 bronze_path: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Start one stream: broker records -> decode -> stamps -> date parts -> append."""
-    df = to_bronze(record_stream(spark, src), data_type, settings)
+                 bronze_path: str, checkpoint: str, trigger: dict | None = None,
+                 redelivery_window: str | None = None) -> StreamingQuery:
+    """Start one stream: broker records -> decode -> stamps -> date parts -> append.
+
+    ``redelivery_window`` (e.g. ``"10 minutes"``) drops exact re-deliveries (same topic,
+    partition and offset) seen within that much broker time; state is kept only for the
+    window. Off by default: the Bronze layer keeps every message, as the reference does.
+    """
+    records = record_stream(spark, src)
+    if redelivery_window:
+        records = (records.withWatermark("timestamp", redelivery_window)
+                   .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
+    df = to_bronze(records, data_type, settings)
     return stream_append(df, bronze_path, checkpoint, settings.table_format,
                          trigger=trigger, query_name=f"bronze_{data_type}")
 
@@ -49,12 +58,14 @@ def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[s
 
 
 def run_bronze(spark: SparkSession, sources: dict[str, StreamSource], settings: Settings,
-               trigger: dict | None = AVAILABLE_NOW) -> dict[str, dict]:
+               trigger: dict | None = AVAILABLE_NOW,
+               redelivery_window: str | None = None) -> dict[str, dict]:
     """Start all Bronze streams at once and wait for them (all four run concurrently)."""
     tune(spark)
     queries = {
         dt: start_bronze(spark, dt, src, settings, settings.path("bronze", dt),
-                         settings.path("_checkpoints", "bronze", dt), trigger)
+                         settings.path("_checkpoints", "bronze", dt), trigger,
+                         redelivery_window)
         for dt, src in sources.items()
     }
     return await_all(spark, queries)
