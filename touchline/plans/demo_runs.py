@@ -7,6 +7,8 @@ table writes replace partitions) and is done at most once per session and folder
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
 
 from touchline.config import Settings
@@ -19,6 +21,7 @@ from touchline.streaming.bronze import run_bronze
 
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 _DONE: dict = {}
+_LOCK = threading.RLock()  # queries may be called from several threads of one session
 
 
 def store_settings(spark: SparkSession, sf_dir: str, **kw) -> Settings:
@@ -27,9 +30,10 @@ def store_settings(spark: SparkSession, sf_dir: str, **kw) -> Settings:
 
 def _once(step: str, spark: SparkSession, sf_dir: str, fn):
     key = (step, *session_key(spark), sf_dir)
-    if key not in _DONE:
-        _DONE[key] = fn()
-    return _DONE[key]
+    with _LOCK:
+        if key not in _DONE:
+            _DONE[key] = fn()
+        return _DONE[key]
 
 
 def bronze_store(spark: SparkSession, sf_dir: str) -> Settings:
