@@ -43,6 +43,9 @@ class Settings:
     ingest_clock: str = "processing"
     bronze_days_back: int | None = 7
     silver_days_back: int | None = 30
+    # Season tables (team performance, standings) read the whole history by default: a
+    # 30-day window would rank teams on a month of their season.
+    standings_days_back: int | None = None
     # Parity switches (each documented in README "Deviations").
     latest_snapshot: bool = True          # reduce repeated polls to the newest snapshot
     event_fixture_fallback: bool = True   # take fixture_id from _metadata / the key

@@ -17,7 +17,7 @@ from touchline.functions.dates import with_date_parts
 from touchline.operators import analytics as A
 from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
 from touchline.sinks.tables import write_table
-from touchline.sources.tables import read_silver
+from touchline.sources.tables import lookback, read_table
 
 LIVE_COLUMNS = ["fixture_id", "fixture_name", "match_date", "home_team", "away_team",
                 "home_team_id", "away_team_id",
@@ -39,21 +39,31 @@ GOLD_SORT = {
 
 
 def current_input(spark: SparkSession, settings: Settings, table: str,
-                  columns: list[str]) -> DataFrame:
-    df = read_silver(spark, settings.path("silver", table), settings).select(*columns)
+                  columns: list[str], days_back: int | None) -> DataFrame:
+    """A Silver table over ``days_back`` days of processing time (None = all history),
+    pruned to ``columns`` and reduced to the newest snapshot per key."""
+    df = read_table(spark, settings.path("silver", table), settings.table_format)
+    df = lookback(df, "silver_processed_at", days_back, settings.as_of).select(*columns)
     if settings.latest_snapshot:
         df = latest_snapshot(df, SNAPSHOT_KEYS[table])
     return df
 
 
+def recent(df: DataFrame, settings: Settings) -> DataFrame:
+    """The part of a (season-wide) input processed within ``silver_days_back``."""
+    return lookback(df, "silver_processed_at", settings.silver_days_back, settings.as_of)
+
+
 def gold_frames(live: DataFrame, events: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    results = A.match_results(live, settings)
-    perf = A.team_performance(A.team_match_rows(results), settings)
+    """``live`` covers the season window; tables of the recent window filter it."""
+    live_recent = recent(live, settings)
+    results = A.match_results(live_recent, settings)
+    perf = A.team_performance(A.team_match_rows(A.match_results(live, settings)), settings)
     return {
         "match_results": results,
         "team_performance": perf,
         "league_standings": A.league_standings(perf, ordered=False),
-        "live_dashboard": A.live_dashboard(live, settings),
+        "live_dashboard": A.live_dashboard(live_recent, settings),
         "event_analytics": A.event_analytics(events, settings),
         "goal_analytics": A.goal_analytics(events, settings),
         "card_analytics": A.card_analytics(events, settings),
@@ -63,10 +73,12 @@ def gold_frames(live: DataFrame, events: DataFrame, settings: Settings) -> dict[
 def run_gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
     """Build and write every Gold table; returns rows written per table."""
     tune(spark)
-    live = current_input(spark, settings, "live_scores", LIVE_COLUMNS).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    events = current_input(spark, settings, "events", EVENT_COLUMNS).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # One read of live scores over the season window (standings_days_back; None = all);
+    # the recent window of the other tables is a filter on it (silver_processed_at).
+    live = current_input(spark, settings, "live_scores", LIVE_COLUMNS,
+                         settings.standings_days_back).persist(StorageLevel.MEMORY_AND_DISK)
+    events = current_input(spark, settings, "events", EVENT_COLUMNS,
+                           settings.silver_days_back).persist(StorageLevel.MEMORY_AND_DISK)
     report: dict[str, int] = {}
     try:
         for name, df in gold_frames(live, events, settings).items():
