@@ -70,6 +70,8 @@ def test_event_summary_players_multiset(spark):
     assert r.event_count == 4 and r.players_named == 3 and r.distinct_players == 2
     assert r.txt == "P1:2,P2:1"
     assert r.first_occurrence == 5 and r.last_occurrence == 50
+    long = sorted((x.player_name, x.occurrences) for x in A.event_players(ev).collect())
+    assert long == [("P1", 2), ("P2", 1)]
 
 
 def test_goal_and_card_lists(spark):

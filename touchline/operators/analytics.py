@@ -21,7 +21,6 @@ from touchline.functions.codes import (
 )
 
 
-
 def match_results(live_scores: DataFrame, settings: Settings) -> DataFrame:
     """Finished matches with their result and absolute goal difference.
 
