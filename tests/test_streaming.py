@@ -70,3 +70,19 @@ def test_stream_drops_redeliveries_within_window(spark, scratch):
     distinct = records.select("topic", "partition", "offset").distinct().count()
     assert records.count() > distinct
     assert out.count() == distinct
+
+
+def test_failed_stream_is_raised_and_others_stopped(spark, scratch):
+    import pytest
+    settings = L.demo_settings(root=scratch)
+    good = f"{scratch}/landing/leagues"
+    demo_records(spark, SF_SMALL, "leagues").write.mode("overwrite").parquet(good)
+    bad = f"{scratch}/landing/broken"
+    # broker records whose key is a number: the replay schema (binary key) cannot read them
+    spark.range(5).selectExpr("id as key", "cast(id as string) as value").write \
+        .mode("overwrite").parquet(bad)
+    sources = {"leagues": StreamSource(kind="files", path=good),
+               "events": StreamSource(kind="files", path=bad)}
+    with pytest.raises(Exception):
+        run_bronze(spark, sources, settings, trigger={"processingTime": "1 second"})
+    assert not [q for q in spark.streams.active if q.name and q.name.startswith("bronze_")]
