@@ -1,7 +1,8 @@
 """Silver: parse raw JSON against declared schemas, flatten, derive, route bad rows.
 
-One ``from_json`` per row (kept in its own column so Catalyst evaluates it once for all
-the fields taken from it). Everything is narrow: no shuffle in this module.
+One ``from_json`` per row, produced by a one-row generator so that neither the field
+extraction nor any filter on parsed fields re-evaluates it (see ``parse_json``).
+Everything is narrow: no shuffle in this module.
 """
 
 from __future__ import annotations
