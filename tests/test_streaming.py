@@ -39,6 +39,10 @@ def test_replay_equals_batch_and_restart_is_exact(spark, scratch):
     ref = L.silver(spark, SF_SMALL, "livescores", settings).drop(
         "kafka_timestamp", "bronze_ingested_at", "silver_processed_at").select(*inc.columns)
     assert inc.exceptAll(ref).count() == 0 and ref.exceptAll(inc).count() == 0
+    # a scheduled re-run with nothing new landed adds nothing
+    before = inc.count()
+    run_silver_incremental(spark, settings, "livescores", "live_scores")
+    assert read_table(spark, settings.path("silver_stream", "live_scores")).count() == before
 
 
 def test_ttl_dedup_removes_repeats(spark, scratch):
