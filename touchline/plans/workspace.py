@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -27,10 +28,25 @@ def _generator_fingerprint() -> str:
         return hashlib.sha1(fh.read()).hexdigest()[:8]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def publish_folder(spark: SparkSession, tmp: str, path: str) -> bool:
+    """Move a finished folder into place; False if another writer got there first."""
+    fs, src = _fs_path(spark, tmp)
+    _, dst = _fs_path(spark, path)
+    if fs.exists(dst):
+        return False
+    fs.mkdirs(dst.getParent())
+    return bool(fs.rename(src, dst))
 
 
 def demo_root(spark: SparkSession, sf_dir: str) -> str:
@@ -42,6 +58,9 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
     """Write the demo broker records of one topic as files (once)."""
     path = f"{root}/landing/{data_type}"
     if not exists(spark, f"{path}/_SUCCESS"):
+        # Written aside and moved into place: two processes landing the same topic at once
+        # never see each other's half-written files.
+        tmp = f"{root}/landing/.{data_type}-{uuid.uuid4().hex[:12]}"
         # Files hold contiguous, time-ordered stretches of the log, as a topic partition
         # would. Range partitioning (sampled bounds) splits a hot day over several files
         # instead of handing it to one task.
@@ -49,7 +68,9 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
         cores = spark.sparkContext.defaultParallelism
         (records.repartitionByRange(cores, "timestamp", "partition", "offset")
          .sortWithinPartitions("timestamp", "partition", "offset")
-         .write.mode("overwrite").parquet(path))
+         .write.mode("overwrite").parquet(tmp))
+        if not publish_folder(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
+            return tmp  # an incomplete folder from a crashed writer holds the name
     return path
 
 
