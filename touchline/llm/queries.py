@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact_dedup, url_filter, warc
+from touchline.llm import bpe, exact_dedup, packing, url_filter, warc
 from touchline.llm.tables import read_table
 
 
@@ -21,6 +22,16 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.labelled_urls(pages, labels))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +39,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_rules": op2_url_rules,
+    "op5_bpe": op5_bpe,
+    "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 

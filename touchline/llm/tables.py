@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +38,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def whole(text: Column | str) -> Column:
     """The text with null read as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+
+def slices(batches: Iterable[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most_bytes`` (one row at least), so that what a task
+    makes of a batch stays small whatever the texts' lengths."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
+_SHIPPED: set[str] = set()
+
+
+def mapped(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package shipped to the executors by Spark (once a session),
+    so that a session needs no ``--py-files``."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).parent.parent
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in package.rglob("*.py"):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(fn, schema)

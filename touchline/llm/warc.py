@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import run_folder, stored
+from touchline.llm.tables import mapped, run_folder, slices, stored
 
 DICT_MAGIC = 0x184D2A5D
 SALTS = 64
@@ -175,7 +175,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 64 << 2
     """
     def write(batches):
         writer = None
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 if writer is None:
                     writer = ArchiveWriter(folder, dict_bytes, sample_bytes, level)
@@ -187,7 +187,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 64 << 2
         if writer is not None:
             yield _manifest(writer.close())
 
-    return stored(records.mapInArrow(write, "path string, n_records long"), "warc-manifest")
+    return stored(mapped(records, write, "path string, n_records long"), "warc-manifest")
 
 
 def _manifest(row: tuple[str, int]) -> pa.RecordBatch:
@@ -228,7 +228,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     n = manifest.count()
     spread = manifest.repartition(max(1, n)) if n else manifest
-    return spread.mapInArrow(read, READ_SCHEMA)
+    return mapped(spread, read, READ_SCHEMA)
 
 
 def _rows(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
