@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact_dedup, packing, url_filter, warc
+from touchline.llm import bpe, exact_dedup, packing, quality, simhash, url_filter, warc
 from touchline.llm.tables import read_table
 
 
@@ -27,6 +27,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
@@ -36,12 +40,19 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"),
+                                   read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_rules": op2_url_rules,
     "op5_bpe": op5_bpe,
+    "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
