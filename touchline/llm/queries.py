@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact_dedup, packing, quality, simhash, url_filter, warc
+from touchline.llm import (bpe, exact_dedup, packing, quality, simhash, suffix_dedup, url_filter,
+                           warc, window_dedup)
 from touchline.llm.tables import read_table
 
 
@@ -22,6 +23,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.labelled_urls(pages, labels))
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
@@ -36,6 +41,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.window_dedup(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -48,9 +57,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_rules": op2_url_rules,
+    "op4_suffix_array": op4_suffix_array,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op8_substring": op8_substring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
