@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import (bpe, exact_dedup, packing, quality, simhash, suffix_dedup, url_filter,
-                           warc, window_dedup)
+from touchline.llm import (bpe, embedding_dedup, exact_dedup, packing, quality, simhash,
+                           suffix_dedup, url_filter, warc, window_dedup)
 from touchline.llm.tables import read_table
 
 
@@ -23,6 +23,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.labelled_urls(pages, labels))
 
 
+def op3_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"), with_text=False)
 
@@ -57,6 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_rules": op2_url_rules,
+    "op3_embedding_pq": op3_embedding_pq,
     "op4_suffix_array": op4_suffix_array,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
@@ -68,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.ORACLE,
+    "op3_embedding_pq": embedding_dedup.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
