@@ -217,14 +217,15 @@ def located(rows: DataFrame, kept: DataFrame, collector: Callable, name: str) ->
 
 
 def with_spans(found: DataFrame, searched: DataFrame) -> DataFrame:
-    """doc_id, data, spans (array of packed spans, null if none) for every document."""
+    """doc_id, sign, data, spans (array of packed spans, null if none) for every document."""
     docs = found.where("plain is not null").select("doc_id", "key", "sign", "data", "plain")
     spans = (found.where("spans is not null").select("key", "sign", "spans")
              .union(searched.select("key", "sign", "spans"))
              .groupBy("key", "sign").agg(F.collect_list("spans").alias("spans")))
     candidates = docs.where("not plain").join(spans, ["key", "sign"], "left")
-    return (candidates.select("doc_id", "data", "spans")
-            .union(docs.where("plain").select("doc_id", "data", F.lit(None).cast("array<binary>"))))
+    return (candidates.select("doc_id", "sign", "data", "spans")
+            .union(docs.where("plain").select("doc_id", "sign", "data",
+                                              F.lit(None).cast("array<binary>"))))
 
 
 def pack_spans(starts: np.ndarray, ends: np.ndarray) -> bytes:

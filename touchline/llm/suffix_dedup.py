@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from touchline.llm import repeats
 from touchline.llm.anchors import anchors, merged, runs
 from touchline.llm.induced import Scratch, Sorter
-from touchline.llm.tables import mapped, slices
+from touchline.llm.tables import mapped, slices, whole
 
 ANCHOR_BYTES = 20
 
@@ -180,7 +180,8 @@ def search_shard(blocks: list[bytes], length: int, memory_bytes: int) -> Iterato
 
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
                  with_text: bool = True, memory_bytes: int = 192 << 20) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes and spans).
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_text``, sign (xxhash64 of
+    the text), kept (bytes), kept_text (without characters that a cut halves) and spans.
 
     A byte goes if a ``length``-byte string that covers it also starts in a document with a smaller
     doc_id. Null texts are empty; rows of one doc_id count as one document and take nothing from
@@ -208,19 +209,40 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for doc_id, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, sign, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 s, e = merged(*repeats.unpack_spans(spans))
                 cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
                 left = b"".join(data[i:j] for i, j in zip(cuts[::2], cuts[1::2])) if len(s) else data
                 out.append((doc_id, len(data), int((e - s).sum()), len(s),
-                            hashlib.sha256(left).hexdigest(), left, [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())]))
-            cols = list(zip(*out))[:7 if with_text else 5]
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(),
+                            hashlib.sha256(left).hexdigest(), sign, left,
+                            left.decode("utf-8", "ignore") if with_text else None,
+                            [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())]))
+            cols = list(zip(*out))[:9 if with_text else 5]
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary(), pa.string(),
                                         pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                     "sign", "kept", "kept_text", "spans"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, kinds)], names[:len(cols)])
 
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-              + ", kept binary, spans array<struct<start:long,end:long>>" * with_text)
+              + ", sign long, kept binary, kept_text string, spans array<struct<start:long,end:long>>"
+              * with_text)
     return mapped(repeats.with_spans(found, searched), finish, schema)
+
+
+def without_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
+                    text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
+    """``docs`` with repeated strings taken out of the text, all rows and columns kept (a document that
+    is repeated as a whole has the empty text); ``size_col``, if there is one, follows the text."""
+    changed = (suffix_dedup(docs, length, id_col, text_col, **options).where("n_removed > 0")
+               .select(F.col("doc_id").alias("__id"), F.col("sign").alias("__sign"),
+                       F.col("kept_text").alias("__text")).dropDuplicates(["__id", "__sign"]))
+    signed = docs.withColumn("__own", F.xxhash64(whole(text_col)))
+    joined = signed.join(changed, signed[id_col].eqNullSafe(F.col("__id"))
+                         & (F.col("__own") == F.col("__sign")), "left")
+    new = {text_col: F.coalesce("__text", text_col)}
+    if size_col in docs.columns:
+        new[size_col] = F.when(F.col("__text").isNull(), F.col(size_col)).otherwise(
+            F.char_length("__text").cast(docs.schema[size_col].dataType))
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

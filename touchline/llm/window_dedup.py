@@ -168,7 +168,7 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for doc_id, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, _, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 words = data.split()
                 s, e = merged(*repeats.unpack_spans(spans))
                 left = []
