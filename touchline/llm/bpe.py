@@ -33,11 +33,44 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+END_MARK = b"\xff"  # stands for the end-of-word suffix; never a byte of UTF-8 text
+
+
+def rank_merger(spec: dict):
+    """(merge, id_of_rank) of a BPE file: ``merge`` is the tiktoken library's merge loop over one
+    piece of bytes, with ranks in merge order. With an end-of-word suffix, pieces end in
+    ``END_MARK``, which joins the last byte before any other merge, as the suffix is part of it."""
+    import tiktoken
+    to_byte, vocab = byte_alphabet(), spec["model"]["vocab"]
+    suffix = spec["model"].get("end_of_word_suffix") or ""
+
+    def raw(token: str) -> bytes:
+        end = bool(suffix) and token.endswith(suffix)
+        return bytes(to_byte[c] for c in token.removesuffix(suffix if end else "")) + END_MARK * end
+
+    ranks = {bytes([b]): b for b in range(256)}
+    names = {bytes([b]): c for c, b in to_byte.items()}
+    if suffix:
+        ranks |= {bytes([b]) + END_MARK: 256 + b for b in range(256)}
+        names |= {bytes([b]) + END_MARK: c + suffix for c, b in to_byte.items()}
+    base = len(ranks)
+    for i, (x, y) in enumerate(spec["model"]["merges"]):
+        ranks[raw(x + y)] = base + i
+        names[raw(x + y)] = x + y
+    if len(ranks) != base + len(spec["model"]["merges"]):
+        raise ValueError("two merges make one token: ranks don't determine the merge order")
+    id_of_rank = np.zeros(len(ranks), "<u4")
+    for token, rank in ranks.items():
+        id_of_rank[rank] = vocab.get(names[token], 0)
+    merge = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks,
+                              special_tokens={})._core_bpe.encode_single_piece
+    return merge, id_of_rank
+
+
 class ForcedBoundaryBpe:
     """Encoder and decoder over a byte-level BPE tokenizer file."""
 
     def __init__(self, path: str, remembered: int = 400_000):
-        import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = byte_alphabet()
@@ -54,18 +87,7 @@ class ForcedBoundaryBpe:
             if len(token) > 1:
                 b = np.frombuffer(token, np.uint8)
                 self.inside[b[:-1], b[1:]] = True
-        # Ranks in merge order: the merge loop of a fragment is the tiktoken library's.
-        ranks = {bytes([b]): b for b in range(256)}
-        for rank, (x, y) in enumerate(spec["model"]["merges"]):
-            ranks[raw[vocab[x + y]]] = 256 + rank
-        if len(ranks) != 256 + len(spec["model"]["merges"]):
-            raise ValueError("two merges make one token: ranks don't determine the merge order")
-        self.merge = tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks,
-                                       special_tokens={})._core_bpe.encode_single_piece
-        ids = {t: i for i, t in raw.items()}
-        self.id_of_rank = np.zeros(len(ranks), "<u4")
-        for token, rank in ranks.items():
-            self.id_of_rank[rank] = ids[token]
+        self.merge, self.id_of_rank = rank_merger(spec)
         self.added = added
         self.split_added = (regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")

@@ -13,7 +13,9 @@ Only the histogram and the plan (both bounded by the window) pass through the dr
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from bisect import bisect_right
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from touchline.llm.bpe import END_MARK, rank_merger
 from touchline.llm.remembered import Remembered
 from touchline.llm.tables import mapped, slices, stored, whole
 
@@ -34,10 +37,14 @@ SALTS = 64
 class WordIds:
     """Packed ids of a text whose tokenizer drops white space.
 
-    Words between ASCII white space are encoded on their own by the tokenizers library
-    and remembered up to a bound; such a tokenizer never joins across white space.
+    Words between ASCII white space are encoded on their own and remembered up to a bound; such
+    a tokenizer never joins across white space. ASCII words (whose normal form is lower
+    case) are split and merged by rank; all others go through the tokenizers library.
     """
 
+    # Fixed value: the file's pre-token pattern, for lower-case ASCII without white space.
+    ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
     def __init__(self, path: str, remembered: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -45,23 +52,34 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            self.merge, self.id_of_rank = rank_merger(json.load(f))
         self.words = Remembered(remembered)
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words, separated by spaces; offsets tell which word an id belongs to."""
-        odd = {w for w in words if any(a in w for a in self.added)}
-        for w in odd:
-            ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
-            self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
-        plain = [w for w in words if w not in odd]
-        if plain:
-            texts = [w.decode("utf-8") for w in plain]
+        ascii_words, others = [], []
+        for w in words:
+            if any(a in w for a in self.added):
+                ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
+                self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                (ascii_words if w.isascii() else others).append(w)
+        if ascii_words:
+            parts, merge = self.ASCII_PARTS.findall, self.merge
+            ranks = [[r for p in parts(w.lower()) for r in merge(p + END_MARK)] for w in ascii_words]
+            ids = self.id_of_rank[np.fromiter((r for x in ranks for r in x), np.int64)]
+            self._remember(ascii_words, ids, np.cumsum([0] + [len(x) for x in ranks]))
+        if others:  # separated by spaces; offsets tell which word an id belongs to
+            texts = [w.decode("utf-8") for w in others]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-            at = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts) * 4
-            data = np.array(found.ids, "<u4").tobytes()
-            for w, i, j in zip(plain, at.tolist(), at[1:].tolist()):
-                self.words[w] = data[i:j]
+            self._remember(others, np.array(found.ids, "<u4"),
+                           np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts))
+
+    def _remember(self, words: list[bytes], ids: np.ndarray, at: np.ndarray) -> None:
+        data, at = ids.tobytes(), (4 * at).tolist()
+        for w, i, j in zip(words, at, at[1:]):
+            self.words[w] = data[i:j]
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
