@@ -66,7 +66,8 @@ def test_event_summary_players_multiset(spark):
          (1, 3, "GOAL", None, 50, None), (1, 4, "GOAL", "P2", 5, None)],
         "fixture_id bigint, event_id bigint, event_type string, player_name string, "
         "total_minutes int, result string")
-    r = A.event_analytics(ev, S).withColumn("txt", A.players_text("players_involved")).first()
+    r = A.event_analytics(ev, S).withColumn("txt", A.players_text()).first()
+    assert r.players_involved == ["P1", "P1", "P2"]  # names, one per event
     assert r.event_count == 4 and r.players_named == 3 and r.distinct_players == 2
     assert r.txt == "P1:2,P2:1"
     assert r.first_occurrence == 5 and r.last_occurrence == 50
@@ -86,13 +87,6 @@ def test_goal_and_card_lists(spark):
     assert [r.event_id for r in A.card_analytics(ev, S).collect()] == [4]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(3)
-    big = spark.range(50)
-    assert "broadcast" in str(A.bounded_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
-    assert A.bounded_broadcast(big, 10) is big
-
-
 def test_parity_switch_counts_every_poll(spark):
     """With the snapshot reduction off (the reference's behaviour), every live poll is a
     dashboard row, including earlier polls of games that have finished since."""

@@ -39,7 +39,7 @@ def test_freshness_and_clock_checks(spark):
     f = M.freshness(rows(spark), s).first()
     assert f.messages == 4 and f.min_latency_s == 2 and f.max_latency_s == 7
     assert f.seconds_since_last == 3600 - 600
-    assert len(f.latency_p50_p95) == 2
+    assert (f.min_latency_s, f.latency_p50_s, f.latency_p95_s) == (2, 7, 7)
     c = Q.timestamp_checks(rows(spark)).first()
     assert c.missing_fetched_at == 1 and c.fetched_after_broker == 1
     assert c.broker_after_ingest == 0
@@ -49,3 +49,19 @@ def test_null_profile_one_pass(spark):
     df = spark.createDataFrame([(1, None), (2, "a"), (None, None)], "a int, b string")
     got = {r.column_name: (r.rows, r.null_count) for r in Q.null_profile(df).collect()}
     assert got == {"a": (3, 1), "b": (3, 2)}
+
+
+def test_match_coverage_takes_the_newest_fixture_poll(spark):
+    """A match postponed past the clock has not started, whatever an earlier poll said."""
+    def poll(fixture, league, start, minute):
+        return (fixture, league, 2024, start, T0 + dt.timedelta(minutes=minute), 0, minute)
+    fixtures = spark.createDataFrame(
+        [poll(1, 9, "2024-01-01 08:00:00", 0), poll(1, 1, "2024-03-01 08:00:00", 5),
+         poll(2, 9, "2024-03-01 08:00:00", 0), poll(2, 1, "2024-01-01 08:00:00", 5),
+         poll(3, 1, "2024-01-01 09:00:00", 0), poll(3, 1, "2024-01-01 09:00:00", 7)],
+        "fixture_id bigint, league_id int, season_id int, starting_at string, "
+        "kafka_timestamp timestamp, kafka_partition int, kafka_offset bigint")
+    live = spark.createDataFrame([(1,), (3,), (3,)], "fixture_id bigint")
+    s = L.demo_settings(as_of="2024-01-01 12:00:00")
+    got = [tuple(r) for r in M.match_coverage(fixtures, live, s).collect()]
+    assert got == [(1, 2024, 2, 1, 0.5)]

@@ -13,6 +13,9 @@ def test_message_key_fallbacks(spark):
     assert keys == ["1", "unknown"]
     given = to_messages(df.withColumn("k", df.name), "t", key="k").collect()
     assert sorted(r.key for r in given) == ["a", "b"]
+    # per message: a given key that is null falls back to the id
+    some = df.selectExpr("*", "if(id = 1, null, 'x') as k")
+    assert sorted(r.key for r in to_messages(some, "t", key="k").collect()) == ["1", "x"]
 
 
 def test_explode_page_missing_data(spark):
@@ -35,8 +38,11 @@ def test_event_fanout_keys_and_metadata(spark):
 
 
 def test_upcoming_window(spark):
-    fx = spark.createDataFrame([(1, "2024-01-01 10:00:00"), (2, "2024-01-02 10:00:01"),
-                                (3, "2023-12-31 23:59:59"), (4, "soon")],
-                               "fixture_id bigint, starting_at string")
+    rows = [(1, "2024-01-01 10:00:00", 0), (1, "2024-01-01 11:00:00", 1),  # polled twice
+            (2, "2024-01-02 10:00:01", 0), (3, "2023-12-31 23:59:59", 0), (4, "soon", 0),
+            (5, "2024-01-01 10:00:00", 0), (5, "2024-02-01 10:00:00", 1)]  # postponed
+    fx = (spark.createDataFrame(rows, "fixture_id bigint, starting_at string, kafka_offset bigint")
+          .selectExpr("*", "timestamp_seconds(kafka_offset) as kafka_timestamp", "0 as kafka_partition"))
     s = L.demo_settings(as_of="2024-01-01 10:00:00")
-    assert sorted(r.fixture_id for r in P.upcoming_fixtures(fx, s).collect()) == [1]
+    got = [(r.fixture_id, r.starting_at) for r in P.upcoming_fixtures(fx, s).collect()]
+    assert got == [(1, "2024-01-01 11:00:00")]

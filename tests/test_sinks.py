@@ -26,3 +26,15 @@ def test_publish_to_files_roundtrip(spark, scratch):
     publish(to_messages(df, "sports.test"), fmt="json", path=out, mode="overwrite")
     back = sorted((r.key, r.topic) for r in spark.read.json(out).collect())
     assert back == [("1", "sports.test"), ("2", "sports.test")]
+
+
+def test_owned_partitions_are_emptied(spark, scratch):
+    """A run replaces all days it owns, also those without rows now; other days stay."""
+    path = f"{scratch}/t"
+    rows = [(d, "a", 2024, 1, d) for d in (1, 2, 3)]
+    write_table(spark.createDataFrame(rows, COLS), path)
+    owned = lambda v: int(v["day"]) >= 2
+    assert write_table(spark.createDataFrame([(9, "z", 2024, 1, 2)], COLS), path, owned=owned) == 1
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [1, 9]
+    assert write_table(spark.createDataFrame([], COLS), path, owned=owned) == 0
+    assert [r.id for r in read_table(spark, path).collect()] == [1]

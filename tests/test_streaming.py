@@ -45,14 +45,48 @@ def test_replay_equals_batch_and_restart_is_exact(spark, scratch):
     assert read_table(spark, settings.path("silver_stream", "live_scores")).count() == before
 
 
-def test_ttl_dedup_removes_repeats(spark, scratch):
-    from touchline.streaming.dedupe import run_ttl_dedup
-    settings = L.demo_settings(root=scratch)
-    out = run_ttl_dedup(spark, SF_SMALL, settings)
-    got = read_table(spark, out)
-    n_events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
-    assert got.count() == n_events
-    assert got.select("item_id").distinct().count() == n_events
+def test_ttl_dedup_keeps_late_and_expired_items(spark, scratch):
+    """Repeats within 30 minutes of a kept copy go; a repeat after that, a late item never seen
+    and a message without id stay."""
+    from touchline.streaming.bronze import AVAILABLE_NOW
+    from touchline.streaming.dedupe import skip_repeats
+    schema = "data_type string, item_id bigint, kafka_timestamp timestamp"
+    def land(rows):
+        (spark.createDataFrame(rows, "item_id bigint, at string")
+         .selectExpr("'x' as data_type", "item_id", "cast(at as timestamp) as kafka_timestamp")
+         .coalesce(1).write.mode("append").parquet(f"{scratch}/in"))
+    def run():
+        items = spark.readStream.schema(schema).parquet(f"{scratch}/in")
+        q = (skip_repeats(items).writeStream.format("parquet").trigger(**AVAILABLE_NOW)
+             .option("checkpointLocation", f"{scratch}/cp").start(f"{scratch}/out"))
+        assert q.awaitTermination(120)
+    land([(1, "2024-01-01 10:00:00"), (1, "2024-01-01 10:30:00"), (1, "2024-01-01 10:30:01"),
+          (None, "2024-01-01 10:00:00"), (None, "2024-01-01 10:00:00")])
+    run()
+    land([(2, "2024-01-01 07:00:00"),                               # late, never seen
+          (1, "2024-01-01 10:40:00"), (1, "2024-01-01 12:00:00")])  # a repeat, and one after
+    run()
+    got = sorted((str(r.item_id), str(r.kafka_timestamp)[11:16])
+                 for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got == [("1", "10:00"), ("1", "10:30"), ("1", "12:00"), ("2", "07:00"),
+                   ("None", "10:00"), ("None", "10:00")]
+
+
+def test_waiting_is_not_disturbed_by_other_streams(spark, scratch):
+    """Another caller's stream, its failure and a reset of the manager don't touch our wait."""
+    from touchline.streaming.bronze import AVAILABLE_NOW, await_all
+    spark.range(5).write.parquet(f"{scratch}/in")
+    def start(name, trigger):
+        return (spark.readStream.schema("id bigint").parquet(f"{scratch}/in").writeStream
+                .format("parquet").trigger(**trigger).option("checkpointLocation", f"{scratch}/cp-{name}")
+                .start(f"{scratch}/{name}"))
+    other = start("other", {"processingTime": "1 second"})
+    ours = start("ours", AVAILABLE_NOW)
+    ours.awaitTermination(60)
+    spark.streams.resetTerminated()
+    assert await_all(spark, {"ours": ours})["ours"]
+    assert other.isActive
+    other.stop()
 
 
 def test_kafka_options_are_parameters():
@@ -60,20 +94,20 @@ def test_kafka_options_are_parameters():
                                    max_per_trigger=500))
     assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092"
     assert o["subscribe"] == "sports.events" and o["startingOffsets"] == "earliest"
-    assert o["maxOffsetsPerTrigger"] == "500" and o["failOnDataLoss"] == "false"
+    assert o["maxOffsetsPerTrigger"] == "500" and o["failOnDataLoss"] == "true"
 
 
-def test_stream_drops_redeliveries_within_window(spark, scratch):
+def test_bronze_keeps_redeliveries_for_the_batch_step(spark, scratch):
+    from touchline.operators.snapshot import drop_redeliveries
     settings = L.demo_settings(root=scratch)
     landing = f"{scratch}/landing/events"
     records = demo_records(spark, SF_SMALL, "events")
     records.write.mode("overwrite").parquet(landing)
-    src = {"events": StreamSource(kind="files", path=landing)}
-    run_bronze(spark, src, settings, redelivery_window="10 minutes")
+    run_bronze(spark, {"events": StreamSource(kind="files", path=landing)}, settings)
     out = read_table(spark, settings.path("bronze", "events"))
     distinct = records.select("topic", "partition", "offset").distinct().count()
-    assert records.count() > distinct
-    assert out.count() == distinct
+    assert out.count() == records.count() > distinct
+    assert drop_redeliveries(out).count() == distinct
 
 
 def test_failed_stream_is_raised_and_others_stopped(spark, scratch):

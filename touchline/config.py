@@ -46,12 +46,12 @@ class Settings:
     # Season tables (team performance, standings) read the whole history by default: a
     # 30-day window would rank teams on a month of their season.
     standings_days_back: int | None = None
+    silver_layer: str = "silver"          # "silver_stream": Gold on incremental Silver
     # Parity switches (each documented in README "Deviations").
     latest_snapshot: bool = True          # reduce repeated polls to the newest snapshot
     event_fixture_fallback: bool = True   # take fixture_id from _metadata / the key
     keep_bad_rows: bool = False           # keep dead-letter rows in Silver too
     team_key: str = "name"                # "name" (the reference's grouping) or "id"
-    broadcast_max_rows: int = 100_000     # proven bound for a broadcast dimension
 
     def path(self, *parts: str) -> str:
         if not self.root:

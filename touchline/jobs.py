@@ -1,8 +1,8 @@
 """Command-line entry points of the three layer jobs.
 
     python -m touchline.jobs bronze --root R [--source kafka --servers B] [--once]
-    python -m touchline.jobs silver --root R [--days-back 7]
-    python -m touchline.jobs gold   --root R [--days-back 30]
+    python -m touchline.jobs silver --root R [--days-back 7] [--stream]
+    python -m touchline.jobs gold   --root R [--days-back 30] [--stream]
 
 ``--root`` is the table root (a shared file system or object store path). Bronze reads
 the four topics from Kafka (or replays landed broker records from ``R/landing/<type>``
@@ -17,10 +17,12 @@ import json
 
 from touchline.config import TOPICS, Settings
 from touchline.plans.gold import run_gold
+from touchline.operators.refine import SILVER_TABLES
 from touchline.plans.silver import run_silver
 from touchline.session import build_session
 from touchline.sources.stream import StreamSource
 from touchline.streaming.bronze import AVAILABLE_NOW, run_bronze
+from touchline.streaming.incremental import run_silver_incremental
 
 
 def _settings(a: argparse.Namespace) -> Settings:
@@ -31,6 +33,8 @@ def _settings(a: argparse.Namespace) -> Settings:
         kw["silver_days_back"] = None if a.days_back < 0 else a.days_back
     if a.cmd == "bronze":
         kw["ingest_clock"] = a.ingest_clock
+    if a.cmd == "gold" and a.stream:
+        kw["silver_layer"] = "silver_stream"
     return Settings(**kw)
 
 
@@ -47,6 +51,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--ingest-clock", choices=["processing", "record"], default="processing")
     p.add_argument("--once", action="store_true", help="bronze: process what is available, stop")
     p.add_argument("--interval", default="30 seconds", help="bronze: micro-batch interval")
+    p.add_argument("--stream", action="store_true",
+                   help="silver: refine new Bronze files only; gold: read that Silver")
     a = p.parse_args(argv)
 
     spark = build_session(f"touchline-{a.cmd}")
@@ -60,6 +66,9 @@ def main(argv: list[str] | None = None) -> None:
         }
         trigger = AVAILABLE_NOW if a.once else {"processingTime": a.interval}
         print(json.dumps(run_bronze(spark, sources, s, trigger), default=str))
+    elif a.cmd == "silver" and a.stream:
+        print(json.dumps({t: run_silver_incremental(spark, s, dt, t)
+                          for dt, t in SILVER_TABLES.items()}, default=str))
     elif a.cmd == "silver":
         print(json.dumps(run_silver(spark, s)))
     else:

@@ -121,9 +121,9 @@ def event_players(events: DataFrame) -> DataFrame:
 def event_analytics(events: DataFrame, settings: Settings) -> DataFrame:
     """Per fixture and event kind: count, players involved, first and last minute.
 
-    ``players_involved`` is the multiset of named players (NULL names dropped) as an
-    array of ``(player_name, occurrences)`` sorted by name: the same content as an
-    unordered list of names, but bounded by the distinct players of the group.
+    ``players_involved`` lists the named players (NULL names dropped), a name once per
+    event, sorted by name; ``players`` has the same as ``(player_name, occurrences)``. Both are
+    built from per-player counts, so no raw rows are gathered.
     """
     per_player = events.groupBy("fixture_id", "event_type", "player_name").agg(
         F.count(F.lit(1)).alias("n"),
@@ -140,13 +140,14 @@ def event_analytics(events: DataFrame, settings: Settings) -> DataFrame:
         F.max("last_m").alias("last_occurrence"))
     return out.select(
         "fixture_id", "event_type", "event_count",
-        F.array_sort("players").alias("players_involved"),
-        "players_named", "distinct_players", "first_occurrence", "last_occurrence",
+        F.flatten(F.transform(F.array_sort("players"), lambda p: F.array_repeat(
+            p["player_name"], p["occurrences"].cast("int")))).alias("players_involved"),
+        F.array_sort("players").alias("players"), "players_named", "distinct_players", "first_occurrence", "last_occurrence",
         now(settings.as_of).alias("processed_at"))
 
 
-def players_text(players: str | Column = "players_involved") -> Column:
-    """Render ``players_involved`` as ``name:count,name:count`` (sorted by name)."""
+def players_text(players: str | Column = "players") -> Column:
+    """Render ``players`` as ``name:count,name:count`` (sorted by name)."""
     c = F.col(players) if isinstance(players, str) else players
     return F.array_join(F.transform(c, lambda e: F.concat(
         e["player_name"], F.lit(":"), e["occurrences"].cast("string"))), ",")
@@ -189,20 +190,9 @@ def live_dashboard(live_scores: DataFrame, settings: Settings) -> DataFrame:
             }))
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``dim`` only when it provably holds at most ``max_rows`` rows.
+def standings_named(standings: DataFrame, leagues: DataFrame) -> DataFrame:
+    """Standings with the league name (left join: a league without a name stays).
 
-    The proof reads at most ``max_rows + 1`` rows of the (small, dimension) input. Beyond
-    the bound the frame is returned as is and the join stays a shuffle join, which AQE may
-    still turn into a broadcast from measured sizes.
+    No hint: adaptive execution broadcasts the leagues if their measured size allows it.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
-def standings_named(standings: DataFrame, leagues: DataFrame, settings: Settings) -> DataFrame:
-    """Standings with the league name (left join: a league without a name stays)."""
-    names = leagues.select("league_id", "league_name")
-    return standings.join(bounded_broadcast(names, settings.broadcast_max_rows),
-                          on="league_id", how="left")
+    return standings.join(leagues.select("league_id", "league_name"), on="league_id", how="left")

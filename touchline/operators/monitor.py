@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.config import Settings
 from touchline.functions.clock import now
 from touchline.operators.quality import fetched_at
+from touchline.operators.snapshot import BROKER_ORDER
 
 
 def freshness(bronze: DataFrame, settings: Settings, with_percentiles: bool = True) -> DataFrame:
@@ -21,7 +22,8 @@ def freshness(bronze: DataFrame, settings: Settings, with_percentiles: bool = Tr
             F.max(latency).alias("max_latency_s"),
             F.avg(latency).alias("avg_latency_s")]
     if with_percentiles:
-        aggs.append(F.percentile_approx(latency, [0.5, 0.95], 10000).alias("latency_p50_p95"))
+        aggs += [F.percentile_approx(latency, p, 10000).alias(f"latency_p{round(100 * p)}_s")
+                 for p in (0.5, 0.95)]
     return bronze.groupBy("data_type").agg(*aggs)
 
 
@@ -46,24 +48,21 @@ def offset_gaps(bronze: DataFrame) -> DataFrame:
 def match_coverage(fixtures: DataFrame, live_scores: DataFrame, settings: Settings) -> DataFrame:
     """Share of fixtures that kicked off before the clock and have a live score.
 
-    A join written as one aggregation: both inputs are tagged, unioned and grouped by
-    fixture once (one shuffle, map-side combined, so a fixture polled a million times
-    costs one row per map task). No side is broadcast: both grow with the data.
+    Kick-off, league and season are those of a fixture's newest poll. A join written as one
+    aggregation: both inputs are tagged, unioned and grouped by fixture once (one
+    shuffle, map-side combined, so a fixture polled a million times costs one row per map
+    task). No side is broadcast: both grow with the data.
     """
-    started = F.try_to_timestamp(F.col("starting_at")) <= now(settings.as_of)
-    fx = fixtures.filter(started).select(
-        "fixture_id", "league_id", "season_id",
-        F.lit(1).alias("is_fixture"), F.lit(0).alias("has_live"))
-    lv = live_scores.select(
-        "fixture_id", F.lit(None).cast("int").alias("league_id"),
-        F.lit(None).cast("int").alias("season_id"),
-        F.lit(0).alias("is_fixture"), F.lit(1).alias("has_live"))
+    poll = F.struct("starting_at", "league_id", "season_id")
+    fx = fixtures.select("fixture_id", poll.alias("poll"), F.struct(*BROKER_ORDER).alias("at"),
+                         F.lit(0).alias("has_live"))
+    kinds = {f.name: f.dataType for f in fx.schema}
+    lv = live_scores.select("fixture_id", F.lit(None).cast(kinds["poll"]).alias("poll"),
+                            F.lit(None).cast(kinds["at"]).alias("at"), F.lit(1).alias("has_live"))
     per_fixture = (fx.unionByName(lv).groupBy("fixture_id")
-                   .agg(F.max("league_id").alias("league_id"),
-                        F.max("season_id").alias("season_id"),
-                        F.max("is_fixture").alias("is_fixture"),
-                        F.max("has_live").alias("has_live"))
-                   .filter(F.col("is_fixture") == 1))
+                   .agg(F.max_by("poll", "at").alias("poll"), F.max("has_live").alias("has_live"))
+                   .select("fixture_id", "poll.*", "has_live")
+                   .filter(F.try_to_timestamp(F.col("starting_at")) <= now(settings.as_of)))
     return (per_fixture.groupBy("league_id", "season_id")
             .agg(F.count(F.lit(1)).alias("fixtures"),
                  F.sum("has_live").cast("bigint").alias("covered"))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from touchline.config import Settings
 from touchline.functions.clock import now
 from touchline.operators.refine import DROPPED_REASONS, MSG, REASON, parsed_with_reason
+from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
 from touchline.schemas import LIVE_SCORE_DDL, PAGE_DDL
 
-API_VERSION = "v3"
+API_VERSION = "v3"  # fixed value: the API version the envelope names
 
 
 def explode_page(pages: DataFrame, text: str = "page") -> DataFrame:
@@ -70,7 +71,8 @@ def _with_member(obj_json: Column, name: str, value_json: Column) -> Column:
 
 
 def upcoming_fixtures(fixtures: DataFrame, settings: Settings, hours: int = 24) -> DataFrame:
-    """Fixtures that kick off within ``[now, now + hours]``."""
+    """Fixtures whose newest poll kicks off within ``[now, now + hours]``."""
+    fixtures = latest_snapshot(fixtures, SNAPSHOT_KEYS["fixtures"])
     start = F.try_to_timestamp(F.col("starting_at"))
     t0 = now(settings.as_of)
     return fixtures.filter(start.between(t0, F.timestamp_add("HOUR", F.lit(hours), t0)))

@@ -9,6 +9,7 @@ aggregates) returns the same rows, the round trip and the operator are both righ
 from __future__ import annotations
 
 AS_OF = "2024-02-01 00:00:00"
+NOW = f"cast(epoch(timestamp '{AS_OF}') as bigint)"  # the pinned clock, in seconds
 
 CTES = {
     "demo_matches": """
@@ -132,6 +133,9 @@ select fixture_id, sport_id, league_id, season_id, home_team || ' vs ' || away_t
        95 as data_quality_score,
        cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
        cast(day(kafka_ts) as int) as day,
+       cast(floor(epoch(kafka_ts)) as bigint) as kafka_timestamp,
+       cast(floor(epoch(kafka_ts)) as bigint) as bronze_ingested_at,
+       cast(floor(epoch(kafka_ts)) as bigint) as silver_processed_at,
        cast(starting_ts as date) as match_date,
        home_score + away_score as total_goals, home_score - away_score as score_difference,
        coalesce(bad_reason is null and state_id = 2, false) as is_live,
@@ -143,16 +147,22 @@ where bad_reason is null or bad_reason = 'partial'"""
 # every landed broker record: data type, topic, partition, offset, broker time, fixture
 CTES["all_records"] = """
 select 'livescores' as data_type, 'sports.livescores' as kafka_topic, kafka_partition,
-       kafka_offset, kafka_ts, fixture_id, bad_reason from live_polls
+       kafka_offset, kafka_ts, fixture_id, bad_reason, cast(fixture_id as varchar) as kafka_key,
+       case when coalesce(bad_reason in ('empty', 'unparsable'), false) then null
+            else cast(fixture_id as varchar) end as payload_id
+from live_polls
 union all
-select 'events', 'sports.events', kafka_partition, kafka_offset, kafka_ts, fixture_id, null
+select 'events', 'sports.events', kafka_partition, kafka_offset, kafka_ts, fixture_id, null,
+       cast(fixture_id as varchar) || '_' || cast(event_id as varchar), cast(event_id as varchar)
 from event_polls
 union all
 select 'fixtures', 'sports.fixtures', cast(fixture_id % 3 as int), fixture_id,
-       fixture_ts, fixture_id, null from demo_matches
+       fixture_ts, fixture_id, null, cast(fixture_id as varchar), cast(fixture_id as varchar)
+from demo_matches
 union all
 select 'leagues', 'sports.leagues', cast(r_regionkey % 3 as int), cast(r_regionkey as bigint),
-       timestamp '2023-12-01 00:00:00', null, null from region"""
+       timestamp '2023-12-01 00:00:00', null, null, cast(r_regionkey as varchar),
+       cast(r_regionkey as varchar) from region"""
 
 # Which CTEs each CTE needs (in order).
 _DEPS = {

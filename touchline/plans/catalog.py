@@ -1,13 +1,13 @@
 """Registered queries: one Spark plan and one oracle SQL text per key.
 
 Every query reads the supplied test tables (through the demo feeds) in full and runs the
-real operators on them. Columns stamped by the clock are left out of the compared
-output only where they are timestamps (they are pinned by ``as_of`` in any case).
+real operators on them. The clock is pinned; timestamps are compared as seconds since the epoch.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,19 +20,22 @@ from touchline.operators import publish as P
 from touchline.operators import quality as Q
 from touchline.operators.refine import MSG, REASON, parsed_with_reason
 from touchline.operators.snapshot import duplicate_report, latest_snapshot
-from touchline.oracle import AS_OF, with_ctes
+from touchline.oracle import AS_OF, NOW, with_ctes
 from touchline.plans import demo_runs as R
 from touchline.plans import lineage as L
+from touchline.plans.gold import GOLD_SORT
+from touchline.plans.views import register_views
 from touchline.schemas import LIVE_SCORE_DDL
 from touchline.session import tune
 from touchline.sinks.publish import publish, to_messages
+from touchline.sinks.tables import newest_runs
 from touchline.sources.tables import read_bronze, read_silver, read_table
-from touchline.streaming.incremental import run_silver_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SETTINGS = L.demo_settings()
+ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 TIMESTAMPS = ("kafka_timestamp", "bronze_ingested_at", "silver_processed_at", "processed_at",
               "last_updated")
 
@@ -49,20 +52,28 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def no_clock(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in TIMESTAMPS if c in df.columns])
+def seconds(df: DataFrame) -> DataFrame:
+    """Clock columns as seconds since the epoch."""
+    return df.withColumns({c: F.unix_seconds(c) for c in TIMESTAMPS if c in df.columns})
+
+
+def of_all_types(frame: Callable[[str], DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, [frame(t) for t in ALL_TYPES])
+
+
+STAMPED = f"select *, {NOW} as processed_at from"
 
 
 # ---------------------------------------------------------------- Gold (reference)
 
-@register("league_standings", with_ctes("select * from standings", "standings"))
+@register("league_standings", with_ctes(f"{STAMPED} standings", "standings"))
 def q_league_standings(spark, sf_dir):
-    return no_clock(L.league_standings(spark, sf_dir, SETTINGS))
+    return seconds(L.league_standings(spark, sf_dir, SETTINGS))
 
 
-@register("match_results", with_ctes("select * from results", "results"))
+@register("match_results", with_ctes(f"{STAMPED} results", "results"))
 def q_match_results(spark, sf_dir):
-    return no_clock(L.match_results(spark, sf_dir, SETTINGS))
+    return seconds(L.match_results(spark, sf_dir, SETTINGS))
 
 
 @register("team_match_rows", with_ctes("select * from team_rows", "team_rows"))
@@ -70,13 +81,13 @@ def q_team_match_rows(spark, sf_dir):
     return A.team_match_rows(L.match_results(spark, sf_dir, SETTINGS))
 
 
-@register("team_performance", with_ctes("select * from team_stats", "team_stats"))
+@register("team_performance", with_ctes(f"{STAMPED} team_stats", "team_stats"))
 def q_team_performance(spark, sf_dir):
-    return no_clock(L.team_performance(spark, sf_dir, SETTINGS))
+    return seconds(L.team_performance(spark, sf_dir, SETTINGS))
 
 
-@register("team_performance_by_venue", with_ctes("""
-select team, league_id, season_id, venue,
+@register("team_performance_by_venue", with_ctes(f"""
+select {NOW} as processed_at, team, league_id, season_id, venue,
        cast(sum(wins) as bigint) as total_wins, cast(sum(draws) as bigint) as total_draws,
        cast(sum(losses) as bigint) as total_losses,
        cast(sum(goals_for) as bigint) as total_goals_for,
@@ -87,40 +98,46 @@ select team, league_id, season_id, venue,
        cast(sum(wins) / count(*) * 100 as decimal(5,2)) as win_percentage
 from team_rows group by team, league_id, season_id, venue""", "team_rows"))
 def q_team_performance_by_venue(spark, sf_dir):
-    return no_clock(L.team_performance(spark, sf_dir, SETTINGS, by_venue=True))
+    return seconds(L.team_performance(spark, sf_dir, SETTINGS, by_venue=True))
 
 
-@register("event_analytics", with_ctes("""
-select fixture_id, event_type, cast(sum(n) as bigint) as event_count,
+@register("event_analytics", with_ctes(f"""
+select fixture_id, event_type, cast(sum(n) as bigint) as event_count, {NOW} as processed_at,
        coalesce(string_agg(case when player_name is not null
                                 then player_name || ':' || cast(n as varchar) end,
-                           ',' order by player_name), '') as players_involved,
+                           ',' order by player_name), '') as players,
+       coalesce(string_agg(names, ',' order by player_name), '') as players_involved,
        cast(sum(case when player_name is not null then n else 0 end) as bigint) as players_named,
        count(player_name) as distinct_players,
        min(mn) as first_occurrence, max(mx) as last_occurrence
 from (select fixture_id, event_type, player_name, count(*) as n,
-             min(total_minutes) as mn, max(total_minutes) as mx
+             string_agg(player_name, ',') as names, min(total_minutes) as mn, max(total_minutes) as mx
       from typed_events group by fixture_id, event_type, player_name) p
 group by fixture_id, event_type""", "typed_events"))
 def q_event_analytics(spark, sf_dir):
     ev = A.event_analytics(L.gold_events(spark, sf_dir, SETTINGS), SETTINGS)
-    return no_clock(ev.withColumn("players_involved", A.players_text("players_involved")))
+    return players_as_text(ev)
 
 
-@register("goal_analytics", with_ctes("""
-select fixture_id, event_id, player_name, event_type, total_minutes, result,
+def players_as_text(df: DataFrame) -> DataFrame:
+    return seconds(df.withColumns({"players": A.players_text("players"),
+                                   "players_involved": F.array_join("players_involved", ",")}))
+
+
+@register("goal_analytics", with_ctes(f"""
+select {NOW} as processed_at, fixture_id, event_id, player_name, event_type, total_minutes, result,
        case event_type when 'OWN_GOAL' then 'OWN_GOAL' when 'PENALTY' then 'PENALTY'
                        else 'REGULAR' end as scorer_type
 from typed_events where event_type in ('GOAL', 'OWN_GOAL', 'PENALTY')""", "typed_events"))
 def q_goal_analytics(spark, sf_dir):
-    return no_clock(A.goal_analytics(L.gold_events(spark, sf_dir, SETTINGS), SETTINGS))
+    return seconds(A.goal_analytics(L.gold_events(spark, sf_dir, SETTINGS), SETTINGS))
 
 
-@register("card_analytics", with_ctes("""
-select fixture_id, event_id, player_name, event_type, total_minutes
+@register("card_analytics", with_ctes(f"""
+select {NOW} as processed_at, fixture_id, event_id, player_name, event_type, total_minutes
 from typed_events where event_type in ('YELLOW_CARD', 'RED_CARD')""", "typed_events"))
 def q_card_analytics(spark, sf_dir):
-    return no_clock(A.card_analytics(L.gold_events(spark, sf_dir, SETTINGS), SETTINGS))
+    return seconds(A.card_analytics(L.gold_events(spark, sf_dir, SETTINGS), SETTINGS))
 
 
 @register("live_dashboard", with_ctes(f"""
@@ -128,19 +145,20 @@ select fixture_id, home_team || ' vs ' || away_team as fixture_name, home_team,
        home_score, away_score, home_score + away_score as total_goals,
        cast(events_count as int) as events_count, league_id,
        strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at,
-       'LIVE' as match_status, '45+' as time_elapsed,
+       'LIVE' as match_status, '45+' as time_elapsed, cast(epoch(kafka_ts) as bigint) as last_updated,
+       {NOW} as processed_at,
        cast(floor((epoch(timestamp '{AS_OF}') - epoch(starting_ts)) / 60) as bigint)
          as minutes_elapsed
 from latest_live where state_id = 2""", "latest_live"))
 def q_live_dashboard(spark, sf_dir):
-    return no_clock(A.live_dashboard(L.gold_live_scores(spark, sf_dir, SETTINGS), SETTINGS))
+    return seconds(A.live_dashboard(L.gold_live_scores(spark, sf_dir, SETTINGS), SETTINGS))
 
 
 # ---------------------------------------------------------------- Silver (reference)
 
 @register("silver_live_scores", with_ctes("select * from silver_ls", "silver_ls"))
 def q_silver_live_scores(spark, sf_dir):
-    return no_clock(L.silver(spark, sf_dir, "livescores", SETTINGS))
+    return seconds(L.silver(spark, sf_dir, "livescores", SETTINGS))
 
 
 _EVENT_COLUMNS = """
@@ -153,16 +171,22 @@ _EVENT_COLUMNS = """
 
 @register("silver_events", with_ctes(f"""
 select {_EVENT_COLUMNS}, p.kafka_partition, p.kafka_offset, 90 as data_quality_score,
+       cast(floor(epoch(p.kafka_ts)) as bigint) as kafka_timestamp,
+       cast(floor(epoch(p.kafka_ts)) as bigint) as bronze_ingested_at,
+       cast(floor(epoch(p.kafka_ts)) as bigint) as silver_processed_at,
        cast(year(p.kafka_ts) as int) as year, cast(month(p.kafka_ts) as int) as month,
        cast(day(p.kafka_ts) as int) as day, t.event_type,
        cast(t.created_ts as date) as event_date, t.total_minutes
 from event_polls p join typed_events t using (event_id)""", "event_polls", "typed_events"))
 def q_silver_events(spark, sf_dir):
-    return no_clock(L.silver(spark, sf_dir, "events", SETTINGS))
+    return seconds(L.silver(spark, sf_dir, "events", SETTINGS))
 
 
-@register("silver_fixtures", with_ctes("""
-select fixture_id, sport_id, league_id, season_id, stage_id, state_id,
+@register("silver_fixtures", with_ctes(f"""
+select cast(epoch(fixture_ts) as bigint) as kafka_timestamp,
+       cast(epoch(fixture_ts) as bigint) as bronze_ingested_at,
+       cast(epoch(fixture_ts) as bigint) as silver_processed_at,
+       fixture_id, sport_id, league_id, season_id, stage_id, state_id,
        home_team || ' vs ' || away_team as fixture_name,
        strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at,
        case when state_id = 3 then 'Game ended' end as result_info,
@@ -176,43 +200,38 @@ select fixture_id, sport_id, league_id, season_id, stage_id, state_id,
        state_id = 2 as is_live, state_id = 3 as is_finished
 from demo_matches""", "demo_matches"))
 def q_silver_fixtures(spark, sf_dir):
-    return no_clock(L.silver(spark, sf_dir, "fixtures", SETTINGS))
+    return seconds(L.silver(spark, sf_dir, "fixtures", SETTINGS))
 
 
 # ---------------------------------------------------------------- Bronze (reference)
 
-ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
-
-
 def payload_id():
     return F.get_json_object(F.col("raw_json"), "$.id").alias("payload_id")
 
 
-@register("bronze_decode", with_ctes("""
-select cast(fixture_id as varchar) || '_' || cast(event_id as varchar) as kafka_key,
-       'sports.events' as kafka_topic, kafka_partition, kafka_offset,
-       'events' as data_type, '1.0' as bronze_version,
-       cast(event_id as varchar) as payload_id
-from event_polls""", "event_polls"))
+_RECORD = """data_type, kafka_key, kafka_topic, kafka_partition, kafka_offset, payload_id,
+       '1.0' as bronze_version, cast(floor(epoch(kafka_ts)) as bigint) as kafka_timestamp,
+       cast(floor(epoch(kafka_ts)) as bigint) as bronze_ingested_at"""
+_DAY = """cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
+       cast(day(kafka_ts) as int) as day"""
+
+
+def record_columns(bronze: DataFrame, *more: str) -> DataFrame:
+    return seconds(bronze.select("data_type", "kafka_key", "kafka_topic", "kafka_partition",
+                                 "kafka_offset", "bronze_version", "kafka_timestamp",
+                                 "bronze_ingested_at", payload_id(), *more))
+
+
+@register("bronze_decode", with_ctes(f"select {_RECORD} from all_records", "all_records"))
 def q_bronze_decode(spark, sf_dir):
-    b = L.bronze(spark, sf_dir, "events", SETTINGS)
-    return b.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "data_type",
-                    "bronze_version", payload_id())
+    return record_columns(of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS)))
 
 
-@register("bronze_replay", with_ctes("""
-select cast(fixture_id as varchar) as kafka_key, 'sports.livescores' as kafka_topic,
-       kafka_partition, kafka_offset, 'livescores' as data_type, '1.0' as bronze_version,
-       cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
-       cast(day(kafka_ts) as int) as day,
-       case when bad_reason in ('empty', 'unparsable') then null
-            else cast(fixture_id as varchar) end as payload_id
-from live_polls""", "live_polls"))
+@register("bronze_replay", with_ctes(f"select {_RECORD}, {_DAY} from all_records", "all_records"))
 def q_bronze_replay(spark, sf_dir):
     s = R.bronze_store(spark, sf_dir)
-    b = read_table(spark, s.path("bronze", "livescores"), s.table_format)
-    return b.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "data_type",
-                    "bronze_version", "year", "month", "day", payload_id())
+    return record_columns(of_all_types(lambda t: read_table(spark, s.path("bronze", t), s.table_format)),
+                          "year", "month", "day")
 
 
 @register("bronze_all_types", with_ctes("""
@@ -221,10 +240,7 @@ select data_type, cast(year(kafka_ts) as int) as year, count(*) as messages,
 from all_records group by data_type, year(kafka_ts)""", "all_records"))
 def q_bronze_all_types(spark, sf_dir):
     s = R.bronze_store(spark, sf_dir)
-    frames = [read_table(spark, s.path("bronze", t), s.table_format) for t in ALL_TYPES]
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
+    union = of_all_types(lambda t: read_table(spark, s.path("bronze", t), s.table_format))
     return union.groupBy("data_type", "year").agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_distinct("kafka_offset").alias("distinct_offsets"))
@@ -240,14 +256,13 @@ def q_date_parts(spark, sf_dir):
                                                               "day")
 
 
-@register("bronze_lookback", with_ctes("""
-select kafka_offset, cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
-       cast(day(kafka_ts) as int) as day
-from live_polls where kafka_ts >= date '2024-02-01' - interval 7 day""", "live_polls"))
+@register("bronze_lookback", with_ctes(f"""
+select {_RECORD}, {_DAY} from all_records
+where kafka_ts >= date '2024-02-01' - interval 7 day""", "all_records"))
 def q_bronze_lookback(spark, sf_dir):
     s = R.bronze_store(spark, sf_dir)
-    return read_bronze(spark, s.path("bronze", "livescores"), s, days_back=7) \
-        .select("kafka_offset", "year", "month", "day")
+    return record_columns(of_all_types(lambda t: read_bronze(spark, s.path("bronze", t), s, days_back=7)),
+                          "year", "month", "day")
 
 
 @register("silver_lookback", with_ctes("""
@@ -264,14 +279,40 @@ def q_silver_lookback(spark, sf_dir):
 @register("silver_write_roundtrip", with_ctes("select * from silver_ls", "silver_ls"))
 def q_silver_write_roundtrip(spark, sf_dir):
     s, _ = R.silver_store(spark, sf_dir)
-    return no_clock(read_table(spark, s.path("silver", "live_scores"), s.table_format))
+    return seconds(read_table(spark, s.path("silver", "live_scores"), s.table_format))
+
+
+def _silver_stored(table: str):
+    @register(f"silver_stored_{table}", ORACLES[f"silver_{table}"])
+    def query(spark, sf_dir):
+        s, _ = R.silver_store(spark, sf_dir)
+        return seconds(read_table(spark, s.path("silver", table), s.table_format))
+
 
+for _t in ("fixtures", "events"):
+    _silver_stored(_t)
 
-@register("gold_write_roundtrip", with_ctes("select * from standings", "standings"))
+
+@register("gold_write_roundtrip", with_ctes(f"""
+select *, cast(year(date '2024-02-01') as int) as year, cast(2 as int) as month, cast(1 as int) as day,
+       {NOW} as processed_at from standings""", "standings"))
 def q_gold_write_roundtrip(spark, sf_dir):
     s, _ = R.gold_store(spark, sf_dir)
-    g = read_table(spark, s.path("gold", "league_standings"), s.table_format)
-    return no_clock(g).drop("year", "month", "day")
+    return seconds(read_table(spark, s.path("gold", "league_standings"), s.table_format))
+
+
+def _gold_stored(table: str):
+    """Every stored Gold table, read through its SQL view."""
+    @register(f"gold_stored_{table}", ORACLES[table])
+    def query(spark, sf_dir):
+        s, _ = R.gold_store(spark, sf_dir)
+        register_views(spark, s, (table,))
+        df = spark.table(table).drop("year", "month", "day")
+        return players_as_text(df) if table == "event_analytics" else seconds(df)
+
+
+for _t in GOLD_SORT:
+    _gold_stored(_t)
 
 
 @register("run_metrics", with_ctes("""
@@ -296,11 +337,9 @@ union all select 'gold', 'card_analytics', count(*) from typed_events
           where event_type in ('YELLOW_CARD', 'RED_CARD')""",
           "demo_matches", "silver_ls", "event_polls", "results", "team_stats", "typed_events"))
 def q_run_metrics(spark, sf_dir):
-    _, silver_report = R.silver_store(spark, sf_dir)
-    _, gold_report = R.gold_store(spark, sf_dir)
-    rows = [("silver", k, int(v)) for k, v in silver_report.items()]
-    rows += [("gold", k, int(v)) for k, v in gold_report.items()]
-    return spark.createDataFrame(rows, "layer string, table_name string, rows bigint")
+    s, _ = R.gold_store(spark, sf_dir)
+    return (newest_runs(spark, s, "silver").union(newest_runs(spark, s, "gold"))
+            .select("layer", "table_name", "rows"))
 
 
 # ---------------------------------------------------------------- Silver pieces (reference)
@@ -329,8 +368,8 @@ def q_event_type_map(spark, sf_dir):
 # ---------------------------------------------------------------- poller steps, re-aimed
 
 @register("publish_envelope", with_ctes("""
-select cast(fixture_id as varchar) as key, 'sports.fixtures' as topic,
-       'fixture' as envelope_type, 'v3' as api_version,
+select cast(fixture_id as varchar) as key, 'sports.fixtures' as topic, 'demo' as source,
+       '2024-02-01T00:00:00' as fetched_at, 'fixture' as envelope_type, 'v3' as api_version,
        home_team || ' vs ' || away_team as name
 from demo_matches""", "demo_matches"))
 def q_publish_envelope(spark, sf_dir):
@@ -339,10 +378,12 @@ def q_publish_envelope(spark, sf_dir):
         F.col("fixture_id").alias("id"), F.col("fixture_name").alias("name"), "league_id",
         "season_id", "state_id", "starting_at")
     msgs = to_messages(P.with_envelope(objects, "fixture", s), TOPICS["fixtures"])
-    out = s.path("published")
-    publish(msgs, fmt="parquet", path=out, mode="overwrite")
+    out = s.path("published", uuid.uuid4().hex[:12])  # never a folder that a frame still reads
+    publish(msgs, fmt="parquet", path=out)
     back = read_table(spark, out, "parquet")
     return back.select("key", "topic",
+                       F.get_json_object("value", "$._metadata.source").alias("source"),
+                       F.get_json_object("value", "$._metadata.fetched_at").alias("fetched_at"),
                        F.get_json_object("value", "$._metadata.type").alias("envelope_type"),
                        F.get_json_object("value", "$._metadata.api_version").alias("api_version"),
                        F.get_json_object("value", "$.name").alias("name"))
@@ -379,12 +420,17 @@ def q_explode_page(spark, sf_dir):
 @register("event_fanout", with_ctes("""
 select cast(fixture_id as varchar) || '_' || cast(fixture_id * 10 + i as varchar) as key,
        fixture_id, kafka_offset, cast(i - 1 as int) as event_position,
-       fixture_id * 10 + i as event_id, cast(i % 9 as int) as type_id
+       fixture_id * 10 + i as event_id, cast(i % 9 as int) as type_id,
+       '{"id":"' || cast(fixture_id * 10 + i as varchar) || '","type_id":"' || cast(i % 9 as varchar)
+         || '","minute":"' || cast(i * 11 % 90 as varchar)
+         || '","_metadata":{"source":"demo","type":"event","fixture_id":' || cast(fixture_id as varchar)
+         || ',"fetched_at":"2024-02-01T00:00:00","api_version":"v3"}}' as value
 from (select *, unnest(generate_series(1, events_count)) as i from kept_polls
       where events_count > 0) x""", "kept_polls"))
 def q_event_fanout(spark, sf_dir):
     ev = P.event_fanout(L.bronze(spark, sf_dir, "livescores", SETTINGS), SETTINGS)
-    return ev.select("key", "fixture_id", "kafka_offset", "event_position", "event_id", "type_id")
+    return ev.select("key", "fixture_id", "kafka_offset", "event_position", "event_id", "type_id",
+                     "value")
 
 
 UPCOMING_AS_OF = "1998-03-15 00:00:00"
@@ -402,13 +448,23 @@ def q_upcoming_fixtures(spark, sf_dir):
                                              "away_team")
 
 
-@register("ttl_dedup", """
-select distinct 'events' as data_type, cast(event_id as bigint) as item_id from events""")
+@register("ttl_dedup", with_ctes("""
+select 'events' as data_type, event_id as item_id, cast(floor(epoch(min(kafka_ts))) as bigint) as kept_at
+from event_polls group by event_id
+union all select 'fixtures', fixture_id, cast(epoch(fixture_ts) as bigint) from demo_matches
+union all select 'leagues', cast(r_regionkey as bigint), cast(epoch(timestamp '2023-12-01') as bigint)
+from region
+union all
+-- polls 30 minutes apart: the first readable one is kept, and one more than 30 minutes after it
+select 'livescores', case when unread then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
+from (select *, coalesce(bad_reason in ('empty', 'unparsable'), false) as unread,
+             n_polls > 1 and fixture_id % 29 in (1, 2) as first_unread from live_polls) p
+where unread or poll = case when first_unread then 1 else 0 end or (poll = 2 and not first_unread)""",
+                                "event_polls", "demo_matches", "live_polls"))
 def q_ttl_dedup(spark, sf_dir):
-    from touchline.streaming.dedupe import run_ttl_dedup
-    s = R.store_settings(spark, sf_dir)
-    path = run_ttl_dedup(spark, sf_dir, s)
-    return read_table(spark, path, "parquet").select("data_type", "item_id")
+    path = R.ttl_store(spark, sf_dir)
+    return of_all_types(lambda t: read_table(spark, f"{path}/{t}", "parquet")).select(
+        "data_type", "item_id", F.unix_seconds("kafka_timestamp").alias("kept_at"))
 
 
 @register("fetch_summary", with_ctes("""
@@ -421,12 +477,37 @@ def q_fetch_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------- named in the docs only
 
-@register("dead_letters", with_ctes("""
-select cast(fixture_id as varchar) as kafka_key, kafka_offset, bad_reason as reason
-from live_polls where bad_reason is not null""", "live_polls"))
+_DEAD_LETTERS = with_ctes("""
+select kafka_key, kafka_topic, kafka_partition, kafka_offset, data_type, bad_reason as reason,
+       cast(epoch(kafka_ts) as bigint) as kafka_timestamp,
+       cast(epoch(kafka_ts) as bigint) as bronze_ingested_at,
+       case bad_reason when 'empty' then '' when 'unparsable' then 'not json: ' || kafka_key end as text
+from all_records where bad_reason is not null""", "all_records")
+
+
+def letter_columns(df: DataFrame) -> DataFrame:
+    text = F.when(F.col("reason").isin("empty", "unparsable"), F.col("raw_json"))
+    return seconds(df.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "data_type",
+                             "reason", "kafka_timestamp", "bronze_ingested_at", text.alias("text")))
+
+
+@register("dead_letters", _DEAD_LETTERS)
 def q_dead_letters(spark, sf_dir):
-    d = Q.dead_letters(L.bronze(spark, sf_dir, "livescores", SETTINGS), "livescores", SETTINGS)
-    return d.select("kafka_key", "kafka_offset", "reason")
+    return letter_columns(of_all_types(
+        lambda t: Q.dead_letters(L.bronze(spark, sf_dir, t, SETTINGS), t, SETTINGS)))
+
+
+@register("dead_letters_stored", _DEAD_LETTERS)
+def q_dead_letters_stored(spark, sf_dir):
+    s, _ = R.silver_store(spark, sf_dir)
+    return letter_columns(read_table(spark, s.path("silver", "dead_letters"), s.table_format))
+
+
+@register("dead_letters_incremental", _DEAD_LETTERS)
+def q_dead_letters_incremental(spark, sf_dir):
+    s = R.silver_stream_store(spark, sf_dir)
+    return letter_columns(read_table(spark, s.path("silver_stream", "dead_letters_live_scores"),
+                                     s.table_format))
 
 
 @register("failure_rate", with_ctes("""
@@ -436,11 +517,7 @@ select data_type, count(*) as messages,
        cast(sum(case when bad_reason in ('empty', 'unparsable', 'no_id') then 1 else 0 end) as bigint) / count(*) as failure_rate
 from all_records group by data_type""", "all_records"))
 def q_failure_rate(spark, sf_dir):
-    frames = [Q.failure_rate(L.bronze(spark, sf_dir, t, SETTINGS), t) for t in ALL_TYPES]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return of_all_types(lambda t: Q.failure_rate(L.bronze(spark, sf_dir, t, SETTINGS), t))
 
 
 @register("latest_snapshot", with_ctes("""
@@ -454,10 +531,19 @@ def q_latest_snapshot(spark, sf_dir):
 
 
 @register("duplicate_report", with_ctes("""
-select 'sports.events' as kafka_topic, kafka_partition, kafka_offset, count(*) as copies
-from event_polls group by kafka_partition, kafka_offset having count(*) > 1""", "event_polls"))
+select kafka_topic, kafka_partition, kafka_offset, count(*) as copies
+from all_records group by all having count(*) > 1""", "all_records"))
 def q_duplicate_report(spark, sf_dir):
-    return duplicate_report(L.bronze(spark, sf_dir, "events", SETTINGS))
+    return duplicate_report(of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS)))
+
+
+@register("offset_gaps", with_ctes("""
+select kafka_topic, kafka_partition, min(kafka_offset) as first_offset, max(kafka_offset) as last_offset,
+       count(distinct kafka_offset) as offsets_seen,
+       max(kafka_offset) - min(kafka_offset) + 1 - count(distinct kafka_offset) as offsets_missing
+from all_records group by kafka_topic, kafka_partition""", "all_records"))
+def q_offset_gaps(spark, sf_dir):
+    return M.offset_gaps(of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS)))
 
 
 _PROFILED = ["fixture_id", "sport_id", "league_id", "season_id", "fixture_name", "starting_at",
@@ -483,10 +569,7 @@ select data_type, count(*) as messages,
        cast(0 as bigint) as broker_after_ingest
 from all_records group by data_type""", "all_records"))
 def q_timestamp_checks(spark, sf_dir):
-    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
+    union = of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS))
     return Q.timestamp_checks(union)
 
 
@@ -513,7 +596,8 @@ select data_type, count(*) as messages,
        cast(epoch(timestamp '{AS_OF}') as bigint) - cast(floor(epoch(max(kafka_ts))) as bigint)
          as seconds_since_last,
        min(latency) as min_latency_s, max(latency) as max_latency_s,
-       avg(latency) as avg_latency_s
+       avg(latency) as avg_latency_s, quantile_disc(latency, 0.5) as latency_p50_s,
+       quantile_disc(latency, 0.95) as latency_p95_s
 from (select *, case when bad_reason in ('empty', 'unparsable') then null
                      when data_type = 'leagues' then cast(0 as bigint)
                      when fixture_id % 31 = 0 then cast(-7 as bigint)
@@ -521,11 +605,8 @@ from (select *, case when bad_reason in ('empty', 'unparsable') then null
       from all_records) r
 group by data_type""", "all_records"))
 def q_freshness(spark, sf_dir):
-    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
-    return M.freshness(union, SETTINGS, with_percentiles=False)
+    union = of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS))
+    return M.freshness(union, SETTINGS)
 
 
 @register("throughput", with_ctes("""
@@ -533,10 +614,7 @@ select kafka_topic, cast(epoch(date_trunc('hour', kafka_ts)) as bigint) as windo
        count(*) as messages
 from all_records group by kafka_topic, date_trunc('hour', kafka_ts)""", "all_records"))
 def q_throughput(spark, sf_dir):
-    frames = [L.bronze(spark, sf_dir, t, SETTINGS) for t in ALL_TYPES]
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
+    union = of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS))
     return M.throughput(union)
 
 
@@ -553,16 +631,14 @@ def q_match_coverage(spark, sf_dir):
 
 @register("silver_incremental", with_ctes("select * from silver_ls", "silver_ls"))
 def q_silver_incremental(spark, sf_dir):
-    s = R.bronze_store(spark, sf_dir)
-    run_silver_incremental(spark, s, "livescores", "live_scores")
-    return no_clock(read_table(spark, s.path("silver_stream", "live_scores"), s.table_format))
+    s = R.silver_stream_store(spark, sf_dir)
+    return seconds(read_table(spark, s.path("silver_stream", "live_scores"), s.table_format))
 
 
 @register("sql_views", with_ctes("""
 select league_id, season_id, team, points, goal_difference, matches_played
 from standings where position = 1""", "standings"))
 def q_sql_views(spark, sf_dir):
-    from touchline.plans.views import register_views
     s, _ = R.gold_store(spark, sf_dir)
     register_views(spark, s, ("league_standings",))
     return spark.sql("""
@@ -570,10 +646,10 @@ def q_sql_views(spark, sf_dir):
         from league_standings where position = 1""")
 
 
-@register("standings_named", with_ctes("""
-select s.*, 'League ' || r.r_name as league_name
+@register("standings_named", with_ctes(f"""
+select s.*, {NOW} as processed_at, 'League ' || r.r_name as league_name
 from standings s left join region r on s.league_id = r.r_regionkey""", "standings"))
 def q_standings_named(spark, sf_dir):
     st = L.league_standings(spark, sf_dir, SETTINGS, ordered=False)
-    named = A.standings_named(st, L.leagues(spark, sf_dir, SETTINGS), SETTINGS)
-    return no_clock(named)
+    named = A.standings_named(st, L.leagues(spark, sf_dir, SETTINGS))
+    return seconds(named)

@@ -12,12 +12,14 @@ import threading
 from pyspark.sql import SparkSession
 
 from touchline.config import Settings
-from touchline.session import session_key
+from touchline.operators.refine import SILVER_TABLES
 from touchline.plans import lineage as L
 from touchline.plans.gold import run_gold
 from touchline.plans.silver import run_silver
 from touchline.plans.workspace import demo_root, replay_sources
 from touchline.streaming.bronze import run_bronze
+from touchline.streaming.dedupe import run_ttl_dedup
+from touchline.streaming.incremental import run_silver_incremental
 
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 _DONE: dict = {}
@@ -29,13 +31,29 @@ def store_settings(spark: SparkSession, sf_dir: str, **kw) -> Settings:
 
 
 def _once(step: str, spark: SparkSession, sf_dir: str, fn):
-    key = (step, *session_key(spark), sf_dir)
+    root = demo_root(spark, sf_dir)  # names the session and the state of the input
     with _LOCK:
+        for old in [k for k in _DONE if k[1] != spark.sparkContext.applicationId]:
+            del _DONE[old]  # of a stopped session
+        key = (step, spark.sparkContext.applicationId, root)
         if key not in _DONE:
             _DONE[key] = fn()
         return _DONE[key]
 
 
+def silver_stream_store(spark: SparkSession, sf_dir: str) -> Settings:
+    """Incremental Silver (and its dead letters) of all types over the stored Bronze."""
+    s = bronze_store(spark, sf_dir)
+    _once("silver_stream", spark, sf_dir, lambda: [
+        run_silver_incremental(spark, s, dt, t) for dt, t in SILVER_TABLES.items()])
+    return s
+
+
+def ttl_store(spark: SparkSession, sf_dir: str) -> str:
+    s = store_settings(spark, sf_dir)
+    return _once("ttl_dedup", spark, sf_dir, lambda: run_ttl_dedup(spark, sf_dir, s))
+
+
 def bronze_store(spark: SparkSession, sf_dir: str) -> Settings:
     s = store_settings(spark, sf_dir)
     _once("bronze", spark, sf_dir,

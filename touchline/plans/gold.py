@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
 from touchline.session import tune
+from touchline.functions.clock import day_before, day_parts, in_days
 from touchline.functions.dates import with_date_parts
 from touchline.operators import analytics as A
 from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
-from touchline.sinks.tables import write_table
+from touchline.sinks.tables import log_run, write_table
 from touchline.sources.tables import lookback, read_table
 
 LIVE_COLUMNS = ["fixture_id", "fixture_name", "match_date", "home_team", "away_team",
@@ -42,7 +43,7 @@ def current_input(spark: SparkSession, settings: Settings, table: str,
                   columns: list[str], days_back: int | None) -> DataFrame:
     """A Silver table over ``days_back`` days of processing time (None = all history),
     pruned to ``columns`` and reduced to the newest snapshot per key."""
-    df = read_table(spark, settings.path("silver", table), settings.table_format)
+    df = read_table(spark, settings.path(settings.silver_layer, table), settings.table_format)
     df = lookback(df, "silver_processed_at", days_back, settings.as_of).select(*columns)
     if settings.latest_snapshot:
         df = latest_snapshot(df, SNAPSHOT_KEYS[table])
@@ -80,12 +81,16 @@ def run_gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
     events = current_input(spark, settings, "events", EVENT_COLUMNS,
                            settings.silver_days_back).persist(StorageLevel.MEMORY_AND_DISK)
     report: dict[str, int] = {}
+    today = day_before(settings.as_of, 0)  # the run owns the snapshot of its processing day
     try:
         for name, df in gold_frames(live, events, settings).items():
             report[name] = write_table(with_date_parts(df, "processed_at"),
                                        settings.path("gold", name), settings.table_format,
-                                       sort_by=GOLD_SORT[name])
+                                       sort_by=GOLD_SORT[name],
+                                       owned=lambda v: in_days(v, today, today),
+                                       empty_at=day_parts(today))
     finally:
         live.unpersist()
         events.unpersist()
+    log_run(spark, settings, "gold", report)
     return report

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
-from touchline.session import session_key
 from touchline.operators import analytics as A
 from touchline.operators.ingest import to_bronze
 from touchline.operators.refine import REFINERS, SILVER_TABLES
@@ -27,27 +26,12 @@ def demo_settings(**kw) -> Settings:
     return Settings(**base)
 
 
-_PLANS: dict = {}
-
-
-def _memo(kind: str, spark: SparkSession, *key, build):
-    """Reuse a lazy plan per session and arguments (saves re-analysis, not data)."""
-    k = (kind, *session_key(spark), *key)
-    if k not in _PLANS:
-        _PLANS[k] = build()
-    return _PLANS[k]
-
-
 def bronze(spark: SparkSession, sf_dir: str, data_type: str, settings: Settings) -> DataFrame:
-    return _memo("bronze", spark, sf_dir, data_type, settings,
-                 build=lambda: to_bronze(demo_records(spark, sf_dir, data_type), data_type,
-                                         settings))
+    return to_bronze(demo_records(spark, sf_dir, data_type), data_type, settings)
 
 
 def silver(spark: SparkSession, sf_dir: str, data_type: str, settings: Settings) -> DataFrame:
-    return _memo("silver", spark, sf_dir, data_type, settings,
-                 build=lambda: REFINERS[data_type](bronze(spark, sf_dir, data_type, settings),
-                                                   settings))
+    return REFINERS[data_type](bronze(spark, sf_dir, data_type, settings), settings)
 
 
 def current(silver_df: DataFrame, table: str, settings: Settings,
@@ -66,14 +50,12 @@ def current(silver_df: DataFrame, table: str, settings: Settings,
 
 def gold_live_scores(spark, sf_dir, settings) -> DataFrame:
     from touchline.plans.gold import LIVE_COLUMNS
-    return _memo("gold_live", spark, sf_dir, settings, build=lambda: current(
-        silver(spark, sf_dir, "livescores", settings), "live_scores", settings, LIVE_COLUMNS))
+    return current(silver(spark, sf_dir, "livescores", settings), "live_scores", settings, LIVE_COLUMNS)
 
 
 def gold_events(spark, sf_dir, settings) -> DataFrame:
     from touchline.plans.gold import EVENT_COLUMNS
-    return _memo("gold_events", spark, sf_dir, settings, build=lambda: current(
-        silver(spark, sf_dir, "events", settings), "events", settings, EVENT_COLUMNS))
+    return current(silver(spark, sf_dir, "events", settings), "events", settings, EVENT_COLUMNS)
 
 
 def match_results(spark, sf_dir, settings) -> DataFrame:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from datetime import date
+
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from touchline.config import Settings
+from touchline.functions.clock import day_before, day_parts, in_days
 from touchline.session import tune
 from touchline.operators.quality import dead_letters
-from touchline.operators.refine import REASON, REFINERS, SILVER_TABLES, parsed_with_reason
-from touchline.schemas import SCHEMAS
-from touchline.sinks.tables import write_table
+from touchline.operators.refine import REFINERS, SILVER_TABLES
+from touchline.sinks.tables import log_run, write_table
 from touchline.sources.tables import read_bronze
 
 SILVER_ORDER = ("fixtures", "livescores", "events", "leagues")
@@ -21,28 +21,25 @@ def run_silver(spark: SparkSession, settings: Settings,
                types=SILVER_ORDER) -> dict[str, int]:
     """Refine each data type and write it; returns rows written per table.
 
-    The Bronze window of one type is parsed once and kept (memory, spilling to disk,
-    message text only for bad rows) while both the Silver rows and the dead letters are
-    written from it. A lost cached block is recomputed from the Bronze scan. Errors are
-    raised, never turned into an empty success.
+    Silver rows and dead letters are two writes, each from its own pruned scan of the Bronze
+    window: parsing twice costs less than keeping a parsed window of days. The run
+    owns the days of the window in every table. Errors are raised, never turned into an empty success.
     """
     tune(spark)
+    days = settings.bronze_days_back
+    first = date.min if days is None else day_before(settings.as_of, days)
+    today = day_parts(day_before(settings.as_of, 0))
     report: dict[str, int] = {}
     for dt in types:
         bronze = read_bronze(spark, settings.path("bronze", dt), settings)
-        # Only dead letters need the message text: drop it from good rows before caching.
-        parsed = (parsed_with_reason(bronze, SCHEMAS[dt])
-                  .withColumn("raw_json", F.when(F.col(REASON).isNotNull(), F.col("raw_json")))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            table = SILVER_TABLES[dt]
-            report[table] = write_table(REFINERS[dt](parsed, settings),
-                                        settings.path("silver", table), settings.table_format)
-            report[f"dead_letters_{table}"] = write_table(
-                dead_letters(parsed, dt, settings), settings.path("silver", "dead_letters"),
-                settings.table_format, partition_by=("data_type", "year", "month", "day"))
-        finally:
-            parsed.unpersist()
+        table = SILVER_TABLES[dt]
+        report[table] = write_table(REFINERS[dt](bronze, settings),
+                                    settings.path("silver", table), settings.table_format,
+                                    owned=lambda v: in_days(v, first), empty_at=today)
+        report[f"dead_letters_{table}"] = write_table(
+            dead_letters(bronze, dt, settings), settings.path("silver", "dead_letters"),
+            settings.table_format, partition_by=("data_type", "year", "month", "day"),
+            owned=lambda v, dt=dt: v["data_type"] == dt and in_days(v, first),
+            empty_at={"data_type": dt} | today)
+    log_run(spark, settings, "silver", report)
     return report
-
-

@@ -9,17 +9,19 @@ from touchline.plans.gold import GOLD_SORT
 
 
 def register_views(spark: SparkSession, settings: Settings, tables=tuple(GOLD_SORT)) -> list[str]:
-    """One view per Gold table showing its newest ``processed_at`` day only.
+    """One view per Gold table showing the snapshot of its newest run only.
 
-    Gold keeps one snapshot per processing day; a reader of all partitions would count
-    every team once per day.
+    Gold keeps one snapshot per processing day; a reader of all partitions would count every
+    team once per day. The run log names the newest snapshot also when it has no rows: a
+    dashboard without live matches shows none, not those of the day before.
     """
     fmt = settings.table_format
+    log = settings.path("gold", "run_log")
     for t in tables:
         path = settings.path("gold", t)
         spark.sql(f"""
             create or replace temporary view {t} as
             select * from {fmt}.`{path}`
             where make_date(year, month, day) =
-                  (select max(make_date(year, month, day)) from {fmt}.`{path}`)""")
+                  (select to_date(max(run_at)) from parquet.`{log}` where table_name = '{t}')""")
     return list(tables)

@@ -1,4 +1,4 @@
-"""Where a demo run keeps its tables: a folder under the shared work root per input folder.
+"""Where a demo run keeps its tables: a folder under the shared work root per session and input.
 
 Landing the demo records and replaying them are idempotent: records are written once
 (a ``_SUCCESS`` marker says so) and a stream re-run with its checkpoint reads nothing it
@@ -8,50 +8,32 @@ has read before.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import SparkSession
 
 from touchline.config import Settings
+from touchline.files import exists, fs_path, publish_folder
 from touchline.session import work_root
 from touchline.sources.demo import demo_records
 from touchline.sources.stream import StreamSource
 
-LAYOUT = "v2"
 
-
-def _generator_fingerprint() -> str:
-    """Changes whenever the demo generation rules change (stale landings are never reused)."""
-    import touchline.sources.demo as demo
-    with open(demo.__file__, "rb") as fh:
-        return hashlib.sha1(fh.read()).hexdigest()[:8]
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
-
-
-def publish_folder(spark: SparkSession, tmp: str, path: str) -> bool:
-    """Move a finished folder into place; False if another writer got there first."""
-    fs, src = _fs_path(spark, tmp)
-    _, dst = _fs_path(spark, path)
-    if fs.exists(dst):
-        return False
-    fs.mkdirs(dst.getParent())
-    return bool(fs.rename(src, dst))
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a file of the input folder is replaced (path, size or time)."""
+    fs, p = fs_path(spark, sf_dir)
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:12]
 
 
 def demo_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return f"{work_root(spark)}/touchline-{LAYOUT}/{_generator_fingerprint()}-{tag}"
+    """The work folder of this session for this state of the input: stored runs are never
+    reused by another process, whose code or input may differ."""
+    app = spark.sparkContext.applicationId
+    return f"{work_root(spark)}/touchline-demo/{app}-{input_state(spark, sf_dir)}"
 
 
 def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
@@ -70,7 +52,7 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
          .sortWithinPartitions("timestamp", "partition", "offset")
          .write.mode("overwrite").parquet(tmp))
         if not publish_folder(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
-            return tmp  # an incomplete folder from a crashed writer holds the name
+            raise RuntimeError(f"{path} holds an incomplete landing: remove it and run again")
     return path
 
 

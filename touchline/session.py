@@ -29,13 +29,8 @@ def build_session(app_name: str = "touchline", master: str | None = None,
     return tune(builder.getOrCreate())
 
 
-# Session settings the pipeline relies on. Constraint propagation is off: with the wide
-# JSON projections of Silver, the optimizer spent seconds per query (and per adaptive
-# re-plan) deriving constraints that never pruned a filter; it has no join to help.
-TUNING = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.constraintPropagation.enabled": "false",
-}
+# Session settings the pipeline relies on.
+TUNING = {"spark.sql.session.timeZone": "UTC"}
 
 
 def session_key(spark: SparkSession) -> tuple:
@@ -66,6 +61,8 @@ def work_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="touchline-")
         if sc is not None:
             sc.setCheckpointDir(root)

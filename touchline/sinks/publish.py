@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 
 def message_key(key: str | Column | None = None, id_field: str = "id") -> Column:
-    """The key given, else the object's id, else ``'unknown'`` (as text)."""
-    if key is not None:
-        k = F.col(key) if isinstance(key, str) else key
-        return k.cast("string")
-    return F.coalesce(F.col(id_field).cast("string"), F.lit("unknown"))
+    """Per message: the key given, else the object's id, else ``'unknown'`` (as text)."""
+    given = F.lit(None) if key is None else F.col(key) if isinstance(key, str) else key
+    return F.coalesce(given.cast("string"), F.col(id_field).cast("string"), F.lit("unknown"))
 
 
 def to_messages(df: DataFrame, topic: str, key: str | Column | None = None,

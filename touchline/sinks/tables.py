@@ -1,19 +1,25 @@
 """Writers of the layer tables.
 
-Batch writes replace only the day partitions present in the new data (dynamic partition
-overwrite): a run over a 7-day window must not delete older days. Rows are sorted
-within each output partition by the given columns, which gives readers clustered files
-without a global sort (a range shuffle) of the whole table.
+A batch run owns the partitions its window covers: they are replaced as a whole, so a day
+that has become empty is emptied in the table too, and days outside the window stay. Rows are
+sorted within each output partition by the given columns, which gives readers clustered
+files without a global sort (a range shuffle) of the whole table.
+
+Every run appends its row counts to a run log; readers of snapshots follow its newest entry,
+which is written for empty tables as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.config import DATE_PARTS
+from touchline.config import DATE_PARTS, Settings
+from touchline.files import replace_partitions
+from touchline.functions.clock import now
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -24,8 +30,18 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = DATE_PARTS,
-                sort_by: Sequence[str] = (), max_records_per_file: int | None = None) -> int:
-    """Dynamic-overwrite write of a partitioned table; returns the rows written."""
+                sort_by: Sequence[str] = (), max_records_per_file: int | None = None,
+                owned: Callable[[dict[str, str]], bool] | None = None,
+                empty_at: dict | None = None) -> int:
+    """Write a partitioned table; returns the rows written.
+
+    With ``owned`` (a test on partition values), the rows are written aside and then take the
+    place of all partitions that it names. Without, only partitions with new rows are replaced.
+    ``empty_at`` names the partition that holds the schema when a run has no rows at all.
+    """
+    bare = df.drop(*partition_by).limit(0)
+    spark = df.sparkSession
+    target = path if owned is None else f"{path}/.staged-{uuid.uuid4().hex[:12]}"
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     df, obs = counted(df, f"write:{path}")
@@ -34,8 +50,34 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
          .partitionBy(*partition_by))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.save(path)
-    return int(obs.get["rows"])
+    w.save(target)
+    if owned is not None:
+        replace_partitions(spark, target, path, len(partition_by), owned)
+    rows = int(obs.get["rows"])
+    if owned is not None and empty_at and not rows:
+        folder = "/".join(f"{c}={empty_at[c]}" for c in partition_by)
+        bare.coalesce(1).write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
+    return rows
+
+
+RUN_LOG = "layer string, table_name string, rows bigint, run_id string"
+
+
+def log_run(spark: SparkSession, settings: Settings, layer: str, report: dict[str, int]) -> None:
+    """Append the row counts of a run to the layer's run log."""
+    run_id = uuid.uuid4().hex
+    rows = spark.createDataFrame([(layer, t, n, run_id) for t, n in report.items()], RUN_LOG)
+    (rows.coalesce(1).withColumn("run_at", now(settings.as_of))
+     .withColumn("logged_at", F.current_timestamp())
+     .write.mode("append").parquet(settings.path(layer, "run_log")))
+
+
+def newest_runs(spark: SparkSession, settings: Settings, layer: str) -> DataFrame:
+    """Per table of a layer: rows and clock of the newest run."""
+    log = spark.read.parquet(settings.path(layer, "run_log"))
+    newest = F.max_by(F.struct("rows", "run_at"), F.struct("run_at", "logged_at"))
+    return log.groupBy("layer", "table_name").agg(newest.alias("n")).select(
+        "layer", "table_name", "n.rows", "n.run_at")
 
 
 def stream_append(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",

@@ -47,22 +47,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan by ``key`` when it yields fewer tasks than the cluster has cores.
-
-    A table stored as one file with one row group is read by one task, and every narrow
-    step after it (JSON building and parsing) would run on one core. A wide scan (many
-    files or row groups, as on a cluster) is left alone: no shuffle is added there. Hash
-    partitioning (not round-robin) keeps a retried task's input the same.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
-        return df
-    return df.repartition(cores, key) if narrow else df
-
-
 def _ts_plus(ts: Column, unit: str, qty: Column) -> Column:
     return F.timestamp_add(unit, qty, ts)
 
@@ -73,8 +57,8 @@ def _team_name(team_id: Column) -> Column:
 
 def demo_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One football match per order (FIXTURES part C, ``demo_matches``)."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                                    "o_orderdate"), "o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                              "o_orderdate")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     home_id = cust % 20
     away_id = (cust % 20 + 1 + key % 19) % 20
@@ -101,7 +85,7 @@ def demo_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def demo_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match event per ``events`` row (FIXTURES part C, ``demo_match_events``)."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     eid, uid = F.col("event_id"), F.col("user_id")
     return e.select(
         eid.cast("bigint").alias("event_id"),

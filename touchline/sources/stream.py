@@ -20,6 +20,7 @@ class StreamSource:
     servers: str = "localhost:9092"     # kafka: bootstrap servers (an option, never a literal)
     starting_offsets: str = "earliest"  # kafka: data produced before the first start is kept
     max_per_trigger: int | None = None  # rate limit: offsets (kafka) or files per micro-batch
+    fail_on_data_loss: bool = True      # kafka: stop if offsets were lost; False skips them
     path: str | None = None             # files: folder of landed records
     file_format: str = "parquet"
 
@@ -29,7 +30,7 @@ def kafka_options(src: StreamSource) -> dict[str, str]:
         "kafka.bootstrap.servers": src.servers,
         "subscribe": src.topic or "",
         "startingOffsets": src.starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(src.fail_on_data_loss).lower(),
     }
     if src.max_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(src.max_per_trigger)

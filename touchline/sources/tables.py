@@ -31,21 +31,29 @@ def lookback(df: DataFrame, ts_col: str, days_back: int | None, as_of: str | Non
     return df.filter(cond)
 
 
+FROM_SETTINGS = -1  # days_back not given: the setting decides (None means all history)
+
+
 def read_bronze(spark: SparkSession, path: str, settings: Settings,
-                days_back: int | None = None) -> DataFrame:
+                days_back: int | None = FROM_SETTINGS) -> DataFrame:
     """Bronze scan with the ingest-time lookback (default ``settings.bronze_days_back``)."""
-    days = settings.bronze_days_back if days_back is None else days_back
+    days = settings.bronze_days_back if days_back == FROM_SETTINGS else days_back
     df = read_table(spark, path, settings.table_format)
     return lookback(df, "bronze_ingested_at", days, settings.as_of, partitions_follow=True)
 
 
 def read_silver(spark: SparkSession, path: str, settings: Settings,
-                days_back: int | None = None) -> DataFrame:
+                days_back: int | None = FROM_SETTINGS) -> DataFrame:
     """Silver scan with the processing-time lookback (default ``settings.silver_days_back``).
 
-    Silver is partitioned by the ingest date, which comes before the processing time, so
-    no partition cut is implied and none is added.
+    Silver is partitioned by the ingest date. A Silver run reads Bronze at most
+    ``settings.bronze_days_back`` days back, so a row processed after the cut-off was ingested
+    at most that many days before it: with that lookback set, older partitions are skipped.
     """
-    days = settings.silver_days_back if days_back is None else days_back
-    return lookback(read_table(spark, path, settings.table_format), "silver_processed_at",
-                    days, settings.as_of)
+    days = settings.silver_days_back if days_back == FROM_SETTINGS else days_back
+    df = lookback(read_table(spark, path, settings.table_format), "silver_processed_at",
+                  days, settings.as_of)
+    if days is not None and settings.bronze_days_back is not None:
+        first = F.date_sub(today(settings.as_of), days + settings.bronze_days_back)
+        df = df.filter(F.make_date("year", "month", "day") >= first)
+    return df

@@ -15,19 +15,13 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def start_bronze(spark: SparkSession, data_type: str, src: StreamSource, settings: Settings,
-                 bronze_path: str, checkpoint: str, trigger: dict | None = None,
-                 redelivery_window: str | None = None) -> StreamingQuery:
+                 bronze_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Start one stream: broker records -> decode -> stamps -> date parts -> append.
 
-    ``redelivery_window`` (e.g. ``"10 minutes"``) drops exact re-deliveries (same topic,
-    partition and offset) seen within that much broker time; state is kept only for the
-    window. Off by default: the Bronze layer keeps every message, as the reference does.
+    Every message is kept. Exact re-deliveries are dropped downstream by topic, partition and
+    offset (``drop_redeliveries``): a watermark here would lose late messages never seen before.
     """
-    records = record_stream(spark, src)
-    if redelivery_window:
-        records = (records.withWatermark("timestamp", redelivery_window)
-                   .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
-    df = to_bronze(records, data_type, settings)
+    df = to_bronze(record_stream(spark, src), data_type, settings)
     return stream_append(df, bronze_path, checkpoint, settings.table_format,
                          trigger=trigger, query_name=f"bronze_{data_type}")
 
@@ -35,37 +29,30 @@ def start_bronze(spark: SparkSession, data_type: str, src: StreamSource, setting
 def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[str, dict]:
     """Wait until every query ends; if one fails, stop the others and raise.
 
-    Returns the last progress per query (rows, rates) for the run report.
+    Waits on these queries only: streams of other callers in the session neither end
+    the wait nor are stopped. Returns the last progress per query for the run report.
     """
     pending = dict(queries)
-    while pending:
-        try:
-            spark.streams.awaitAnyTermination()
-        except BaseException:  # a failed stream, or an interrupt: stop every stream
-            for q in queries.values():
-                if q.isActive:
-                    q.stop()
-            raise
-        finally:
-            spark.streams.resetTerminated()
-        for name in [n for n, q in pending.items() if not q.isActive]:
-            q = pending.pop(name)
-            if q.exception() is not None:
-                for other in pending.values():
-                    other.stop()
-                raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    try:
+        while pending:
+            for name, q in list(pending.items()):
+                if q.awaitTermination(1 if len(pending) > 1 else 10):  # raises if q failed
+                    del pending[name]
+    except BaseException:  # a failed stream, or an interrupt: stop our streams
+        for q in queries.values():
+            if q.isActive:
+                q.stop()
+        raise
     return {n: (q.lastProgress or {}) for n, q in queries.items()}
 
 
 def run_bronze(spark: SparkSession, sources: dict[str, StreamSource], settings: Settings,
-               trigger: dict | None = AVAILABLE_NOW,
-               redelivery_window: str | None = None) -> dict[str, dict]:
+               trigger: dict | None = AVAILABLE_NOW) -> dict[str, dict]:
     """Start all Bronze streams at once and wait for them (all four run concurrently)."""
     tune(spark)
     queries = {
         dt: start_bronze(spark, dt, src, settings, settings.path("bronze", dt),
-                         settings.path("_checkpoints", "bronze", dt), trigger,
-                         redelivery_window)
+                         settings.path("_checkpoints", "bronze", dt), trigger)
         for dt, src in sources.items()
     }
     return await_all(spark, queries)

@@ -1,14 +1,21 @@
 """Time-to-live de-duplication of polled items as a streaming query.
 
-An item (data type, id) polled again within 30 minutes of a kept copy is dropped; the
-stream keeps per-key state until the watermark passes the first copy's time plus the
-delay, so the state stays bounded by the keys seen in 30 minutes.
+An item (data type, id) polled again within 30 minutes of a kept copy is dropped, as the poller
+does. The state of an item is the broker time of its newest kept copy; a stream that runs on
+drops it after an hour without messages of the item. There is no watermark, so a late message
+is judged like any other: it is a repeat only if a kept copy lies within 30 minutes of it,
+and an item never seen before is always kept. Messages without an id are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchline.config import Settings
 from touchline.operators.ingest import decode_records
@@ -16,22 +23,60 @@ from touchline.plans.workspace import land
 from touchline.sinks.tables import stream_append
 from touchline.sources.stream import StreamSource, record_stream
 from touchline.streaming.bronze import AVAILABLE_NOW, await_all
-from touchline.streaming.incremental import dedupe_within
 
-TTL = "30 minutes"
+TTL_SECONDS = 30 * 60
+ITEM = "data_type string, item_id bigint, kafka_timestamp timestamp"
+
+
+def kept_times(times: np.ndarray, newest: int | None, ttl: int) -> tuple[list[int], int | None]:
+    """The times to keep, in order, and the newest kept one, given the newest kept before."""
+    kept = []
+    for t in np.sort(times).tolist():
+        if newest is None or abs(t - newest) > ttl:
+            kept.append(t)
+            newest = t if newest is None else max(t, newest)
+    return kept, newest
+
+
+def skip_repeats(items: DataFrame, ttl_seconds: int = TTL_SECONDS, expire: bool = False) -> DataFrame:
+    """A stream of items (data_type, item_id, kafka_timestamp) without repeats.
+
+    ``expire`` drops the state of quiet items by the processing clock, which keeps a stream
+    running: leave it off for runs that end when the input is read (``availableNow``).
+    """
+    def judge(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times = np.concatenate([p["t"].to_numpy() for p in parts])
+        before = state.get[0] if state.exists else None
+        kept, newest = kept_times(times, before, ttl_seconds * 1_000_000)
+        state.update((newest,))
+        if expire:
+            state.setTimeoutDuration(2 * ttl_seconds * 1000)
+        if kept:
+            yield pd.DataFrame({"data_type": key[0], "item_id": key[1], "t": kept})
+
+    timed = items.select("data_type", "item_id", F.unix_micros("kafka_timestamp").alias("t"))
+    known = timed.where("item_id is not null").groupBy("data_type", "item_id").applyInPandasWithState(
+        judge, "data_type string, item_id bigint, t bigint", "newest bigint", "append",
+        GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout)
+    return known.union(timed.where("item_id is null")).select(
+        "data_type", "item_id", F.timestamp_micros("t").alias("kafka_timestamp"))
 
 
 def run_ttl_dedup(spark: SparkSession, sf_dir: str, settings: Settings,
-                  data_type: str = "events") -> str:
-    src = StreamSource(kind="files", path=land(spark, sf_dir, data_type, settings.root))
-    items = decode_records(record_stream(spark, src)).select(
-        F.lit(data_type).alias("data_type"),
-        F.get_json_object("raw_json", "$.id").try_cast("bigint").alias("item_id"),
-        "kafka_timestamp")
-    kept = dedupe_within(items, ["data_type", "item_id"], "kafka_timestamp", TTL)
-    out = settings.path("ttl_dedup", data_type)
-    q = stream_append(kept, out, settings.path("_checkpoints", "ttl_dedup", data_type),
-                      "parquet", partition_by=(), trigger=AVAILABLE_NOW,
-                      query_name=f"ttl_dedup_{data_type}")
-    await_all(spark, {data_type: q})
+                  data_types: tuple[str, ...] = ("fixtures", "livescores", "leagues", "events")) -> str:
+    queries, out = {}, settings.path("ttl_dedup")
+    for data_type in data_types:
+        src = StreamSource(kind="files", path=land(spark, sf_dir, data_type, settings.root))
+        items = decode_records(record_stream(spark, src)).select(
+            F.lit(data_type).alias("data_type"),
+            F.get_json_object("raw_json", "$.id").try_cast("bigint").alias("item_id"),
+            "kafka_timestamp")
+        queries[data_type] = stream_append(
+            skip_repeats(items), f"{out}/{data_type}",
+            settings.path("_checkpoints", "ttl_dedup", data_type), "parquet", partition_by=(),
+            trigger=AVAILABLE_NOW, query_name=f"ttl_dedup_{data_type}")
+    await_all(spark, queries)
     return out

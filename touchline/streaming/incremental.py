@@ -1,4 +1,4 @@
-"""Incremental runs on streams: Silver from the Bronze table, keyed de-duplication.
+"""Incremental Silver from the Bronze table, with its dead letters.
 
 The Silver transforms are stateless per row, so a Bronze table read as a file stream,
 refined and appended with a checkpoint gives exactly-once incremental Silver. Run it
@@ -8,9 +8,9 @@ with ``availableNow`` on a schedule: each run processes only files it has not se
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from touchline.config import Settings
+from touchline.operators.quality import dead_letters
 from touchline.operators.refine import REFINERS
 from touchline.schemas import BRONZE_DDL
 from touchline.sinks.tables import stream_append
@@ -27,21 +27,13 @@ def bronze_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def run_silver_incremental(spark: SparkSession, settings: Settings, data_type: str,
                            table: str, trigger: dict | None = AVAILABLE_NOW) -> dict:
+    """Silver rows of new Bronze files, and bad messages as dead letters, as two streams."""
     src = bronze_stream(spark, settings.path("bronze", data_type), settings.table_format)
-    silver = REFINERS[data_type](src, settings)
-    q = stream_append(silver, settings.path("silver_stream", table),
-                      settings.path("_checkpoints", "silver_stream", table),
-                      settings.table_format, trigger=trigger,
-                      query_name=f"silver_stream_{table}")
-    return await_all(spark, {table: q})[table]
-
-
-def dedupe_within(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """Drop a row when a row with the same keys was kept within ``delay`` of event time.
-
-    Streaming: the state of a key lives until the watermark passes its first event time
-    plus ``delay``; rows older than the watermark are late and dropped by the stream.
-    """
-    ts = F.col(event_time).cast("timestamp")
-    return (df.withColumn(event_time, ts).withWatermark(event_time, delay)
-            .dropDuplicatesWithinWatermark(keys))
+    outputs = {table: REFINERS[data_type](src, settings),
+               f"dead_letters_{table}": dead_letters(src, data_type, settings)}
+    return await_all(spark, {
+        name: stream_append(df, settings.path("silver_stream", name),
+                            settings.path("_checkpoints", "silver_stream", name),
+                            settings.table_format, trigger=trigger,
+                            query_name=f"silver_stream_{name}")
+        for name, df in outputs.items()})[table]
