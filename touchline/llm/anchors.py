@@ -48,9 +48,13 @@ def window_minima(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(part[:len(part) - (w - length)], part[w - length:]) if w > length else part
 
 
+ANCHOR_BITS = np.uint64(0xFFFFFFFFFFFF0000)  # anchors are compared by their upper 48 bits
+
+
 def anchors(items: np.ndarray, window: int, k: int) -> np.ndarray:
-    """The anchor of every window."""
-    return window_minima(kgram_hashes(items, k), window - k + 1)
+    """The anchor of every window. Anchors that differ may share 48 bits: a few more
+    windows are then looked at, none less."""
+    return window_minima(kgram_hashes(items, k) & ANCHOR_BITS, window - k + 1)
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

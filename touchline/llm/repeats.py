@@ -2,7 +2,7 @@
 
 Round 1 (``shared_anchors``) sends the anchor hashes of every document to hash buckets and
 keeps those that occur in more than one place: the only windows that can repeat are those
-whose anchor is kept. Round 2 (``located`` and the operators' own search) sends what lies
+whose anchor is kept. Round 2 (``search_windows``) sends what lies
 around kept anchors. Values that repeat inside one task are settled there and sent once,
 so a passage that a third of all documents hold arrives once per task, not once per document.
 
@@ -15,11 +15,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.anchors import anchors, kgram_hashes
-from touchline.llm.tables import mapped, slices, stored, whole
+from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes
+from touchline.llm.tables import mapped, slices, whole
 
 MANY = np.uint32(0xFFFFFFFF)
 LAST = (1 << 63) - 1
@@ -108,7 +109,7 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                 a = np.unique(a)
                 twice = np.zeros(len(a), np.int64)
                 if within:
-                    h, n = np.unique(kgram_hashes(found, k), return_counts=True)
+                    h, n = np.unique(kgram_hashes(found, k) & ANCHOR_BITS, return_counts=True)
                     twice = (n[np.searchsorted(h, a)] > 1).astype(np.int64)
                 parts.append((a, np.full(len(a), len(docs)), twice))
                 docs.append(key)
@@ -168,64 +169,108 @@ def anchor_runs(a: np.ndarray, among: list[int]) -> tuple[np.ndarray, np.ndarray
     return s[kept[s]], e[kept[s]]
 
 
-LOCATED = ("doc_id long, key long, sign long, data binary, plain boolean, spans binary, bucket int, "
-           "block binary")
-_LOCATED_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(),
-                  pa.int32(), pa.binary()]
+LOCATED = "key long, sign long, spans binary, part long, bucket int, block binary"
+_LOCATED_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
 
 
-def located_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows), _LOCATED_KINDS)],
-        [x.split()[0] for x in LOCATED.split(", ")])
+def zipped(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def located(rows: DataFrame, kept: DataFrame, collector: Callable, name: str) -> DataFrame:
-    """The stored rows of round 2. Every document is one row (``plain`` without a kept anchor);
-    the collector adds rows with spans it has settled and rows with blocks for the buckets.
+def unzipped(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
-    ``collector()`` makes an object with ``add(key, sign, data, anchors)``, ``full()`` and
-    ``flush()``; the latter yields (key, sign, spans bytes) and (bucket, block bytes) tuples.
+
+def zipped_rows(rows: DataFrame) -> DataFrame:
+    """The rows with ``data`` compressed, as they are shuffled and stored."""
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in slices(batches):
+            at = batch.schema.get_field_index("data")
+            data = pa.array([pack.compress(x) for x in batch.column(at).to_pylist()], pa.binary())
+            yield batch.set_column(at, "data", data)
+
+    # The filter is what an inner join on the key adds: stated here, both uses share one shuffle.
+    return mapped(rows, rows_of, "doc_id long, key long, sign long, data binary").where("key is not null")
+
+
+def even_parts(df: DataFrame, tasks: int) -> list[int]:
+    """A number for each of ``tasks`` hash partitions that falls into it, so that buckets can be
+    dealt out evenly."""
+    found = (df.sparkSession.range(40 * tasks + 100).select("id", F.pmod(F.hash("id"), F.lit(tasks)).alias("p"))
+             .groupBy("p").agg(F.min("id").alias("id")).collect())
+    return [r["id"] for r in found]
+
+
+def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search: Callable,
+                   tasks: int) -> DataFrame:
+    """Round 2: (key, sign, spans) that documents lose, the spans of a document in several rows.
+
+    ``collector()`` makes an object with ``add(key, sign, data, anchors)``, ``full()`` and ``flush()``;
+    the latter yields (key, sign, packed spans) settled in the task and (bucket, block) tuples.
+    ``search(blocks)`` yields (key, sign, packed spans) of all blocks of one bucket.
     """
+    parts = even_parts(rows, tasks)
+    names = [x.split()[0] for x in LOCATED.split(", ")]
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LOCATED_KINDS)], names)
+
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = collector()
 
         def flushed():
-            out = []
+            out, size = [], 0
             for x in held.flush():
-                out.append((None, x[0], x[1], None, None, x[2], None, None) if len(x) == 3
-                           else (None, None, None, None, None, None, x[0], x[1]))
-                if len(out) == 256:
-                    yield located_batch(out)
-                    out = []
+                if len(x) == 3:
+                    out.append((*x, parts[x[0] % len(parts)], None, None))
+                else:
+                    out.append((None, None, None, parts[x[0] % len(parts)], x[0], zipped(x[1])))
+                size += len(out[-1][2] or out[-1][5])
+                if size > 4 << 20:
+                    yield batch_of(out)
+                    out, size = [], 0
             if out:
-                yield located_batch(out)
+                yield batch_of(out)
 
         for batch in slices(batches):
-            out = []
-            for doc_id, key, sign, data, among in zip(*(c.to_pylist() for c in batch.columns)):
-                if among:
-                    held.add(key, sign, data, among)
-                out.append((doc_id, key, sign, data, not among, None, None, None))
-            yield located_batch(out)
+            for key, sign, data, among in zip(*(batch.column(c).to_pylist()
+                                                for c in ("key", "sign", "data", "anchors"))):
+                held.add(key, sign, unzipped(data), among)
             if held.full():
                 yield from flushed()
         yield from flushed()
 
-    joined = rows.join(kept, "key", "left").select("doc_id", "key", "sign", "data", "anchors")
-    return stored(mapped(joined, locate, LOCATED), name)
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list[bytes]] = {}
+        for batch in batches:
+            settled = batch.filter(batch.column("spans").is_valid())
+            if settled.num_rows:
+                yield settled.select(["key", "sign", "spans"])
+            for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist()):
+                if block is not None:
+                    blocks.setdefault(bucket, []).append(block)
+        for bucket in list(blocks):
+            out = list(zip(*search([unzipped(b) for b in blocks.pop(bucket)])))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(out, _LOCATED_KINDS)], names[:3])
 
+    blocks = mapped(rows.join(kept, "key"), locate, LOCATED).repartition(tasks, "part")
+    return mapped(blocks.select("key", "sign", "spans", "bucket", "block"), searched,
+                  "key long, sign long, spans binary")
 
-def with_spans(found: DataFrame, searched: DataFrame) -> DataFrame:
-    """doc_id, sign, data, spans (array of packed spans, null if none) for every document."""
-    docs = found.where("plain is not null").select("doc_id", "key", "sign", "data", "plain")
-    spans = (found.where("spans is not null").select("key", "sign", "spans")
-             .union(searched.select("key", "sign", "spans"))
-             .groupBy("key", "sign").agg(F.collect_list("spans").alias("spans")))
-    candidates = docs.where("not plain").join(spans, ["key", "sign"], "left")
-    return (candidates.select("doc_id", "sign", "data", "spans")
-            .union(docs.where("plain").select("doc_id", "sign", "data",
-                                              F.lit(None).cast("array<binary>"))))
+
+def with_spans(rows: DataFrame, searched: DataFrame, only_changed: bool = False) -> DataFrame:
+    """doc_id, sign, data, spans (array of packed spans) for every document, or for those with spans.
+
+    The rows are the same frame that round 2 has joined by key, so their shuffle is used again.
+    """
+    spans = (searched.groupBy("key", "sign").agg(F.collect_list("spans").alias("spans"))
+             .select(F.col("key").alias("at_key"), F.col("sign").alias("at_sign"), "spans"))
+    same = (rows["key"] == spans["at_key"]) & (rows["sign"].bitwiseXOR(spans["at_sign"]) == 0)
+    return (rows.join(spans, same, "inner" if only_changed else "left")
+            .select("doc_id", "sign", "data", "spans"))
 
 
 def pack_spans(starts: np.ndarray, ends: np.ndarray) -> bytes:

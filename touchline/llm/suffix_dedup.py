@@ -49,10 +49,9 @@ class Fragments:
             return
         a = anchors(items, self.length, self.k)
         s, e = repeats.anchor_runs(a, among)
-        bucket = repeats.by_bucket(a[s], self.buckets)
         n, first, docs = len(self.docs), self.first, self.docs
         docs.append((key, sign))
-        for b, i, j in zip(bucket.tolist(), s.tolist(), (e + self.length - 1).tolist()):
+        for b, i, j in zip(a[s].tolist(), s.tolist(), (e + self.length - 1).tolist()):
             f = data[i:j]
             held = first.get(f)
             if held is None:
@@ -71,29 +70,35 @@ class Fragments:
             doc, s, e = np.array(self.done, np.int64).T
             for d, spans in repeats.spans_by_doc(doc, s, e):
                 yield (*self.docs[d], spans)
-        by_bucket: dict[int, list] = {}
-        for f, (b, _, *places) in self.first.items():
-            by_bucket.setdefault(b, []).extend((f, d, at) for d, at in places)
-        for b, rows in by_bucket.items():
-            texts, doc, at = zip(*rows)
+        # By anchor and text: alike fragments lie together, and the block packs well.
+        rows = sorted((anchor, f, d, at) for f, (anchor, _, *places) in self.first.items() for d, at in places)
+        anchor = np.array([r[0] for r in rows], np.uint64)
+        cut = np.searchsorted(repeats.by_bucket(anchor, self.buckets), np.arange(self.buckets + 1))
+        for b, (i, j) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
+            if i == j:
+                continue
+            _, texts, doc, at = zip(*rows[i:j])
             used, idx = np.unique(np.array(doc), return_inverse=True)
             ids = np.array([self.docs[d] for d in used], np.int64)
-            head = np.array([len(rows), len(used)], np.int64)
-            yield b, b"".join((head.tobytes(), ids.tobytes(), idx.astype(np.uint32).tobytes(),
+            head = np.array([len(texts), len(used)], np.int64)
+            yield b, b"".join((head.tobytes(), ids.tobytes(), anchor[i:j].tobytes(),
+                               idx.astype(np.uint32).tobytes(),
                                np.array(at, np.uint32).tobytes(),
                                np.array([len(t) for t in texts], np.uint32).tobytes(), *texts))
         self.clear()
 
 
-def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(key and sign per document, document per fragment, start per fragment, fragments)."""
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(key and sign per document; anchor, document and start per fragment; fragments)."""
     n, d = np.frombuffer(block, np.int64, 2)
     ids = np.frombuffer(block, np.int64, 2 * d, 16).reshape(-1, 2)
     at = 16 + 16 * int(d)
+    anchor = np.frombuffer(block, np.uint64, n, at)
+    at += 8 * int(n)
     idx, start, size = (np.frombuffer(block, np.uint32, n, at + 4 * int(n) * i) for i in range(3))
     at += 12 * int(n)
     ends = at + np.cumsum(size.astype(np.int64))
-    return ids, idx, start, [block[i:j] for i, j in zip((ends - size).tolist(), ends.tolist())]
+    return ids, anchor, idx, start, [block[i:j] for i, j in zip((ends - size).tolist(), ends.tolist())]
 
 
 def repeated_windows(texts: list[bytes], owner: np.ndarray, length: int,
@@ -101,6 +106,8 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, length: int,
     """Per text, True for each window whose string a text of a smaller owner holds."""
     size = np.array([len(t) for t in texts], np.int64)
     first = np.concatenate([[0], np.cumsum(size + 1)])
+    if not texts:
+        return []
     with Scratch(memory_bytes) as scratch:
         x = scratch.array(int(first[-1]), np.uint16)
         at = 0
@@ -150,10 +157,11 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, length: int,
 
 def search_shard(blocks: list[bytes], length: int, memory_bytes: int) -> Iterator[tuple[int, int, bytes]]:
     """(key, sign, packed spans) of the byte ranges that a shard's fragments lose."""
-    ids, doc, start, texts, n_docs = [], [], [], [], 0
+    ids, anchor, doc, start, texts, n_docs = [], [], [], [], [], 0
     for b in blocks:
-        i, d, s, t = unpacked(b)
+        i, a, d, s, t = unpacked(b)
         ids.append(i)
+        anchor.append(a)
         doc.append(d.astype(np.int64) + n_docs)
         start.append(s)
         texts += t
@@ -165,13 +173,22 @@ def search_shard(blocks: list[bytes], length: int, memory_bytes: int) -> Iterato
     which = np.array([number.setdefault(t, len(number)) for t in texts])
     lowest = np.full(len(number), repeats.LAST)
     np.minimum.at(lowest, which, key)
-    taken = repeated_windows(list(number), lowest, length, memory_bytes)
-    size = np.array([len(t) for t in number], np.int64)
+    # A fragment with an anchor that no other text has cannot share a string with another one:
+    # only the others are sorted.
+    its = np.zeros(len(number), np.uint64)
+    its[which] = np.concatenate(anchor)
+    _, group, n = np.unique(its, return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(n[group] > 1)
+    distinct = list(number)
+    taken: dict[int, np.ndarray] = dict(zip(mixed.tolist(), repeated_windows(
+        [distinct[i] for i in mixed.tolist()], lowest[mixed], length, memory_bytes)))
+    size = np.array([len(t) for t in distinct], np.int64)
     later = key > lowest[which]
     parts = [(doc[later], start[later], start[later] + size[which[later]])]
-    cut = [i for i in np.flatnonzero(~later).tolist() if taken[which[i]].any()]
-    for i in cut:
-        s, e = runs(taken[which[i]])
+    for i in np.flatnonzero(~later).tolist():
+        if (lost := taken.get(int(which[i]))) is None or not lost.any():
+            continue
+        s, e = runs(lost)
         parts.append((np.full(len(s), doc[i]), start[i] + s, start[i] + e + length - 1))
     doc, s, e = map(np.concatenate, zip(*parts))
     for d, spans in repeats.spans_by_doc(doc, s, e):
@@ -179,45 +196,41 @@ def search_shard(blocks: list[bytes], length: int, memory_bytes: int) -> Iterato
 
 
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                 with_text: bool = True, memory_bytes: int = 192 << 20) -> DataFrame:
+                 with_text: bool = True, memory_bytes: int = 96 << 20,
+                 shards_per_task: int = 16, only_changed: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_text``, sign (xxhash64 of
     the text), kept (bytes), kept_text (without characters that a cut halves) and spans.
 
     A byte goes if a ``length``-byte string that covers it also starts in a document with a smaller
     doc_id. Null texts are empty; rows of one doc_id count as one document and take nothing from
     each other; null doc_ids come after all others; an empty table gives no rows. ``memory_bytes``
-    bounds the sorter's arrays in memory: beyond it they go to files.
+    bounds the sorter's arrays in memory: beyond it they go to files. ``shards_per_task`` shards
+    are sorted one after the other by each of the session's shuffle partitions. ``only_changed``
+    leaves out documents that lose nothing.
     """
-    buckets = repeats.buckets_of(docs)
+    tasks = repeats.buckets_of(docs)
     rows = repeats.keyed(docs, id_col, text_col)
     k = min(ANCHOR_BYTES, length)
     kept = repeats.shared_anchors(rows, as_items, length, k, within=False)
-    found = repeats.located(rows, kept, lambda: Fragments(length, k, buckets), "fragments")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = [b for batch in batches for b in batch.column(0).to_pylist()]
-        if blocks:
-            out = list(zip(*search_shard(blocks, length, memory_bytes)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary()))],
-                    ["key", "sign", "spans"])
-
-    shards = found.where("block is not null").select("bucket", "block").repartition(buckets, "bucket")
-    searched = mapped(shards.select("block"), search, "key long, sign long, spans binary")
+    rows = repeats.zipped_rows(rows)
+    searched = repeats.search_windows(
+        rows, kept, lambda: Fragments(length, k, tasks * shards_per_task),
+        lambda blocks: search_shard(blocks, length, memory_bytes), tasks)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
             for doc_id, sign, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
+                data = repeats.unzipped(data)
                 s, e = merged(*repeats.unpack_spans(spans))
                 cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
                 left = b"".join(data[i:j] for i, j in zip(cuts[::2], cuts[1::2])) if len(s) else data
                 out.append((doc_id, len(data), int((e - s).sum()), len(s),
-                            hashlib.sha256(left).hexdigest(), sign, left,
-                            left.decode("utf-8", "ignore") if with_text else None,
-                            [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())]))
-            cols = list(zip(*out))[:9 if with_text else 5]
+                            hashlib.sha256(left).hexdigest()))
+                if with_text:
+                    out[-1] += (sign, left, left.decode("utf-8", "ignore"),
+                                [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())])
+            cols = list(zip(*out))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary(), pa.string(),
                                         pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
@@ -228,14 +241,14 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + ", sign long, kept binary, kept_text string, spans array<struct<start:long,end:long>>"
               * with_text)
-    return mapped(repeats.with_spans(found, searched), finish, schema)
+    return mapped(repeats.with_spans(rows, searched, only_changed), finish, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
                     text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
     """``docs`` with repeated strings taken out of the text, all rows and columns kept (a document that
     is repeated as a whole has the empty text); ``size_col``, if there is one, follows the text."""
-    changed = (suffix_dedup(docs, length, id_col, text_col, **options).where("n_removed > 0")
+    changed = (suffix_dedup(docs, length, id_col, text_col, only_changed=True, **options)
                .select(F.col("doc_id").alias("__id"), F.col("sign").alias("__sign"),
                        F.col("kept_text").alias("__text")).dropDuplicates(["__id", "__sign"]))
     signed = docs.withColumn("__own", F.xxhash64(whole(text_col)))

@@ -34,7 +34,7 @@ def as_items(data: bytes) -> np.ndarray:
 def first_places(anchor: np.ndarray, window: np.ndarray, key: np.ndarray, start: np.ndarray,
                  ) -> tuple[np.ndarray, np.ndarray]:
     """(later, order): which of the windows come after the earliest equal one (same anchor and
-    window hash, 128 bits in all), in the sorted ``order`` of all windows."""
+    window hash, 112 bits in all), in the sorted ``order`` of all windows."""
     order = np.lexsort((start, key, window, anchor))
     a, w, k, s = anchor[order], window[order], key[order], start[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (w[1:] != w[:-1])])
@@ -139,10 +139,9 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     up to ``length``. Null texts have no words; rows that share a doc_id count as one document;
     null doc_ids come after all others; an empty table gives no rows.
     """
-    buckets = repeats.buckets_of(docs)
+    tasks = repeats.buckets_of(docs)
     rows = repeats.keyed(docs, id_col, text_col)
-    k, kept = min(first_length, length), None
-    level = rows
+    k, level = min(first_length, length), rows
     while True:
         kept = repeats.shared_anchors(level, as_items, length, k, within=True)
         if 2 * k >= length:
@@ -152,36 +151,29 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
             break
         level = rows.join(kept, "key").withColumn("k", F.lit(k))
         k *= 2
-    found = repeats.located(rows, kept, lambda: Windows(length, k, buckets), "windows")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = [b for batch in batches for b in batch.column(0).to_pylist()]
-        out = list(zip(*search_bucket(blocks, length))) if blocks else []
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary()))],
-                ["key", "sign", "spans"])
-
-    blocks = found.where("block is not null").select("bucket", "block").repartition(buckets, "bucket")
-    searched = mapped(blocks.select("block"), search, "key long, sign long, spans binary")
+    rows = repeats.zipped_rows(rows)
+    searched = repeats.search_windows(rows, kept, lambda: Windows(length, k, tasks),
+                                      lambda blocks: search_bucket(blocks, length), tasks)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
             for doc_id, _, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                words = data.split()
+                words = repeats.unzipped(data).split()
                 s, e = merged(*repeats.unpack_spans(spans))
                 left = []
                 for i, j in zip([0, *e.tolist()], [*s.tolist(), len(words)]):
                     left += words[i:j]
                 text = b" ".join(left)
                 out.append((doc_id, len(words), len(words) - len(left),
-                            hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
+                            hashlib.sha256(text).hexdigest()))
+                if with_text:
+                    out[-1] += (text.decode("utf-8", "replace"),)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
-            cols = list(zip(*out))[:5 if with_text else 4]
+            cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
                                              names[:len(cols)])
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    return mapped(repeats.with_spans(found, searched), finish, schema)
+    return mapped(repeats.with_spans(rows, searched), finish, schema)
