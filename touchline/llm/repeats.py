@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes
+from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes, merged
 from touchline.llm.tables import mapped, slices, whole
 
 MANY = np.uint32(0xFFFFFFFF)
@@ -204,7 +204,7 @@ def even_parts(df: DataFrame, tasks: int) -> list[int]:
 
 def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search: Callable,
                    tasks: int) -> DataFrame:
-    """Round 2: (key, sign, spans) that documents lose, the spans of a document in several rows.
+    """Round 2: (key, sign, packed spans) of all documents that lose something.
 
     ``collector()`` makes an object with ``add(key, sign, data, anchors)``, ``full()`` and ``flush()``;
     the latter yields (key, sign, packed spans) settled in the task and (bucket, block) tuples.
@@ -243,31 +243,66 @@ def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list[bytes]] = {}
+        found = []
         for batch in batches:
-            settled = batch.filter(batch.column("spans").is_valid())
-            if settled.num_rows:
-                yield settled.select(["key", "sign", "spans"])
-            for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist()):
-                if block is not None:
-                    blocks.setdefault(bucket, []).append(block)
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[4] is None:
+                    found.append(row[:3])
+                else:
+                    blocks.setdefault(row[3], []).append(row[4])
         for bucket in list(blocks):
-            out = list(zip(*search([unzipped(b) for b in blocks.pop(bucket)])))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, _LOCATED_KINDS)], names[:3])
+            found += search([unzipped(b) for b in blocks.pop(bucket)])
+        # One row per task that gathers, not one per document and bucket.
+        to: dict[int, list] = {}
+        for row in found:
+            to.setdefault(row[0] % len(parts), []).append(row)
+        for p, rows in to.items():
+            yield pa.RecordBatch.from_arrays([pa.array([parts[p]], pa.int64()),
+                                              pa.array([pack_documents(rows)], pa.binary())], ["part", "found"])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans: dict[tuple[int, int], list[bytes]] = {}
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                for key, sign, part in unpack_documents(packed):
+                    spans.setdefault((key, sign), []).append(part)
+        out = []
+        for (key, sign), parts_of in spans.items():
+            out.append((key, sign, pack_spans(*merged(*unpack_spans(parts_of)))))
+            if len(out) == 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LOCATED_KINDS)],
+                                                 names[:3])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LOCATED_KINDS)],
+                                             names[:3])
 
     blocks = mapped(rows.join(kept, "key"), locate, LOCATED).repartition(tasks, "part")
-    return mapped(blocks.select("key", "sign", "spans", "bucket", "block"), searched,
-                  "key long, sign long, spans binary")
+    found = mapped(blocks.select("key", "sign", "spans", "bucket", "block"), searched,
+                   "part long, found binary").repartition(tasks, "part")
+    return mapped(found.select("found"), gathered, "key long, sign long, spans binary")
+
+
+def pack_documents(rows: list[tuple[int, int, bytes]]) -> bytes:
+    head = np.array([(k, s, len(x)) for k, s, x in rows], np.int64)
+    return zipped(np.int64(len(rows)).tobytes() + head.tobytes() + b"".join(x for _, _, x in rows))
+
+
+def unpack_documents(packed: bytes) -> Iterator[tuple[int, int, bytes]]:
+    data = unzipped(packed)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    at = 8 + 24 * n
+    for key, sign, size in np.frombuffer(data, np.int64, 3 * n, 8).reshape(-1, 3).tolist():
+        yield key, sign, data[at:at + size]
+        at += size
 
 
 def with_spans(rows: DataFrame, searched: DataFrame, only_changed: bool = False) -> DataFrame:
-    """doc_id, sign, data, spans (array of packed spans) for every document, or for those with spans.
+    """doc_id, sign, data, spans (packed, merged) for every document, or for those with spans.
 
     The rows are the same frame that round 2 has joined by key, so their shuffle is used again.
     """
-    spans = (searched.groupBy("key", "sign").agg(F.collect_list("spans").alias("spans"))
-             .select(F.col("key").alias("at_key"), F.col("sign").alias("at_sign"), "spans"))
+    spans = searched.select(F.col("key").alias("at_key"), F.col("sign").alias("at_sign"), "spans")
     same = (rows["key"] == spans["at_key"]) & (rows["sign"].bitwiseXOR(spans["at_sign"]) == 0)
     return (rows.join(spans, same, "inner" if only_changed else "left")
             .select("doc_id", "sign", "data", "spans"))

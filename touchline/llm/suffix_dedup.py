@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import repeats
-from touchline.llm.anchors import anchors, merged, runs
+from touchline.llm.anchors import anchors, runs
 from touchline.llm.induced import Scratch, Sorter
 from touchline.llm.tables import mapped, slices, whole
 
@@ -222,7 +222,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             out = []
             for doc_id, sign, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 data = repeats.unzipped(data)
-                s, e = merged(*repeats.unpack_spans(spans))
+                s, e = repeats.unpack_spans([spans] if spans else None)
                 cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
                 left = b"".join(data[i:j] for i, j in zip(cuts[::2], cuts[1::2])) if len(s) else data
                 out.append((doc_id, len(data), int((e - s).sum()), len(s),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import repeats
-from touchline.llm.anchors import anchors, kgram_hashes, merged
+from touchline.llm.anchors import anchors, kgram_hashes
 from touchline.llm.tables import mapped, slices, stored
 
 
@@ -160,7 +160,7 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
             out = []
             for doc_id, _, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 words = repeats.unzipped(data).split()
-                s, e = merged(*repeats.unpack_spans(spans))
+                s, e = repeats.unpack_spans([spans] if spans else None)
                 left = []
                 for i, j in zip([0, *e.tolist()], [*s.tolist(), len(words)]):
                     left += words[i:j]
