@@ -9,6 +9,7 @@ import xxhash
 from tests.llm import data
 from touchline.llm import (embedding_dedup, exact_dedup, induced, repeats, simhash, suffix_dedup,
                            window_dedup)
+from touchline.llm.anchors import anchors
 from touchline.llm.components import components
 
 
@@ -208,6 +209,22 @@ def test_hot_anchor_is_settled_in_its_task():
     assert len(repeats.unplanes(next(r for r in rows if not r[1])[4])) == 1
 
 
+def test_buckets_of_anchors_are_even():
+    """Anchors are smallest hashes; no bucket holds much more than its share of them."""
+    items = np.random.default_rng(1).integers(0, 256, 200_000)
+    for window, k in ((50, 20), (20, 10)):
+        a = np.unique(anchors(items, window, k))
+        for buckets in (8, 24, 200):
+            assert np.bincount(repeats.by_bucket(a, buckets), minlength=buckets).max() < 2 * len(a) / buckets
+
+
+def test_buckets_grow_with_the_text(spark, docs):
+    size = sum(len((r["text"] or "").encode()) for r in docs.collect())
+    assert repeats.buckets_of(docs, "text") == 8
+    assert repeats.buckets_of(docs, "text", 1000) == -(-size // 1000)
+    assert len(set(repeats.even_parts(docs, 100))) == 100
+
+
 def embeddings(spark):
     rng = np.random.default_rng(2)
     rows, v = [], rng.normal(size=(40, 12))

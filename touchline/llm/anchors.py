@@ -51,10 +51,16 @@ def window_minima(h: np.ndarray, w: int) -> np.ndarray:
 ANCHOR_BITS = np.uint64(0xFFFFFFFFFFFF0000)  # anchors are compared by their upper 48 bits
 
 
+def spread(h: np.ndarray) -> np.ndarray:
+    """Times an odd constant: one to one on the upper 48 bits. Smallest hashes crowd at the low end;
+    their products fill the whole range evenly."""
+    return h * _MULTIPLIER
+
+
 def anchors(items: np.ndarray, window: int, k: int) -> np.ndarray:
-    """The anchor of every window. Anchors that differ may share 48 bits: a few more
-    windows are then looked at, none less."""
-    return window_minima(kgram_hashes(items, k) & ANCHOR_BITS, window - k + 1)
+    """The anchor of every window, spread evenly. Anchors that differ may share 48 bits: a few
+    more windows are then looked at, none less."""
+    return spread(window_minima(kgram_hashes(items, k) & ANCHOR_BITS, window - k + 1))
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -19,13 +19,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes, merged
+from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes, merged, spread
 from touchline.llm.tables import mapped, slices, whole
 
 MANY = np.uint32(0xFFFFFFFF)
 LAST = (1 << 63) - 1
 
-PACKED = "bucket int, many boolean, docs binary, at binary, anchors binary"
+PACKED = "bucket long, many boolean, docs binary, at binary, anchors binary"
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -45,8 +45,11 @@ def unplanes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
 
-def buckets_of(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def buckets_of(df: DataFrame, text_col: str, most_bytes: int = 64 << 20) -> int:
+    """A bucket for every ``most_bytes`` of text (each is searched in one task's memory), and at
+    least the session's shuffle partitions."""
+    size = df.agg(F.sum(F.octet_length(whole(text_col)).cast("long"))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // most_bytes))
 
 
 def by_bucket(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -80,20 +83,21 @@ def pack_anchors(values: np.ndarray, owner: np.ndarray, docs: np.ndarray, repeat
 
 
 def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window: int, k: int,
-                   within: bool, limit: int = 3_000_000) -> DataFrame:
+                   within: bool, parts: list[int], limit: int = 3_000_000) -> DataFrame:
     """(key, anchors): the anchors of each document that occur in another one (or, if ``within``,
     at another place of the same document). ``rows`` has key, data and, after an earlier
-    round, that round's ``anchors`` and ``k``: windows without one of them are left out."""
-    buckets = buckets_of(rows)
-    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+    round, that round's ``anchors`` and ``k``: windows without one of them are left out.
+    ``parts`` (see ``even_parts``) names the buckets: each is one task's."""
+    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in PACKED.split(", ")]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, parts, size = [], [], 0
+        docs, found_in, size = [], [], 0
 
         def out():
-            values, owner, repeated = map(np.concatenate, zip(*parts))
-            cols = zip(*pack_anchors(values, owner, np.array(docs, np.int64), repeated, buckets))
+            values, owner, repeated = map(np.concatenate, zip(*found_in))
+            cols = zip(*pack_anchors(values, owner, np.array(docs, np.int64), repeated, len(parts)))
+            cols = [[parts[b] for b in next(cols)], *cols]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
         for batch in slices(batches):
@@ -109,14 +113,14 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                 a = np.unique(a)
                 twice = np.zeros(len(a), np.int64)
                 if within:
-                    h, n = np.unique(kgram_hashes(found, k) & ANCHOR_BITS, return_counts=True)
+                    h, n = np.unique(spread(kgram_hashes(found, k) & ANCHOR_BITS), return_counts=True)
                     twice = (n[np.searchsorted(h, a)] > 1).astype(np.int64)
-                parts.append((a, np.full(len(a), len(docs)), twice))
+                found_in.append((a, np.full(len(a), len(docs)), twice))
                 docs.append(key)
                 size += len(a)
                 if size > limit:
                     yield out()
-                    docs, parts, size = [], [], 0
+                    docs, found_in, size = [], [], 0
         if size:
             yield out()
 
@@ -150,7 +154,7 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                                           ["key", "anchor"])
 
     cols = ["key", "data"] + (["anchors", "k"] if "anchors" in rows.columns else [])
-    packed = mapped(rows.select(*cols), pack, PACKED).repartition("bucket")
+    packed = mapped(rows.select(*cols), pack, PACKED).repartition(len(parts), "bucket")
     return (mapped(packed, find, "key long, anchor long")
             .groupBy("key").agg(F.collect_list("anchor").alias("anchors")))
 
@@ -203,14 +207,13 @@ def even_parts(df: DataFrame, tasks: int) -> list[int]:
 
 
 def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search: Callable,
-                   tasks: int) -> DataFrame:
+                   parts: list[int]) -> DataFrame:
     """Round 2: (key, sign, packed spans) of all documents that lose something.
 
     ``collector()`` makes an object with ``add(key, sign, data, anchors)``, ``full()`` and ``flush()``;
     the latter yields (key, sign, packed spans) settled in the task and (bucket, block) tuples.
     ``search(blocks)`` yields (key, sign, packed spans) of all blocks of one bucket.
     """
-    parts = even_parts(rows, tasks)
     names = [x.split()[0] for x in LOCATED.split(", ")]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
@@ -277,9 +280,9 @@ def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LOCATED_KINDS)],
                                              names[:3])
 
-    blocks = mapped(rows.join(kept, "key"), locate, LOCATED).repartition(tasks, "part")
+    blocks = mapped(rows.join(kept, "key"), locate, LOCATED).repartition(len(parts), "part")
     found = mapped(blocks.select("key", "sign", "spans", "bucket", "block"), searched,
-                   "part long, found binary").repartition(tasks, "part")
+                   "part long, found binary").repartition(len(parts), "part")
     return mapped(found.select("found"), gathered, "key long, sign long, spans binary")
 
 

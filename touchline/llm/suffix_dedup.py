@@ -205,17 +205,17 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     doc_id. Null texts are empty; rows of one doc_id count as one document and take nothing from
     each other; null doc_ids come after all others; an empty table gives no rows. ``memory_bytes``
     bounds the sorter's arrays in memory: beyond it they go to files. ``shards_per_task`` shards
-    are sorted one after the other by each of the session's shuffle partitions. ``only_changed``
-    leaves out documents that lose nothing.
+    are sorted one after the other by each task (a task for every 64 MB of text, at least the session's
+    shuffle partitions). ``only_changed`` leaves out documents that lose nothing.
     """
-    tasks = repeats.buckets_of(docs)
+    parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
     rows = repeats.keyed(docs, id_col, text_col)
     k = min(ANCHOR_BYTES, length)
-    kept = repeats.shared_anchors(rows, as_items, length, k, within=False)
+    kept = repeats.shared_anchors(rows, as_items, length, k, within=False, parts=parts)
     rows = repeats.zipped_rows(rows)
     searched = repeats.search_windows(
-        rows, kept, lambda: Fragments(length, k, tasks * shards_per_task),
-        lambda blocks: search_shard(blocks, length, memory_bytes), tasks)
+        rows, kept, lambda: Fragments(length, k, len(parts) * shards_per_task),
+        lambda blocks: search_shard(blocks, length, memory_bytes), parts)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -139,11 +139,11 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     up to ``length``. Null texts have no words; rows that share a doc_id count as one document;
     null doc_ids come after all others; an empty table gives no rows.
     """
-    tasks = repeats.buckets_of(docs)
+    parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
     rows = repeats.keyed(docs, id_col, text_col)
     k, level = min(first_length, length), rows
     while True:
-        kept = repeats.shared_anchors(level, as_items, length, k, within=True)
+        kept = repeats.shared_anchors(level, as_items, length, k, within=True, parts=parts)
         if 2 * k >= length:
             break
         kept = stored(kept, "level")
@@ -152,8 +152,8 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
         level = rows.join(kept, "key").withColumn("k", F.lit(k))
         k *= 2
     rows = repeats.zipped_rows(rows)
-    searched = repeats.search_windows(rows, kept, lambda: Windows(length, k, tasks),
-                                      lambda blocks: search_bucket(blocks, length), tasks)
+    searched = repeats.search_windows(rows, kept, lambda: Windows(length, k, len(parts)),
+                                      lambda blocks: search_bucket(blocks, length), parts)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
