@@ -225,6 +225,24 @@ def test_buckets_grow_with_the_text(spark, docs):
     assert len(set(repeats.even_parts(docs, 100))) == 100
 
 
+def test_anchors_repeated_in_a_task_reach_documents_only(spark):
+    """What a task has settled stands for no document; a null id (the last key) keeps its own anchors."""
+    text = " ".join(data.texts()[71].split()[:40])
+    other = " ".join(data.texts()[71].split()[40:80])
+    rows = [(1, text), (2, text), (3, text), (4, other)]
+    for extra, keys in (([], {1, 2, 3}), ([(None, other)], {1, 2, 3, 4, repeats.LAST})):
+        docs = spark.createDataFrame(rows + extra, "doc_id long, text string").coalesce(1)
+        kept = repeats.shared_anchors(repeats.keyed(docs, "doc_id", "text"), suffix_dedup.as_items, 50, 20,
+                                      within=False, parts=repeats.even_parts(docs, 4)).collect()
+        assert {r["key"] for r in kept} == keys
+        got = {r["key"]: set(r["anchors"]) for r in kept}
+        assert got[1] == got[2] == got[3]
+        if extra:
+            assert got[4] == got[repeats.LAST]
+            cut = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.suffix_dedup(docs).collect()}
+            assert cut == {1: 0, 2: len(text.encode()), 3: len(text.encode()), 4: 0, None: len(other.encode())}
+
+
 def embeddings(spark):
     rng = np.random.default_rng(2)
     rows, v = [], rng.normal(size=(40, 12))

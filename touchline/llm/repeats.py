@@ -125,7 +125,7 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
             yield out()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, keys = [], []
+        values, keys, real = [], [], []
         for batch in batches:
             for many, docs, at, packed in zip(*(batch.column(c).to_pylist() for c in names[1:])):
                 docs = np.frombuffer(docs, np.int64)
@@ -135,16 +135,18 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                 v = unplanes(packed)
                 at = np.frombuffer(at, np.uint16 if len(at) == 2 * len(v) else np.uint32)
                 keep = at != np.iinfo(at.dtype).max
-                # Many documents of a task hold the others: they count twice here.
+                # Many documents of a task hold the others: they count twice here, and as no document.
                 values += [v, v[~keep]]
-                keys += [np.where(keep, docs[np.where(keep, at, 0)], LAST), np.full((~keep).sum(), LAST)]
+                keys += [docs[np.where(keep, at, 0)], np.zeros((~keep).sum(), np.int64)]
+                real += [keep, np.zeros((~keep).sum(), bool)]
         if not values:
             return
-        values, keys = np.concatenate(values), np.concatenate(keys)
+        values, keys, real = map(np.concatenate, (values, keys, real))
         o = np.argsort(values)
-        values, keys = values[o], keys[o]
+        values, keys, real = values[o], keys[o], real[o]
         same = values[1:] == values[:-1]
         found = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        found &= real
         for i in range(0, len(values), 1 << 18):
             f = found[i:i + (1 << 18)]
             yield pairs(keys[i:i + (1 << 18)][f], values[i:i + (1 << 18)][f])
