@@ -243,6 +243,53 @@ def test_anchors_repeated_in_a_task_reach_documents_only(spark):
             assert cut == {1: 0, 2: len(text.encode()), 3: len(text.encode()), 4: 0, None: len(other.encode())}
 
 
+@pytest.mark.parametrize("most, memory", [(1 << 20, 96 << 20), (3000, 512), (200, 96 << 20)])
+def test_hot_shard_is_sorted_in_parts(monkeypatch, most, memory):
+    """Documents that hold one passage between different texts give one anchor different fragments; all of
+    them in one shard are never sorted at once, and lose what brute force says."""
+    rng = np.random.default_rng(4)
+    passage, *around = (bytes(rng.integers(97, 100, n, np.uint8)) for n in [200] + [60] * 120)
+    texts = {i: around[i] + passage + around[60 + i] for i in range(60)}
+    texts |= {60: b"x" * 300, 61: b"x" * 200, 62: texts[3], 63: passage[40:] + passage}
+    a = [anchors(suffix_dedup.as_items(t), 50, 20) for t in texts.values()]
+    among = np.unique(np.concatenate(a)).view(np.int64).tolist()
+    found, blocks = [], []
+    for task in (0, 1):
+        held = suffix_dedup.Fragments(50, 20, 1)
+        for k, t in texts.items():
+            if k % 2 == task:
+                held.add(k, 0, t, among)
+        for x in held.flush():
+            found.append(x) if len(x) == 3 else blocks.append(x[1])
+    sorted_bytes, plain = [], suffix_dedup.repeated_windows
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda text, at, size, *rest: (
+        sorted_bytes.append(int(size.sum())), plain(text, at, size, *rest))[1])
+    found += suffix_dedup.search_shard(iter(blocks), 50, 20, memory, most)
+    assert 0 < max(sorted_bytes) <= most
+    want = data.byte_spans({k: t.decode() for k, t in texts.items()}, 50)
+    for k, t in texts.items():
+        s, e = repeats.merged(*repeats.unpack_spans([x[2] for x in found if x[0] == k]))
+        left = b"".join(t[i:j] for i, j in zip([0, *e.tolist()], [*s.tolist(), len(t)]))
+        assert (len(t), int((e - s).sum()), len(s), data.sha(left)) == want[k], k
+
+
+def test_suffix_dedup_in_parts(spark, docs):
+    want = data.byte_spans(data.texts(), 50)
+    for r in suffix_dedup.suffix_dedup(docs, memory_bytes=2048, shard_bytes=300, shards_per_task=1).collect():
+        if r["doc_id"] is not None:
+            assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
+
+
+@pytest.mark.parametrize("memory", [0, 40, 1 << 20])
+def test_waiting_blocks(memory):
+    blocks = [(b % 3, bytes([b]) * b) for b in range(20)]
+    with repeats.Blocks(memory) as held:
+        for b, x in blocks:
+            held.add(b, x)
+        assert {b: list(held.take(b)) for b in held.buckets()} == {
+            b: [x for c, x in blocks if c == b] for b in range(3)}
+
+
 def embeddings(spark):
     rng = np.random.default_rng(2)
     rows, v = [], rng.normal(size=(40, 12))

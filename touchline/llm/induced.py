@@ -46,6 +46,31 @@ class Scratch:
         return np.memmap(self.path(), dtype, "w+", shape=(n,))
 
 
+class Column:
+    """Values that are appended: in memory while few, else in a file that is mapped when read."""
+
+    def __init__(self, scratch: Scratch, dtype):
+        self.scratch, self.dtype, self.parts, self.bytes, self.file = scratch, dtype, [], 0, None
+
+    def add(self, values: np.ndarray) -> None:
+        self.parts.append(values.astype(self.dtype))
+        self.bytes += self.parts[-1].nbytes
+        if self.bytes > self.scratch.memory_bytes // 8:
+            if self.file is None:
+                self.file = open(self.scratch.path(), "wb")
+            for p in self.parts:
+                p.tofile(self.file)
+            self.parts, self.bytes = [], 0
+
+    def array(self) -> np.ndarray:
+        if self.file is None:
+            return np.concatenate([np.zeros(0, self.dtype), *self.parts])
+        for p in self.parts:
+            p.tofile(self.file)
+        self.file.close()
+        return np.memmap(self.file.name, self.dtype, "r")
+
+
 class SymbolQueue:
     """Disk-backed priority queue: tuples (symbol, position, common prefix), taken by symbol
     and, of one symbol, in the order they came. Symbols share a bucket of 2**shift symbols."""

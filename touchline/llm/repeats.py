@@ -11,6 +11,7 @@ Rows travel packed (one row per task and bucket), and spans are returned per doc
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -208,13 +209,47 @@ def even_parts(df: DataFrame, tasks: int) -> list[int]:
     return [r["id"] for r in found]
 
 
+class Blocks:
+    """Packed blocks by bucket, in memory while small, else in a private folder's files."""
+
+    def __init__(self, memory_bytes: int):
+        self.memory_bytes, self.held, self.sizes, self.bytes = memory_bytes, {}, {}, 0
+
+    def __enter__(self):
+        self.folder = tempfile.TemporaryDirectory(prefix="blocks-")
+        return self
+
+    def __exit__(self, *failure):
+        self.folder.cleanup()
+
+    def add(self, bucket: int, block: bytes) -> None:
+        self.held.setdefault(bucket, []).append(block)
+        self.bytes += len(block)
+        if self.bytes > self.memory_bytes:
+            for b, parts in self.held.items():
+                with open(f"{self.folder.name}/{b}", "ab") as f:
+                    f.writelines(parts)
+                self.sizes.setdefault(b, []).extend(map(len, parts))
+            self.held, self.bytes = {}, 0
+
+    def buckets(self) -> list[int]:
+        return sorted(self.held.keys() | self.sizes.keys())
+
+    def take(self, bucket: int) -> Iterator[bytes]:
+        if bucket in self.sizes:
+            with open(f"{self.folder.name}/{bucket}", "rb") as f:
+                yield from map(f.read, self.sizes.pop(bucket))
+        yield from self.held.pop(bucket, ())
+
+
 def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search: Callable,
-                   parts: list[int]) -> DataFrame:
+                   parts: list[int], memory_bytes: int = 96 << 20) -> DataFrame:
     """Round 2: (key, sign, packed spans) of all documents that lose something.
 
     ``collector()`` makes an object with ``add(key, sign, data, anchors)``, ``full()`` and ``flush()``;
     the latter yields (key, sign, packed spans) settled in the task and (bucket, block) tuples.
-    ``search(blocks)`` yields (key, sign, packed spans) of all blocks of one bucket.
+    ``search(blocks)`` yields (key, sign, packed spans) of all blocks of one bucket. Blocks wait in the
+    task's own scratch files once they are over ``memory_bytes``.
     """
     names = [x.split()[0] for x in LOCATED.split(", ")]
 
@@ -247,17 +282,24 @@ def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search
         yield from flushed()
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, list[bytes]] = {}
         found = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[4] is None:
-                    found.append(row[:3])
-                else:
-                    blocks.setdefault(row[3], []).append(row[4])
-        for bucket in list(blocks):
-            found += search([unzipped(b) for b in blocks.pop(bucket)])
-        # One row per task that gathers, not one per document and bucket.
+        with Blocks(memory_bytes) as blocks:
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns)):
+                    if row[4] is None:
+                        found.append(row[:3])
+                    else:
+                        blocks.add(row[3], row[4])
+            for bucket in blocks.buckets():
+                for row in search(map(unzipped, blocks.take(bucket))):
+                    found.append(row)
+                    if len(found) == 200_000:
+                        yield from dealt(found)
+                        found = []
+        yield from dealt(found)
+
+    def dealt(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """One row per task that gathers, not one per document and bucket."""
         to: dict[int, list] = {}
         for row in found:
             to.setdefault(row[0] % len(parts), []).append(row)

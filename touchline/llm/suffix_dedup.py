@@ -10,16 +10,17 @@ bytes form a group; its smallest document keeps the string, the others lose it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import repeats
-from touchline.llm.anchors import anchors, runs
-from touchline.llm.induced import Scratch, Sorter
+from touchline.llm.anchors import anchors
+from touchline.llm.induced import Column, Scratch, Sorter
 from touchline.llm.tables import mapped, slices, whole
 
 ANCHOR_BYTES = 20
@@ -88,35 +89,28 @@ class Fragments:
         self.clear()
 
 
-def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(key and sign per document; anchor, document and start per fragment; fragments)."""
-    n, d = np.frombuffer(block, np.int64, 2)
+def unpacked(block: bytes) -> tuple[np.ndarray, ...]:
+    """(key and sign per document; anchor, document, start and size per fragment; text)."""
+    n, d = np.frombuffer(block, np.int64, 2).tolist()
     ids = np.frombuffer(block, np.int64, 2 * d, 16).reshape(-1, 2)
-    at = 16 + 16 * int(d)
+    at = 16 + 16 * d
     anchor = np.frombuffer(block, np.uint64, n, at)
-    at += 8 * int(n)
-    idx, start, size = (np.frombuffer(block, np.uint32, n, at + 4 * int(n) * i) for i in range(3))
-    at += 12 * int(n)
-    ends = at + np.cumsum(size.astype(np.int64))
-    return ids, anchor, idx, start, [block[i:j] for i, j in zip((ends - size).tolist(), ends.tolist())]
+    at += 8 * n
+    idx, start, size = (np.frombuffer(block, np.uint32, n, at + 4 * n * i) for i in range(3))
+    return ids, anchor, idx, start, size, np.frombuffer(block, np.uint8, offset=at + 12 * n)
 
 
-def repeated_windows(texts: list[bytes], owner: np.ndarray, length: int,
-                     memory_bytes: int) -> list[np.ndarray]:
-    """Per text, True for each window whose string a text of a smaller owner holds."""
-    size = np.array([len(t) for t in texts], np.int64)
+def repeated_windows(text: np.ndarray, at: np.ndarray, size: np.ndarray, owner: np.ndarray, length: int,
+                     memory_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, start, end) of the runs of windows whose string a piece of a smaller owner holds;
+    pieces are ``size`` bytes of ``text`` from ``at``."""
     first = np.concatenate([[0], np.cumsum(size + 1)])
-    if not texts:
-        return []
+    if not len(at):
+        return (np.zeros(0, np.int64),) * 3
     with Scratch(memory_bytes) as scratch:
         x = scratch.array(int(first[-1]), np.uint16)
-        at = 0
-        for i in range(0, len(texts), 4096):  # symbol 0 ends a text
-            part = np.frombuffer(b"\0".join(texts[i:i + 4096]) + b"\0", np.uint8).astype(np.uint16) + 1
-            ends = first[i + 1:i + 4097] - 1 - at
-            part[ends[ends < len(part)]] = 0
-            x[at:at + len(part)] = part
-            at += len(part)
+        for i, j in steps(size):  # symbol 0 ends a piece
+            x[first[i]:first[j]] = joined(text, at[i:j], size[i:j])
         taken = scratch.array(len(x), bool)
         taken[:] = False
         waiting: list[np.ndarray] = []
@@ -152,52 +146,152 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, length: int,
 
         Sorter(x, scratch, length).run(emit)
         settle()
-        return [np.array(taken[i:i + max(0, n - length + 1)]) for i, n in zip(first.tolist(), size.tolist())]
+        found = [(np.zeros(0, np.int64),) * 3]
+        for i, j in steps(size):
+            p = np.flatnonzero(taken[first[i]:first[j]]) + first[i]
+            piece = np.searchsorted(first, p, side="right") - 1
+            p = p - first[piece]
+            inside = p + length <= size[piece]
+            found.append(runs_of(piece[inside], p[inside]))
+        return tuple(map(np.concatenate, zip(*found)))
 
 
-def search_shard(blocks: list[bytes], length: int, memory_bytes: int) -> Iterator[tuple[int, int, bytes]]:
-    """(key, sign, packed spans) of the byte ranges that a shard's fragments lose."""
-    ids, anchor, doc, start, texts, n_docs = [], [], [], [], [], 0
-    for b in blocks:
-        i, a, d, s, t = unpacked(b)
-        ids.append(i)
-        anchor.append(a)
-        doc.append(d.astype(np.int64) + n_docs)
-        start.append(s)
-        texts += t
-        n_docs += len(i)
-    ids, doc, start = np.concatenate(ids), np.concatenate(doc), np.concatenate(start).astype(np.int64)
-    key = ids[doc, 0]
-    # Equal fragments of several tasks are one string of the smallest document.
-    number: dict[bytes, int] = {}
-    which = np.array([number.setdefault(t, len(number)) for t in texts])
-    lowest = np.full(len(number), repeats.LAST)
-    np.minimum.at(lowest, which, key)
+def steps(size: np.ndarray, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(first, end) of pieces that follow each other, of about ``most_bytes`` (one piece at least)."""
+    ends, i = np.cumsum(size + 1), 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most_bytes, side="right")))
+        yield i, j
+        i = j
+
+
+def joined(text: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces' bytes + 1, a 0 after each."""
+    ends = np.cumsum(size + 1)
+    out = np.zeros(int(ends[-1]), np.uint16)
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    place = np.arange(len(out)) + np.repeat(at - (ends - size - 1), size + 1)
+    out[inside] = text[place[inside]].astype(np.uint16) + 1
+    return out
+
+
+def runs_of(piece: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, start, end) of the runs of consecutive places."""
+    new = np.concatenate([[True], (piece[1:] != piece[:-1]) | (p[1:] != p[:-1] + 1)])[:len(p)]
+    s = np.flatnonzero(new)
+    return piece[s], p[s], p[np.append(s[1:], len(p))[:len(s)] - 1] + 1
+
+
+def cut_pieces(text: np.ndarray, at: np.ndarray, size: np.ndarray, length: int, k: int,
+               part: int, parts: int) -> tuple[np.ndarray, ...]:
+    """(parent, start, size, anchor) of the runs of windows with one anchor of ``k`` bytes that fall to
+    this part of ``parts``."""
+    out = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)]
+    for i, j in steps(size):
+        n = size[i:j]
+        x = joined(text, at[i:j], n)
+        first = np.concatenate([[0], np.cumsum(n + 1)])
+        a = anchors(x, length, k)
+        p = np.flatnonzero(repeats.by_bucket(a, parts) == part)
+        piece = np.searchsorted(first, p, side="right") - 1
+        inside = p - first[piece] + length <= n[piece]
+        p, piece = p[inside], piece[inside]
+        if len(p):
+            new = np.concatenate([[True], (piece[1:] != piece[:-1]) | (p[1:] != p[:-1] + 1) | (a[p[1:]] != a[p[:-1]])])
+            s = np.flatnonzero(new)
+            last = p[np.append(s[1:], len(p)) - 1]
+            out.append((piece[s] + i, p[s] - first[piece[s]], last - p[s] + length, a[p[s]]))
+    return tuple(map(np.concatenate, zip(*out)))
+
+
+def lost_windows(text: np.ndarray, at: np.ndarray, size: np.ndarray, key: np.ndarray, anchor: np.ndarray,
+                 length: int, k: int, memory_bytes: int, most_bytes: int,
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fragment, start, end) of the runs of windows that a fragment of a smaller key holds.
+
+    Fragments are ``size`` bytes of ``text`` from ``at``. More than ``most_bytes`` of them are cut further,
+    by anchors of more bytes, and sorted part by part: equal windows have equal anchors whatever
+    their size, and at ``length`` bytes an anchor is its window's, so that a hot string cannot fill a part.
+    """
+    none = (np.zeros(0, np.int64),) * 3
+    if not len(at):
+        return none
+    view = memoryview(text)
+    hashes = np.empty((len(at), 2), np.uint64)
+    for i in range(0, len(at), 1 << 14):
+        hashes[i:i + (1 << 14)] = np.frombuffer(b"".join(
+            xxhash.xxh3_128_digest(view[a:a + n]) for a, n in zip(at[i:i + (1 << 14)].tolist(),
+                                                                  size[i:i + (1 << 14)].tolist())),
+            np.uint64).reshape(-1, 2)
+    # Equal fragments are one string of the smallest document.
+    o = np.lexsort((key, hashes[:, 1], hashes[:, 0]))
+    h = hashes[o]
+    new = np.concatenate([[True], (h[1:] != h[:-1]).any(axis=1)])
+    which = np.empty(len(o), np.int64)
+    which[o] = np.cumsum(new) - 1
+    one = o[new]
+    del hashes, h, o, new
+    lowest = key[one]
     # A fragment with an anchor that no other text has cannot share a string with another one:
     # only the others are sorted.
-    its = np.zeros(len(number), np.uint64)
-    its[which] = np.concatenate(anchor)
-    _, group, n = np.unique(its, return_inverse=True, return_counts=True)
+    _, group, n = np.unique(anchor[one], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(n[group] > 1)
-    distinct = list(number)
-    taken: dict[int, np.ndarray] = dict(zip(mixed.tolist(), repeated_windows(
-        [distinct[i] for i in mixed.tolist()], lowest[mixed], length, memory_bytes)))
-    size = np.array([len(t) for t in distinct], np.int64)
+    its_at, its_size, its_key = at[one[mixed]], size[one[mixed]], lowest[mixed]
+    total = int(its_size.sum())
+    found = [none]
+    if total <= most_bytes or k >= length:
+        found.append(repeated_windows(text, its_at, its_size, its_key, length, memory_bytes))
+    else:
+        longer, parts = (k + length + 1) // 2, 4 * -(-total // most_bytes)
+        for part in range(parts):
+            parent, off, n, a = cut_pieces(text, its_at, its_size, length, longer, part, parts)
+            again = n - length  # at full length, a piece is one window that follows itself
+            if longer == length:
+                n = np.full(len(n), length)
+            f, s, e = lost_windows(text, its_at[parent] + off, n, its_key[parent], a, length, longer,
+                                   memory_bytes, most_bytes)
+            if longer == length:
+                e = e + again[f]
+            found.append((parent[f], off[f] + s, off[f] + e))
+    piece, s, e = map(np.concatenate, zip(*found))
+    piece = mixed[piece]
+    by = np.argsort(piece, kind="stable")
+    piece, s, e = piece[by], s[by], e[by]
+    # Every place of a string in its smallest document loses the same windows, later ones lose all.
     later = key > lowest[which]
-    parts = [(doc[later], start[later], start[later] + size[which[later]])]
-    for i in np.flatnonzero(~later).tolist():
-        if (lost := taken.get(int(which[i]))) is None or not lost.any():
-            continue
-        s, e = runs(lost)
-        parts.append((np.full(len(s), doc[i]), start[i] + s, start[i] + e + length - 1))
-    doc, s, e = map(np.concatenate, zip(*parts))
-    for d, spans in repeats.spans_by_doc(doc, s, e):
-        yield int(ids[d, 0]), int(ids[d, 1]), spans
+    first = np.flatnonzero(~later)
+    i, j = (np.searchsorted(piece, which[first], side=x) for x in ("left", "right"))
+    times = j - i
+    run = np.arange(times.sum()) + np.repeat(i - np.cumsum(times) + times, times)
+    later = np.flatnonzero(later)
+    return (np.concatenate([later, np.repeat(first, times)]),
+            np.concatenate([np.zeros(len(later), np.int64), s[run]]),
+            np.concatenate([size[later] - length + 1, e[run]]))
+
+
+def search_shard(blocks: Iterable[bytes], length: int, k: int, memory_bytes: int,
+                 most_bytes: int) -> Iterator[tuple[int, int, bytes]]:
+    """(key, sign, packed spans) of the byte ranges that a shard's fragments lose."""
+    with Scratch(memory_bytes) as scratch:
+        kinds = (np.int64, np.uint64, np.int64, np.int64, np.int64, np.uint8)
+        columns, n_docs = [Column(scratch, x) for x in kinds], 0
+        for b in blocks:
+            ids, anchor, doc, *others = unpacked(b)
+            for column, x in zip(columns, (ids.ravel(), anchor, doc.astype(np.int64) + n_docs, *others)):
+                column.add(x)
+            n_docs += len(ids)
+        ids, anchor, doc, start, size, text = (c.array() for c in columns)
+        ids = ids.reshape(-1, 2)
+        f, s, e = lost_windows(text, np.cumsum(size) - size, size, ids[doc, 0], anchor, length, k,
+                               memory_bytes, most_bytes)
+        for d, spans in repeats.spans_by_doc(doc[f], start[f] + s, start[f] + e + length - 1):
+            yield int(ids[d, 0]), int(ids[d, 1]), spans
 
 
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
                  with_text: bool = True, memory_bytes: int = 96 << 20,
-                 shards_per_task: int = 16, only_changed: bool = False) -> DataFrame:
+                 shards_per_task: int = 16, shard_bytes: int = 16 << 20, only_changed: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_text``, sign (xxhash64 of
     the text), kept (bytes), kept_text (without characters that a cut halves) and spans.
 
@@ -206,7 +300,8 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     each other; null doc_ids come after all others; an empty table gives no rows. ``memory_bytes``
     bounds the sorter's arrays in memory: beyond it they go to files. ``shards_per_task`` shards
     are sorted one after the other by each task (a task for every 64 MB of text, at least the session's
-    shuffle partitions). ``only_changed`` leaves out documents that lose nothing.
+    shuffle partitions). Of a shard, ``shard_bytes`` of text at most are sorted at a time: more is split by
+    longer anchors. ``only_changed`` leaves out documents that lose nothing.
     """
     parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
     rows = repeats.keyed(docs, id_col, text_col)
@@ -215,7 +310,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     rows = repeats.zipped_rows(rows)
     searched = repeats.search_windows(
         rows, kept, lambda: Fragments(length, k, len(parts) * shards_per_task),
-        lambda blocks: search_shard(blocks, length, memory_bytes), parts)
+        lambda blocks: search_shard(blocks, length, k, memory_bytes, shard_bytes), parts, memory_bytes)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
