@@ -201,6 +201,16 @@ def test_window_dedup(spark, docs, first_length):
             assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == want[r["doc_id"]], r["doc_id"]
 
 
+def test_no_character_is_made_across_a_cut(spark):
+    """The cut leaves C5 of one character and BC of another, which together would be a third one."""
+    passage = " ".join(data.texts()[71].split()[:20])
+    docs = spark.createDataFrame([(1, f"©{passage}à"), (2, f"ũ{passage}ü"), (3, "left as it is")],
+                                 "doc_id long, text string")
+    got = by_id(suffix_dedup.suffix_dedup(docs).collect())
+    assert bytes(got[2]["kept"]) == b"\xc5\xbc"
+    assert {k: r["kept_text"] for k, r in got.items()} == {1: f"©{passage}à", 2: "", 3: "left as it is"}
+
+
 def test_hot_anchor_is_settled_in_its_task():
     """An anchor of many documents of a task is sent once."""
     docs = np.arange(1000)

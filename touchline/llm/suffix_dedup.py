@@ -319,11 +319,13 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
                 data = repeats.unzipped(data)
                 s, e = repeats.unpack_spans([spans] if spans else None)
                 cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
-                left = b"".join(data[i:j] for i, j in zip(cuts[::2], cuts[1::2])) if len(s) else data
+                pieces = [data[i:j] for i, j in zip(cuts[::2], cuts[1::2])]
+                left = b"".join(pieces) if len(s) else data
                 out.append((doc_id, len(data), int((e - s).sum()), len(s),
                             hashlib.sha256(left).hexdigest()))
                 if with_text:
-                    out[-1] += (sign, left, left.decode("utf-8", "ignore"),
+                    # Piece by piece: bytes on both sides of a cut make no character.
+                    out[-1] += (sign, left, "".join(x.decode("utf-8", "ignore") for x in pieces),
                                 [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())])
             cols = list(zip(*out))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary(), pa.string(),
