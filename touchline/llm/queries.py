@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import (bpe, embedding_dedup, exact_dedup, packing, quality, simhash,
-                           suffix_dedup, url_filter, warc, window_dedup)
+from touchline.llm import (bpe, embedding_dedup, exact_dedup, hard_negatives, mixing, packing, quality,
+                           simhash, suffix_dedup, url_filter, warc, whitening, window_dedup)
 from touchline.llm.tables import read_table
 
 
@@ -58,6 +59,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    read_table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+            .withColumn("deviation", F.col("deviation").try_cast("long")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_url_rules": op2_url_rules,
@@ -69,10 +84,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.ORACLE,
     "op3_embedding_pq": embedding_dedup.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_mixing": mixing.ORACLE,
 }
