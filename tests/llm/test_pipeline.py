@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
 
 
