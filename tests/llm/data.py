@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 
-CLASH = ("keep_id", "digest", "salt", "id", "content", "kept", "key", "data", "spans", "fp", "__x")
+CLASH = ("keep_id", "digest", "salt", "id", "content", "kept", "key", "data", "spans", "fp", "__x", "__id",
+         "__sha", "__digest", "__own", "__sign", "__text", "good_id", "kept_id", "kept_sha", "sign", "tag", "rest",
+         "absent", "changed", "c0", "component_id", "predicted", "shard", "n")
 
 
 def texts(seed: int = 7) -> dict:
@@ -53,41 +55,75 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def byte_spans(found: dict, length: int) -> dict:
-    """doc_id -> (n_bytes, n_removed, n_spans, sha of what stays), by looking at every string."""
-    rows = sorted((k, (t or "").encode()) for k, t in found.items())
+def byte_groups(rows: list, length: int, kept=lambda t, gone: sha(bytes(b for b, g in zip(t, gone) if not g))) -> list:
+    """(bytes removed, sha of what stays) per row (document, text), by looking at every string."""
     first: dict = {}
-    for k, t in rows:
+    texts = [(k, (t or "").encode()) for k, t in rows]
+    for k, t in texts:
         for i in range(len(t) - length + 1):
-            first.setdefault(t[i:i + length], k)
-    out = {}
-    for k, t in rows:
+            first[t[i:i + length]] = min(k, first.get(t[i:i + length], k))
+    out = []
+    for k, t in texts:
         gone = bytearray(len(t))
         for i in range(len(t) - length + 1):
             if first[t[i:i + length]] < k:
                 gone[i:i + length] = b"\1" * length
-        left = bytes(b for b, g in zip(t, gone) if not g)
-        out[k] = (len(t), sum(gone), sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1])), sha(left))
+        out.append((sum(gone), kept(t, gone)))
     return out
 
 
-def word_windows(found: dict, length: int) -> dict:
-    """doc_id -> (n_words, n_removed, sha of the words that stay)."""
-    rows = sorted((k, (t or "").encode().split()) for k, t in found.items())
+def byte_spans(found: dict, length: int) -> dict:
+    """doc_id -> (n_bytes, n_removed, n_spans, sha of what stays), by looking at every string."""
+    out = {}
+    for (k, text), (removed, (left, spans)) in zip(found.items(), byte_groups(
+            list(found.items()), length, lambda t, gone: (
+                sha(bytes(b for b, g in zip(t, gone) if not g)),
+                sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))))):
+        out[k] = (len((text or "").encode()), removed, spans, left)
+    return out
+
+
+def without_spans(found: dict, length: int) -> dict:
+    """doc_id -> text without repeated strings; characters that a cut halves go."""
+    def kept(t, gone):
+        pieces, now = [b""], False
+        for b, g in zip(t, gone):
+            if now and not g:
+                pieces.append(b"")
+            now = bool(g)
+            if not g:
+                pieces[-1] += bytes([b])
+        return "".join(p.decode("utf-8", "ignore") for p in pieces)
+
+    return {k: None if t is None else left for (k, t), (_, left)
+            in zip(found.items(), byte_groups(list(found.items()), length, kept))}
+
+
+def word_groups(rows: list, length: int) -> list:
+    """(words removed, sha of the words that stay) per row (document, text); the rows of one document
+    are places of it that cannot be told apart, so a window there is the first of its kind."""
     first: dict = {}
-    for k, w in rows:
+    texts = [(k, (t or "").encode().split()) for k, t in rows]
+    for k, w in texts:
         for i in range(len(w) - length + 1):
-            first.setdefault(tuple(w[i:i + length]), (k, i))
-    out = {}
-    for k, w in rows:
+            x = tuple(w[i:i + length])
+            first[x] = min((k, i), first.get(x, (k, i)))
+    out = []
+    for k, w in texts:
         gone = [False] * len(w)
         for i in range(len(w) - length + 1):
             if first[tuple(w[i:i + length])] < (k, i):
                 gone[i:i + length] = [True] * length
-        out[k] = (len(w), sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g)))
+        out.append((sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g))))
     return out
 
 
+def word_windows(found: dict, length: int) -> dict:
+    """doc_id -> (n_words, n_removed, sha of the words that stay)."""
+    return {k: (len((t or "").encode().split()), *w)
+            for (k, t), w in zip(found.items(), word_groups(list(found.items()), length))}
+
+
 class Groups:
     """Union-find over ids; the smallest id names a group."""
 

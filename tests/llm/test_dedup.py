@@ -185,9 +185,66 @@ def test_without_repeats_keeps_rows_and_columns(spark, docs):
     rows = out.collect()
     assert len(rows) == docs.count()
     for r in rows:
-        if r["doc_id"] in want and want[r["doc_id"]][1]:
-            assert len((r["text"] or "").encode()) <= want[r["doc_id"]][0] - want[r["doc_id"]][1]
-            assert r["n_chars"] == len(r["text"])
+        assert all(r[c] == f"{c}!" for c in data.CLASH)
+        if r["doc_id"] is not None:
+            assert r["text"] == data.without_spans(data.texts(), 50)[r["doc_id"]]
+            assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Half of the rows without id, one id on half of the others."""
+    found = [t for t in data.texts().values() if t is None or len(t) < 5000] * 2
+    rows = [(None if i % 2 else 7 if i % 4 else 1000 + i, t) for i, t in enumerate(found)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def test_rows_without_id_and_repeated_ids(spark, crowded):
+    """Documents are told apart by key and tag: rows without id by their text, rows of one id stay one document."""
+    rows, docs = crowded
+    named = {(k, t): (k, 0) if k is not None else (1 << 40, data.sha((t or "").encode())) for k, t in rows}
+    order = {k: i for i, k in enumerate(sorted(set(named.values())))}
+    for length, dedup, brute in ((50, suffix_dedup.suffix_dedup, data.byte_groups),
+                                 (20, window_dedup.window_dedup, data.word_groups)):
+        got = dedup(docs).collect()
+        assert len(got) == len(rows)
+        # Among rows without id the order is a hash's, so only what the others lose is fixed.
+        want = brute([(order[named[r]], r[1]) for r in rows if r[0] is not None], length)
+        have = sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got if r["doc_id"] is not None)
+        assert have == sorted((r[0], *w) for r, w in zip([r for r in rows if r[0] is not None], want))
+        # All that a row without id holds and a row with an id holds as well is lost.
+        whole = {t for k, t in rows if k is not None}
+        lost = brute([(order[named[r]], r[1]) for r in rows], length)
+        least = sorted(n for (k, t), (n, _) in zip(rows, lost) if k is None and t in whole)
+        assert sorted(r["n_removed"] for r in got if r["doc_id"] is None and r["n_removed"]) >= [
+            n for n in least if n][:1]
+
+
+def test_anchors_of_a_repeated_id_are_dealt_over_its_texts(spark, crowded):
+    rows, docs = crowded
+    kept = repeats.shared_anchors(repeats.keyed(docs, "doc_id", "text"), suffix_dedup.as_items, 50, 20,
+                                  within=False, parts=repeats.even_parts(docs, 4)).collect()
+    mine = [set(r["anchors"]) for r in kept if r["key"] == 7]
+    assert len(mine) > 10 and max(map(len, mine)) < len(set.union(*mine))
+    assert len({r["key"] for r in kept if r["key"] >= repeats.NAMELESS}) > 10
+
+
+@pytest.mark.parametrize("made", [suffix_dedup.without_repeats, suffix_dedup.suffix_dedup, window_dedup.window_dedup])
+def test_the_texts_are_shuffled_once(spark, made):
+    """One exchange carries the texts; its second use is the same exchange again."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = made(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2
+    carried = [x for x in plan.splitlines() if "Exchange" in x and "data#" in x and "InMemory" not in x]
+    assert len([x for x in carried if "ReusedExchange" in x]) == 1, plan
+    exchanges = [x for x in plan.splitlines() if " Exchange hashpartitioning(key" in x]
+    assert len(exchanges) <= 3, exchanges
 
 
 @pytest.mark.parametrize("first_length", [5, 10, 20])
@@ -214,9 +271,10 @@ def test_no_character_is_made_across_a_cut(spark):
 def test_hot_anchor_is_settled_in_its_task():
     """An anchor of many documents of a task is sent once."""
     docs = np.arange(1000)
-    rows = list(repeats.pack_anchors(np.full(1000, 7, np.uint64), docs, docs, np.zeros(1000, int), 4))
+    rows = list(repeats.pack_anchors(np.full(1000, 7, np.uint64), docs, docs, docs.astype(np.uint16),
+                                     np.zeros(1000, int), 4))
     assert sorted(r[1] for r in rows) == [False, True]
-    assert len(repeats.unplanes(next(r for r in rows if not r[1])[4])) == 1
+    assert len(repeats.unplanes(next(r for r in rows if not r[1])[5])) == 1
 
 
 def test_buckets_of_anchors_are_even():
@@ -236,19 +294,21 @@ def test_buckets_grow_with_the_text(spark, docs):
 
 
 def test_anchors_repeated_in_a_task_reach_documents_only(spark):
-    """What a task has settled stands for no document; a null id (the last key) keeps its own anchors."""
+    """What a task has settled stands for no document; a row without id keeps its own anchors."""
     text = " ".join(data.texts()[71].split()[:40])
     other = " ".join(data.texts()[71].split()[40:80])
     rows = [(1, text), (2, text), (3, text), (4, other)]
-    for extra, keys in (([], {1, 2, 3}), ([(None, other)], {1, 2, 3, 4, repeats.LAST})):
+    for extra in ([], [(None, other)]):
         docs = spark.createDataFrame(rows + extra, "doc_id long, text string").coalesce(1)
         kept = repeats.shared_anchors(repeats.keyed(docs, "doc_id", "text"), suffix_dedup.as_items, 50, 20,
                                       within=False, parts=repeats.even_parts(docs, 4)).collect()
-        assert {r["key"] for r in kept} == keys
+        nameless = {r["key"] for r in kept if r["key"] >= repeats.NAMELESS}
+        assert {r["key"] for r in kept} - nameless == ({1, 2, 3, 4} if extra else {1, 2, 3})
+        assert len(nameless) == len(extra)
         got = {r["key"]: set(r["anchors"]) for r in kept}
         assert got[1] == got[2] == got[3]
         if extra:
-            assert got[4] == got[repeats.LAST]
+            assert got[4] == got[nameless.pop()]
             cut = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.suffix_dedup(docs).collect()}
             assert cut == {1: 0, 2: len(text.encode()), 3: len(text.encode()), 4: 0, None: len(other.encode())}
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchline.llm.tables import stored, whole
+from touchline.llm.tables import free_names, stored, whole
 
 SALTS = 16
 
@@ -93,12 +93,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    own, sha, digest = free_names(docs, "kept_id", "kept_sha", "digest")
     kept = (exact_dedup(docs, id_col, text_col, salts).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")))
-    marked = docs.withColumn("__digest", F.unhex(F.sha2(ascii_lower(F.col(text_col)), 256)))
-    return (marked.join(kept, marked[id_col].eqNullSafe(F.col("__id"))
-                        & (F.col("__digest") == F.col("__sha")), "left_semi")
-            .dropDuplicates([id_col, "__digest"]).drop("__digest"))
+            .select(F.col("doc_id").alias(own), F.unhex("text_sha256").alias(sha)))
+    marked = docs.withColumn(digest, F.unhex(F.sha2(ascii_lower(F.col(text_col)), 256)))
+    return (marked.join(kept, marked[id_col].eqNullSafe(F.col(own))
+                        & (F.col(digest) == F.col(sha)), "left_semi")
+            .dropDuplicates([id_col, digest]).drop(digest))
 
 
 ORACLE = """

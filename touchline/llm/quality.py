@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import mapped, slices, stored, whole
+from touchline.llm.tables import free_names, mapped, slices, stored, whole
 
 NAMES = ("log_bytes", "log_words", "word_bytes", "distinct_words", "distinct_trigrams", "upper",
          "digit", "stop", "symbol", "exclaim", "bar", "space", "non_ascii", "log_lines",
@@ -163,6 +163,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are predicted good, with all their columns. Rows that
     share a doc_id stay if one of them is good."""
+    own, = free_names(docs, "good_id")
     good = (score_documents(docs, labels, threshold, id_col, text_col).where("predicted = 1")
-            .select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(good, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+            .select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(good, docs[id_col].eqNullSafe(F.col(own)), "left_semi")

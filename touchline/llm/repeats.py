@@ -17,24 +17,32 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.anchors import ANCHOR_BITS, anchors, kgram_hashes, merged, spread
 from touchline.llm.tables import mapped, slices, whole
 
 MANY = np.uint32(0xFFFFFFFF)
-LAST = (1 << 63) - 1
+NAMELESS = 1 << 62  # keys of rows without id begin here
 
-PACKED = "bucket long, many boolean, docs binary, at binary, anchors binary"
+PACKED = "bucket long, many boolean, docs binary, tags binary, at binary, anchors binary"
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, key (a null id comes last), sign (tells texts of one id apart) and the text's bytes."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, rest: Column | None = None) -> DataFrame:
+    """doc_id, key (orders documents), sign (tells texts of one id apart), tag (16 bits of it), the
+    text's bytes and, if given, ``rest``.
+
+    A row without id is a document of its own, after all others (ids are below 2^62), that its text
+    names. Documents meet by key and tag, so that an id on many different texts is no hot key.
+    """
     text = whole(text_col)
+    nameless = F.lit(NAMELESS).bitwiseOR(F.xxhash64(text).bitwiseAND(F.lit(NAMELESS - 1)))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"),
-                       F.xxhash64(text).alias("sign"), text.cast("binary").alias("data"))
+                       F.coalesce(F.col(id_col).cast("long"), nameless).alias("key"),
+                       F.xxhash64(text).alias("sign"),
+                       F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tag"),
+                       text.cast("binary").alias("data"), *([rest.alias("rest")] if rest is not None else []))
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -58,8 +66,8 @@ def by_bucket(values: np.ndarray, buckets: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def pack_anchors(values: np.ndarray, owner: np.ndarray, docs: np.ndarray, repeated: np.ndarray,
-                 buckets: int) -> Iterator[tuple]:
+def pack_anchors(values: np.ndarray, owner: np.ndarray, docs: np.ndarray, tags: np.ndarray,
+                 repeated: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows of PACKED for (anchor, document number) pairs of one task."""
     o = np.argsort(values, kind="stable")
     values, owner, repeated = values[o], owner[o], repeated[o]
@@ -68,41 +76,42 @@ def pack_anchors(values: np.ndarray, owner: np.ndarray, docs: np.ndarray, repeat
     many = np.bincount(group, repeated) + np.bincount(group) > 1
     here = many[group]
     if here.any():  # settled here: these documents hold repeated anchors
-        yield (int(docs[0]) % buckets, True, docs.tobytes(), owner[here].astype(np.uint32).tobytes(),
-               values[here].tobytes())
+        yield (int(docs[0]) % buckets, True, docs.tobytes(), tags.tobytes(),
+               owner[here].astype(np.uint32).tobytes(), values[here].tobytes())
     values, owner = values[new], np.where(many, MANY, owner[new]).astype(np.uint32)
     at = np.searchsorted(by_bucket(values, buckets), np.arange(buckets + 1))
     for b, (i, j) in enumerate(zip(at.tolist(), at[1:].tolist())):
         if j > i:
             used, idx = np.unique(owner[i:j], return_inverse=True)
-            ids = docs[np.minimum(used, len(docs) - 1)]
+            its = np.minimum(used, len(docs) - 1)
             small = np.uint16 if len(used) < 1 << 16 else np.uint32
             idx = idx.astype(small)
             if used[-1] == MANY:
                 idx[idx == len(used) - 1] = np.iinfo(small).max
-            yield b, False, ids.tobytes(), idx.tobytes(), planes(values[i:j])
+            yield b, False, docs[its].tobytes(), tags[its].tobytes(), idx.tobytes(), planes(values[i:j])
 
 
 def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window: int, k: int,
                    within: bool, parts: list[int], limit: int = 3_000_000) -> DataFrame:
-    """(key, anchors): the anchors of each document that occur in another one (or, if ``within``,
-    at another place of the same document). ``rows`` has key, data and, after an earlier
+    """(key, tag, anchors): the anchors of each document that occur in another one (or, if ``within``,
+    at another place of the same document). ``rows`` has key, tag, data and, after an earlier
     round, that round's ``anchors`` and ``k``: windows without one of them are left out.
     ``parts`` (see ``even_parts``) names the buckets: each is one task's."""
-    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.bool_(), *[pa.binary()] * 4]
     names = [x.split()[0] for x in PACKED.split(", ")]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, found_in, size = [], [], 0
+        docs, tags, found_in, size = [], [], [], 0
 
         def out():
             values, owner, repeated = map(np.concatenate, zip(*found_in))
-            cols = zip(*pack_anchors(values, owner, np.array(docs, np.int64), repeated, len(parts)))
+            cols = zip(*pack_anchors(values, owner, np.array(docs, np.int64), np.array(tags, np.uint16),
+                                     repeated, len(parts)))
             cols = [[parts[b] for b in next(cols)], *cols]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
         for batch in slices(batches):
-            for key, data, *before in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, tag, data, *before in zip(*(c.to_pylist() for c in batch.columns)):
                 found = items(data)
                 if len(found) < window:
                     continue
@@ -118,48 +127,53 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                     twice = (n[np.searchsorted(h, a)] > 1).astype(np.int64)
                 found_in.append((a, np.full(len(a), len(docs)), twice))
                 docs.append(key)
+                tags.append(tag)
                 size += len(a)
                 if size > limit:
                     yield out()
-                    docs, found_in, size = [], [], 0
+                    docs, tags, found_in, size = [], [], [], 0
         if size:
             yield out()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, keys, real = [], [], []
+        values, keys, marks, real = [], [], [], []
         for batch in batches:
-            for many, docs, at, packed in zip(*(batch.column(c).to_pylist() for c in names[1:])):
-                docs = np.frombuffer(docs, np.int64)
+            for many, docs, tags, at, packed in zip(*(batch.column(c).to_pylist() for c in names[1:])):
+                docs, tags = np.frombuffer(docs, np.int64), np.frombuffer(tags, np.uint16)
                 if many:
-                    yield pairs(docs[np.frombuffer(at, np.uint32)], np.frombuffer(packed, np.uint64))
+                    at = np.frombuffer(at, np.uint32)
+                    yield pairs(docs[at], tags[at], np.frombuffer(packed, np.uint64))
                     continue
                 v = unplanes(packed)
                 at = np.frombuffer(at, np.uint16 if len(at) == 2 * len(v) else np.uint32)
                 keep = at != np.iinfo(at.dtype).max
                 # Many documents of a task hold the others: they count twice here, and as no document.
+                at = np.where(keep, at, 0)
+                none = np.zeros((~keep).sum(), np.int64)
                 values += [v, v[~keep]]
-                keys += [docs[np.where(keep, at, 0)], np.zeros((~keep).sum(), np.int64)]
-                real += [keep, np.zeros((~keep).sum(), bool)]
+                keys += [docs[at], none]
+                marks += [tags[at], none.astype(np.uint16)]
+                real += [keep, none.astype(bool)]
         if not values:
             return
-        values, keys, real = map(np.concatenate, (values, keys, real))
+        values, keys, marks, real = map(np.concatenate, (values, keys, marks, real))
         o = np.argsort(values)
-        values, keys, real = values[o], keys[o], real[o]
+        values, keys, marks, real = values[o], keys[o], marks[o], real[o]
         same = values[1:] == values[:-1]
         found = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         found &= real
         for i in range(0, len(values), 1 << 18):
             f = found[i:i + (1 << 18)]
-            yield pairs(keys[i:i + (1 << 18)][f], values[i:i + (1 << 18)][f])
+            yield pairs(*(c[i:i + (1 << 18)][f] for c in (keys, marks, values)))
 
-    def pairs(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values.view(np.int64))],
-                                          ["key", "anchor"])
+    def pairs(keys: np.ndarray, marks: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(marks.astype(np.int32)),
+                                           pa.array(values.view(np.int64))], ["key", "tag", "anchor"])
 
-    cols = ["key", "data"] + (["anchors", "k"] if "anchors" in rows.columns else [])
+    cols = ["key", "tag", "data"] + (["anchors", "k"] if "anchors" in rows.columns else [])
     packed = mapped(rows.select(*cols), pack, PACKED).repartition(len(parts), "bucket")
-    return (mapped(packed, find, "key long, anchor long")
-            .groupBy("key").agg(F.collect_list("anchor").alias("anchors")))
+    return (mapped(packed, find, "key long, tag int, anchor long")
+            .groupBy("key", "tag").agg(F.collect_set("anchor").alias("anchors")))
 
 
 def member(values: np.ndarray, among: list[int]) -> np.ndarray:
@@ -197,8 +211,8 @@ def zipped_rows(rows: DataFrame) -> DataFrame:
             data = pa.array([pack.compress(x) for x in batch.column(at).to_pylist()], pa.binary())
             yield batch.set_column(at, "data", data)
 
-    # The filter is what an inner join on the key adds: stated here, both uses share one shuffle.
-    return mapped(rows, rows_of, "doc_id long, key long, sign long, data binary").where("key is not null")
+    # The filter is what an inner join by key and tag adds: stated here, both uses share one shuffle.
+    return mapped(rows, rows_of, rows.schema).where("key is not null and tag is not null")
 
 
 def even_parts(df: DataFrame, tasks: int) -> list[int]:
@@ -324,7 +338,8 @@ def search_windows(rows: DataFrame, kept: DataFrame, collector: Callable, search
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _LOCATED_KINDS)],
                                              names[:3])
 
-    blocks = mapped(rows.join(kept, "key"), locate, LOCATED).repartition(len(parts), "part")
+    # All columns, needed or not: a pruned one would make this a shuffle other than the last join's.
+    blocks = mapped(rows.join(kept, ["key", "tag"]), locate, LOCATED).repartition(len(parts), "part")
     found = mapped(blocks.select("key", "sign", "spans", "bucket", "block"), searched,
                    "part long, found binary").repartition(len(parts), "part")
     return mapped(found.select("found"), gathered, "key long, sign long, spans binary")
@@ -344,15 +359,17 @@ def unpack_documents(packed: bytes) -> Iterator[tuple[int, int, bytes]]:
         at += size
 
 
-def with_spans(rows: DataFrame, searched: DataFrame, only_changed: bool = False) -> DataFrame:
-    """doc_id, sign, data, spans (packed, merged) for every document, or for those with spans.
+def with_spans(rows: DataFrame, searched: DataFrame) -> DataFrame:
+    """The rows with their spans (packed, merged; null where nothing is lost).
 
-    The rows are the same frame that round 2 has joined by key, so their shuffle is used again.
+    The rows are the same frame that round 2 has joined by key and tag, so their shuffle is used again.
     """
-    spans = searched.select(F.col("key").alias("at_key"), F.col("sign").alias("at_sign"), "spans")
-    same = (rows["key"] == spans["at_key"]) & (rows["sign"].bitwiseXOR(spans["at_sign"]) == 0)
-    return (rows.join(spans, same, "inner" if only_changed else "left")
-            .select("doc_id", "sign", "data", "spans"))
+    tag = F.col("sign").bitwiseAND(F.lit(0xFFFF)).cast("int")
+    spans = searched.select(F.col("key").alias("at_key"), tag.alias("at_tag"), F.col("sign").alias("at_sign"),
+                            "spans")
+    same = ((rows["key"] == spans["at_key"]) & (rows["tag"] == spans["at_tag"])
+            & (rows["sign"].bitwiseXOR(spans["at_sign"]) == 0))
+    return rows.join(spans, same, "left").select(*rows.columns, "spans")
 
 
 def pack_spans(starts: np.ndarray, ends: np.ndarray) -> bytes:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.components import components, stars
-from touchline.llm.tables import mapped, slices, stored, whole
+from touchline.llm.tables import free_names, mapped, slices, stored, whole
 
 SEED = 42
 
@@ -223,7 +223,8 @@ def keep_one_near(docs: DataFrame, words_in: int = 3, reach: int = 3, id_col: st
                   text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest, with all their columns.
     Rows that share the smallest doc_id all stay; a row without id stays if its component has none."""
+    own, = free_names(docs, "kept_id")
     kept = (simhash_dedup(docs, words_in, reach, id_col, text_col)
             .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+            .select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col(own)), "left_semi")

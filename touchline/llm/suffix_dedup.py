@@ -14,14 +14,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from touchline.llm import repeats
 from touchline.llm.anchors import anchors
 from touchline.llm.induced import Column, Scratch, Sorter
-from touchline.llm.tables import mapped, slices, whole
+from touchline.llm.tables import mapped, slices
 
 ANCHOR_BYTES = 20
 
@@ -289,43 +292,59 @@ def search_shard(blocks: Iterable[bytes], length: int, k: int, memory_bytes: int
             yield int(ids[d, 0]), int(ids[d, 1]), spans
 
 
+def searched_rows(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                  rest: SparkColumn | None = None, memory_bytes: int = 96 << 20, shards_per_task: int = 16,
+                  shard_bytes: int = 16 << 20) -> DataFrame:
+    """Every row (doc_id, key, sign, tag, data compressed, ``rest`` if given) with the spans it loses."""
+    parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
+    k = min(ANCHOR_BYTES, length)
+    kept = repeats.shared_anchors(repeats.keyed(docs, id_col, text_col), as_items, length, k, within=False,
+                                  parts=parts)
+    rows = repeats.zipped_rows(repeats.keyed(docs, id_col, text_col, rest))
+    searched = repeats.search_windows(
+        rows, kept, lambda: Fragments(length, k, len(parts) * shards_per_task),
+        lambda blocks: search_shard(blocks, length, k, memory_bytes, shard_bytes), parts, memory_bytes)
+    return repeats.with_spans(rows, searched)
+
+
+def cut(data: bytes, spans: bytes | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(starts, ends, what stays, piece by piece) of a compressed text and its packed spans."""
+    data = repeats.unzipped(data)
+    s, e = repeats.unpack_spans([spans] if spans else None)
+    cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
+    return s, e, [data[i:j] for i, j in zip(cuts[::2], cuts[1::2])]
+
+
+def as_text(pieces: list[bytes]) -> str:
+    """The text of the pieces without characters that a cut halves: bytes on both sides of a cut make none."""
+    return "".join(x.decode("utf-8", "ignore") for x in pieces)
+
+
 def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                 with_text: bool = True, memory_bytes: int = 96 << 20,
-                 shards_per_task: int = 16, shard_bytes: int = 16 << 20, only_changed: bool = False) -> DataFrame:
+                 with_text: bool = True, **options) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_text``, sign (xxhash64 of
     the text), kept (bytes), kept_text (without characters that a cut halves) and spans.
 
     A byte goes if a ``length``-byte string that covers it also starts in a document with a smaller
     doc_id. Null texts are empty; rows of one doc_id count as one document and take nothing from
-    each other; null doc_ids come after all others; an empty table gives no rows. ``memory_bytes``
+    each other; a row without id is a document of its own after all others, one for all rows of its
+    text; an empty table gives no rows. Of the options, ``memory_bytes``
     bounds the sorter's arrays in memory: beyond it they go to files. ``shards_per_task`` shards
     are sorted one after the other by each task (a task for every 64 MB of text, at least the session's
     shuffle partitions). Of a shard, ``shard_bytes`` of text at most are sorted at a time: more is split by
-    longer anchors. ``only_changed`` leaves out documents that lose nothing.
+    longer anchors.
     """
-    parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
-    rows = repeats.keyed(docs, id_col, text_col)
-    k = min(ANCHOR_BYTES, length)
-    kept = repeats.shared_anchors(rows, as_items, length, k, within=False, parts=parts)
-    rows = repeats.zipped_rows(rows)
-    searched = repeats.search_windows(
-        rows, kept, lambda: Fragments(length, k, len(parts) * shards_per_task),
-        lambda blocks: search_shard(blocks, length, k, memory_bytes, shard_bytes), parts, memory_bytes)
-
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for doc_id, sign, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                data = repeats.unzipped(data)
-                s, e = repeats.unpack_spans([spans] if spans else None)
-                cuts = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(data)]
-                pieces = [data[i:j] for i, j in zip(cuts[::2], cuts[1::2])]
-                left = b"".join(pieces) if len(s) else data
-                out.append((doc_id, len(data), int((e - s).sum()), len(s),
-                            hashlib.sha256(left).hexdigest()))
+            for doc_id, sign, data, spans in zip(*(batch.column(c).to_pylist()
+                                                   for c in ("doc_id", "sign", "data", "spans"))):
+                s, e, pieces = cut(data, spans)
+                left = b"".join(pieces)
+                removed = int((e - s).sum())
+                out.append((doc_id, len(left) + removed, removed, len(s), hashlib.sha256(left).hexdigest()))
                 if with_text:
-                    # Piece by piece: bytes on both sides of a cut make no character.
-                    out[-1] += (sign, left, "".join(x.decode("utf-8", "ignore") for x in pieces),
+                    out[-1] += (sign, left, as_text(pieces),
                                 [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())])
             cols = list(zip(*out))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary(), pa.string(),
@@ -338,21 +357,35 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + ", sign long, kept binary, kept_text string, spans array<struct<start:long,end:long>>"
               * with_text)
-    return mapped(repeats.with_spans(rows, searched, only_changed), finish, schema)
+    return mapped(searched_rows(docs, length, id_col, text_col, **options), finish, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
                     text_col: str = "text", size_col: str = "n_chars", **options) -> DataFrame:
     """``docs`` with repeated strings taken out of the text, all rows and columns kept (a document that
-    is repeated as a whole has the empty text); ``size_col``, if there is one, follows the text."""
-    changed = (suffix_dedup(docs, length, id_col, text_col, only_changed=True, **options)
-               .select(F.col("doc_id").alias("__id"), F.col("sign").alias("__sign"),
-                       F.col("kept_text").alias("__text")).dropDuplicates(["__id", "__sign"]))
-    signed = docs.withColumn("__own", F.xxhash64(whole(text_col)))
-    joined = signed.join(changed, signed[id_col].eqNullSafe(F.col("__id"))
-                         & (F.col("__own") == F.col("__sign")), "left")
-    new = {text_col: F.coalesce("__text", text_col)}
-    if size_col in docs.columns:
-        new[size_col] = F.when(F.col("__text").isNull(), F.col(size_col)).otherwise(
-            F.char_length("__text").cast(docs.schema[size_col].dataType))
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    is repeated as a whole has the empty text); ``size_col``, if there is one, follows the text.
+
+    The other columns travel as one struct beside the compressed text, so that the texts are
+    shuffled once. A null text stays null.
+    """
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(F.col(text_col).isNull().alias("absent"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
+    rows = searched_rows(docs, length, id_col, text_col, rest, **options)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = [as_text(cut(data, spans)[2])
+                   for data, spans in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist())]
+            changed = pa.compute.is_valid(batch.column("spans"))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), changed, batch.column("rest")],
+                                             ["text", "changed", "rest"])
+
+    found = mapped(rows, finish, StructType([StructField("text", StringType()), StructField("changed", BooleanType()),
+                                             rows.schema["rest"]]))
+    held = F.col("rest")
+    new = {c: held.getField(f"c{i}") for i, c in enumerate(others)}
+    new[text_col] = F.when(~held.getField("absent"), F.col("text"))
+    if size_col in new:
+        new[size_col] = F.when(F.col("changed"), F.char_length("text").cast(docs.schema[size_col].dataType)
+                               ).otherwise(new[size_col])
+    return found.select(*[new[c].alias(c) for c in docs.columns])

@@ -11,6 +11,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.session import work_root
 
@@ -35,6 +36,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores before it as make it none of the caller's."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def whole(text: Column | str) -> Column:
     """The text with null read as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -52,7 +64,7 @@ def slices(batches: Iterable[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iter
 _SHIPPED: set[str] = set()
 
 
-def mapped(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+def mapped(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package shipped to the executors by Spark (once a session),
     so that a session needs no ``--py-files``."""
     sc = df.sparkSession.sparkContext

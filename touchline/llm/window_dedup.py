@@ -137,7 +137,7 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     A word goes if a window of ``length`` words that covers it also starts earlier: in a document
     with a smaller doc_id, or earlier in the same one. Levels are first_length, twice that, and so on
     up to ``length``. Null texts have no words; rows that share a doc_id count as one document;
-    null doc_ids come after all others; an empty table gives no rows.
+    a row without id is a document of its own after all others, one for all rows of its text; an empty table gives no rows.
     """
     parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
     rows = repeats.keyed(docs, id_col, text_col)
@@ -149,7 +149,7 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
         kept = stored(kept, "level")
         if kept.isEmpty():
             break
-        level = rows.join(kept, "key").withColumn("k", F.lit(k))
+        level = rows.join(kept, ["key", "tag"]).withColumn("k", F.lit(k))
         k *= 2
     rows = repeats.zipped_rows(rows)
     searched = repeats.search_windows(rows, kept, lambda: Windows(length, k, len(parts)),
@@ -158,7 +158,7 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for doc_id, _, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "spans"))):
                 words = repeats.unzipped(data).split()
                 s, e = repeats.unpack_spans([spans] if spans else None)
                 left = []
