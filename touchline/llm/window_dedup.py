@@ -130,7 +130,7 @@ def search_bucket(blocks: list[bytes], length: int) -> Iterator[tuple[int, int,
         yield int(docs[d, 0]), int(docs[d, 1]), spans
 
 
-def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_col: str = "doc_id",
+def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 5, id_col: str = "doc_id",
                  text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 (and the kept text).
 
@@ -141,17 +141,17 @@ def window_dedup(docs: DataFrame, length: int = 20, first_length: int = 10, id_c
     """
     parts = repeats.even_parts(docs, repeats.buckets_of(docs, text_col))
     rows = repeats.keyed(docs, id_col, text_col)
-    k, level = min(first_length, length), rows
+    k, level, items = min(first_length, length), rows, as_items
+    rows = repeats.zipped_rows(rows)
     while True:
-        kept = repeats.shared_anchors(level, as_items, length, k, within=True, parts=parts)
+        kept = repeats.shared_anchors(level, items, length, k, within=True, parts=parts)
         if 2 * k >= length:
             break
         kept = stored(kept, "level")
         if kept.isEmpty():
             break
         level = rows.join(kept, ["key", "tag"]).withColumn("k", F.lit(k))
-        k *= 2
-    rows = repeats.zipped_rows(rows)
+        k, items = 2 * k, lambda data: as_items(repeats.unzipped(data))
     searched = repeats.search_windows(rows, kept, lambda: Windows(length, k, len(parts)),
                                       lambda blocks: search_bucket(blocks, length), parts)
 
