@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,44 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = fs_path(spark, path)
+    fs.delete(p, True)
+
+
+def children(spark: SparkSession, path: str, older_seconds: int = 0) -> list[str]:
+    """Names in a folder (none if there is no such folder) that are at least so old."""
+    fs, p = fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    latest = (time.time() - older_seconds) * 1000
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.getModificationTime() <= latest or not older_seconds]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file aside and rename it into place; raises if it is there already."""
+    fs, target = fs_path(spark, path)
+    _, aside = fs_path(spark, f"{target.getParent()}/.{target.getName()}-{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(target.getParent())
+    out = fs.create(aside, False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    if fs.exists(target) or not fs.rename(aside, target):
+        fs.delete(aside, False)
+        raise RuntimeError(f"{path} is there already: another writer was first")
+
+
 def publish_folder(spark: SparkSession, tmp: str, path: str) -> bool:
     """Move a finished folder into place; False if another writer got there first."""
     fs, src = fs_path(spark, tmp)
@@ -41,21 +80,3 @@ def partition_folders(spark: SparkSession, path: str, depth: int) -> dict[str, d
                     deeper[f"{folder}/{name}={value}".lstrip("/")] = values | {name: value}
         found = deeper
     return found
-
-
-def replace_partitions(spark: SparkSession, staged: str, path: str, depth: int,
-                       owned: Callable[[dict[str, str]], bool]) -> None:
-    """Put the partitions of ``staged`` into the table at ``path`` and remove every partition
-    there that ``owned(values)`` says belongs to this write, also those now without rows."""
-    fs, root = fs_path(spark, path)
-    fs.mkdirs(root)
-    new = partition_folders(spark, staged, depth)
-    for folder, values in partition_folders(spark, path, depth).items():
-        if folder in new or owned(values):
-            fs.delete(fs_path(spark, f"{path}/{folder}")[1], True)
-    for folder in new:
-        _, target = fs_path(spark, f"{path}/{folder}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(fs_path(spark, f"{staged}/{folder}")[1], target):
-            raise RuntimeError(f"cannot move {staged}/{folder} to {path}/{folder}")
-    fs.delete(fs_path(spark, staged)[1], True)

@@ -85,6 +85,11 @@ def team_performance(rows: DataFrame, settings: Settings, by_venue: bool = False
         F.count(F.lit(1)).alias("matches_played"),
         (F.sum("wins") * 3 + F.sum("draws")).alias("points"),
     )
+    return with_team_figures(stats, settings)
+
+
+def with_team_figures(stats: DataFrame, settings: Settings) -> DataFrame:
+    """Team totals with what follows from them."""
     return stats.withColumns({
         "goal_difference": F.col("total_goals_for") - F.col("total_goals_against"),
         "win_percentage": (F.col("total_wins") / F.col("matches_played") * 100)

@@ -7,6 +7,8 @@ Everything is narrow: no shuffle in this module.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,13 @@ from touchline.functions.clock import now
 from touchline.functions.codes import event_type, is_state
 from touchline.functions.dates import safe_date, safe_hour
 from touchline.schemas import (
-    CORRUPT, EVENT_DDL, FIXTURE_DDL, LEAGUE_DDL, LIVE_SCORE_DDL, with_corrupt,
+    CORRUPT, EVENT_DDL, FIXTURE_DDL, LEAGUE_DDL, LIVE_SCORE_DDL, SCHEMAS, with_corrupt,
 )
 
 MSG = "msg"
 REASON = "bad_reason"
+TARGET = "target"
+ROWS, LETTERS = "rows", "letters"
 # Columns carried from Bronze into every Silver table. The three broker columns order
 # repeated snapshots (latest_snapshot); the reference keeps only the ingest time.
 CARRIED = ["kafka_timestamp", "kafka_partition", "kafka_offset", "bronze_ingested_at"]
@@ -69,10 +73,14 @@ def parsed_with_reason(bronze: DataFrame, ddl: str) -> DataFrame:
     return parse_json(bronze, ddl).withColumn(REASON, bad_reason())
 
 
+def stays(settings: Settings) -> Column:
+    """True for messages that become Silver rows (``partial`` ones do)."""
+    return F.lit(True) if settings.keep_bad_rows else F.col(REASON).isNull() | ~F.col(REASON).isin(*DROPPED_REASONS)
+
+
 def _keep(df: DataFrame, settings: Settings) -> DataFrame:
-    if settings.keep_bad_rows:
-        return df
-    return df.filter(F.col(REASON).isNull() | ~F.col(REASON).isin(*DROPPED_REASONS))
+    """The rows that stay; a frame dealt to targets already (``refine_once``) is kept as is."""
+    return df if TARGET in df.columns else df.filter(stays(settings))
 
 
 def _processed_at(settings: Settings) -> Column:
@@ -92,7 +100,7 @@ def _team(i: int, field: str) -> Column:
     return F.get(F.col(f"{MSG}.participants"), i).getField(field)
 
 
-def refine_fixtures(bronze: DataFrame, settings: Settings) -> DataFrame:
+def refine_fixtures(bronze: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
     """Silver fixtures: 13 scalars, teams by position, match date/hour, live/finished."""
     m = _keep(parsed_with_reason(bronze, FIXTURE_DDL), settings)
     flat = m.select(
@@ -104,7 +112,7 @@ def refine_fixtures(bronze: DataFrame, settings: Settings) -> DataFrame:
           ("starting_at", "result_info", "venue_id", "length", "placeholder", "has_odds")],
         _team(0, "name").alias("home_team"), _team(0, "id").alias("home_team_id"),
         _team(1, "name").alias("away_team"), _team(1, "id").alias("away_team_id"),
-        *_meta("fixtures", settings),
+        *_meta("fixtures", settings), *carry,
     )
     return flat.withColumns({
         "match_date": safe_date("starting_at"),
@@ -118,7 +126,7 @@ def _goals(i: int) -> Column:
     return F.get(F.col(f"{MSG}.scores"), i).getField("score").getField("goals")
 
 
-def refine_live_scores(bronze: DataFrame, settings: Settings) -> DataFrame:
+def refine_live_scores(bronze: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
     """Silver live scores: scores and teams by position, event count, derived totals."""
     m = _keep(parsed_with_reason(bronze, LIVE_SCORE_DDL), settings)
     flat = m.select(
@@ -131,7 +139,7 @@ def refine_live_scores(bronze: DataFrame, settings: Settings) -> DataFrame:
         _team(0, "name").alias("home_team"), _team(0, "id").alias("home_team_id"),
         _team(1, "name").alias("away_team"), _team(1, "id").alias("away_team_id"),
         F.size(F.col(f"{MSG}.events")).alias("events_count"),
-        *_meta("live_scores", settings),
+        *_meta("live_scores", settings), *carry,
     )
     return flat.withColumns({
         "match_date": safe_date("starting_at"),
@@ -152,7 +160,7 @@ def event_fixture_id(settings: Settings) -> Column:
     return F.coalesce(top, meta, key)
 
 
-def refine_events(bronze: DataFrame, settings: Settings) -> DataFrame:
+def refine_events(bronze: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
     """Silver events: 12 fields, event name by code, event date, minutes incl. added time."""
     m = _keep(parsed_with_reason(bronze, EVENT_DDL), settings)
     flat = m.select(
@@ -161,7 +169,7 @@ def refine_events(bronze: DataFrame, settings: Settings) -> DataFrame:
         *[F.col(f"{MSG}.{c}").alias(c) for c in
           ("type_id", "section", "minute", "extra_minute", "result", "player_id",
            "player_name", "related_player_id", "related_player_name", "created_at")],
-        *_meta("events", settings),
+        *_meta("events", settings), *carry,
     )
     return flat.withColumns({
         "event_type": event_type("type_id"),
@@ -170,11 +178,11 @@ def refine_events(bronze: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def refine_leagues(bronze: DataFrame, settings: Settings) -> DataFrame:
+def refine_leagues(bronze: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
     """Silver leagues (the reference stops leagues at Bronze): id and name."""
     m = _keep(parsed_with_reason(bronze, LEAGUE_DDL), settings)
     return m.select(F.col(f"{MSG}.id").alias("league_id"),
-                    F.col(f"{MSG}.name").alias("league_name"), *_meta("leagues", settings))
+                    F.col(f"{MSG}.name").alias("league_name"), *_meta("leagues", settings), *carry)
 
 
 REFINERS = {
@@ -186,3 +194,23 @@ REFINERS = {
 # Silver table name per Bronze data type.
 SILVER_TABLES = {"fixtures": "fixtures", "livescores": "live_scores", "events": "events",
                  "leagues": "leagues"}
+
+LETTER_COLUMNS = ["kafka_key", "raw_json", "kafka_topic", "data_type", "reason", "corrupt_record"]
+
+
+def refine_once(bronze: DataFrame, data_type: str, settings: Settings) -> DataFrame:
+    """Silver rows and dead letters of Bronze rows in one frame, from one parse.
+
+    ``target`` says where a row goes: ``rows`` have the Silver columns, ``letters`` the message with
+    the reason. A partial message goes to both, so it is dealt by a generator, which no
+    filter or union can turn into a second parse.
+    """
+    parsed = parsed_with_reason(bronze, SCHEMAS[data_type])
+    targets = F.array_compact(F.array(F.when(stays(settings), F.lit(ROWS)),
+                                      F.when(F.col(REASON).isNotNull(), F.lit(LETTERS))))
+    dealt = parsed.select("*", F.explode(targets).alias(TARGET))
+    letter = F.col(TARGET) == LETTERS
+    dealt = dealt.withColumns(
+        {c: F.when(letter, F.col(c)) for c in ("raw_json", "kafka_topic", "data_type")}
+        | {"reason": F.when(letter, F.col(REASON)), "corrupt_record": F.when(letter, F.col(f"{MSG}.{CORRUPT}"))})
+    return REFINERS[data_type](dealt, settings, [TARGET, *LETTER_COLUMNS])

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
 from touchline.session import tune
-from touchline.functions.clock import day_before, day_parts, in_days
+from touchline.functions.clock import day_before, in_days
 from touchline.functions.dates import with_date_parts
 from touchline.operators import analytics as A
 from touchline.operators.snapshot import SNAPSHOT_KEYS, latest_snapshot
+from touchline.plans.season import performance, refresh, state_path
+from touchline.sinks.snapshots import snapshot
 from touchline.sinks.tables import log_run, write_table
 from touchline.sources.tables import lookback, read_table
 
@@ -55,11 +57,14 @@ def recent(df: DataFrame, settings: Settings) -> DataFrame:
     return lookback(df, "silver_processed_at", settings.silver_days_back, settings.as_of)
 
 
-def gold_frames(live: DataFrame, events: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """``live`` covers the season window; tables of the recent window filter it."""
+def gold_frames(live: DataFrame, events: DataFrame, settings: Settings,
+                perf: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``live`` covers the season window; tables of the recent window filter it. ``perf`` are team totals
+    that are known already."""
     live_recent = recent(live, settings)
     results = A.match_results(live_recent, settings)
-    perf = A.team_performance(A.team_match_rows(A.match_results(live, settings)), settings)
+    if perf is None:
+        perf = A.team_performance(A.team_match_rows(A.match_results(live, settings)), settings)
     return {
         "match_results": results,
         "team_performance": perf,
@@ -71,24 +76,36 @@ def gold_frames(live: DataFrame, events: DataFrame, settings: Settings) -> dict[
     }
 
 
-def run_gold(spark: SparkSession, settings: Settings) -> dict[str, int]:
-    """Build and write every Gold table; returns rows written per table."""
+def run_gold(spark: SparkSession, settings: Settings, rebuild: bool = False) -> dict[str, int]:
+    """Build and write every Gold table; returns rows written per table.
+
+    Season tables over all history come from stored state that follows the changed Silver days
+    (``season``); ``rebuild`` builds that state anew. A window of days, parity without snapshot reduction,
+    and Silver tables without snapshots (streamed or Delta ones) are read as a whole.
+    """
     tune(spark)
-    # One read of live scores over the season window (standings_days_back; None = all);
-    # the recent window of the other tables is a filter on it (silver_processed_at).
-    live = current_input(spark, settings, "live_scores", LIVE_COLUMNS,
-                         settings.standings_days_back).persist(StorageLevel.MEMORY_AND_DISK)
+    kept_up = (settings.standings_days_back is None and settings.latest_snapshot
+               and snapshot(spark, settings.path(settings.silver_layer, "live_scores")) is not None)
+    perf = None
+    if kept_up:
+        live = refresh(spark, settings, LIVE_COLUMNS, rebuild)
+        if settings.team_key == "name":
+            perf = performance(read_table(spark, state_path(settings, "team_sums"), settings.table_format), settings)
+    else:
+        # One read of live scores over the season window (standings_days_back; None = all);
+        # the recent window of the other tables is a filter on it (silver_processed_at).
+        live = current_input(spark, settings, "live_scores", LIVE_COLUMNS,
+                             settings.standings_days_back).persist(StorageLevel.MEMORY_AND_DISK)
     events = current_input(spark, settings, "events", EVENT_COLUMNS,
                            settings.silver_days_back).persist(StorageLevel.MEMORY_AND_DISK)
     report: dict[str, int] = {}
     today = day_before(settings.as_of, 0)  # the run owns the snapshot of its processing day
     try:
-        for name, df in gold_frames(live, events, settings).items():
+        for name, df in gold_frames(live, events, settings, perf).items():
             report[name] = write_table(with_date_parts(df, "processed_at"),
                                        settings.path("gold", name), settings.table_format,
                                        sort_by=GOLD_SORT[name],
-                                       owned=lambda v: in_days(v, today, today),
-                                       empty_at=day_parts(today))
+                                       owned=lambda v: in_days(v, today, today))
     finally:
         live.unpersist()
         events.unpersist()

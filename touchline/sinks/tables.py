@@ -1,7 +1,8 @@
 """Writers of the layer tables.
 
 A batch run owns the partitions its window covers: they are replaced as a whole, so a day
-that has become empty is emptied in the table too, and days outside the window stay. Rows are
+that has become empty is emptied in the table too, and days outside the window stay. The rows
+become visible with one pointer (``snapshots``). They are
 sorted within each output partition by the given columns, which gives readers clustered
 files without a global sort (a range shuffle) of the whole table.
 
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.config import DATE_PARTS, Settings
-from touchline.files import replace_partitions
 from touchline.functions.clock import now
+from touchline.sinks.snapshots import commit, new_run, table_schema, vacuum
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -28,36 +29,39 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def stage(df: DataFrame, folder: str, fmt: str = "parquet", partition_by: Sequence[str] = DATE_PARTS,
+          sort_by: Sequence[str] = (), max_records_per_file: int | None = None) -> None:
+    """Write the rows of a run into its own folder."""
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    w = df.write.format(fmt).partitionBy(*partition_by)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.save(folder)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = DATE_PARTS,
                 sort_by: Sequence[str] = (), max_records_per_file: int | None = None,
                 owned: Callable[[dict[str, str]], bool] | None = None,
-                empty_at: dict | None = None) -> int:
+                tags: dict[str, object] | None = None, keep: int = 3) -> int:
     """Write a partitioned table; returns the rows written.
 
-    With ``owned`` (a test on partition values), the rows are written aside and then take the
-    place of all partitions that it names. Without, only partitions with new rows are replaced.
-    ``empty_at`` names the partition that holds the schema when a run has no rows at all.
+    With ``owned`` (a test on partition values), the rows take the place of all partitions that it
+    names. Without, only partitions with new rows are replaced. The ``keep`` newest versions stay
+    readable; older ones go a day after they were written. Delta tables keep their own
+    log: there, partitions with new rows are replaced.
     """
-    bare = df.drop(*partition_by).limit(0)
-    spark = df.sparkSession
-    target = path if owned is None else f"{path}/.staged-{uuid.uuid4().hex[:12]}"
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
     df, obs = counted(df, f"write:{path}")
-    w = (df.write.format(fmt).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by))
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.save(target)
-    if owned is not None:
-        replace_partitions(spark, target, path, len(partition_by), owned)
-    rows = int(obs.get["rows"])
-    if owned is not None and empty_at and not rows:
-        folder = "/".join(f"{c}={empty_at[c]}" for c in partition_by)
-        bare.coalesce(1).write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
-    return rows
+    if fmt == "delta":
+        (df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).save(path))
+        return int(obs.get["rows"])
+    base, run = f"{path}/runs", new_run(path)
+    stage(df, f"{base}/{run}", fmt, partition_by, sort_by, max_records_per_file)
+    commit(df.sparkSession, path, table_schema(df, partition_by), base, run, len(partition_by), owned, tags=tags)
+    vacuum(df.sparkSession, [path], base, keep)
+    return int(obs.get["rows"])
 
 
 RUN_LOG = "layer string, table_name string, rows bigint, run_id string"

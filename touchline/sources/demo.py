@@ -47,6 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The few source columns dealt over the session's shuffle partitions: a table may be one file
+    with one row group, and its messages are many times as wide as the columns they are made from."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _ts_plus(ts: Column, unit: str, qty: Column) -> Column:
     return F.timestamp_add(unit, qty, ts)
 
@@ -57,8 +63,8 @@ def _team_name(team_id: Column) -> Column:
 
 def demo_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One football match per order (FIXTURES part C, ``demo_matches``)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                              "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                     "o_orderdate"), "o_orderkey")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     home_id = cust % 20
     away_id = (cust % 20 + 1 + key % 19) % 20
@@ -85,7 +91,7 @@ def demo_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def demo_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match event per ``events`` row (FIXTURES part C, ``demo_match_events``)."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
     eid, uid = F.col("event_id"), F.col("user_id")
     return e.select(
         eid.cast("bigint").alias("event_id"),

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from touchline.config import Settings
 from touchline.functions.clock import today
+from touchline.sinks.snapshots import read_snapshot, snapshot
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """A stored table: its newest snapshot, resolved now, or the folder as it is (streamed tables)."""
+    snap = snapshot(spark, path) if fmt != "delta" else None
+    return read_snapshot(spark, snap, fmt) if snap else spark.read.format(fmt).load(path)
 
 
 def lookback(df: DataFrame, ts_col: str, days_back: int | None, as_of: str | None,
