@@ -45,33 +45,6 @@ def test_replay_equals_batch_and_restart_is_exact(spark, scratch):
     assert read_table(spark, settings.path("silver_stream", "live_scores")).count() == before
 
 
-def test_ttl_dedup_keeps_late_and_expired_items(spark, scratch):
-    """Repeats within 30 minutes of a kept copy go; a repeat after that, a late item never seen
-    and a message without id stay."""
-    from touchline.streaming.bronze import AVAILABLE_NOW
-    from touchline.streaming.dedupe import skip_repeats
-    schema = "data_type string, item_id bigint, kafka_timestamp timestamp"
-    def land(rows):
-        (spark.createDataFrame(rows, "item_id bigint, at string")
-         .selectExpr("'x' as data_type", "item_id", "cast(at as timestamp) as kafka_timestamp")
-         .coalesce(1).write.mode("append").parquet(f"{scratch}/in"))
-    def run():
-        items = spark.readStream.schema(schema).parquet(f"{scratch}/in")
-        q = (skip_repeats(items).writeStream.format("parquet").trigger(**AVAILABLE_NOW)
-             .option("checkpointLocation", f"{scratch}/cp").start(f"{scratch}/out"))
-        assert q.awaitTermination(120)
-    land([(1, "2024-01-01 10:00:00"), (1, "2024-01-01 10:30:00"), (1, "2024-01-01 10:30:01"),
-          (None, "2024-01-01 10:00:00"), (None, "2024-01-01 10:00:00")])
-    run()
-    land([(2, "2024-01-01 07:00:00"),                               # late, never seen
-          (1, "2024-01-01 10:40:00"), (1, "2024-01-01 12:00:00")])  # a repeat, and one after
-    run()
-    got = sorted((str(r.item_id), str(r.kafka_timestamp)[11:16])
-                 for r in spark.read.parquet(f"{scratch}/out").collect())
-    assert got == [("1", "10:00"), ("1", "10:30"), ("1", "12:00"), ("2", "07:00"),
-                   ("None", "10:00"), ("None", "10:00")]
-
-
 def test_waiting_is_not_disturbed_by_other_streams(spark, scratch):
     """Another caller's stream, its failure and a reset of the manager don't touch our wait."""
     from touchline.streaming.bronze import AVAILABLE_NOW, await_all

@@ -78,10 +78,30 @@ def upcoming_fixtures(fixtures: DataFrame, settings: Settings, hours: int = 24)
     return fixtures.filter(start.between(t0, F.timestamp_add("HOUR", F.lit(hours), t0)))
 
 
-def drop_repeats(items: DataFrame, keys: list[str]) -> DataFrame:
-    """Batch form of the time-to-live skip: inside one batch no state expires, so every
-    repeat of a key is dropped (which copy survives is not defined)."""
-    return items.dropDuplicates(keys)
+TTL_SECONDS = 30 * 60  # fixed value: the poller's time to live
+
+
+def skip_repeats(items: DataFrame, keys: list[str], time_col: str = "kafka_timestamp",
+                 ttl_seconds: int = TTL_SECONDS) -> DataFrame:
+    """Batch form of the time-to-live skip over a whole history: of an item's times, in order, one is kept
+    unless a kept one lies less than the time to live before it. Rows: keys and ``time_col``.
+
+    The times of an item are folded on its group's sorted distinct times (its polls, never whole messages);
+    rows whose first key is null have no identity and are all kept.
+    """
+    t = F.unix_micros(time_col)
+    ttl = F.lit(ttl_seconds * 1_000_000)
+    known = items.where(" and ".join(f"{k} is not null" for k in keys))
+    folded = F.aggregate(
+        F.array_sort("times"),
+        F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept")),
+        lambda acc, x: F.when(acc["last"].isNull() | (x - acc["last"] >= ttl),
+                              F.struct(x.alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc),
+        lambda acc: acc["kept"])
+    kept = (known.groupBy(*keys).agg(F.collect_set(t).alias("times"))
+            .select(*keys, F.explode(folded).alias("t")))
+    others = items.where(" or ".join(f"{k} is null" for k in keys)).select(*keys, t.alias("t"))
+    return kept.unionByName(others).select(*keys, F.timestamp_micros("t").alias(time_col))
 
 
 def fetch_summary(live_scores: DataFrame) -> DataFrame:

@@ -164,6 +164,25 @@ select 'leagues', 'sports.leagues', cast(r_regionkey % 3 as int), cast(r_regionk
        timestamp '2023-12-01 00:00:00', null, null, cast(r_regionkey as varchar),
        cast(r_regionkey as varchar) from region"""
 
+# records that land after all others (see sources.demo.late_records): new polls, and a copy of the first
+CTES["late_polls"] = """
+select fixture_id, cast(nth as int) as nth, cast(1000000000000 + fixture_id * 8 + nth as bigint) as kafka_offset,
+       cast(fixture_id % 3 as int) as kafka_partition, cast(null as varchar) as bad_reason, poll_ts, n_polls,
+       case when nth < 5 then poll_ts + to_minutes(cast([-90, -85, -60, -20, 10][nth + 1] as bigint))
+            else timestamp '2024-02-02 00:00:00' + to_minutes(cast(fixture_id % 60 as bigint)) end as kafka_ts
+from (select *, kafka_ts as poll_ts, unnest(generate_series(0, 5)) as nth from live_polls
+      where poll = 0 and fixture_id % 41 = 7) x
+union all
+select fixture_id, 6, kafka_offset, kafka_partition, bad_reason, kafka_ts, n_polls, kafka_ts
+from live_polls where poll = 0 and fixture_id % 41 = 7"""
+# all records with how they reach a stream that has seen the landed ones first and waits a day
+CTES["arrivals"] = """
+select kafka_topic, kafka_partition, kafka_offset, kafka_ts, false as is_late from all_records
+union all
+select 'sports.livescores', kafka_partition, kafka_offset, kafka_ts,
+       kafka_ts <= (select max(kafka_ts) from all_records) - interval 1 day
+from late_polls"""
+
 # Which CTEs each CTE needs (in order).
 _DEPS = {
     "demo_matches": [],
@@ -180,6 +199,8 @@ _DEPS = {
     "standings": ["team_stats"],
     "silver_ls": ["live_polls"],
     "kept_polls": ["live_polls"],
+    "late_polls": ["live_polls"],
+    "arrivals": ["all_records", "late_polls"],
     "all_records": ["live_polls", "event_polls", "demo_matches"],
 }
 

@@ -29,7 +29,11 @@ from touchline.schemas import LIVE_SCORE_DDL
 from touchline.session import tune
 from touchline.sinks.publish import publish, to_messages
 from touchline.sinks.tables import newest_runs
+from touchline.sources.demo import demo_records, late_records
 from touchline.sources.tables import read_bronze, read_silver, read_table
+from touchline.streaming.dashboard import current_dashboard
+from touchline.streaming.dedupe import polled_items
+from touchline.streaming.monitor import corrected_counts, monitor_tables, redelivery_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -448,25 +452,84 @@ def q_upcoming_fixtures(spark, sf_dir):
                                              "away_team")
 
 
-@register("ttl_dedup", with_ctes("""
+_LATE = "fixture_id % 41 = 7"
+_UNREAD = "coalesce(bad_reason in ('empty', 'unparsable'), false)"
+
+
+@register("ttl_dedup", with_ctes(f"""
 select 'events' as data_type, event_id as item_id, cast(floor(epoch(min(kafka_ts))) as bigint) as kept_at
 from event_polls group by event_id
 union all select 'fixtures', fixture_id, cast(epoch(fixture_ts) as bigint) from demo_matches
 union all select 'leagues', cast(r_regionkey as bigint), cast(epoch(timestamp '2023-12-01') as bigint)
 from region
 union all
--- polls 30 minutes apart: the first readable one is kept, and one more than 30 minutes after it
-select 'livescores', case when unread then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
-from (select *, coalesce(bad_reason in ('empty', 'unparsable'), false) as unread,
-             n_polls > 1 and fixture_id % 29 in (1, 2) as first_unread from live_polls) p
-where unread or poll = case when first_unread then 1 else 0 end or (poll = 2 and not first_unread)""",
-                                "event_polls", "demo_matches", "live_polls"))
+-- polls lie exactly 30 minutes apart, so none repeats another; those that cannot be read have no id
+select 'livescores', case when {_UNREAD} then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
+from live_polls
+union all
+-- of the late ones, 90 and 60 minutes before the first poll are far from all that is kept; 20 minutes
+-- before it is too if that poll could not be read, and 10 minutes after it never is
+select 'livescores', case when {_UNREAD} then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
+from late_polls
+where nth in (0, 2, 5) or (nth = 3 and n_polls > 1 and fixture_id % 29 in (1, 2)) or (nth = 6 and {_UNREAD})""",
+                                "event_polls", "demo_matches", "live_polls", "late_polls"))
 def q_ttl_dedup(spark, sf_dir):
     path = R.ttl_store(spark, sf_dir)
     return of_all_types(lambda t: read_table(spark, f"{path}/{t}", "parquet")).select(
         "data_type", "item_id", F.unix_seconds("kafka_timestamp").alias("kept_at"))
 
 
+@register("ttl_dedup_history", with_ctes(f"""
+-- in time order, a poll 20 minutes before the first one is kept, hides it, and lets one 10 minutes after it
+-- stand, which hides the second
+select 'livescores' as data_type, case when {_UNREAD} then null else fixture_id end as item_id,
+       cast(epoch(kafka_ts) as bigint) as kept_at
+from live_polls where {_UNREAD} or not {_LATE} or poll = 2
+union all
+select 'livescores', case when {_UNREAD} then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
+from late_polls where nth in (0, 2, 3, 4, 5) or (nth = 6 and {_UNREAD})
+union all select 'events', event_id, cast(floor(epoch(min(kafka_ts))) as bigint)
+from event_polls group by event_id
+union all select 'fixtures', fixture_id, cast(epoch(fixture_ts) as bigint) from demo_matches
+union all select 'leagues', cast(r_regionkey as bigint), cast(epoch(timestamp '2023-12-01') as bigint)
+from region""", "event_polls", "demo_matches", "live_polls", "late_polls"))
+def q_ttl_dedup_history(spark, sf_dir):
+    items = of_all_types(lambda t: polled_items(demo_records(spark, sf_dir, t), t))
+    items = items.unionByName(polled_items(late_records(spark, sf_dir), "livescores"))
+    return P.skip_repeats(items, ["data_type", "item_id"]).select(
+        "data_type", "item_id", F.unix_seconds("kafka_timestamp").alias("kept_at"))
+
+
+@register("stream_redeliveries", with_ctes("""
+select kafka_topic, count(*) as messages,
+       count(distinct case when not is_late then kafka_partition || '-' || kafka_offset end) as kept,
+       count(distinct kafka_partition || '-' || kafka_offset)
+         - count(distinct case when not is_late then kafka_partition || '-' || kafka_offset end) as late,
+       count(*) - count(distinct kafka_partition || '-' || kafka_offset) as repeats
+from arrivals group by kafka_topic""", "arrivals"))
+def q_stream_redeliveries(spark, sf_dir):
+    out = R.monitor_store(spark, sf_dir)
+    kept, _, late = monitor_tables(spark, out)
+    on_time = spark.read.schema(kept.schema).parquet(f"{out}/on_time")
+    return redelivery_report(kept, late, on_time.unionByName(late))
+
+
+@register("stream_throughput", with_ctes("""
+select kafka_topic, cast(epoch(date_trunc('hour', kafka_ts)) as bigint) as window_start_epoch,
+       count(*) as messages, cast(sum(case when is_late then 1 else 0 end) as bigint) as late
+from arrivals
+where date_trunc('hour', kafka_ts) + interval 1 hour <= (select max(kafka_ts) from arrivals) - interval 1 day
+group by kafka_topic, date_trunc('hour', kafka_ts)""", "arrivals"))
+def q_stream_throughput(spark, sf_dir):
+    _, closed, late = monitor_tables(spark, R.monitor_store(spark, sf_dir))
+    return corrected_counts(closed, late)
+
+
+@register("stream_dashboard", ORACLES["live_dashboard"])
+def q_stream_dashboard(spark, sf_dir):
+    return seconds(current_dashboard(spark, R.dashboard_store(spark, sf_dir)))
+
+
 @register("fetch_summary", with_ctes("""
 select cast(kafka_ts as date) as fetch_date, count(*) as messages,
        count(distinct fixture_id) as games, cast(sum(events_count) as bigint) as events

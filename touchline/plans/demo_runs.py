@@ -16,10 +16,12 @@ from touchline.operators.refine import SILVER_TABLES
 from touchline.plans import lineage as L
 from touchline.plans.gold import run_gold
 from touchline.plans.silver import run_silver
-from touchline.plans.workspace import demo_root, replay_sources
+from touchline.plans.workspace import demo_root, land, land_late, replay_sources
 from touchline.streaming.bronze import run_bronze
+from touchline.streaming.dashboard import run_dashboard
 from touchline.streaming.dedupe import run_ttl_dedup
 from touchline.streaming.incremental import run_silver_incremental
+from touchline.streaming.monitor import run_monitors
 
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
 _DONE: dict = {}
@@ -54,6 +56,28 @@ def ttl_store(spark: SparkSession, sf_dir: str) -> str:
     return _once("ttl_dedup", spark, sf_dir, lambda: run_ttl_dedup(spark, sf_dir, s))
 
 
+def monitor_store(spark: SparkSession, sf_dir: str) -> str:
+    """Two runs of the monitoring streams: over the landed records, then over those that arrive late."""
+    s = store_settings(spark, sf_dir)
+
+    def runs() -> str:
+        for t in ALL_TYPES:
+            land(spark, sf_dir, t, s.root)
+        landed = f"{s.root}/{{landing,late_monitor}}/*"
+        run_monitors(spark, s, landed)
+        land_late(spark, sf_dir, s.root, "late_monitor")
+        return run_monitors(spark, s, landed)
+
+    return _once("monitor", spark, sf_dir, runs)
+
+
+def dashboard_store(spark: SparkSession, sf_dir: str) -> Settings:
+    """The live dashboard over incremental Silver."""
+    s = silver_stream_store(spark, sf_dir)
+    _once("dashboard", spark, sf_dir, lambda: run_dashboard(spark, s))
+    return s
+
+
 def bronze_store(spark: SparkSession, sf_dir: str) -> Settings:
     s = store_settings(spark, sf_dir)
     _once("bronze", spark, sf_dir,

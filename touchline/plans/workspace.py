@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from touchline.config import Settings
 from touchline.files import exists, fs_path, publish_folder
 from touchline.session import work_root
-from touchline.sources.demo import demo_records
+from touchline.sources.demo import demo_records, late_records
 from touchline.sources.stream import StreamSource
 
 
@@ -56,6 +56,18 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
     return path
 
 
+def land_late(spark: SparkSession, sf_dir: str, root: str, folder: str) -> str:
+    """Write the records that arrive after all others (once), beside the landed ones, into a folder that
+    belongs to one reader: it must not see them before its first run."""
+    path = f"{root}/{folder}/livescores"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        tmp = f"{root}/{folder}/.livescores-{uuid.uuid4().hex[:12]}"
+        late_records(spark, sf_dir).write.parquet(tmp)
+        if not publish_folder(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"{path} holds an incomplete landing: remove it and run again")
+    return path
+
+
 def replay_sources(spark: SparkSession, sf_dir: str, settings: Settings,
                    types=("fixtures", "livescores", "leagues", "events"),
                    max_files: int | None = None) -> dict[str, StreamSource]:

@@ -266,6 +266,30 @@ def league_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("r_regionkey"), ts))
 
 
+LATE_CLASS = (41, 7)  # fixtures f with f % 41 = 7 have messages that arrive after all others
+LATE_OFFSETS = 10**12
+# Minutes from the first poll of the messages that arrive late; the last one is new at the end of the replay.
+LATE_MINUTES = (-90, -85, -60, -20, 10)
+FRESH_FROM = "2024-02-02 00:00:00"
+
+
+def late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live-score records that land after all others: polls from before and around the first poll of some
+    started games, a copy of that poll, and one poll after the replay."""
+    every, at = LATE_CLASS
+    started = demo_matches(spark, sf_dir).where(F.col("state_id").isin(2, 3)
+                                                & (F.col("fixture_id") % every == at))
+    fid = F.col("fixture_id")
+    fresh = _ts_plus(F.lit(FRESH_FROM).cast("timestamp"), "MINUTE", (fid % 60).cast("int"))
+    times = F.array(*[_ts_plus(_replay_ts(fid), "MINUTE", F.lit(m)) for m in LATE_MINUTES], fresh)
+    polls = started.select("fixture_id", F.posexplode(times).alias("nth", "ts"))
+    late = polls.select(*_record(fid.cast("string"), F.to_json(F.struct(fid.alias("id"))), TOPICS["livescores"],
+                                 fid % PARTITIONS, F.lit(LATE_OFFSETS) + fid * 8 + F.col("nth"), F.col("ts")))
+    first = live_score_records(spark, sf_dir).where(
+        (F.col("offset") % 3 == 0) & ((F.col("offset") / 3).cast("bigint") % every == at))
+    return late.unionByName(first)
+
+
 RECORDS = {
     "fixtures": fixture_records,
     "livescores": live_score_records,

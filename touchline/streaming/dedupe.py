@@ -1,10 +1,14 @@
 """Time-to-live de-duplication of polled items as a streaming query.
 
-An item (data type, id) polled again within 30 minutes of a kept copy is dropped, as the poller
-does. The state of an item is the broker time of its newest kept copy; a stream that runs on
-drops it after an hour without messages of the item. There is no watermark, so a late message
-is judged like any other: it is a repeat only if a kept copy lies within 30 minutes of it,
-and an item never seen before is always kept. Messages without an id are kept.
+An item (data type, id) polled again less than 30 minutes from a kept copy is dropped, as the poller
+does. Messages are judged batch by batch, in time order within a batch, against all copies kept
+so far, on both sides: whatever order messages arrive in, kept copies of an item are at
+least 30 minutes apart, and each dropped one lies less than 30 minutes from a kept one. For messages in time order that is
+the poller's rule. Messages without an id are kept.
+
+Items are dealt to a fixed number of groups. The state of a group is the kept times of all its
+items, as two packed columns, so that one call judges many items at once, without a frame or a state
+entry per item.
 """
 
 from __future__ import annotations
@@ -19,64 +23,108 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchline.config import Settings
 from touchline.operators.ingest import decode_records
-from touchline.plans.workspace import land
+from touchline.operators.publish import TTL_SECONDS
+from touchline.plans.workspace import land, land_late
 from touchline.sinks.tables import stream_append
 from touchline.sources.stream import StreamSource, record_stream
 from touchline.streaming.bronze import AVAILABLE_NOW, await_all
 
-TTL_SECONDS = 30 * 60
 ITEM = "data_type string, item_id bigint, kafka_timestamp timestamp"
 
 
-def kept_times(times: np.ndarray, newest: int | None, ttl: int) -> tuple[list[int], int | None]:
-    """The times to keep, in order, and the newest kept one, given the newest kept before."""
-    kept = []
-    for t in np.sort(times).tolist():
-        if newest is None or abs(t - newest) > ttl:
-            kept.append(t)
-            newest = t if newest is None else max(t, newest)
-    return kept, newest
+def near_kept(ids: np.ndarray, times: np.ndarray, kept: np.ndarray, ttl: int) -> np.ndarray:
+    """Rows (sorted by id and time) with a kept row of their id less than ``ttl`` away."""
+    n = len(ids)
+    place = np.arange(n)
+    before = np.maximum.accumulate(np.where(kept, place, -1))
+    after = np.minimum.accumulate(np.where(kept, place, n)[::-1])[::-1]
+    near = np.zeros(n, bool)
+    for at, there in ((before, before >= 0), (after, after < n)):
+        at = np.where(there, at, 0)
+        near |= there & (ids[at] == ids) & (np.abs(times - times[at]) < ttl)
+    return near
+
+
+def judged(ids: np.ndarray, times: np.ndarray, kept_ids: np.ndarray, kept_times: np.ndarray,
+           ttl: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, times) to keep of a batch, given all copies kept before.
+
+    Per item in time order: the earliest open message is kept, and what is near it drops; all items
+    take their steps together.
+    """
+    all_ids, all_times = np.concatenate([kept_ids, ids]), np.concatenate([kept_times, times])
+    kept = np.arange(len(all_ids)) < len(kept_ids)
+    o = np.lexsort((all_times, all_ids))
+    all_ids, all_times, kept = all_ids[o], all_times[o], kept[o]
+    new = ~kept
+    out_ids, out_times = [], []
+    open_ = new & ~near_kept(all_ids, all_times, kept, ttl)
+    while open_.any():
+        at = np.flatnonzero(open_)
+        first = at[np.concatenate([[True], all_ids[at[1:]] != all_ids[at[:-1]]])]
+        kept[first] = True
+        out_ids.append(all_ids[first])
+        out_times.append(all_times[first])
+        open_ &= ~near_kept(all_ids, all_times, kept, ttl)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_ids]), np.concatenate([none, *out_times])
 
 
-def skip_repeats(items: DataFrame, ttl_seconds: int = TTL_SECONDS, expire: bool = False) -> DataFrame:
+def skip_repeats(items: DataFrame, ttl_seconds: int = TTL_SECONDS, groups: int = 64,
+                 horizon_seconds: int | None = None) -> DataFrame:
     """A stream of items (data_type, item_id, kafka_timestamp) without repeats.
 
-    ``expire`` drops the state of quiet items by the processing clock, which keeps a stream
-    running: leave it off for runs that end when the input is read (``availableNow``).
+    ``groups`` is part of the state and stays as it is for the life of a stream: as many as its
+    largest cluster has cores. ``horizon_seconds`` forgets kept copies that are so much older than the newest of their group:
+    a message that comes later than that may be kept beside a forgotten one. Leave
+    it None for runs over bounded input.
     """
+    ttl = ttl_seconds * 1_000_000
+
     def judge(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times = np.concatenate([p["t"].to_numpy() for p in parts])
-        before = state.get[0] if state.exists else None
-        kept, newest = kept_times(times, before, ttl_seconds * 1_000_000)
-        state.update((newest,))
-        if expire:
-            state.setTimeoutDuration(2 * ttl_seconds * 1000)
-        if kept:
-            yield pd.DataFrame({"data_type": key[0], "item_id": key[1], "t": kept})
+        frames = [p[["item_id", "t"]].to_numpy(np.int64) for p in parts]
+        batch = np.concatenate(frames)
+        held = [np.frombuffer(x, np.int64) for x in state.get] if state.exists else [np.zeros(0, np.int64)] * 2
+        ids, times = judged(batch[:, 0], batch[:, 1], *held, ttl)
+        held = [np.concatenate(c) for c in zip(held, (ids, times))]
+        if horizon_seconds is not None:
+            young = held[1] >= held[1].max() - max(horizon_seconds * 1_000_000, ttl)
+            held = [c[young] for c in held]
+        state.update(tuple(c.tobytes() for c in held))
+        if len(ids):
+            yield pd.DataFrame({"data_type": key[0], "item_id": ids, "t": times})
 
     timed = items.select("data_type", "item_id", F.unix_micros("kafka_timestamp").alias("t"))
-    known = timed.where("item_id is not null").groupBy("data_type", "item_id").applyInPandasWithState(
-        judge, "data_type string, item_id bigint, t bigint", "newest bigint", "append",
-        GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout)
+    dealt = timed.where("item_id is not null").withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(groups)))
+    known = dealt.groupBy("data_type", "part").applyInPandasWithState(
+        judge, "data_type string, item_id bigint, t bigint", "ids binary, times binary", "append",
+        GroupStateTimeout.NoTimeout)
     return known.union(timed.where("item_id is null")).select(
         "data_type", "item_id", F.timestamp_micros("t").alias("kafka_timestamp"))
 
 
+def polled_items(records: DataFrame, data_type: str) -> DataFrame:
+    """(data_type, item_id, kafka_timestamp) of broker records."""
+    return decode_records(records).select(
+        F.lit(data_type).alias("data_type"),
+        F.get_json_object("raw_json", "$.id").try_cast("bigint").alias("item_id"), "kafka_timestamp")
+
+
 def run_ttl_dedup(spark: SparkSession, sf_dir: str, settings: Settings,
                   data_types: tuple[str, ...] = ("fixtures", "livescores", "leagues", "events")) -> str:
-    queries, out = {}, settings.path("ttl_dedup")
-    for data_type in data_types:
-        src = StreamSource(kind="files", path=land(spark, sf_dir, data_type, settings.root))
-        items = decode_records(record_stream(spark, src)).select(
-            F.lit(data_type).alias("data_type"),
-            F.get_json_object("raw_json", "$.id").try_cast("bigint").alias("item_id"),
-            "kafka_timestamp")
-        queries[data_type] = stream_append(
-            skip_repeats(items), f"{out}/{data_type}",
-            settings.path("_checkpoints", "ttl_dedup", data_type), "parquet", partition_by=(),
-            trigger=AVAILABLE_NOW, query_name=f"ttl_dedup_{data_type}")
-    await_all(spark, queries)
+    """Two runs of each stream: over the landed records, then over those that arrive late."""
+    out = settings.path("ttl_dedup")
+    paths = {t: land(spark, sf_dir, t, settings.root) for t in data_types}
+    for late in (False, True):
+        if late:
+            land_late(spark, sf_dir, settings.root, "late_ttl")
+        queries = {}
+        for data_type, path in paths.items():
+            either = path.replace("/landing/", "/{landing,late_ttl}/")
+            items = polled_items(record_stream(spark, StreamSource(kind="files", path=either)), data_type)
+            queries[data_type] = stream_append(
+                skip_repeats(items, groups=max(8, spark.sparkContext.defaultParallelism)), f"{out}/{data_type}",
+                settings.path("_checkpoints", "ttl_dedup", data_type), "parquet", partition_by=(),
+                trigger=AVAILABLE_NOW, query_name=f"ttl_dedup_{data_type}")
+        await_all(spark, queries)
     return out
