@@ -46,6 +46,8 @@ class Settings:
     # Season tables (team performance, standings) read the whole history by default: a
     # 30-day window would rank teams on a month of their season.
     standings_days_back: int | None = None
+    # Streamed files older than this leave the sink's log (see sinks.compact); None keeps them all.
+    bronze_retention: str | None = None
     silver_layer: str = "silver"          # "silver_stream": Gold on incremental Silver
     # Parity switches (each documented in README "Deviations").
     latest_snapshot: bool = True          # reduce repeated polls to the newest snapshot

@@ -80,3 +80,9 @@ def partition_folders(spark: SparkSession, path: str, depth: int) -> dict[str, d
                     deeper[f"{folder}/{name}={value}".lstrip("/")] = values | {name: value}
         found = deeper
     return found
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, p = fs_path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0

@@ -17,9 +17,11 @@ import json
 
 from touchline.config import TOPICS, Settings
 from touchline.plans.gold import run_gold
+from touchline.functions.clock import day_before
 from touchline.operators.refine import SILVER_TABLES
 from touchline.plans.silver import run_silver
 from touchline.session import build_session
+from touchline.sinks.compact import compact
 from touchline.sources.stream import StreamSource
 from touchline.streaming.bronze import AVAILABLE_NOW, run_bronze
 from touchline.streaming.incremental import run_silver_incremental
@@ -40,7 +42,7 @@ def _settings(a: argparse.Namespace) -> Settings:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="touchline.jobs")
-    p.add_argument("cmd", choices=["bronze", "silver", "gold"])
+    p.add_argument("cmd", choices=["bronze", "silver", "gold", "compact"])
     p.add_argument("--root", required=True)
     p.add_argument("--format", default="parquet")
     p.add_argument("--as-of", default=None, help="pin the clock (UTC timestamp text)")
@@ -71,6 +73,9 @@ def main(argv: list[str] | None = None) -> None:
                           for dt, t in SILVER_TABLES.items()}, default=str))
     elif a.cmd == "silver":
         print(json.dumps(run_silver(spark, s)))
+    elif a.cmd == "compact":
+        before = day_before(s.as_of, 0 if a.days_back is None else a.days_back)
+        print(json.dumps({t: compact(spark, s.path("bronze", t), before, s.table_format) for t in TOPICS}))
     else:
         print(json.dumps(run_gold(spark, s)))
 

@@ -34,7 +34,7 @@ select cast(o_orderkey as bigint) as fixture_id,
 from orders""",
     "demo_match_events": """
 select cast(event_id as bigint) as event_id,
-       cast(event_id % 400 as bigint) as fixture_id,
+       cast(event_id // 50 as bigint) as fixture_id,
        cast(event_id % 9 as int) as type_id,
        cast(event_id * 13 % 90 as int) as minute,
        cast(case when event_id % 4 = 0 then null else event_id % 6 end as int) as extra_minute,
@@ -43,6 +43,15 @@ select cast(event_id as bigint) as event_id,
             else concat('Player ', cast(user_id as varchar)) end as player_name,
        cast(ts as timestamp) as created_ts
 from events""",
+    # of two polls of a fixture, the first names a kick-off three days later
+    "fixture_polls": """
+select * exclude (starting_ts, poll), poll,
+       starting_ts + to_days(cast(case when n_polls - 1 > poll then 3 else 0 end as int)) as starting_ts,
+       cast(fixture_id * 2 + poll as bigint) as kafka_offset,
+       fixture_ts - to_hours(cast((n_polls - 1 - poll) * 6 as bigint)) as kafka_ts
+from (select *, case when fixture_id % 3 = 0 then 2 else 1 end as n_polls,
+             cast(unnest(generate_series(0, case when fixture_id % 3 = 0 then 1 else 0 end)) as int) as poll
+      from demo_matches) p""",
     # live-score polls of started games; only the last poll carries the final state
     "poll_rows": """
 select m.*, cast(m.fixture_id % 3 + 1 as int) as n_polls,
@@ -156,9 +165,9 @@ select 'events', 'sports.events', kafka_partition, kafka_offset, kafka_ts, fixtu
        cast(fixture_id as varchar) || '_' || cast(event_id as varchar), cast(event_id as varchar)
 from event_polls
 union all
-select 'fixtures', 'sports.fixtures', cast(fixture_id % 3 as int), fixture_id,
-       fixture_ts, fixture_id, null, cast(fixture_id as varchar), cast(fixture_id as varchar)
-from demo_matches
+select 'fixtures', 'sports.fixtures', cast(fixture_id % 3 as int), kafka_offset,
+       kafka_ts, fixture_id, null, cast(fixture_id as varchar), cast(fixture_id as varchar)
+from fixture_polls
 union all
 select 'leagues', 'sports.leagues', cast(r_regionkey % 3 as int), cast(r_regionkey as bigint),
        timestamp '2023-12-01 00:00:00', null, null, cast(r_regionkey as varchar),
@@ -201,7 +210,8 @@ _DEPS = {
     "kept_polls": ["live_polls"],
     "late_polls": ["live_polls"],
     "arrivals": ["all_records", "late_polls"],
-    "all_records": ["live_polls", "event_polls", "demo_matches"],
+    "fixture_polls": ["demo_matches"],
+    "all_records": ["live_polls", "event_polls", "fixture_polls"],
 }
 
 

@@ -18,19 +18,22 @@ from touchline.operators import analytics as A
 from touchline.operators import monitor as M
 from touchline.operators import publish as P
 from touchline.operators import quality as Q
-from touchline.operators.refine import MSG, REASON, parsed_with_reason
+from touchline.operators.refine import MSG, REASON, SILVER_TABLES, parsed_with_reason
+from touchline.operators.sketches import fetches_over, freshness_over
 from touchline.operators.snapshot import duplicate_report, latest_snapshot
 from touchline.oracle import AS_OF, NOW, with_ctes
 from touchline.plans import demo_runs as R
 from touchline.plans import lineage as L
 from touchline.plans.gold import GOLD_SORT
 from touchline.plans.views import register_views
-from touchline.schemas import LIVE_SCORE_DDL
+from touchline.schemas import SCHEMAS
 from touchline.session import tune
+from touchline.sinks.compact import read_streamed
 from touchline.sinks.publish import publish, to_messages
 from touchline.sinks.tables import newest_runs
 from touchline.sources.demo import demo_records, late_records
 from touchline.sources.tables import read_bronze, read_silver, read_table
+from touchline.streaming.coverage import coverage
 from touchline.streaming.dashboard import current_dashboard
 from touchline.streaming.dedupe import polled_items
 from touchline.streaming.monitor import corrected_counts, monitor_tables, redelivery_report
@@ -186,23 +189,23 @@ def q_silver_events(spark, sf_dir):
     return seconds(L.silver(spark, sf_dir, "events", SETTINGS))
 
 
-@register("silver_fixtures", with_ctes(f"""
-select cast(epoch(fixture_ts) as bigint) as kafka_timestamp,
-       cast(epoch(fixture_ts) as bigint) as bronze_ingested_at,
-       cast(epoch(fixture_ts) as bigint) as silver_processed_at,
+@register("silver_fixtures", with_ctes("""
+select cast(epoch(kafka_ts) as bigint) as kafka_timestamp,
+       cast(epoch(kafka_ts) as bigint) as bronze_ingested_at,
+       cast(epoch(kafka_ts) as bigint) as silver_processed_at,
        fixture_id, sport_id, league_id, season_id, stage_id, state_id,
        home_team || ' vs ' || away_team as fixture_name,
        strftime(starting_ts, '%Y-%m-%d %H:%M:%S') as starting_at,
        case when state_id = 3 then 'Game ended' end as result_info,
        venue_id, 90 as length, false as placeholder, has_odds,
        home_team, home_team_id, away_team, away_team_id,
-       cast(fixture_id % 3 as int) as kafka_partition, fixture_id as kafka_offset,
+       cast(fixture_id % 3 as int) as kafka_partition, kafka_offset,
        100 as data_quality_score,
-       cast(year(fixture_ts) as int) as year, cast(month(fixture_ts) as int) as month,
-       cast(day(fixture_ts) as int) as day,
+       cast(year(kafka_ts) as int) as year, cast(month(kafka_ts) as int) as month,
+       cast(day(kafka_ts) as int) as day,
        cast(starting_ts as date) as match_date, cast(hour(starting_ts) as int) as match_hour,
        state_id = 2 as is_live, state_id = 3 as is_finished
-from demo_matches""", "demo_matches"))
+from fixture_polls""", "fixture_polls"))
 def q_silver_fixtures(spark, sf_dir):
     return seconds(L.silver(spark, sf_dir, "fixtures", SETTINGS))
 
@@ -250,14 +253,18 @@ def q_bronze_all_types(spark, sf_dir):
         F.count_distinct("kafka_offset").alias("distinct_offsets"))
 
 
-@register("date_parts", with_ctes("""
-select fixture_id as kafka_offset,
-       cast(year(fixture_ts) as int) as year, cast(month(fixture_ts) as int) as month,
-       cast(day(fixture_ts) as int) as day
-from demo_matches""", "demo_matches"))
+@register("date_parts", with_ctes(f"select data_type, kafka_partition, kafka_offset, {_DAY} from all_records",
+                                   "all_records"))
 def q_date_parts(spark, sf_dir):
-    return L.bronze(spark, sf_dir, "fixtures", SETTINGS).select("kafka_offset", "year", "month",
-                                                              "day")
+    return of_all_types(lambda t: L.bronze(spark, sf_dir, t, SETTINGS)).select(
+        "data_type", "kafka_partition", "kafka_offset", "year", "month", "day")
+
+
+@register("bronze_compacted", with_ctes(f"select {_RECORD}, {_DAY} from all_records", "all_records"))
+def q_bronze_compacted(spark, sf_dir):
+    s = R.compact_store(spark, sf_dir)
+    return record_columns(of_all_types(lambda t: read_streamed(spark, s.path("bronze", t), s.table_format)),
+                          "year", "month", "day")
 
 
 @register("bronze_lookback", with_ctes(f"""
@@ -269,15 +276,21 @@ def q_bronze_lookback(spark, sf_dir):
                           "year", "month", "day")
 
 
-@register("silver_lookback", with_ctes("""
-select fixture_id, kafka_offset, state_id from silver_ls
-where kafka_offset in (select kafka_offset from live_polls
-                       where kafka_ts >= date '2024-02-01' - interval 10 day)""", "silver_ls",
-                       "live_polls"))
+_SINCE = "kafka_ts >= date '2024-02-01' - interval 10 day"
+
+
+@register("silver_lookback", with_ctes(f"""
+select 'live_scores' as table_name, fixture_id, kafka_partition, kafka_offset from live_polls
+where (bad_reason is null or bad_reason = 'partial') and {_SINCE}
+union all select 'fixtures', fixture_id, cast(fixture_id % 3 as int), kafka_offset from fixture_polls where {_SINCE}
+union all select 'events', fixture_id, kafka_partition, kafka_offset from event_polls where {_SINCE}""",
+                                       "live_polls", "fixture_polls", "event_polls"))
 def q_silver_lookback(spark, sf_dir):
     s, _ = R.silver_store(spark, sf_dir)
-    return read_silver(spark, s.path("silver", "live_scores"), s, days_back=10) \
-        .select("fixture_id", "kafka_offset", "state_id")
+    return functools.reduce(DataFrame.unionByName, [
+        read_silver(spark, s.path("silver", t), s, days_back=10)
+        .select(F.lit(t).alias("table_name"), "fixture_id", "kafka_partition", "kafka_offset")
+        for t in ("live_scores", "fixtures", "events")])
 
 
 @register("silver_write_roundtrip", with_ctes("select * from silver_ls", "silver_ls"))
@@ -320,7 +333,7 @@ for _t in GOLD_SORT:
 
 
 @register("run_metrics", with_ctes("""
-select 'silver' as layer, 'fixtures' as table_name, count(*) as rows from demo_matches
+select 'silver' as layer, 'fixtures' as table_name, count(*) as rows from fixture_polls
 union all select 'silver', 'live_scores', count(*) from silver_ls
 union all select 'silver', 'events', count(*) from event_polls
 union all select 'silver', 'leagues', count(*) from region
@@ -339,7 +352,7 @@ union all select 'gold', 'goal_analytics', count(*) from typed_events
           where event_type in ('GOAL', 'OWN_GOAL', 'PENALTY')
 union all select 'gold', 'card_analytics', count(*) from typed_events
           where event_type in ('YELLOW_CARD', 'RED_CARD')""",
-          "demo_matches", "silver_ls", "event_polls", "results", "team_stats", "typed_events"))
+          "fixture_polls", "silver_ls", "event_polls", "results", "team_stats", "typed_events"))
 def q_run_metrics(spark, sf_dir):
     s, _ = R.gold_store(spark, sf_dir)
     return (newest_runs(spark, s, "silver").union(newest_runs(spark, s, "gold"))
@@ -349,18 +362,31 @@ def q_run_metrics(spark, sf_dir):
 # ---------------------------------------------------------------- Silver pieces (reference)
 
 @register("parse_json", with_ctes("""
-select kafka_offset,
+select 'livescores' as data_type, kafka_partition, kafka_offset,
        case when bad_reason in ('empty', 'unparsable', 'no_id') then null else fixture_id end as id,
        case when bad_reason is null or bad_reason = 'no_id' then state_id end as state_id,
        case when bad_reason in ('empty', 'unparsable') then null
             else home_team || ' vs ' || away_team end as name,
        bad_reason
-from live_polls""", "live_polls"))
+from live_polls
+union all
+select 'fixtures', cast(fixture_id % 3 as int), kafka_offset, fixture_id, state_id,
+       home_team || ' vs ' || away_team, null
+from fixture_polls
+union all select 'events', kafka_partition, kafka_offset, event_id, null, null, null from event_polls
+union all
+select 'leagues', cast(r_regionkey % 3 as int), cast(r_regionkey as bigint), cast(r_regionkey as bigint), null,
+       'League ' || r_name, null
+from region""", "live_polls", "fixture_polls", "event_polls"))
 def q_parse_json(spark, sf_dir):
-    p = parsed_with_reason(L.bronze(spark, sf_dir, "livescores", SETTINGS), LIVE_SCORE_DDL)
-    return p.select("kafka_offset", F.col(f"{MSG}.id").alias("id"),
-                    F.col(f"{MSG}.state_id").alias("state_id"),
-                    F.col(f"{MSG}.name").alias("name"), F.col(REASON).alias("bad_reason"))
+    def rows(t: str) -> DataFrame:
+        parsed = parsed_with_reason(L.bronze(spark, sf_dir, t, SETTINGS), SCHEMAS[t])
+        known = parsed.schema[MSG].dataType.names
+        def field(name, kind):
+            return (F.col(f"{MSG}.{name}") if name in known else F.lit(None).cast(kind)).alias(name)
+        return parsed.select("data_type", "kafka_partition", "kafka_offset", field("id", "bigint"),
+                             field("state_id", "int"), field("name", "string"), F.col(REASON).alias("bad_reason"))
+    return of_all_types(rows)
 
 
 @register("event_type_map", with_ctes("""
@@ -371,6 +397,10 @@ def q_event_type_map(spark, sf_dir):
 
 # ---------------------------------------------------------------- poller steps, re-aimed
 
+def newest_fixtures(spark, sf_dir):
+    return L.current(L.silver(spark, sf_dir, "fixtures", SETTINGS), "fixtures", SETTINGS)
+
+
 @register("publish_envelope", with_ctes("""
 select cast(fixture_id as varchar) as key, 'sports.fixtures' as topic, 'demo' as source,
        '2024-02-01T00:00:00' as fetched_at, 'fixture' as envelope_type, 'v3' as api_version,
@@ -378,7 +408,7 @@ select cast(fixture_id as varchar) as key, 'sports.fixtures' as topic, 'demo' as
 from demo_matches""", "demo_matches"))
 def q_publish_envelope(spark, sf_dir):
     s = R.store_settings(spark, sf_dir)
-    objects = L.silver(spark, sf_dir, "fixtures", SETTINGS).select(
+    objects = newest_fixtures(spark, sf_dir).select(
         F.col("fixture_id").alias("id"), F.col("fixture_name").alias("name"), "league_id",
         "season_id", "state_id", "starting_at")
     msgs = to_messages(P.with_envelope(objects, "fixture", s), TOPICS["fixtures"])
@@ -403,7 +433,7 @@ select cast(fixture_id // {PAGE_SIZE} as bigint) as page_no,
        fixture_id, home_team || ' vs ' || away_team as name
 from demo_matches""", "demo_matches"))
 def q_explode_page(spark, sf_dir):
-    m = L.silver(spark, sf_dir, "fixtures", SETTINGS)
+    m = newest_fixtures(spark, sf_dir)
     item = F.to_json(F.struct(F.col("fixture_id").alias("id"), F.col("fixture_name").alias("name")))
     # Pages of at most PAGE_SIZE objects (bounded groups), objects ordered by id.
     pages = (m.select((F.col("fixture_id") / PAGE_SIZE).cast("bigint").alias("page_no"),
@@ -459,7 +489,7 @@ _UNREAD = "coalesce(bad_reason in ('empty', 'unparsable'), false)"
 @register("ttl_dedup", with_ctes(f"""
 select 'events' as data_type, event_id as item_id, cast(floor(epoch(min(kafka_ts))) as bigint) as kept_at
 from event_polls group by event_id
-union all select 'fixtures', fixture_id, cast(epoch(fixture_ts) as bigint) from demo_matches
+union all select 'fixtures', fixture_id, cast(epoch(kafka_ts) as bigint) from fixture_polls
 union all select 'leagues', cast(r_regionkey as bigint), cast(epoch(timestamp '2023-12-01') as bigint)
 from region
 union all
@@ -472,7 +502,7 @@ union all
 select 'livescores', case when {_UNREAD} then null else fixture_id end, cast(epoch(kafka_ts) as bigint)
 from late_polls
 where nth in (0, 2, 5) or (nth = 3 and n_polls > 1 and fixture_id % 29 in (1, 2)) or (nth = 6 and {_UNREAD})""",
-                                "event_polls", "demo_matches", "live_polls", "late_polls"))
+                                "event_polls", "fixture_polls", "live_polls", "late_polls"))
 def q_ttl_dedup(spark, sf_dir):
     path = R.ttl_store(spark, sf_dir)
     return of_all_types(lambda t: read_table(spark, f"{path}/{t}", "parquet")).select(
@@ -490,9 +520,9 @@ select 'livescores', case when {_UNREAD} then null else fixture_id end, cast(epo
 from late_polls where nth in (0, 2, 3, 4, 5) or (nth = 6 and {_UNREAD})
 union all select 'events', event_id, cast(floor(epoch(min(kafka_ts))) as bigint)
 from event_polls group by event_id
-union all select 'fixtures', fixture_id, cast(epoch(fixture_ts) as bigint) from demo_matches
+union all select 'fixtures', fixture_id, cast(epoch(kafka_ts) as bigint) from fixture_polls
 union all select 'leagues', cast(r_regionkey as bigint), cast(epoch(timestamp '2023-12-01') as bigint)
-from region""", "event_polls", "demo_matches", "live_polls", "late_polls"))
+from region""", "event_polls", "fixture_polls", "live_polls", "late_polls"))
 def q_ttl_dedup_history(spark, sf_dir):
     items = of_all_types(lambda t: polled_items(demo_records(spark, sf_dir, t), t))
     items = items.unionByName(polled_items(late_records(spark, sf_dir), "livescores"))
@@ -569,8 +599,9 @@ def q_dead_letters_stored(spark, sf_dir):
 @register("dead_letters_incremental", _DEAD_LETTERS)
 def q_dead_letters_incremental(spark, sf_dir):
     s = R.silver_stream_store(spark, sf_dir)
-    return letter_columns(read_table(spark, s.path("silver_stream", "dead_letters_live_scores"),
-                                     s.table_format))
+    schema = Q.dead_letters(L.bronze(spark, sf_dir, "leagues", s), "leagues", s).schema
+    return letter_columns(of_all_types(lambda t: read_table(
+        spark, s.path("silver_stream", f"dead_letters_{SILVER_TABLES[t]}"), s.table_format, schema)))
 
 
 @register("failure_rate", with_ctes("""
@@ -692,10 +723,50 @@ def q_match_coverage(spark, sf_dir):
     return M.match_coverage(fx, lv, SETTINGS)
 
 
-@register("silver_incremental", with_ctes("select * from silver_ls", "silver_ls"))
-def q_silver_incremental(spark, sf_dir):
-    s = R.silver_stream_store(spark, sf_dir)
-    return seconds(read_table(spark, s.path("silver_stream", "live_scores"), s.table_format))
+def _silver_incremental(key: str, table: str):
+    @register(key, ORACLES[f"silver_{table}"])
+    def query(spark, sf_dir):
+        s = R.silver_stream_store(spark, sf_dir)
+        return seconds(read_table(spark, s.path("silver_stream", table), s.table_format))
+
+
+_silver_incremental("silver_incremental", "live_scores")
+for _t in ("fixtures", "events"):
+    _silver_incremental(f"silver_incremental_{_t}", _t)
+
+
+@register("stream_coverage", ORACLES["match_coverage"])
+def q_stream_coverage(spark, sf_dir):
+    return coverage(spark.read.parquet(R.coverage_store(spark, sf_dir)), SETTINGS)
+
+
+@register("freshness_history", with_ctes("""
+select data_type, count(*) as messages, cast(floor(epoch(max(kafka_ts))) as bigint) as last_message_epoch,
+       quantile_disc(latency, 0.5) as latency_p50_s, quantile_disc(latency, 0.95) as latency_p95_s
+from (select *, case when bad_reason in ('empty', 'unparsable') then null
+                     when data_type = 'leagues' then cast(0 as bigint)
+                     when fixture_id % 31 = 0 then cast(-7 as bigint) else cast(2 as bigint) end as latency
+      from all_records where kafka_ts < timestamp '2024-01-25') r
+group by data_type""", "all_records"))
+def q_freshness_history(spark, sf_dir):
+    s = R.sketch_store(spark, sf_dir)
+    return freshness_over(read_table(spark, s.path("sketches", "freshness")), last="2024-01-24")
+
+
+@register("fetch_history", with_ctes("""
+select cast(date_trunc('week', kafka_ts) as date) as period, count(*) as messages,
+       cast(sum(events_count) as bigint) as events, count(distinct fixture_id) as games, true as close
+from kept_polls group by date_trunc('week', kafka_ts)""", "kept_polls"))
+def q_fetch_history(spark, sf_dir):
+    """Weeks out of daily sketches, beside the exact number of games: close means within 5 %."""
+    s = R.sketch_store(spark, sf_dir)
+    week = F.date_trunc("week", "kafka_timestamp").cast("date").alias("period")
+    exact = (L.silver(spark, sf_dir, "livescores", SETTINGS).groupBy(week)
+             .agg(F.count_distinct("fixture_id").alias("exact")))
+    about = fetches_over(read_table(spark, s.path("sketches", "fetches")))
+    return about.join(exact, "period").select(
+        "period", "messages", "events", F.col("exact").alias("games"),
+        (F.abs(F.col("games") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
 
 
 @register("sql_views", with_ctes("""

@@ -8,16 +8,22 @@ table writes replace partitions) and is done at most once per session and folder
 from __future__ import annotations
 
 import threading
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from touchline.config import Settings
 from touchline.operators.refine import SILVER_TABLES
+from touchline.operators.sketches import daily_fetches, daily_freshness
 from touchline.plans import lineage as L
 from touchline.plans.gold import run_gold
 from touchline.plans.silver import run_silver
 from touchline.plans.workspace import demo_root, land, land_late, replay_sources
+from touchline.sinks.compact import compact
+from touchline.sinks.tables import write_table
 from touchline.streaming.bronze import run_bronze
+from touchline.streaming.coverage import run_coverage
 from touchline.streaming.dashboard import run_dashboard
 from touchline.streaming.dedupe import run_ttl_dedup
 from touchline.streaming.incremental import run_silver_incremental
@@ -78,6 +84,37 @@ def dashboard_store(spark: SparkSession, sf_dir: str) -> Settings:
     return s
 
 
+def coverage_store(spark: SparkSession, sf_dir: str) -> str:
+    """The coverage stream over incremental Silver, and a second run after the clock has moved on."""
+    s = silver_stream_store(spark, sf_dir)
+    return _once("coverage", spark, sf_dir, lambda: [
+        run_coverage(spark, s, heartbeat) for heartbeat in (None, "2024-03-01 00:00:00")][-1])
+
+
+def compact_store(spark: SparkSession, sf_dir: str) -> Settings:
+    """Compacted Bronze: the first days in one generation, the later ones in a second, the last ones not."""
+    s = bronze_store(spark, sf_dir)
+    _once("compact", spark, sf_dir, lambda: [
+        compact(spark, s.path("bronze", t), before, s.table_format)
+        for t in ALL_TYPES for before in (date(2024, 1, 10), date(2024, 1, 25))])
+    return s
+
+
+def sketch_store(spark: SparkSession, sf_dir: str) -> Settings:
+    """Daily sketches of all Bronze messages and live-score fetches, stored by day."""
+    s = store_settings(spark, sf_dir)
+
+    def store() -> None:
+        bronze = [L.bronze(spark, sf_dir, t, s) for t in ALL_TYPES]
+        write_table(daily_freshness(reduce(DataFrame.unionByName, bronze)), s.path("sketches", "freshness"),
+                    partition_by=("day",), owned=lambda v: True)
+        write_table(daily_fetches(L.silver(spark, sf_dir, "livescores", s)), s.path("sketches", "fetches"),
+                    partition_by=("fetch_date",), owned=lambda v: True)
+
+    _once("sketches", spark, sf_dir, store)
+    return s
+
+
 def bronze_store(spark: SparkSession, sf_dir: str) -> Settings:
     s = store_settings(spark, sf_dir)
     _once("bronze", spark, sf_dir,

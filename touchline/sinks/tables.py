@@ -86,11 +86,17 @@ def newest_runs(spark: SparkSession, settings: Settings, layer: str) -> DataFram
 
 def stream_append(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                   partition_by: Sequence[str] = DATE_PARTS, trigger: dict | None = None,
-                  query_name: str | None = None):
-    """Start an append-only streaming write (exactly once via the checkpoint)."""
+                  query_name: str | None = None, retention: str | None = None):
+    """Start an append-only streaming write (exactly once via the checkpoint).
+
+    ``retention`` (such as ``30d``) lets the sink drop older files from its log, so that the log stays
+    small; ``compact`` keeps their rows for batch readers.
+    """
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint)
          .partitionBy(*partition_by))
+    if retention:
+        w = w.option("retention", retention)
     if query_name:
         w = w.queryName(query_name)
     if trigger:

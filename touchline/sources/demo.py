@@ -9,7 +9,8 @@ operators run on them. Everything here is lazy and scales with the input tables.
 
 Generation rules (not filters; every input row produces messages):
 
-* one fixture message per order; ``league = orderkey % 5``, ``season = year(orderdate)``,
+* one fixture message per order, and for every third fixture one before it, which names a later
+  kick-off (so that only newest polls are right); ``league = orderkey % 5``, ``season = year(orderdate)``,
   state 3 (finished) for status F, 2 (live) for O, 1 (not started) otherwise;
 * live-score messages only for started games (state 2 or 3), ``1 + fixture_id % 3`` polls
   per game, 30 minutes apart; only the last poll carries the final state and score, the
@@ -17,7 +18,7 @@ Generation rules (not filters; every input row produces messages):
   over the 30 days from ``REPLAY_START``; a fixture message precedes its first poll by a day;
 * some earlier polls are damaged the way a flaky feed damages them: empty text,
   non-JSON text, a quoted id, a non-numeric state (``fixture_id % 29`` = 1..4);
-* one event message per ``events`` row and poll (``1 + event_id % 2`` polls, 2 minutes
+* 50 events in a row belong to one fixture; one event message per ``events`` row and poll (``1 + event_id % 2`` polls, 2 minutes
   apart) with its fixture id only under ``_metadata`` (as the producer writes it); the
   first poll of every 50th event is delivered twice with the same offset.
 """
@@ -32,6 +33,9 @@ from touchline.config import TOPICS
 PARTITIONS = 3  # partitions per demo topic; the partition is the fixture id modulo 3
 POLL_MINUTES = 30
 EVENT_POLL_MINUTES = 2
+EVENTS_PER_FIXTURE = 50
+FIXTURE_POLL_HOURS = 6  # every third fixture is polled twice, and its kick-off moves in between
+MOVED_DAYS = 3
 # The historical matches are replayed through the broker over 30 days from this instant
 # (the month the ``events`` table covers): fixture f is first polled (f % 720) hours in.
 REPLAY_START = "2024-01-01 00:00:00"
@@ -95,7 +99,7 @@ def demo_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid, uid = F.col("event_id"), F.col("user_id")
     return e.select(
         eid.cast("bigint").alias("event_id"),
-        (eid % 400).cast("bigint").alias("fixture_id"),
+        F.expr(f"event_id div {EVENTS_PER_FIXTURE}").cast("bigint").alias("fixture_id"),
         (eid % 9).cast("int").alias("type_id"),
         (eid * 13 % 90).cast("int").alias("minute"),
         F.when(eid % 4 == 0, F.lit(None)).otherwise(eid % 6).cast("int").alias("extra_minute"),
@@ -204,9 +208,21 @@ def live_score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.col("fixture_id") % 3, F.col("kafka_offset"), F.col("kafka_ts")))
 
 
+def fixture_polls(matches: DataFrame) -> DataFrame:
+    """Poll rows of fixtures: of two polls, the first names a kick-off three days later."""
+    fid = F.col("fixture_id")
+    polls = matches.withColumn("n_polls", F.when(fid % 3 == 0, 2).otherwise(1)).withColumn(
+        "poll", F.explode(F.sequence(F.lit(0), F.col("n_polls") - 1)))
+    left = F.col("n_polls") - 1 - F.col("poll")
+    return polls.withColumns({
+        "starting_ts": F.when(left > 0, _ts_plus(F.col("starting_ts"), "DAY", F.lit(MOVED_DAYS))).otherwise(F.col("starting_ts")),
+        "kafka_offset": (fid * 2 + F.col("poll")).cast("bigint"),
+        "kafka_ts": _ts_plus(_ts_plus(_replay_ts(fid), "DAY", F.lit(-1)), "HOUR", -left * FIXTURE_POLL_HOURS)})
+
+
 def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = demo_matches(spark, sf_dir)
-    kafka_ts = _ts_plus(_replay_ts(F.col("fixture_id")), "DAY", F.lit(-1))
+    m = fixture_polls(demo_matches(spark, sf_dir))
+    kafka_ts = F.col("kafka_ts")
     payload = F.struct(
         F.col("fixture_id").alias("id"), "sport_id", "league_id", "season_id", "stage_id",
         "state_id", F.concat_ws(" vs ", "home_team", "away_team").alias("name"),
@@ -217,7 +233,7 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _metadata("fixture", _fetched_at(kafka_ts, F.col("fixture_id"))).alias("_metadata"),
     )
     return m.select(*_record(F.col("fixture_id").cast("string"), F.to_json(payload),
-                             TOPICS["fixtures"], F.col("fixture_id") % 3, F.col("fixture_id"),
+                             TOPICS["fixtures"], F.col("fixture_id") % 3, F.col("kafka_offset"),
                              kafka_ts))
 
 

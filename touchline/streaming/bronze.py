@@ -23,7 +23,8 @@ def start_bronze(spark: SparkSession, data_type: str, src: StreamSource, setting
     """
     df = to_bronze(record_stream(spark, src), data_type, settings)
     return stream_append(df, bronze_path, checkpoint, settings.table_format,
-                         trigger=trigger, query_name=f"bronze_{data_type}")
+                         trigger=trigger, query_name=f"bronze_{data_type}",
+                         retention=settings.bronze_retention)
 
 
 def await_all(spark: SparkSession, queries: dict[str, StreamingQuery]) -> dict[str, dict]:
