@@ -4,7 +4,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
 
 from tests.llm import data
 from touchline.llm import (embedding_dedup, exact_dedup, induced, repeats, simhash, suffix_dedup,
@@ -66,24 +65,10 @@ def test_keep_one_keeps_columns(spark, docs):
     assert sorted(texts) == sorted(want)
 
 
-def plain_fingerprint(text):
-    words = data.ascii_lower(text).encode().split()
-    if not words:
-        return 0
-    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_simhash(spark, docs):
     found = data.texts()
-    fps = {k: plain_fingerprint(t) for k, t in found.items()}
-    groups = data.Groups(fps)
-    ids = list(fps)
-    for i, a in enumerate(ids):
-        for b in ids[:i]:
-            if (fps[a] ^ fps[b]).bit_count() <= 3:
-                groups.join(a, b)
+    fps = {k: data.fingerprint(t) for k, t in found.items()}
+    groups, ids = data.near_groups(found), list(fps)
     rows = simhash.simhash_dedup(docs).collect()
     assert len(rows) == len(found) + 3
     got = by_id(rows)

@@ -247,6 +247,50 @@ def test_quality_held_out_accuracy(spark):
         assert zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and r["predicted"] == (r["score"] >= 0.3)
 
 
+def test_quality_scores_equal_the_two_densities(spark):
+    """Every score against determinants and solved systems, over all rows of a table."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    found = {r["doc_id"]: r["text"] for r in docs.collect()} | {10**9: None, 10**9 + 1: ""}
+    more = spark.createDataFrame([(10**9, None), (10**9 + 1, "")], "doc_id long, text string")
+    want = data.quality_scores(found, {r["doc_id"]: r["quality"] for r in labels.collect()}, quality.statistics)
+    got = quality.score_documents(docs.select("doc_id", "text").unionByName(more), labels).collect()
+    assert len(got) == len(found)
+    for r in got:
+        assert abs(r["score"] - want[r["doc_id"]]) <= 1e-7, r
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+
+def test_labels_say_nothing_about_urls(spark):
+    """Why the registered query mines no rule: on the given pages, no token or pair of tokens is blocked more
+    often than chance makes some token or pair of shuffled labels."""
+    sf = "/root/testdata/sf0.1"
+    pages, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("pages", "labels"))
+    url = F.col("url")
+    known = (url_filter.labelled_urls(pages, labels).where("url is not null and blocked is not null")
+             .select("blocked", url_filter.url_tokens(url, url_filter.host_of(url), url_filter.path_of(url)).alias("tokens")))
+    rows = known.collect()
+    holds: dict = {}
+    for i, r in enumerate(rows):
+        for t in r["tokens"]:
+            holds.setdefault(t, []).append(i)
+    singles = [np.array(v) for v in holds.values() if len(v) >= 20]
+    sets = singles + [c for i, a in enumerate(singles) for b in singles[:i]
+                      if len(c := np.intersect1d(a, b, assume_unique=True)) >= 20]
+    blocked = np.array([r["blocked"] for r in rows], float)
+    base = blocked.mean()
+
+    def strongest(y):
+        return max((y[s].sum() - len(s) * base) / np.sqrt(len(s) * base * (1 - base)) for s in sets)
+
+    rng = np.random.default_rng(0)
+    chance = [strongest(rng.permutation(blocked)) for _ in range(40)]
+    assert len(rows) > 900 and len(sets) > 100
+    assert strongest(blocked) <= sorted(chance)[-2]
+    assert url_filter.mine_rules(known.select("tokens", "blocked")).count() == 0
+
+
 def test_quality_awkward_rows(spark):
     docs = data.documents(spark)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)] + [(3, 0, 0), (3, 1, 0), (None, 1, 1), (8, None, 0)],
