@@ -383,6 +383,26 @@ def test_embedding_dedup(spark, options):
             n[k], groups.find(k), groups.find(k) == k), k
 
 
+def test_embeddings_in_doubles_and_in_dense_groups(spark):
+    """Doubles are not rounded; a dense group gives as many rows as it has vectors, not pairs."""
+    rng = np.random.default_rng(8)
+    # Just below and just above the threshold, which single precision cannot tell apart.
+    angle = np.arccos(0.98)
+    rows = [(0, [1.0, 0.0], 1), (1, [float(np.cos(angle * (1 + 1e-12))), float(np.sin(angle * (1 + 1e-12)))], 1),
+            (2, [0.0, 1.0], 2), (3, [float(np.sin(angle * (1 - 1e-12))), float(np.cos(angle * (1 - 1e-12)))], 2)]
+    kinds = "vec_id long, embedding array<double>, label int"
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, kinds)).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1}
+    base = rng.normal(size=16)
+    dense = [(i, (base + rng.normal(size=16) * 0.01).tolist(), 1) for i in range(600)]
+    classes = embedding_dedup.classes_of(spark.createDataFrame(dense, kinds))
+    found = embedding_dedup.links(classes, list_rows=50, part_work=20_000)
+    parts = found.count()
+    assert parts < 30 * 600 < 600 * 599 // 2
+    rows = embedding_dedup.embedding_dedup(spark.createDataFrame(dense, kinds), list_rows=50, part_work=20_000).collect()
+    assert {(r["n_links"], r["component_id"]) for r in rows} == {(599, 0)}
+
+
 def test_empty_tables(spark):
     none = data.documents(spark, {}, repeat=False)
     assert exact_dedup.exact_dedup(none).count() == 0

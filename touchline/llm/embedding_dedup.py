@@ -7,7 +7,11 @@ codes miss is stored. A query probes every list whose cell can hold a vector wit
 search radius (distance to the bisecting plane), compares its table of query-to-codeword distances
 with the codes (asymmetric distance), and keeps a member if that distance is at most the radius plus
 the member's stored error. Both bounds are safe, so no link is lost; the exact cosine in double
-precision decides.
+precision decides. A pair in two lists is found from the one with the smaller number only, so a
+vector probes its own list and later ones.
+
+Links are never written out: each searched part gives the number of links per class, and a spanning forest
+of the links it found, so that a dense group costs what its vectors cost, not its pairs.
 """
 
 from __future__ import annotations
@@ -18,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from touchline.llm.components import components
+from touchline.llm.components import components, stars
 from touchline.llm.tables import mapped, stored
 
 SALTS = 16
@@ -87,8 +92,8 @@ class Quantiser:
         return np.sqrt(total)
 
 
-def unit(rows: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1).astype(np.float64)
+def unit(rows: list[bytes], kind: type) -> np.ndarray:
+    x = np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -102,57 +107,62 @@ def classes_of(vectors: DataFrame) -> DataFrame:
 
 
 def links(classes: DataFrame, threshold: float = 0.98, sample_rows: int = 20_000,
-          list_rows: int = 256, most_lists: int = 1024, subspaces: int = 8,
-          part_work: int = 1 << 25) -> DataFrame:
-    """Links (a, b), a < b, between the classes of one label with cosine >= threshold.
+          list_rows: int = 256, subspaces: int = 8, part_work: int = 1 << 25) -> DataFrame:
+    """What the links between classes of one label (cosine >= threshold) come to: rows (a, b, null) are a
+    spanning forest of them, and rows (a, null, n) add n linked vectors to class a.
 
     The quantiser of each vector length is fitted on at most ``sample_rows`` rows in all; every
-    class is indexed. ``part_work`` splits the queries of a list so that one task compares about
+    class is indexed. There is a list for every ``list_rows`` classes, as long as a list has 8 rows of the sample;
+    beyond that lists grow, and are searched in more parts. ``part_work`` splits the queries of a list so that one task compares about
     that many pairs.
     """
     spark = classes.sparkSession
     n = classes.count()
+    kind = np.float64 if classes.schema["embedding"].dataType.elementType == DoubleType() else np.float32
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
     sample: dict[int, list] = {}
     for r in (classes.orderBy(F.xxhash64("embedding"), "cid").limit(sample_rows)
               .select("embedding").collect()):
-        sample.setdefault(len(r[0]), []).append(np.array(r[0], np.float32).tobytes())
-    lists = int(min(most_lists, max(1, n // list_rows)))
+        sample.setdefault(len(r[0]), []).append(np.array(r[0], kind).tobytes())
+    lists = int(max(1, min(sample_rows // 8, n // list_rows)))
     model = spark.sparkContext.broadcast(
-        {d: Quantiser(unit(x), lists, subspaces, 256) for d, x in sample.items() if len(x) >= 16})
+        {d: Quantiser(unit(x, kind), lists, subspaces, 256) for d, x in sample.items() if len(x) >= 16})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cid, label = (batch.column(c).to_numpy() for c in ("cid", "label"))
+            cid, label, n_of = (batch.column(c).to_numpy() for c in ("cid", "label", "n"))
             column = batch.column("embedding")
             sizes = np.diff(column.offsets.to_numpy())
-            values = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float32)
+            values = np.asarray(column.flatten().to_numpy(zero_copy_only=False), kind)
             ends = np.cumsum(sizes)
             for dim in np.unique(sizes).tolist():
                 for rows in np.array_split(f := np.flatnonzero(sizes == dim), len(f) // 2000 + 1):
                     raw = [values[ends[i] - dim:ends[i]].tobytes() for i in rows.tolist()]
-                    x, q = unit(raw), model.value.get(dim)
+                    x, q = unit(raw, kind), model.value.get(dim)
                     if q is None:  # a rare vector length: one list, every member is compared
                         at, codes, miss = np.zeros(len(x), int), np.zeros((len(x), 0), np.uint8), np.zeros(len(x))
                         row, probe = np.arange(len(x)), at
                     else:
                         at, codes, miss = q.encode(x)
                         row, probe = q.probes(x, at, radius)
+                        onward = probe >= at[row]
+                        row, probe = row[onward], probe[onward]
                     yield pa.RecordBatch.from_pydict({
                         "label": pa.array(np.concatenate([label[rows], label[rows[row]]]), pa.int32()),
                         "dim": pa.array(np.full(len(x) + len(row), dim), pa.int32()),
                         "list": pa.array(np.concatenate([at, probe]), pa.int32()),
                         "member": pa.array(np.arange(len(x) + len(row)) < len(x)),
+                        "home": pa.array(np.concatenate([np.ones(len(x), bool), probe == at[row]])),
                         "cid": pa.array(np.concatenate([cid[rows], cid[rows[row]]]), pa.int64()),
+                        "n": pa.array(np.concatenate([n_of[rows], n_of[rows[row]]]), pa.int64()),
                         "vector": pa.array(raw + [raw[i] for i in row.tolist()], pa.binary()),
                         "codes": pa.array([c.tobytes() for c in codes] + [None] * len(row), pa.binary()),
                         "miss": pa.array(np.concatenate([miss, np.zeros(len(row))]), pa.float64())})
 
     cell = ["label", "dim", "list"]
-    entries = stored(mapped(classes.select("cid", F.col("label").cast("int"),
-                                           F.col("embedding").cast("array<float>")), index,
-                            "label int, dim int, list int, member boolean, cid long, vector binary, "
-                            "codes binary, miss double"), "entries")
+    entries = stored(mapped(classes.select("cid", F.col("label").cast("int"), "n", "embedding"), index,
+                            "label int, dim int, list int, member boolean, home boolean, cid long, n long, "
+                            "vector binary, codes binary, miss double"), "entries")
     # Large lists are searched in parts: each has some of the queries and some of the members.
     sizes = (entries.groupBy(*cell).agg(F.sum(F.col("member").cast("long")).alias("m"),
                                         F.count(F.lit(1)).alias("all"))
@@ -163,45 +173,50 @@ def links(classes: DataFrame, threshold: float = 0.98, sample_rows: int = 20_000
     here = entries.join(sizes, cell)
     salt = F.pmod(F.xxhash64("cid"), F.when(F.col("member"), F.col("k")).otherwise(F.col("kq")))
     parts = here.withColumn("salt", salt.cast("int")).select(
-        *cell, "member", "cid", "vector", "codes", "miss",
+        *cell, "member", "home", "cid", "n", "vector", "codes", "miss",
         F.explode(F.when(F.col("member"), F.transform(F.sequence(F.lit(0), F.col("kq") - 1),
                                                       lambda j: F.struct(F.col("salt").alias("m"), j.alias("q"))))
                   .otherwise(F.transform(F.sequence(F.lit(0), F.col("k") - 1),
                                          lambda j: F.struct(j.alias("m"), F.col("salt").alias("q"))))).alias("part"))
 
     def search(table: pa.Table) -> pa.Table:
-        member = table["member"].to_numpy()
-        cid, miss = table["cid"].to_numpy(), table["miss"].to_numpy()
+        member, home = table["member"].to_numpy(), table["home"].to_numpy()
+        cid, n_of, miss = (table[c].to_numpy() for c in ("cid", "n", "miss"))
         raw = table["vector"].to_pylist()
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
+        counts = np.zeros(len(raw), np.int64)
         a = b = np.zeros(0, np.int64)
         if len(m) and len(q):
             quantiser = model.value.get(table["dim"][0].as_py())
             at = table["list"][0].as_py()
-            x, y = unit([raw[i] for i in m]), unit([raw[i] for i in q])
+            x, y = unit([raw[i] for i in m], kind), unit([raw[i] for i in q], kind)
             codes = np.frombuffer(b"".join(table["codes"].take(pa.array(m)).to_pylist()), np.uint8).reshape(len(m), -1)
-            found = []
             for i in range(0, len(q), 256):
                 part = y[i:i + 256]
-                near = cid[q[i:i + 256], None] < cid[None, m]
+                # In its own list a vector meets each other one once, the one with the larger number.
+                near = ~home[q[i:i + 256], None] | (cid[q[i:i + 256], None] < cid[None, m])
                 if quantiser is not None:
                     near &= quantiser.distances(part, at, codes) <= radius + miss[None, m]
                 u, v = np.nonzero(near)
                 for j in range(0, len(u), 1 << 15):
-                    s, t = u[j:j + (1 << 15)], v[j:j + (1 << 15)]
-                    hit = exact_cosine([raw[k] for k in q[i + s]], [raw[k] for k in m[t]]) >= threshold
-                    found.append((cid[q[i + s[hit]]], cid[m[t[hit]]]))
-            if found:
-                a, b = map(np.concatenate, zip(*found))
-        return pa.table({"a": a, "b": b})
+                    s, t = q[i + u[j:j + (1 << 15)]], m[v[j:j + (1 << 15)]]
+                    hit = exact_cosine([raw[k] for k in s], [raw[k] for k in t], kind) >= threshold
+                    s, t = s[hit], t[hit]
+                    np.add.at(counts, s, n_of[t])
+                    np.add.at(counts, t, n_of[s])
+                    a, b = stars(np.concatenate([a, cid[s]]), np.concatenate([b, cid[t]]))
+        some = np.flatnonzero(counts)
+        return pa.table({"a": pa.array(np.concatenate([a, cid[some]]), pa.int64()),
+                         "b": pa.array(b.tolist() + [None] * len(some), pa.int64()),
+                         "links": pa.array([None] * len(a) + counts[some].tolist(), pa.int64())})
 
     return (parts.groupBy(*cell, F.col("part.m").alias("pm"), F.col("part.q").alias("pq"))
-            .applyInArrow(search, "a long, b long"))
+            .applyInArrow(search, "a long, b long, links long"))
 
 
-def exact_cosine(x: list[bytes], y: list[bytes]) -> np.ndarray:
-    """Cosine in double precision of float vectors, pair by pair."""
-    x, y = (np.frombuffer(b"".join(v), np.float32).reshape(len(v), -1).astype(np.float64) for v in (x, y))
+def exact_cosine(x: list[bytes], y: list[bytes], kind: type) -> np.ndarray:
+    """Cosine in double precision, pair by pair."""
+    x, y = (np.frombuffer(b"".join(v), kind).reshape(len(v), -1).astype(np.float64) for v in (x, y))
     return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
 
 
@@ -217,11 +232,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).alias("embedding"), F.col(label_col).alias("label"))
     classes = classes_of(rows)
-    pairs = stored(links(classes, threshold, **search), "links")
-    size = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_other"))
-    partners = (pairs.union(pairs.select("b", "a")).join(size, "b")
-                .groupBy("a").agg(F.sum("n_other").alias("n_partners")))
-    roots = components(pairs)
+    found = stored(links(classes, threshold, **search), "links")
+    partners = found.where("b is null").groupBy("a").agg(F.sum("links").alias("n_partners"))
+    roots = components(found.where("b is not null").select("a", "b"))
     rooted = (classes.join(roots, classes.cid == roots.node, "left")
               .withColumn("root", F.coalesce("root", "cid")))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
