@@ -137,3 +137,48 @@ def test_silver_and_dead_letters_share_one_parse(spark):
         for target, want in ((ROWS, REFINERS[t](bronze, s)), (LETTERS, dead_letters(bronze, t, s))):
             got = both.where(F.col("target") == target).select(*want.columns)
             assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_gold_over_streamed_silver_reads_new_files_only(spark, scratch, monkeypatch):
+    """Gold with the streamed layer equals Gold on batch tables, run after run."""
+    from touchline.streaming import dashboard as D
+    from touchline.streaming.incremental import run_silver_incremental
+    read = []
+    real = D.run_dashboard
+
+    def spied(*args):
+        progress = real(*args)
+        read.append(progress.get("numInputRows", 0))
+        return progress
+
+    monkeypatch.setattr(D, "run_dashboard", spied)
+    s = L.demo_settings(root=f"{scratch}/a", silver_layer="silver_stream")
+    whole = L.demo_settings(root=f"{scratch}/b")
+    for part in (0, 1):
+        for t, table_name in (("livescores", "live_scores"), ("events", "events")):
+            (L.bronze(spark, SF_SMALL, t, s).where(F.col("kafka_offset") % 2 == part).write.mode("append")
+             .partitionBy("year", "month", "day").parquet(s.path("bronze", t)))
+            run_silver_incremental(spark, s, t, table_name)
+        run_gold(spark, s)
+    store_bronze(spark, whole)
+    run_silver(spark, whole)
+    run_gold(spark, whole)
+    for name in GOLD_SORT:
+        assert table(spark, s, name) == table(spark, whole, name), name
+    rows = read_table(spark, s.path("silver_stream", "live_scores")).count()
+    assert read[1] < rows
+
+
+def test_failures_are_counted_by_the_run(spark, scratch):
+    from touchline.operators.quality import failure_rate
+    from touchline.sinks.tables import newest_quality
+    s = L.demo_settings(root=scratch)
+    store_bronze(spark, s)
+    for keep in (False, True):
+        run_silver(spark, L.demo_settings(root=scratch, keep_bad_rows=keep))
+        got = {r.data_type: r for r in newest_quality(spark, s).collect()}
+        for t in ("livescores", "events"):
+            want = failure_rate(L.bronze(spark, SF_SMALL, t, s), t).first()
+            assert (got[t].messages, got[t].dead_letters, got[t].partial) == (
+                want.messages, want.dead_letters, want.partial)
+            assert abs(got[t].failure_rate - want.failure_rate) < 1e-12

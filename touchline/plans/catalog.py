@@ -30,7 +30,7 @@ from touchline.schemas import SCHEMAS
 from touchline.session import tune
 from touchline.sinks.compact import read_streamed
 from touchline.sinks.publish import publish, to_messages
-from touchline.sinks.tables import newest_runs
+from touchline.sinks.tables import newest_quality, newest_runs
 from touchline.sources.demo import demo_records, late_records
 from touchline.sources.tables import read_bronze, read_silver, read_table
 from touchline.streaming.coverage import coverage
@@ -614,6 +614,13 @@ def q_failure_rate(spark, sf_dir):
     return of_all_types(lambda t: Q.failure_rate(L.bronze(spark, sf_dir, t, SETTINGS), t))
 
 
+@register("failure_rate_stored", ORACLES["failure_rate"])
+def q_failure_rate_stored(spark, sf_dir):
+    """The failure rate that the Silver run has counted while it wrote, without parsing again."""
+    s, _ = R.silver_store(spark, sf_dir)
+    return newest_quality(spark, s)
+
+
 @register("latest_snapshot", with_ctes("""
 select fixture_id, state_id, home_score, away_score, kafka_offset from latest_live""",
                                        "latest_live"))

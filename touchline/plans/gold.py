@@ -80,14 +80,19 @@ def run_gold(spark: SparkSession, settings: Settings, rebuild: bool = False) ->
     """Build and write every Gold table; returns rows written per table.
 
     Season tables over all history come from stored state that follows the changed Silver days
-    (``season``); ``rebuild`` builds that state anew. A window of days, parity without snapshot reduction,
-    and Silver tables without snapshots (streamed or Delta ones) are read as a whole.
+    (``season``); ``rebuild`` builds that state anew. Over streamed Silver, the newest row per fixture is that of
+    the dashboard's stream, which reads new files only. A window of days, parity without snapshot reduction,
+    and Delta tables are read as a whole.
     """
     tune(spark)
-    kept_up = (settings.standings_days_back is None and settings.latest_snapshot
-               and snapshot(spark, settings.path(settings.silver_layer, "live_scores")) is not None)
+    kept_up = settings.standings_days_back is None and settings.latest_snapshot and settings.table_format != "delta"
     perf = None
-    if kept_up:
+    if kept_up and settings.silver_layer == "silver_stream":
+        from touchline.streaming.dashboard import newest_live, run_dashboard  # it builds on this module
+
+        run_dashboard(spark, settings)
+        live = newest_live(spark, settings)
+    elif kept_up and snapshot(spark, settings.path(settings.silver_layer, "live_scores")) is not None:
         live = refresh(spark, settings, LIVE_COLUMNS, rebuild)
         if settings.team_key == "name":
             perf = performance(read_table(spark, state_path(settings, "team_sums"), settings.table_format), settings)

@@ -11,11 +11,11 @@ from touchline.config import DATE_PARTS, Settings
 from touchline.functions.clock import day_before, in_days
 from touchline.operators.quality import dead_letters
 from touchline.operators.refine import (
-    LETTER_COLUMNS, LETTERS, REFINERS, ROWS, SILVER_TABLES, TARGET, refine_once,
+    LETTER_COLUMNS, LETTERS, PARTIAL, REFINERS, ROWS, SILVER_TABLES, TARGET, refine_once,
 )
 from touchline.session import tune
 from touchline.sinks.snapshots import commit, new_run, table_schema, vacuum
-from touchline.sinks.tables import log_run, stage, write_table
+from touchline.sinks.tables import log_quality, log_run, stage, write_table
 from touchline.sources.tables import read_bronze
 
 SILVER_ORDER = ("fixtures", "livescores", "events", "leagues")
@@ -48,7 +48,9 @@ def _write_once(spark: SparkSession, bronze: DataFrame, data_type: str, settings
                 first: date) -> dict[str, int]:
     table, base = SILVER_TABLES[data_type], settings.path("silver", "runs")
     both, counts = refine_once(bronze, data_type, settings), Observation(f"silver:{data_type}")
-    observed = both.observe(counts, *[F.count_if(F.col(TARGET) == t).alias(t) for t in (ROWS, LETTERS)])
+    partial = (F.col(TARGET) == LETTERS) & (F.col("reason") == PARTIAL)
+    observed = both.observe(counts, *[F.count_if(F.col(TARGET) == t).alias(t) for t in (ROWS, LETTERS)],
+                            F.count_if(partial).alias(PARTIAL))
     run = new_run(base)
     stage(observed, f"{base}/{run}", settings.table_format, [TARGET, *DATE_PARTS])
     rows = table_schema(both.drop(TARGET, *LETTER_COLUMNS), DATE_PARTS)
@@ -57,7 +59,11 @@ def _write_once(spark: SparkSession, bronze: DataFrame, data_type: str, settings
            owned=lambda v: in_days(v, first))
     commit(spark, settings.path("silver", "dead_letters"), letters, base, f"{run}/{TARGET}={LETTERS}", 3,
            owned=lambda v: v["data_type"] == data_type and in_days(v, first), extra={"data_type": data_type})
-    return {table: int(counts.get[ROWS]), f"dead_letters_{table}": int(counts.get[LETTERS])}
+    rows, letters, partial = (int(counts.get[c]) for c in (ROWS, LETTERS, PARTIAL))
+    # A partial message is a row and a letter; others that fail are letters only (or rows too, if kept).
+    dropped = letters - partial
+    log_quality(spark, settings, data_type, rows + (0 if settings.keep_bad_rows else dropped), dropped, partial)
+    return {table: rows, f"dead_letters_{table}": letters}
 
 
 def _write_delta(spark: SparkSession, bronze: DataFrame, data_type: str, settings: Settings,

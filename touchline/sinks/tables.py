@@ -76,6 +76,25 @@ def log_run(spark: SparkSession, settings: Settings, layer: str, report: dict[st
      .write.mode("append").parquet(settings.path(layer, "run_log")))
 
 
+QUALITY_LOG = "data_type string, messages bigint, dead_letters bigint, partial bigint"
+
+
+def log_quality(spark: SparkSession, settings: Settings, data_type: str, messages: int, dead_letters: int,
+                partial: int) -> None:
+    """Append what a Silver run has counted while it wrote: its messages, and how many of them failed."""
+    row = spark.createDataFrame([(data_type, messages, dead_letters, partial)], QUALITY_LOG)
+    (row.coalesce(1).withColumn("run_at", now(settings.as_of)).withColumn("logged_at", F.current_timestamp())
+     .write.mode("append").parquet(settings.path("silver", "quality_log")))
+
+
+def newest_quality(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Per data type, messages and failures of the newest Silver run, with the failure rate."""
+    log = spark.read.parquet(settings.path("silver", "quality_log"))
+    newest = F.max_by(F.struct("messages", "dead_letters", "partial"), F.struct("run_at", "logged_at"))
+    return (log.groupBy("data_type").agg(newest.alias("n")).select("data_type", "n.*")
+            .withColumn("failure_rate", F.when(F.col("messages") > 0, F.col("dead_letters") / F.col("messages"))))
+
+
 def newest_runs(spark: SparkSession, settings: Settings, layer: str) -> DataFrame:
     """Per table of a layer: rows and clock of the newest run."""
     log = spark.read.parquet(settings.path(layer, "run_log"))

@@ -69,6 +69,11 @@ def run_dashboard(spark: SparkSession, settings: Settings, max_files: int | None
     return await_all(spark, {"live_dashboard": query})["live_dashboard"]
 
 
+def newest_live(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The newest row per fixture, as of the last merged batch."""
+    return read_table(spark, settings.path("dashboard", "newest_live"), settings.table_format).select(*LIVE_COLUMNS)
+
+
 def current_dashboard(spark: SparkSession, settings: Settings) -> DataFrame:
     """The dashboard as of the last merged batch."""
-    return A.live_dashboard(read_table(spark, settings.path("dashboard", "newest_live")), settings)
+    return A.live_dashboard(newest_live(spark, settings), settings)
