@@ -111,7 +111,7 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
         for batch in slices(batches):
-            for key, tag, data, *before in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, tag, data, *before in zip(*(batch.column(c).to_pylist() for c in cols)):
                 found = items(data)
                 if len(found) < window:
                     continue
@@ -171,7 +171,9 @@ def shared_anchors(rows: DataFrame, items: Callable[[bytes], np.ndarray], window
                                            pa.array(values.view(np.int64))], ["key", "tag", "anchor"])
 
     cols = ["key", "tag", "data"] + (["anchors", "k"] if "anchors" in rows.columns else [])
-    packed = mapped(rows.select(*cols), pack, PACKED).repartition(len(parts), "bucket")
+    # After an earlier round all columns stay, so that its join shuffles the texts as the later ones do.
+    packed = mapped(rows if "anchors" in rows.columns else rows.select(*cols), pack, PACKED).repartition(
+        len(parts), "bucket")
     return (mapped(packed, find, "key long, tag int, anchor long")
             .groupBy("key", "tag").agg(F.collect_set("anchor").alias("anchors")))
 
