@@ -87,15 +87,19 @@ def test_vantage_points_lose_no_pair():
     dense = np.uint64(12345) ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))
     points = np.unique(np.concatenate([base, *flips, dense]))
     tree = simhash.grow(points[::3], 4)
-    got, members = set(), 0
-    for _, m, q in simhash.route(tree, points, 3):
+    got, found_in, members = set(), Counter(), 0
+    for shard, m, v in simhash.route(tree, points, 3):
         members += len(m)
-        for a, b in simhash.near_pairs(m, q, 3, block=64):
-            got |= set(zip(a.tolist(), b.tolist()))
+        assert not np.isin(v, m).any()
+        pairs = {tuple(sorted(p)) for a, b in simhash.near_pairs(m, np.concatenate([m, v]), 3, block=64)
+                 for p in zip(a.tolist(), b.tolist())}
+        found_in.update(pairs)
+        got |= pairs
     near = np.bitwise_count(points[:, None] ^ points[None, :]) <= 3
-    a, b = np.nonzero(near & ~np.eye(len(points), dtype=bool))
+    a, b = np.nonzero(np.triu(near, 1))
     assert members == len(points)
     assert got == set(zip(points[a].tolist(), points[b].tolist()))
+    assert set(found_in.values()) == {1}  # each pair in one shard only
 
 
 def test_simhash_shards_in_parts(spark):
@@ -113,6 +117,16 @@ def test_simhash_shards_in_parts(spark):
     assert {p: roots.get(p, p) for p in points.tolist()} == {p: groups.find(p) for p in points.tolist()}
 
 
+def test_blocks_keep_every_point_once():
+    points = np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    for k in (1, 2, 7):
+        blocks = simhash.blocks_of(points, k, 32)
+        assert len(blocks) == k and all(len(b) for b in blocks)
+        assert sorted(np.concatenate(blocks).tolist()) == sorted(points.tolist())
+        again = simhash.blocks_of(points[::-1], k, 32)
+        assert all(set(x.tolist()) == set(y.tolist()) for x, y in zip(blocks, again))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     found = components(spark.createDataFrame(edges, "a long, b long").repartition(7))

@@ -5,6 +5,8 @@ and median radii, whose shape comes from a bounded sample, gives every fingerpri
 shard. A query with radius r visits the inner side of a vantage point if its distance is at
 most radius + r and the outer side if it is above radius - r (triangle inequality), so
 fingerprints near a boundary are queried in the shards on both sides and no pair is missed.
+A fingerprint leaves its own path for outer sides only: the one on the inner side finds the
+pair, so the other need not look for it and each pair of shards is visited from one of them.
 Inside a shard the same tree search goes on until blocks are small; pairs are exact.
 Equal fingerprints are one node, and a task returns a spanning forest of the pairs
 it finds, so neither copies nor dense groups are expanded into all pairs.
@@ -90,18 +92,29 @@ def grow(sample: np.ndarray, levels: int):
 
 
 def route(tree, points: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, its members, the queries that visit it) of these points."""
-    todo = [(tree, 1, points, points)]
+    """(shard, its members, the other fingerprints that visit it) of these points."""
+    todo = [(tree, 1, points, points[:0])]
     while todo:
-        node, name, members, queries = todo.pop()
+        node, name, members, visitors = todo.pop()
         if node is None:
-            if len(queries):
-                yield name, members, queries
+            if len(members) or len(visitors):
+                yield name, members, visitors
             continue
         vp, r, inner, outer = node
-        dm, dq = distance(members, vp), distance(queries, vp).astype(int)
-        todo.append((inner, 2 * name, members[dm <= r], queries[dq <= r + reach]))
-        todo.append((outer, 2 * name + 1, members[dm > r], queries[dq > r - reach]))
+        dm, dv = distance(members, vp).astype(int), distance(visitors, vp).astype(int)
+        crossing = members[(dm <= r) & (dm > r - reach)]
+        todo.append((inner, 2 * name, members[dm <= r], visitors[dv <= r + reach]))
+        todo.append((outer, 2 * name + 1, members[dm > r],
+                     np.concatenate([visitors[dv > r - reach], crossing])))
+
+
+def blocks_of(points: np.ndarray, k: int, shift: int) -> list[np.ndarray]:
+    """The points in ``k`` blocks by hash, the same block for a point wherever it is met."""
+    if k == 1:
+        return [points]
+    block = (points * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(shift)) % np.uint64(k)
+    order = np.argsort(block, kind="stable")
+    return np.split(points[order], np.searchsorted(block[order], np.arange(1, k)))
 
 
 def near_pairs(members: np.ndarray, queries: np.ndarray, reach: int, block: int = 1024,
@@ -132,16 +145,10 @@ def near_pairs(members: np.ndarray, queries: np.ndarray, reach: int, block: int
                     yield a[other], b[other]
 
 
-def link(nodes: DataFrame, reach: int = 3, shard_rows: int = 4096, most_shards: int = 4096,
-         sample_rows: int = 100_000, shard_work: int = 1 << 29) -> DataFrame:
-    """Edges (a, b) that join all fingerprints ``fp`` at most ``reach`` bits apart: a spanning
-    forest of the links of each shard.
-
-    ``sample_rows`` bounds the sample that shapes the tree, ``most_shards`` the number of
-    shards (beyond it shards grow, and are searched in parts of about ``shard_work`` pairs).
-    """
+def routed_points(nodes: DataFrame, reach: int, shard_rows: int, sample_rows: int) -> DataFrame:
+    """Rows (shard, n_members, n_visitors, members, visitors): a task's fingerprints by shard, packed."""
     n = nodes.count()
-    levels = max(0, min(int(np.ceil(np.log2(max(n, 1) / shard_rows))), int(np.log2(most_shards))))
+    levels = max(0, int(np.ceil(np.log2(max(n, 1) / shard_rows))))
     sample = np.array([r[0] for r in nodes.orderBy(F.xxhash64("fp"), "fp")
                        .limit(min(sample_rows, 64 << levels)).collect()] if levels else [], np.int64)
     tree = grow(sample.view(np.uint64), levels)
@@ -151,10 +158,10 @@ def link(nodes: DataFrame, reach: int = 3, shard_rows: int = 4096, most_shards:
 
         def out():
             found = list(route(tree, np.concatenate(held).view(np.uint64), reach))
-            cols = list(zip(*((s, len(m), len(q), m.tobytes(), q.tobytes()) for s, m, q in found)))
+            cols = list(zip(*((s, len(m), len(v), m.tobytes(), v.tobytes()) for s, m, v in found)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                              ["shard", "n_members", "n_queries", "members", "queries"])
+                                              ["shard", "n_members", "n_visitors", "members", "visitors"])
 
         for batch in batches:
             held.append(batch.column(0).to_numpy())
@@ -165,22 +172,44 @@ def link(nodes: DataFrame, reach: int = 3, shard_rows: int = 4096, most_shards:
         if rows:
             yield out()
 
-    packed = stored(mapped(nodes.select("fp"), routed,
-                           "shard long, n_members long, n_queries long, members binary, queries binary"),
-                    "shards")
-    # A shard with much work is searched in parts, each by some of its queries.
-    parts = (packed.groupBy("shard").agg(F.sum("n_members").alias("m"), F.sum("n_queries").alias("q"))
-             .select("shard", F.ceil(F.col("m").cast("double") * F.col("q") / shard_work).cast("int").alias("k"))
-             .where("k > 0"))
-    spread = packed.join(parts, "shard").select(
-        "shard", "members", "queries", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"))
+    return mapped(nodes.select("fp"), routed,
+                  "shard long, n_members long, n_visitors long, members binary, visitors binary")
+
+
+def link(nodes: DataFrame, reach: int = 3, shard_rows: int = 4096, sample_rows: int = 100_000,
+         shard_work: int = 1 << 29) -> DataFrame:
+    """Edges (a, b) that join all fingerprints ``fp`` at most ``reach`` bits apart: a spanning
+    forest of the links of each shard.
+
+    ``sample_rows`` bounds the sample that shapes the tree, and with it the number of shards. A
+    shard that holds more than the square root of ``shard_work`` members or queries is dealt
+    into blocks of each; a task gets one block of either kind and compares no more than
+    ``shard_work`` pairs, so its memory and time are bounded whatever the input.
+    """
+    packed = stored(routed_points(nodes, reach, shard_rows, sample_rows), "shards")
+    side = float(np.sqrt(shard_work))
+    blocks = (packed.groupBy("shard")
+              .agg(F.sum("n_members").alias("m"), F.sum(F.col("n_members") + F.col("n_visitors")).alias("q"))
+              .where("m > 0")
+              .select("shard", F.ceil(F.col("m") / side).cast("int").alias("km"),
+                      F.ceil(F.col("q") / side).cast("int").alias("kq")))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for shard, members, visitors, km, kq in zip(*(c.to_pylist() for c in batch.columns)):
+                m, v = np.frombuffer(members, np.uint64), np.frombuffer(visitors, np.uint64)
+                for j, q in enumerate(blocks_of(np.concatenate([m, v]), kq, 40)):
+                    found = [(shard, i, j, x.tobytes(), q.tobytes())
+                             for i, x in enumerate(blocks_of(m, km, 32)) if len(x) or len(q)]
+                    if found:
+                        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*found), kinds)],
+                            ["shard", "m_block", "q_block", "members", "queries"])
 
     def searched(table: pa.Table) -> pa.Table:
-        k, part = table["k"][0].as_py(), table["part"][0].as_py()
         members = np.frombuffer(b"".join(table["members"].to_pylist()), np.uint64)
         queries = np.frombuffer(b"".join(table["queries"].to_pylist()), np.uint64)
-        if k > 1:
-            queries = queries[(queries * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(k) == part]
         a = b = np.zeros(0, np.int64)
         held, size = [(a, b)], 0
         for x, y in near_pairs(members, queries, reach):
@@ -191,7 +220,9 @@ def link(nodes: DataFrame, reach: int = 3, shard_rows: int = 4096, most_shards:
         a, b = stars(*map(np.concatenate, zip(*held)))
         return pa.table({"a": a, "b": b})
 
-    return spread.groupBy("shard", "part").applyInArrow(searched, "a long, b long")
+    spread = mapped(packed.join(blocks, "shard").select("shard", "members", "visitors", "km", "kq"), dealt,
+                    "shard long, m_block int, q_block int, members binary, queries binary")
+    return spread.groupBy("shard", "m_block", "q_block").applyInArrow(searched, "a long, b long")
 
 
 def simhash_dedup(docs: DataFrame, words_in: int = 3, reach: int = 3, id_col: str = "doc_id",
