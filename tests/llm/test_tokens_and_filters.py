@@ -105,6 +105,22 @@ def test_packing(spark, window):
     assert packing.pack(docs.limit(0), WORD_BPE).count() == 0
 
 
+def test_packing_ranks_frequent_lengths_in_more_groups(spark):
+    """Groups that grow with the pieces of a length place every piece once, as few groups do."""
+    docs = data.documents(spark)
+    rows = packing.pack(docs, WORD_BPE, window=64, salts=1, group_rows=5).collect()
+    few = packing.pack(docs, WORD_BPE, window=64).collect()
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(parts)]).tolist()]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 64
+    assert len(by_sequence) == len({r["sequence_id"] for r in few})
+    pieces = [sorted((str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"]) for r in x) for x in (rows, few)]
+    assert pieces[0] == pieces[1]
+
+
 def test_plan_uses_every_piece_once_with_little_padding():
     rnd = random.Random(3)
     histogram = defaultdict(int)

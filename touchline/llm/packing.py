@@ -32,6 +32,7 @@ from touchline.llm.remembered import Remembered
 from touchline.llm.tables import mapped, slices, stored, whole
 
 SALTS = 64
+GROUP_ROWS = 1_000_000
 
 
 class WordIds:
@@ -212,32 +213,41 @@ def _places(plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id_col: str = "doc_id",
-         text_col: str = "text", with_ids: bool = False, salts: int = SALTS) -> DataFrame:
+         text_col: str = "text", with_ids: bool = False, salts: int = SALTS,
+         group_rows: int = GROUP_ROWS) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
+    Pieces of a length are ranked in groups of about ``group_rows`` at most, and in no fewer than
+    ``salts`` groups, so that a length which holds most pieces is many groups at any size.
     Null and empty texts are one piece that holds the end id only; null or repeated doc_ids
     are packed like others; an empty table gives no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
     pieces = stored(cut_documents(docs, path, window, end_id, id_col, text_col, with_ids), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"),
-                                              F.lit(salts)).cast("int"))
-    # At most window x salts rows.
+    # At most a row per length.
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    groups = {x: max(salts, -(-n // group_rows)) for x, n in histogram.items()}
+    per_length = spark.createDataFrame(list(groups.items()), "length long, salts long")
+    salted = (pieces.join(F.broadcast(per_length), "length")
+              .select(*pieces.columns, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"),
+                                              F.col("salts")).alias("salt")))
+    # At most window x salts rows, and one more for every ``group_rows`` pieces.
     counts = salted.groupBy("length", "salt").count().collect()
-    histogram: dict[int, int] = {}
-    first = np.zeros((window + 1, salts), np.int64)
+    base, first = np.zeros(window + 1, np.int64), np.zeros(sum(groups.values()), np.int64)
+    base[list(groups)] = np.cumsum([0, *groups.values()])[:-1]
+    ranked: dict[int, int] = {}
     for r in sorted(counts, key=lambda r: (r["length"], r["salt"])):
-        first[r["length"], r["salt"]] = histogram.get(r["length"], 0)
-        histogram[r["length"]] = histogram.get(r["length"], 0) + r["count"]
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (first, _places(plan_windows(histogram, window))))
+        first[base[r["length"]] + r["salt"]] = ranked.get(r["length"], 0)
+        ranked[r["length"]] = ranked.get(r["length"], 0) + r["count"]
+    shared = spark.sparkContext.broadcast((base, first, _places(plan_windows(histogram, window))))
     names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, places = shared.value
+        base, first, places = shared.value
         key = (places[:, 0] << 44) + places[:, 1]
         for batch in batches:
             length = batch.column("length").to_numpy()
-            rank = first[length, batch.column("salt").to_numpy()] + batch.column("nth").to_numpy() - 1
+            rank = first[base[length] + batch.column("salt").to_numpy()] + batch.column("nth").to_numpy() - 1
             _, start, k, sequence, offset = places[np.searchsorted(key, (length << 44) + rank,
                                                                    side="right") - 1].T
             window_no, slot = np.divmod(rank - start, k)
