@@ -58,18 +58,21 @@ class WordIds:
         self.words = Remembered(remembered)
 
     def _learn(self, words: list[bytes]) -> None:
-        ascii_words, others = [], []
-        for w in words:
-            if any(a in w for a in self.added):
+        joined = b" ".join(words)
+        if marks := [a for a in self.added if a in joined]:
+            for w in [w for w in words if any(a in w for a in marks)]:
                 ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
                 self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                (ascii_words if w.isascii() else others).append(w)
+            words = [w for w in words if w not in self.words]
+        ascii_words = [w for w in words if w.isascii()]
+        others = [w for w in words if not w.isascii()]
         if ascii_words:
-            parts, merge = self.ASCII_PARTS.findall, self.merge
-            ranks = [[r for p in parts(w.lower()) for r in merge(p + END_MARK)] for w in ascii_words]
-            ids = self.id_of_rank[np.fromiter((r for x in ranks for r in x), np.int64)]
-            self._remember(ascii_words, ids, np.cumsum([0] + [len(x) for x in ranks]))
+            parts, merge, ranks, at = self.ASCII_PARTS.findall, self.merge, [], [0]
+            for w in ascii_words:
+                for p in parts(w.lower()):
+                    ranks += merge(p + END_MARK)
+                at.append(len(ranks))
+            self._remember(ascii_words, self.id_of_rank[np.array(ranks, np.int64)], np.array(at))
         if others:  # separated by spaces; offsets tell which word an id belongs to
             texts = [w.decode("utf-8") for w in others]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
@@ -86,9 +89,13 @@ class WordIds:
         for text in texts:
             words = text.split()
             self.words.make_room(len(words))
-            if new := self.words.unknown(words):
-                self._learn(list(new))
-            yield b"".join(map(self.words.__getitem__, words))
+            found = list(map(self.words.get, words))
+            missing = {w for w, ids in zip(words, found) if ids is None}
+            if missing:
+                if new := self.words.unknown(missing):
+                    self._learn(list(new))
+                found = [self.words[w] if ids is None else ids for w, ids in zip(words, found)]
+            yield b"".join(found)
 
 
 _LOADED: dict[str, WordIds] = {}
