@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import zstandard
@@ -323,3 +324,10 @@ def test_quality_awkward_rows(spark):
     assert {(r["score"], r["predicted"]) for r in none} == {(0.5, 1)}
     assert quality.score_documents(docs.limit(0), labels).count() == 0
     assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_lean_passes_batches_through():
+    from touchline.llm.tables import lean
+    batches = [pa.record_batch({"x": [1, 2]}), pa.record_batch({"x": pa.array([], pa.int64())})]
+    assert list(lean(iter)(batches)) == batches
+    assert list(lean(iter)([])) == []

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from touchline.llm.bpe import END_MARK, rank_merger
 from touchline.llm.remembered import Remembered
-from touchline.llm.tables import mapped, slices, stored, whole
+from touchline.llm.tables import lean, mapped, slices, stored, whole
 
 SALTS = 64
 GROUP_ROWS = 1_000_000
@@ -128,7 +128,7 @@ def cut_documents(docs: DataFrame, path: str, window: int, end_id: int, id_col:
 
     schema = PIECES + ", ids array<int>" * with_ids
     return mapped(docs.select(F.col(id_col).cast("long"), whole(text_col).cast("binary")),
-                  rows, schema)
+                  lean(rows), schema)
 
 
 def combinations(lengths: np.ndarray, counts: np.ndarray, window: int,

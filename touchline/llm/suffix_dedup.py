@@ -24,7 +24,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from touchline.llm import repeats
 from touchline.llm.anchors import anchors
 from touchline.llm.induced import Column, Scratch, Sorter
-from touchline.llm.tables import mapped, slices
+from touchline.llm.tables import lean, mapped, slices
 
 ANCHOR_BYTES = 20
 
@@ -380,8 +380,8 @@ def without_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), changed, batch.column("rest")],
                                              ["text", "changed", "rest"])
 
-    found = mapped(rows, finish, StructType([StructField("text", StringType()), StructField("changed", BooleanType()),
-                                             rows.schema["rest"]]))
+    found = mapped(rows, lean(finish), StructType([
+        StructField("text", StringType()), StructField("changed", BooleanType()), rows.schema["rest"]]))
     held = F.col("rest")
     new = {c: held.getField(f"c{i}") for i, c in enumerate(others)}
     new[text_col] = F.when(~held.getField("absent"), F.col("text"))
