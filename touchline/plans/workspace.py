@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from touchline.config import Settings
 from touchline.files import exists, fs_path, publish_folder
 from touchline.session import work_root
-from touchline.sources.demo import demo_records, late_records
+from touchline.sources.demo import late_records, log_stretches
 from touchline.sources.stream import StreamSource
 
 
@@ -43,14 +43,8 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
         # Written aside and moved into place: two processes landing the same topic at once
         # never see each other's half-written files.
         tmp = f"{root}/landing/.{data_type}-{uuid.uuid4().hex[:12]}"
-        # Files hold contiguous, time-ordered stretches of the log, as a topic partition
-        # would. Range partitioning (sampled bounds) splits a hot day over several files
-        # instead of handing it to one task.
-        records = demo_records(spark, sf_dir, data_type)
-        cores = spark.sparkContext.defaultParallelism
-        (records.repartitionByRange(cores, "timestamp", "partition", "offset")
-         .sortWithinPartitions("timestamp", "partition", "offset")
-         .write.mode("overwrite").parquet(tmp))
+        # Files hold contiguous, time-ordered stretches of the log, as a topic partition would.
+        log_stretches(spark, sf_dir, data_type).write.mode("overwrite").parquet(tmp)
         if not publish_folder(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
             raise RuntimeError(f"{path} holds an incomplete landing: remove it and run again")
     return path

@@ -29,8 +29,10 @@ def build_session(app_name: str = "touchline", master: str | None = None,
     return tune(builder.getOrCreate())
 
 
-# Session settings the pipeline relies on.
-TUNING = {"spark.sql.session.timeZone": "UTC"}
+# Session settings the pipeline relies on: the files of a table's days are written side by side instead of
+# sorting whole messages by day first.
+TUNING = {"spark.sql.session.timeZone": "UTC",
+          "spark.sql.maxConcurrentOutputFileWriters": "64"}
 
 
 def session_key(spark: SparkSession) -> tuple:

@@ -139,8 +139,12 @@ def _fetched_at(kafka_ts: Column, fixture_id: Column) -> Column:
             .otherwise(_ts_plus(kafka_ts, "SECOND", F.lit(-2)))
 
 
-def _record(key: Column, value: Column, topic: str, partition: Column, offset: Column,
-            ts: Column) -> list[Column]:
+LOG_ORDER = ("kafka_ts", "kafka_partition", "kafka_offset")
+
+
+def _record(key: Column, value: Column, topic: str, partition: Column | None = None, offset: Column | None = None,
+            ts: Column | None = None) -> list[Column]:
+    ts, partition, offset = (F.col(c) if given is None else given for c, given in zip(LOG_ORDER, (ts, partition, offset)))
     return [key.cast("binary").alias("key"), value.cast("binary").alias("value"),
             F.lit(topic).alias("topic"), partition.cast("int").alias("partition"),
             offset.cast("bigint").alias("offset"), ts.alias("timestamp")]
@@ -200,12 +204,14 @@ def damaged(text: Column) -> Column:
             .otherwise(text))
 
 
-def live_score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = live_score_polls(demo_matches(spark, sf_dir)) \
-        .withColumn("json", F.to_json(live_score_payload()))
+def live_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_score_polls(demo_matches(spark, sf_dir)).withColumn("kafka_partition", F.col("fixture_id") % PARTITIONS)
+
+
+def live_score_records(polls: DataFrame) -> DataFrame:
     value = damaged(F.col("json"))
-    return polls.select(*_record(F.col("fixture_id").cast("string"), value, TOPICS["livescores"],
-                                 F.col("fixture_id") % 3, F.col("kafka_offset"), F.col("kafka_ts")))
+    return polls.withColumn("json", F.to_json(live_score_payload())).select(
+        *_record(F.col("fixture_id").cast("string"), value, TOPICS["livescores"]))
 
 
 def fixture_polls(matches: DataFrame) -> DataFrame:
@@ -220,8 +226,11 @@ def fixture_polls(matches: DataFrame) -> DataFrame:
         "kafka_ts": _ts_plus(_ts_plus(_replay_ts(fid), "DAY", F.lit(-1)), "HOUR", -left * FIXTURE_POLL_HOURS)})
 
 
-def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixture_polls(demo_matches(spark, sf_dir))
+def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture_polls(demo_matches(spark, sf_dir)).withColumn("kafka_partition", F.col("fixture_id") % PARTITIONS)
+
+
+def fixture_records(polls: DataFrame) -> DataFrame:
     kafka_ts = F.col("kafka_ts")
     payload = F.struct(
         F.col("fixture_id").alias("id"), "sport_id", "league_id", "season_id", "stage_id",
@@ -232,9 +241,7 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _participants().alias("participants"),
         _metadata("fixture", _fetched_at(kafka_ts, F.col("fixture_id"))).alias("_metadata"),
     )
-    return m.select(*_record(F.col("fixture_id").cast("string"), F.to_json(payload),
-                             TOPICS["fixtures"], F.col("fixture_id") % 3, F.col("kafka_offset"),
-                             kafka_ts))
+    return polls.select(*_record(F.col("fixture_id").cast("string"), F.to_json(payload), TOPICS["fixtures"]))
 
 
 def event_polls(events: DataFrame) -> DataFrame:
@@ -263,23 +270,27 @@ def event_payload() -> Column:
     )
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = event_polls(demo_match_events(spark, sf_dir))
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_polls(demo_match_events(spark, sf_dir)).withColumn("kafka_partition", F.col("fixture_id") % PARTITIONS)
+
+
+def event_records(polls: DataFrame) -> DataFrame:
     key = F.concat_ws("_", F.col("fixture_id").cast("string"), F.col("event_id").cast("string"))
-    return polls.select(*_record(key, F.to_json(event_payload()), TOPICS["events"],
-                                 F.col("fixture_id") % 3, F.col("kafka_offset"),
-                                 F.col("kafka_ts")))
+    return polls.select(*_record(key, F.to_json(event_payload()), TOPICS["events"]))
 
 
-def league_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+def league_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
+        "r_regionkey", "r_name", F.lit("2023-12-01 00:00:00").cast("timestamp").alias("kafka_ts"),
+        (F.col("r_regionkey") % PARTITIONS).alias("kafka_partition"), F.col("r_regionkey").alias("kafka_offset"))
+
+
+def league_records(rows: DataFrame) -> DataFrame:
     ts = F.lit("2023-12-01 00:00:00").cast("timestamp")
     payload = F.struct(F.col("r_regionkey").cast("bigint").alias("id"),
                        F.concat(F.lit("League "), F.col("r_name")).alias("name"),
                        _metadata("league", ts).alias("_metadata"))
-    return r.select(*_record(F.col("r_regionkey").cast("string"), F.to_json(payload),
-                             TOPICS["leagues"], F.col("r_regionkey") % 3,
-                             F.col("r_regionkey"), ts))
+    return rows.select(*_record(F.col("r_regionkey").cast("string"), F.to_json(payload), TOPICS["leagues"]))
 
 
 LATE_CLASS = (41, 7)  # fixtures f with f % 41 = 7 have messages that arrive after all others
@@ -301,19 +312,39 @@ def late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     polls = started.select("fixture_id", F.posexplode(times).alias("nth", "ts"))
     late = polls.select(*_record(fid.cast("string"), F.to_json(F.struct(fid.alias("id"))), TOPICS["livescores"],
                                  fid % PARTITIONS, F.lit(LATE_OFFSETS) + fid * 8 + F.col("nth"), F.col("ts")))
-    first = live_score_records(spark, sf_dir).where(
+    first = demo_records(spark, sf_dir, "livescores").where(
         (F.col("offset") % 3 == 0) & ((F.col("offset") / 3).cast("bigint") % every == at))
     return late.unionByName(first)
 
 
-RECORDS = {
-    "fixtures": fixture_records,
-    "livescores": live_score_records,
-    "events": event_records,
-    "leagues": league_records,
+# Per data type: the source table, its rows with what a message is made from, and their records.
+FEEDS = {
+    "fixtures": ("orders", fixture_rows, fixture_records),
+    "livescores": ("orders", live_score_rows, live_score_records),
+    "events": ("events", event_rows, event_records),
+    "leagues": ("region", league_rows, league_records),
 }
 
 
 def demo_records(spark: SparkSession, sf_dir: str, data_type: str) -> DataFrame:
     """Kafka-shaped records of one data type, derived from the test tables."""
-    return RECORDS[data_type](spark, sf_dir)
+    _, rows, records = FEEDS[data_type]
+    return records(rows(spark, sf_dir))
+
+
+ROWS_PER_FILE = 1 << 17  # source rows whose messages make one stretch of the log
+
+
+def log_stretches(spark: SparkSession, sf_dir: str, data_type: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``demo_records`` as contiguous, time-ordered stretches of the log, one per task.
+
+    Their number grows with the input, so that a stretch always fits a task's memory. The few columns that
+    messages are made from are dealt out and sorted, and the texts are written out of the sorted rows: they
+    are made once and never shuffled. Range partitioning (sampled bounds) splits a hot day
+    over several stretches instead of handing it to one task.
+    """
+    source, rows, records = FEEDS[data_type]
+    n = -(-table(spark, sf_dir, source).count() // rows_per_file)
+    stretches = (rows(spark, sf_dir).repartitionByRange(max(n, spark.sparkContext.defaultParallelism), *LOG_ORDER)
+                 .sortWithinPartitions(*LOG_ORDER))
+    return records(stretches)
