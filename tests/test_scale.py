@@ -4,7 +4,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from touchline.files import size_of
 from touchline.plans import lineage as L
+from touchline.session import tune
 from touchline.sources.demo import LOG_ORDER, demo_records, log_stretches
 from touchline.sources.stream import StreamSource
 from touchline.sources.tables import read_table
@@ -50,3 +52,13 @@ def test_bronze_streams_write_without_sorting_whole_messages(spark, scratch):
     assert q.awaitTermination(180)
     assert "Sort [" not in q._jsq.explainInternal(False)
     assert read_table(spark, s.path("bronze", "events")).count() == demo_records(spark, sf, "events").count()
+
+
+def test_a_tasks_share_of_texts_is_bounded_and_stored_small(spark, scratch):
+    """Splits and files of message texts stay small, whatever the table's size."""
+    tune(spark)
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")) * 30 <= 1 << 30
+    texts = spark.range(20_000).select(F.to_json(F.struct("id", *[F.lit("a name").alias(f"c{i}") for i in range(20)])).alias("j"))
+    texts.coalesce(1).write.parquet(f"{scratch}/ours")
+    texts.coalesce(1).write.option("compression", "snappy").parquet(f"{scratch}/snappy")
+    assert size_of(spark, f"{scratch}/ours") < size_of(spark, f"{scratch}/snappy")
