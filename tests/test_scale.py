@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from touchline.files import size_of
 from touchline.plans import lineage as L
 from touchline.session import tune
+from touchline.sinks.snapshots import snapshot
+from touchline.sinks.upsert import upsert_newest
 from touchline.sources.demo import LOG_ORDER, demo_records, log_stretches
 from touchline.sources.stream import StreamSource
 from touchline.sources.tables import read_table
@@ -62,3 +64,23 @@ def test_a_tasks_share_of_texts_is_bounded_and_stored_small(spark, scratch):
     texts.coalesce(1).write.parquet(f"{scratch}/ours")
     texts.coalesce(1).write.option("compression", "snappy").parquet(f"{scratch}/snappy")
     assert size_of(spark, f"{scratch}/ours") < size_of(spark, f"{scratch}/snappy")
+
+
+def test_a_merge_writes_one_file_per_range(spark, scratch):
+    rows = spark.range(0, 400, 1, 8).selectExpr(
+        "id as fixture_id", "timestamp '2024-01-01' as kafka_timestamp", "0 as kafka_partition", "id as kafka_offset",
+        "0 as v")
+    rows = rows.unionByName(rows.withColumn("v", F.lit(1)).withColumn("kafka_offset", F.col("kafka_offset") + 1000))
+    none = spark.createDataFrame([], rows.schema).unionByName(rows.limit(1).withColumn("fixture_id", F.lit(None).cast("long")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in the batches of a stream
+    try:
+        path = f"{scratch}/newest"
+        for more in (rows, rows.unionByName(none).where("fixture_id is null or fixture_id % 3 = 0")):
+            upsert_newest(spark, path, more, "fixture_id", size=50)
+            snap = snapshot(spark, path)
+            files = [f.split("id_range=")[1].split("/")[0] for f in read_table(spark, path).inputFiles()]
+            assert sorted(files) == sorted(v["id_range"] for v in snap.parts.values())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    got = read_table(spark, path)
+    assert got.count() == 401 and got.where("v = 1").count() >= 400

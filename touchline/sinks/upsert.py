@@ -33,12 +33,15 @@ def upsert_newest(spark: SparkSession, path: str, fresh: DataFrame, key: str,
     again, or older ones, changes nothing.
     """
     old = snapshot(spark, path)
+    touched = {str(r[0]) for r in fresh.select(id_range(key, size)).distinct().collect()}  # reads the key only
     fresh = latest_snapshot(fresh, [key], order).withColumn(RANGE, id_range(key, size))
-    touched = {str(r[0]) for r in fresh.select(RANGE).distinct().collect()}
     inside = lambda v: v[RANGE] in touched
     before = read_snapshot(spark, old, fmt, inside) if old else spark.createDataFrame([], fresh.schema)
     columns = [c for c in fresh.columns if c != RANGE]
-    merged = latest_snapshot(before.select(*fresh.columns).unionByName(fresh), [RANGE, key], order)
+    # A range (at most two rows of each of its keys) meets in one task, which writes its one file; dealt by key,
+    # every task would write a file of every range.
+    both = before.select(*fresh.columns).unionByName(fresh).repartition(RANGE)
+    merged = latest_snapshot(both, [RANGE, key], order)
     write_table(merged.select(*columns, RANGE), path, fmt, partition_by=(RANGE,), sort_by=(key,),
                 owned=inside, tags=tags)
     return before.select(*columns), read_snapshot(spark, snapshot(spark, path), fmt, inside).select(*columns)
