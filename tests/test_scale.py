@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from touchline.files import size_of
 from touchline.plans import lineage as L
+from touchline.operators.refine import SILVER_TABLES
+from touchline.plans.workspace import land
 from touchline.session import tune
 from touchline.sinks.snapshots import snapshot
 from touchline.sinks.upsert import upsert_newest
 from touchline.sources.demo import LOG_ORDER, demo_records, log_stretches
 from touchline.sources.stream import StreamSource
 from touchline.sources.tables import read_table
-from touchline.streaming.bronze import AVAILABLE_NOW, start_bronze
+from touchline.streaming.bronze import AVAILABLE_NOW, run_bronze, start_bronze
+from touchline.streaming.incremental import run_silver_streams
 
 
 def tables(spark, folder, n):
@@ -84,3 +87,13 @@ def test_a_merge_writes_one_file_per_range(spark, scratch):
         spark.conf.unset("spark.sql.adaptive.enabled")
     got = read_table(spark, path)
     assert got.count() == 401 and got.where("v = 1").count() >= 400
+
+
+def test_silver_streams_of_all_types_run_at_once(spark, scratch):
+    s = L.demo_settings(root=scratch)
+    sf = tables(spark, f"{scratch}/sf", 200)
+    run_bronze(spark, {t: StreamSource(path=land(spark, sf, t, scratch)) for t in SILVER_TABLES}, s)
+    ended = run_silver_streams(spark, s, SILVER_TABLES)
+    assert set(ended) == {f"{p}{t}" for t in SILVER_TABLES.values() for p in ("", "dead_letters_")}
+    for data_type, t in SILVER_TABLES.items():
+        assert read_table(spark, s.path("silver_stream", t)).count() == L.silver(spark, sf, data_type, s).count()

@@ -26,7 +26,7 @@ from touchline.streaming.bronze import run_bronze
 from touchline.streaming.coverage import run_coverage
 from touchline.streaming.dashboard import run_dashboard
 from touchline.streaming.dedupe import run_ttl_dedup
-from touchline.streaming.incremental import run_silver_incremental
+from touchline.streaming.incremental import run_silver_streams
 from touchline.streaming.monitor import run_monitors
 
 ALL_TYPES = ("fixtures", "livescores", "leagues", "events")
@@ -52,8 +52,7 @@ def _once(step: str, spark: SparkSession, sf_dir: str, fn):
 def silver_stream_store(spark: SparkSession, sf_dir: str) -> Settings:
     """Incremental Silver (and its dead letters) of all types over the stored Bronze."""
     s = bronze_store(spark, sf_dir)
-    _once("silver_stream", spark, sf_dir, lambda: [
-        run_silver_incremental(spark, s, dt, t) for dt, t in SILVER_TABLES.items()])
+    _once("silver_stream", spark, sf_dir, lambda: run_silver_streams(spark, s, SILVER_TABLES))
     return s
 
 

@@ -8,6 +8,7 @@ with ``availableNow`` on a schedule: each run processes only files it has not se
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from touchline.config import Settings
 from touchline.operators.quality import dead_letters
@@ -25,15 +26,29 @@ def bronze_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def run_silver_incremental(spark: SparkSession, settings: Settings, data_type: str,
-                           table: str, trigger: dict | None = AVAILABLE_NOW) -> dict:
-    """Silver rows of new Bronze files, and bad messages as dead letters, as two streams."""
+def start_silver(spark: SparkSession, settings: Settings, data_type: str, table: str,
+                 trigger: dict | None = AVAILABLE_NOW) -> dict[str, StreamingQuery]:
+    """Start two streams: Silver rows of new Bronze files, and bad messages as dead letters."""
     src = bronze_stream(spark, settings.path("bronze", data_type), settings.table_format)
     outputs = {table: REFINERS[data_type](src, settings),
                f"dead_letters_{table}": dead_letters(src, data_type, settings)}
-    return await_all(spark, {
+    return {
         name: stream_append(df, settings.path("silver_stream", name),
                             settings.path("_checkpoints", "silver_stream", name),
                             settings.table_format, trigger=trigger,
                             query_name=f"silver_stream_{name}")
-        for name, df in outputs.items()})[table]
+        for name, df in outputs.items()}
+
+
+def run_silver_incremental(spark: SparkSession, settings: Settings, data_type: str,
+                           table: str, trigger: dict | None = AVAILABLE_NOW) -> dict:
+    return await_all(spark, start_silver(spark, settings, data_type, table, trigger))[table]
+
+
+def run_silver_streams(spark: SparkSession, settings: Settings, tables: dict[str, str],
+                       trigger: dict | None = AVAILABLE_NOW) -> dict[str, dict]:
+    """The streams of several data types at once: the last tasks of one leave no core idle."""
+    queries: dict[str, StreamingQuery] = {}
+    for data_type, table in tables.items():
+        queries |= start_silver(spark, settings, data_type, table, trigger)
+    return await_all(spark, queries)
