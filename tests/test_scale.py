@@ -1,6 +1,7 @@
 """What a task holds, and how many files it writes, do not grow with the input."""
 
 import re
+from inspect import signature
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from touchline.plans import lineage as L
 from touchline.operators.refine import SILVER_TABLES
 from touchline.plans.workspace import land
 from touchline.session import tune
+from touchline.sinks.compact import FILE_BYTES, compact
 from touchline.sinks.snapshots import snapshot
 from touchline.sinks.upsert import upsert_newest
 from touchline.sources.demo import LOG_ORDER, demo_records, log_stretches
@@ -97,3 +99,7 @@ def test_silver_streams_of_all_types_run_at_once(spark, scratch):
     assert set(ended) == {f"{p}{t}" for t in SILVER_TABLES.values() for p in ("", "dead_letters_")}
     for data_type, t in SILVER_TABLES.items():
         assert read_table(spark, s.path("silver_stream", t)).count() == L.silver(spark, sf, data_type, s).count()
+
+
+def test_a_compacting_task_sorts_no_more_than_fits_it():
+    assert FILE_BYTES * 30 <= 1 << 30 and signature(compact).parameters["file_bytes"].default == FILE_BYTES

@@ -24,6 +24,8 @@ from touchline.sinks.snapshots import read_snapshot, snapshot
 from touchline.sinks.tables import write_table
 
 COVERED = "covered"
+# Stored bytes that one task sorts and writes; message texts take some thirty times as much in its memory.
+FILE_BYTES = 32 << 20
 
 
 def compact_path(path: str) -> str:
@@ -63,7 +65,7 @@ def read_streamed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def compact(spark: SparkSession, path: str, before: date, fmt: str = "parquet",
-            file_bytes: int = 256 << 20) -> dict[str, int]:
+            file_bytes: int = FILE_BYTES) -> dict[str, int]:
     """Compact the streamed files of days before ``before``; returns the files read, written and deleted.
 
     A day's rows go to files of about ``file_bytes``, ordered by broker time; late files of a day that is
