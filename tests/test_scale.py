@@ -17,6 +17,7 @@ from touchline.sources.demo import LOG_ORDER, demo_records, log_stretches
 from touchline.sources.stream import StreamSource
 from touchline.sources.tables import read_table
 from touchline.streaming.bronze import AVAILABLE_NOW, run_bronze, start_bronze
+from touchline.streaming.dedupe import groups_for
 from touchline.streaming.incremental import run_silver_streams
 
 
@@ -103,3 +104,14 @@ def test_silver_streams_of_all_types_run_at_once(spark, scratch):
 
 def test_a_compacting_task_sorts_no_more_than_fits_it():
     assert FILE_BYTES * 30 <= 1 << 30 and signature(compact).parameters["file_bytes"].default == FILE_BYTES
+
+
+def test_groups_follow_the_first_input_and_then_stay(spark, scratch):
+    landed, kept = f"{scratch}/landed", f"{scratch}/_checkpoints/ttl_groups/events"
+    records = demo_records(spark, tables(spark, f"{scratch}/sf", 400), "events")
+    records.write.parquet(landed)
+    n = records.count()
+    assert groups_for(spark, landed, kept, messages_per_group=10) == -(-n // 10) > 8
+    records.write.mode("append").parquet(landed)
+    assert groups_for(spark, landed, kept, messages_per_group=10) == -(-n // 10)
+    assert groups_for(spark, landed, f"{kept}-other", messages_per_group=10**6) == 8

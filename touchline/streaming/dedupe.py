@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchline.config import Settings
+from touchline.files import exists, publish_file, read_text
 from touchline.operators.ingest import decode_records
 from touchline.operators.publish import TTL_SECONDS
 from touchline.plans.workspace import land, land_late
+from touchline.schemas import KAFKA_RECORD
 from touchline.sinks.tables import stream_append
 from touchline.sources.stream import StreamSource, record_stream
 from touchline.streaming.bronze import AVAILABLE_NOW, await_all
@@ -74,8 +76,9 @@ def skip_repeats(items: DataFrame, ttl_seconds: int = TTL_SECONDS, groups: int =
                  horizon_seconds: int | None = None) -> DataFrame:
     """A stream of items (data_type, item_id, kafka_timestamp) without repeats.
 
-    ``groups`` is part of the state and stays as it is for the life of a stream: as many as its
-    largest cluster has cores. ``horizon_seconds`` forgets kept copies that are so much older than the newest of their group:
+    ``groups`` is part of the state and stays as it is for the life of a stream: at least as many as its
+    largest cluster has cores, and so many that a group's share of a batch and its kept items fit a worker's
+    memory (``groups_for``). ``horizon_seconds`` forgets kept copies that are so much older than the newest of their group:
     a message that comes later than that may be kept beside a forgotten one. Leave
     it None for runs over bounded input.
     """
@@ -110,11 +113,25 @@ def polled_items(records: DataFrame, data_type: str) -> DataFrame:
         F.get_json_object("raw_json", "$.id").try_cast("bigint").alias("item_id"), "kafka_timestamp")
 
 
+MESSAGES_PER_GROUP = 1 << 17  # what a call has in memory, whatever the input
+
+
+def groups_for(spark: SparkSession, landed: str, kept: str, messages_per_group: int = MESSAGES_PER_GROUP) -> int:
+    """Groups of a stream: as many as the messages that have landed before its first run ask for, and at least
+    one a core. Written to ``kept`` then, as later runs must deal items as the first one did."""
+    if not exists(spark, kept):
+        messages = spark.read.schema(KAFKA_RECORD).parquet(landed).count()
+        groups = max(8, spark.sparkContext.defaultParallelism, -(-messages // messages_per_group))
+        publish_file(spark, kept, str(groups))
+    return int(read_text(spark, kept))
+
+
 def run_ttl_dedup(spark: SparkSession, sf_dir: str, settings: Settings,
                   data_types: tuple[str, ...] = ("fixtures", "livescores", "leagues", "events")) -> str:
     """Two runs of each stream: over the landed records, then over those that arrive late."""
     out = settings.path("ttl_dedup")
     paths = {t: land(spark, sf_dir, t, settings.root) for t in data_types}
+    groups = {t: groups_for(spark, p, settings.path("_checkpoints", "ttl_groups", t)) for t, p in paths.items()}
     for late in (False, True):
         if late:
             land_late(spark, sf_dir, settings.root, "late_ttl")
@@ -123,7 +140,7 @@ def run_ttl_dedup(spark: SparkSession, sf_dir: str, settings: Settings,
             either = path.replace("/landing/", "/{landing,late_ttl}/")
             items = polled_items(record_stream(spark, StreamSource(kind="files", path=either)), data_type)
             queries[data_type] = stream_append(
-                skip_repeats(items, groups=max(8, spark.sparkContext.defaultParallelism)), f"{out}/{data_type}",
+                skip_repeats(items, groups=groups[data_type]), f"{out}/{data_type}",
                 settings.path("_checkpoints", "ttl_dedup", data_type), "parquet", partition_by=(),
                 trigger=AVAILABLE_NOW, query_name=f"ttl_dedup_{data_type}")
         await_all(spark, queries)
