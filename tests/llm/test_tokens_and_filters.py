@@ -79,6 +79,28 @@ def test_word_ids_equal_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_latin_words_are_encoded_without_the_library_as_it_does():
+    """Every character below U+0300 but U+0130, alone and in words; U+00A0 alone has no ids."""
+    chars = [chr(i) for i in range(0x300) if i != 0x130]
+    rnd = random.Random(5)
+    texts = ["\xa0", "\xa0 \x85", "é" * 3000, *(f"{c} a{c}B 1{c}2 {c}{c} .{c},é {c}'S" for c in chars)]
+    texts += ["".join(rnd.choices([*chars, *"   aeiou'stÉ\n"], k=60)) for _ in range(500)]
+    library, own = Tokenizer.from_file(WORD_BPE), packing.WordIds(WORD_BPE, remembered=500)
+    own.tokenizer = None
+    for t, ids in zip(texts, own([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_word_ids_of_texts_in_groups():
+    """Groups keep the texts' order and ends; Latin words, others and added tokens share a group."""
+    texts = ["", "one İki ΑΣ", "漢字 one", "  ", "a<|endoftext|>é b", "ς\xa0ſ one", "one"] * 3
+    assert [x for g in packing.grouped(texts, 9) for x in g] == texts
+    assert [len(g) for g in packing.grouped(["abc"] * 7, 6)] == [2, 2, 2, 1]
+    library, own = Tokenizer.from_file(WORD_BPE), packing.WordIds(WORD_BPE)
+    for t, ids in zip(texts, own([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("window", [2048, 64])
 def test_packing(spark, window):
     docs = data.documents(spark)

@@ -33,13 +33,13 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-END_MARK = b"\xff"  # stands for the end-of-word suffix; never a byte of UTF-8 text
+END_MARK = b"\n"  # stands for the end-of-word suffix; tokenizers with one drop white space
 
 
-def rank_merger(spec: dict):
-    """(merge, id_of_rank) of a BPE file: ``merge`` is the tiktoken library's merge loop over one
-    piece of bytes, with ranks in merge order. With an end-of-word suffix, pieces end in
-    ``END_MARK``, which joins the last byte before any other merge, as the suffix is part of it."""
+def rank_encoding(spec: dict, pattern: str = PATTERN):
+    """(encoding, id_of_rank) of a BPE file: the tiktoken library's encoding, with ranks in merge
+    order and pieces by ``pattern``. With an end-of-word suffix, pieces end in ``END_MARK``,
+    which joins the last byte before any other merge, as the suffix is part of it."""
     import tiktoken
     to_byte, vocab = byte_alphabet(), spec["model"]["vocab"]
     suffix = spec["model"].get("end_of_word_suffix") or ""
@@ -62,9 +62,8 @@ def rank_merger(spec: dict):
     id_of_rank = np.zeros(len(ranks), "<u4")
     for token, rank in ranks.items():
         id_of_rank[rank] = vocab.get(names[token], 0)
-    merge = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks,
-                              special_tokens={})._core_bpe.encode_single_piece
-    return merge, id_of_rank
+    encoding = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return encoding, id_of_rank
 
 
 class ForcedBoundaryBpe:
@@ -87,7 +86,8 @@ class ForcedBoundaryBpe:
             if len(token) > 1:
                 b = np.frombuffer(token, np.uint8)
                 self.inside[b[:-1], b[1:]] = True
-        self.merge, self.id_of_rank = rank_merger(spec)
+        encoding, self.id_of_rank = rank_encoding(spec)
+        self.merge = encoding._core_bpe.encode_single_piece
         self.added = added
         self.split_added = (regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")

@@ -17,9 +17,11 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +29,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchline.llm.bpe import END_MARK, rank_merger
+from touchline.llm.bpe import END_MARK, rank_encoding
 from touchline.llm.remembered import Remembered
 from touchline.llm.tables import lean, mapped, slices, stored, whole
 
 SALTS = 64
 GROUP_ROWS = 1_000_000
+GROUP_BYTES = 1 << 18
+
+
+def latin_class(kind: str) -> str:
+    """The lower-case characters of U+0000 to U+02FF whose general category begins so, for a pattern."""
+    lower = {c.lower() for c in map(chr, range(0x300)) if c != "\u0130"}
+    return re.escape("".join(c for c in sorted(lower) if unicodedata.category(c)[0] == kind))
 
 
 class WordIds:
     """Packed ids of a text whose tokenizer drops white space.
 
     Words between ASCII white space are encoded on their own and remembered up to a bound; such
-    a tokenizer never joins across white space. ASCII words (whose normal form is lower
-    case) are split and merged by rank; all others go through the tokenizers library.
+    a tokenizer never joins across white space. Latin words (all characters below U+0300, but
+    not U+0130; their normal form is lower case) are split together and merged by rank; all
+    others go through the tokenizers library.
     """
 
-    # Fixed value: the file's pre-token pattern, for lower-case ASCII without white space.
-    ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    # Fixed value: the file's pre-token pattern, for lower-case Latin words with line feeds between.
+    LATIN_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^\\t-\\r \x85\xa0{0}{1}]+|\\n".format(
+        latin_class("L"), latin_class("N")))
+    # Below U+0300 (first byte 0xCC) all text is in normal form C, and only U+0130 has two lower-case characters.
+    NOT_LATIN = re.compile(b"[\xcc-\xff]|" + "\u0130".encode())
 
     def __init__(self, path: str, remembered: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,25 +67,29 @@ class WordIds:
         self.tokenizer.no_padding()
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
-            self.merge, self.id_of_rank = rank_merger(json.load(f))
+            self.pieces, self.id_of_rank = rank_encoding(json.load(f), r"[^\n]*\n")
         self.words = Remembered(remembered)
 
     def _learn(self, words: list[bytes]) -> None:
-        joined = b" ".join(words)
+        joined = END_MARK.join(words)
         if marks := [a for a in self.added if a in joined]:
             for w in [w for w in words if any(a in w for a in marks)]:
                 ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
                 self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
             words = [w for w in words if w not in self.words]
-        ascii_words = [w for w in words if w.isascii()]
-        others = [w for w in words if not w.isascii()]
-        if ascii_words:
-            parts, merge, ranks, at = self.ASCII_PARTS.findall, self.merge, [], [0]
-            for w in ascii_words:
-                for p in parts(w.lower()):
-                    ranks += merge(p + END_MARK)
-                at.append(len(ranks))
-            self._remember(ascii_words, self.id_of_rank[np.array(ranks, np.int64)], np.array(at))
+            joined = END_MARK.join(words)
+        others = []
+        if self.NOT_LATIN.search(joined):
+            others = [w for w in words if self.NOT_LATIN.search(w)]
+            words = [w for w in words if not self.NOT_LATIN.search(w)]
+            joined = END_MARK.join(words)
+        if words:  # a line feed between two words is a part of its own: with its mark, two lone marks
+            parts = self.LATIN_PARTS.findall(joined.decode("utf-8").lower())
+            ranks = np.array(self.pieces.encode_ordinary("\n".join([*parts, ""])), np.int64)
+            lone = ranks == END_MARK[0]
+            ends = np.flatnonzero(lone)[::2] - 2 * np.arange(len(words) - 1)
+            ranks = ranks[~lone]
+            self._remember(words, self.id_of_rank[ranks], np.concatenate([[0], ends, [len(ranks)]]))
         if others:  # separated by spaces; offsets tell which word an id belongs to
             texts = [w.decode("utf-8") for w in others]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
@@ -82,20 +99,34 @@ class WordIds:
 
     def _remember(self, words: list[bytes], ids: np.ndarray, at: np.ndarray) -> None:
         data, at = ids.tobytes(), (4 * at).tolist()
-        for w, i, j in zip(words, at, at[1:]):
-            self.words[w] = data[i:j]
+        self.words.update(zip(words, map(data.__getitem__, map(slice, at, at[1:]))))
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.split()
+        for group in grouped(texts):
+            split = [text.split() for text in group]
+            words = set(chain.from_iterable(split))
             self.words.make_room(len(words))
-            found = list(map(self.words.get, words))
-            missing = {w for w, ids in zip(words, found) if ids is None}
+            found = dict(zip(words, map(self.words.get, words)))
+            missing = [w for w, ids in found.items() if ids is None]
             if missing:
                 if new := self.words.unknown(missing):
                     self._learn(list(new))
-                found = [self.words[w] if ids is None else ids for w, ids in zip(words, found)]
-            yield b"".join(found)
+                found.update(zip(missing, map(self.words.__getitem__, missing)))
+            for of_text in split:
+                yield b"".join(map(found.__getitem__, of_text))
+
+
+def grouped(texts: list[bytes], group_bytes: int = GROUP_BYTES) -> Iterator[list[bytes]]:
+    """The texts in groups that end where they reach ``group_bytes``."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= group_bytes:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 _LOADED: dict[str, WordIds] = {}
