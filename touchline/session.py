@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,6 +55,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Collect garbage on the driver: Spark deletes the shuffle files of ended jobs when it no longer holds
+    their plans, and a driver with memory to spare holds them for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, stream checkpoints and landed files.
 

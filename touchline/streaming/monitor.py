@@ -11,16 +11,9 @@ from touchline.schemas import KAFKA_RECORD
 from touchline.sinks.tables import stream_append
 from touchline.streaming.bronze import AVAILABLE_NOW, await_all
 from touchline.streaming.late import late_rows, route_late
-
-MESSAGE = ["kafka_topic", "kafka_partition", "kafka_offset"]
-DELAY_SECONDS = 24 * 3600
-
-
-def without_redeliveries(messages: DataFrame, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
-    """A stream of messages, each offset once. Copies carry their message's broker time, so an on-time copy
-    always meets the state of the first."""
-    return (messages.withWatermark("kafka_timestamp", f"{delay_seconds} seconds")
-            .dropDuplicatesWithinWatermark(MESSAGE))
+from touchline.streaming.redeliveries import (  # noqa: F401
+    DELAY_SECONDS, MESSAGE, kept_messages, start_kept, without_redeliveries,
+)
 
 
 def window_counts(messages: DataFrame, every: str = "1 hour", delay_seconds: int = DELAY_SECONDS) -> DataFrame:
@@ -69,18 +62,18 @@ def run_monitors(spark: SparkSession, settings: Settings, landed: str, delay_sec
     records = decode_records(spark.readStream.schema(KAFKA_RECORD).parquet(landed))
     await_all(spark, {"route": route_late(records, out, f"{checkpoints}/route", "kafka_timestamp", delay_seconds,
                                           AVAILABLE_NOW, "monitor_route")})
-    names = {"kept": without_redeliveries, "windows": window_counts}
-    queries = {}
-    for name, operator in names.items():
-        on_time = spark.readStream.schema(records.schema).parquet(f"{out}/on_time")
-        queries[name] = stream_append(operator(on_time, delay_seconds=delay_seconds), f"{out}/{name}",
-                                      f"{checkpoints}/{name}", "parquet", partition_by=(), trigger=AVAILABLE_NOW,
-                                      query_name=f"monitor_{name}")
-    await_all(spark, queries)
+    on_time = f"{out}/on_time"
+    await_all(spark, {
+        "kept": start_kept(spark, on_time, records.schema, f"{out}/kept", f"{checkpoints}/kept", delay_seconds,
+                           AVAILABLE_NOW, "monitor_kept"),
+        "windows": stream_append(
+            window_counts(spark.readStream.schema(records.schema).parquet(on_time), delay_seconds=delay_seconds),
+            f"{out}/windows", f"{checkpoints}/windows", "parquet", partition_by=(), trigger=AVAILABLE_NOW,
+            query_name="monitor_windows")})
     return out
 
 
 def monitor_tables(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept messages, closed windows, late messages) of earlier runs."""
-    kept = spark.read.parquet(f"{out}/kept")
+    kept = kept_messages(spark, f"{out}/kept")
     return kept, spark.read.parquet(f"{out}/windows"), late_rows(spark, out, kept.schema)
