@@ -5,8 +5,10 @@ import random
 import pytest
 
 from touchline.files import children, exists, size_of
+from touchline.plans.workspace import land
 from touchline.streaming import redeliveries as K
 from touchline.streaming.bronze import AVAILABLE_NOW
+from tests.test_scale import tables
 
 HOUR = 3600
 WHOLE = "kafka_key string, raw_json string, kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp"
@@ -86,3 +88,12 @@ def test_a_batch_of_messages_that_is_run_again_changes_nothing(spark, scratch, m
 def test_files_are_dealt_to_copying_jobs_by_their_repeats():
     assert list(K.runs_of_files({0: 3, 1: 3, 3: 9, 4: 1}, 6, 6)) == [(0, 3), (3, 4), (4, 6)]
     assert list(K.runs_of_files({}, 4, 6)) == [(0, 4)] and list(K.runs_of_files({}, 0, 6)) == []
+
+
+def test_landing_leaves_no_shuffle_files(spark, scratch, monkeypatch):
+    from touchline.plans import workspace
+    calls = []
+    monkeypatch.setattr(workspace, "release", lambda s: calls.append(s))
+    land(spark, tables(spark, f"{scratch}/sf", 50), "events", f"{scratch}/root")
+    land(spark, f"{scratch}/sf", "events", f"{scratch}/root")
+    assert calls == [spark]

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from touchline.config import Settings
 from touchline.files import exists, fs_path, publish_folder
-from touchline.session import work_root
+from touchline.session import release, work_root
 from touchline.sources.demo import late_records, log_stretches
 from touchline.sources.stream import StreamSource
 
@@ -45,6 +45,7 @@ def land(spark: SparkSession, sf_dir: str, data_type: str, root: str) -> str:
         tmp = f"{root}/landing/.{data_type}-{uuid.uuid4().hex[:12]}"
         # Files hold contiguous, time-ordered stretches of the log, as a topic partition would.
         log_stretches(spark, sf_dir, data_type).write.mode("overwrite").parquet(tmp)
+        release(spark)
         if not publish_folder(spark, tmp, path) and not exists(spark, f"{path}/_SUCCESS"):
             raise RuntimeError(f"{path} holds an incomplete landing: remove it and run again")
     return path
