@@ -33,7 +33,7 @@ from touchline.sinks.publish import publish, to_messages
 from touchline.sinks.tables import newest_quality, newest_runs
 from touchline.sources.demo import demo_records, late_records
 from touchline.sources.tables import read_bronze, read_silver, read_table
-from touchline.streaming.coverage import coverage
+from touchline.streaming.coverage import coverage, settled_polls
 from touchline.streaming.dashboard import current_dashboard
 from touchline.streaming.dedupe import polled_items
 from touchline.streaming.monitor import corrected_counts, monitor_tables, redelivery_report
@@ -744,7 +744,7 @@ for _t in ("fixtures", "events"):
 
 @register("stream_coverage", ORACLES["match_coverage"])
 def q_stream_coverage(spark, sf_dir):
-    return coverage(spark.read.parquet(R.coverage_store(spark, sf_dir)), SETTINGS)
+    return coverage(settled_polls(spark, R.coverage_store(spark, sf_dir)), SETTINGS)
 
 
 @register("freshness_history", with_ctes("""
