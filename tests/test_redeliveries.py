@@ -1,11 +1,13 @@
 """Re-deliveries dropped from batches of any size: no state, narrow shuffles, exactly once."""
 
 import random
+import time
 
 import pytest
 
 from touchline.files import children, exists, size_of
 from touchline.plans.workspace import land
+from touchline.session import release
 from touchline.streaming import redeliveries as K
 from touchline.streaming.bronze import AVAILABLE_NOW
 from tests.test_scale import tables
@@ -97,3 +99,23 @@ def test_landing_leaves_no_shuffle_files(spark, scratch, monkeypatch):
     land(spark, tables(spark, f"{scratch}/sf", 50), "events", f"{scratch}/root")
     land(spark, f"{scratch}/sf", "events", f"{scratch}/root")
     assert calls == [spark]
+
+
+def test_a_release_deletes_shuffle_files(spark):
+    def shuffled():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        return env.blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+
+    def job():
+        assert spark.range(1000).repartition(7, "id").groupBy("id").count().count() == 1000
+
+    release(spark)
+    time.sleep(3)
+    before = shuffled()
+    job()
+    assert shuffled() > before
+    release(spark)
+    end = time.time() + 20
+    while shuffled() > before and time.time() < end:
+        time.sleep(0.2)
+    assert shuffled() <= before
