@@ -57,7 +57,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def release(spark: SparkSession) -> None:
     """Collect garbage on the driver: Spark deletes the shuffle files of ended jobs when it no longer holds
-    their plans, and a driver with memory to spare holds them for long. Twice, as one pass leaves the newest plan."""
+    their plans, and a driver with memory to spare holds them for long. Twice, as one pass leaves the newest plan;
+    frames that Python has just dropped can take a second more."""
     gc.collect()
     for _ in range(2):
         spark.sparkContext._jvm.System.gc()

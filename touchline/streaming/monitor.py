@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.config import Settings
 from touchline.operators.ingest import decode_records
 from touchline.schemas import KAFKA_RECORD
+from touchline.session import release
 from touchline.sinks.tables import stream_append
 from touchline.streaming.bronze import AVAILABLE_NOW, await_all
 from touchline.streaming.late import late_rows, route_late
@@ -70,6 +71,7 @@ def run_monitors(spark: SparkSession, settings: Settings, landed: str, delay_sec
             window_counts(spark.readStream.schema(records.schema).parquet(on_time), delay_seconds=delay_seconds),
             f"{out}/windows", f"{checkpoints}/windows", "parquet", partition_by=(), trigger=AVAILABLE_NOW,
             query_name="monitor_windows")})
+    release(spark)
     return out
 
 

@@ -9,6 +9,7 @@ messages are then copied file by file without them. There is no state beside the
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote
@@ -94,7 +95,9 @@ def keep_batch(batch: DataFrame, batch_id: int, path: str, schema: StructType, d
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // KEYS_PER_TASK))
         write_repeats(batch, numbers, kept_lately(spark, path, batch_id, schema, None if seen is None else seen - 2 * delay),
                       tasks, f"{aside}/repeats")
-        release(spark)  # the keys' shuffle goes before the messages are copied
+        if total > KEYS_PER_TASK:  # the keys' shuffle goes before the messages are copied, once Python has let go of it
+            time.sleep(2)
+            release(spark)
         repeats = spark.read.schema("block bigint, bits bigint").parquet(f"{aside}/repeats")
         number = F.shiftright("block", ROW_BITS - WORD_BITS)
         found = {r["number"]: r for r in repeats.groupBy(number.alias("number")).agg(
